@@ -145,7 +145,9 @@ def lot_step(quantity: DataFrame, steps: DataFrame, by: Keys = (),
              keep_step_job: bool = True) -> DataFrame:
     """Distinct (lot, step, tester, quantity, event time, partition date[, step job])."""
     q, t = quantity.alias("q"), steps.alias("t")
-    cols = [*[F.col(f"q.{c}") for c in by], F.col("q.LOT_ID"), F.col("t.STEP_ID"),
+    # Keys are taken from the step side: the join leaves the rows partitioned on
+    # (t.LOT_ID, t.step_job_oid), so the DISTINCT and the next join on (lot, step job) reuse it.
+    cols = [*[F.col(f"t.{c}") for c in by], F.col("t.LOT_ID"), F.col("t.STEP_ID"),
             F.col("t.TESTER_ID"), F.col("q.LOT_QTY"), F.col("q.date_time_local"),
             F.col("q.partition_date")]
     if keep_step_job:

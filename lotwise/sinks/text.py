@@ -26,7 +26,10 @@ def write_dated(df: DataFrame, root: str, run_date: str | None = None) -> None:
     if run_date is not None:
         df = df.withColumn("run_date", F.lit(run_date))
     (
-        df.write.mode("overwrite")
+        # Cluster rows by run date so each folder gets few files; AQE splits a run date that is
+        # too large for one task and merges small ones (no skewed single-task write).
+        df.hint("rebalance", "run_date")
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("sep", ",")
         .option("nullValue", NULL_TEXT)

@@ -18,10 +18,11 @@ def read_event_log(spark: SparkSession, path: str) -> DataFrame:
 def write_event_log(log: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Store a log in the layout ``read_event_log`` expects (one folder per partition date).
 
-    Rows are clustered by date before the write so each task writes few folders.
+    Rows are clustered by date before the write so each task writes few folders; AQE splits a
+    date too large for one task.
     """
     (
-        log.repartition("partition_date")
+        log.hint("rebalance", "partition_date")
         .sortWithinPartitions("ma_id")
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
