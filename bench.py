@@ -29,7 +29,7 @@ from lotwise.session import local_session, scratch_path  # noqa: E402
 from lotwise.sinks.text import write_dated  # noqa: E402
 from lotwise.sources.delimited import read_dated_store  # noqa: E402
 from lotwise.sources.eventlog import read_event_log, write_event_log  # noqa: E402
-from lotwise.sources.fixtures import WIDE_LOWER, WIDE_UPPER, event_log, test_records  # noqa: E402
+from lotwise.sources.fixtures import WIDE_LOWER, WIDE_UPPER, event_log, tte_records  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
@@ -54,7 +54,7 @@ def main() -> None:
     log_path = scratch_path(spark, "mam_tx")
     write_event_log(event_log(spark, SF_DIR), log_path)
     tte_path = scratch_path(spark, "tte")
-    test_records(spark, SF_DIR).write.partitionBy("record_date").parquet(tte_path)
+    tte_records(spark, SF_DIR).write.partitionBy("record_date").parquet(tte_path)
     setup["stage_inputs"] = round(time.time() - t, 2)
 
     log = read_event_log(spark, log_path)

@@ -29,7 +29,7 @@ from .session import configure, scratch_path
 from .sinks.tables import drop_table, register_table
 from .sinks.text import write_dated, write_delimited, write_extract, write_report
 from .sources.delimited import read_dated_store, read_delimited, read_report
-from .sources.fixtures import WIDE_LOWER, WIDE_UPPER, event_log, test_records
+from .sources.fixtures import WIDE_LOWER, WIDE_UPPER, event_log, tte_records
 
 # ---------------------------------------------------------------------------
 # Fixed parameters of the registered queries.
@@ -48,7 +48,7 @@ def _scoped(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return test_records(spark, sf_dir).where(F.col("record_date").between(WIDE.lower, WIDE.upper))
+    return tte_records(spark, sf_dir).where(F.col("record_date").between(WIDE.lower, WIDE.upper))
 
 
 # ---- operator groups of the current job ---------------------------------------------------

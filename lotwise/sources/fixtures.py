@@ -150,7 +150,7 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(*EVENT_LOG_COLUMNS)
 
 
-def test_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+def tte_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Derived nested test records (``schemas.TTE`` plus ``record_date``), one per base row."""
     b = _base(spark, sf_dir)
     k, ln = F.col("k"), F.col("ln")
