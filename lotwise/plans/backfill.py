@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..operators import archive as A
 from ..operators import lots as L
 from ..operators.scope import scope_predicate, window_predicate
-from ..params import RunWindow, Scope
+from ..params import ATTRIBUTE_COLUMNS, RunWindow, Scope
 from .daily import WORK_COLUMNS
 
 RUN_KEY = ("run_date",)
@@ -27,16 +27,18 @@ def _shift(day: str, days: int) -> str:
     return (dt.date.fromisoformat(day) + dt.timedelta(days=days)).isoformat()
 
 
-def runs_scope(log: DataFrame, first_run: str, last_run: str, template: RunWindow,
-               scope: Scope = Scope()) -> DataFrame:
-    """Scoped rows of all runs ``first_run .. last_run`` with their ``run_date`` column.
-
-    ``template`` gives the window shape relative to its run date (e.g. ``RunWindow.daily``).
-    """
+def _days(log: DataFrame, first_run: str, last_run: str, template: RunWindow,
+          scope: Scope) -> DataFrame:
+    """Scoped rows of every partition day some run in ``first_run .. last_run`` reads."""
     lo, hi = template.lower_offset, template.upper_offset
-    rows = log.where(
+    return log.where(
         scope_predicate(scope) & window_predicate(_shift(first_run, lo), _shift(last_run, hi))
     ).select(*WORK_COLUMNS)
+
+
+def fan_out(rows: DataFrame, first_run: str, last_run: str, template: RunWindow) -> DataFrame:
+    """One copy of each row per run date whose window contains its ``partition_date``."""
+    lo, hi = template.lower_offset, template.upper_offset
     day = F.try_to_date("partition_date")
     runs = F.sequence(F.date_sub(day, hi), F.date_sub(day, lo))
     rows = rows.select("*", F.explode(runs).alias("run_day"))
@@ -44,11 +46,36 @@ def runs_scope(log: DataFrame, first_run: str, last_run: str, template: RunWindo
     return rows.where(F.col("run_date").between(first_run, last_run))
 
 
+def runs_scope(log: DataFrame, first_run: str, last_run: str, template: RunWindow,
+               scope: Scope = Scope()) -> DataFrame:
+    """Scoped rows of all runs ``first_run .. last_run`` with their ``run_date`` column.
+
+    ``template`` gives the window shape relative to its run date (e.g. ``RunWindow.daily``).
+    """
+    return fan_out(_days(log, first_run, last_run, template, scope), first_run, last_run, template)
+
+
+def window_pivot(days: DataFrame, first_run: str, last_run: str,
+                 template: RunWindow) -> DataFrame:
+    """The attribute pivot of every run, pre-aggregated per partition day before the fan-out.
+
+    MAX over a run's window equals the MAX of its days' MAXes, so each (day, lot) is pivoted
+    once (eight attribute rows become one) and only that row is copied to its run dates.
+    """
+    per_day = L.attribute_pivot(days, ("partition_date",))
+    per_run = fan_out(per_day, first_run, last_run, template)
+    return per_run.groupBy(*RUN_KEY, "LOT_ID").agg(
+        *[F.max(c).alias(c) for c in ATTRIBUTE_COLUMNS]
+    )
+
+
 def backfill_daily(log: DataFrame, first_run: str, last_run: str,
                    scope: Scope = Scope()) -> tuple[DataFrame, DataFrame]:
     """Variance and total-lot rows of every daily run in the range, with ``run_date``."""
-    scoped = runs_scope(log, first_run, last_run, RunWindow.daily(first_run), scope)
-    pivot = L.attribute_pivot(scoped, RUN_KEY)
+    template = RunWindow.daily(first_run)
+    days = _days(log, first_run, last_run, template, scope)
+    scoped = fan_out(days, first_run, last_run, template)
+    pivot = window_pivot(days, first_run, last_run, template)
     steps = L.resolve_tester_step(scoped, RUN_KEY)
     return (
         L.variance_dataset(scoped, RUN_KEY, steps=steps, pivot=pivot),
@@ -62,11 +89,13 @@ def backfill_archive(log: DataFrame, records: DataFrame, first_run: str, last_ru
 
     ``records`` carries ``record_date``; each archive run reads the records of its run date.
     """
-    scoped = runs_scope(log, first_run, last_run, RunWindow.archive(first_run), scope)
+    template = RunWindow.archive(first_run)
+    days = _days(log, first_run, last_run, template, scope)
+    scoped = fan_out(days, first_run, last_run, template)
     recs = records.where(F.col("record_date").between(first_run, last_run)) \
         .withColumnRenamed("record_date", "run_date")
     testers = A.tte_testers(recs, RUN_KEY)
-    pivot = L.attribute_pivot(scoped, RUN_KEY)
+    pivot = window_pivot(days, first_run, last_run, template)
     return (
         A.archive_variance(scoped, testers, RUN_KEY, pivot=pivot),
         A.archive_totallot(scoped, testers, RUN_KEY, pivot=pivot),
