@@ -16,18 +16,12 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import functions as F  # noqa: E402
-
-from lotwise.functions.workweek import week_labels  # noqa: E402
 from lotwise.params import RunWindow  # noqa: E402
 from lotwise.plans.archive import archive_datasets  # noqa: E402
-from lotwise.plans.backfill import backfill_daily  # noqa: E402
+from lotwise.plans.backfill import run_backfill  # noqa: E402
 from lotwise.plans.daily import daily_datasets, run_daily_job  # noqa: E402
-from lotwise.plans.weekly import run_weekly_job, weekly_report  # noqa: E402
-from lotwise.schemas import TOTALLOT, VARIANCE  # noqa: E402
+from lotwise.plans.weekly import run_weekly_job  # noqa: E402
 from lotwise.session import local_session, scratch_path  # noqa: E402
-from lotwise.sinks.text import write_dated  # noqa: E402
-from lotwise.sources.delimited import read_dated_store  # noqa: E402
 from lotwise.sources.eventlog import read_event_log, write_event_log  # noqa: E402
 from lotwise.sources.fixtures import WIDE_LOWER, WIDE_UPPER, event_log, tte_records  # noqa: E402
 
@@ -82,13 +76,10 @@ def main() -> None:
     timed("variance_wide", lambda: noop(daily_datasets(log, WIDE, cache=False).variance))
     timed("totallot_wide", lambda: noop(daily_datasets(log, WIDE, cache=False).totallot))
 
-    # Every daily run of the log in one job, both datasets stored per run date.
-    def backfill():
-        v, tl = backfill_daily(log, "2023-09-30", WIDE_UPPER)
-        write_dated(v, f"{out['bf']}/variance")
-        write_dated(tl, f"{out['bf']}/totallot")
-
-    timed("backfill_all_runs", backfill)
+    # Every daily run of the log, both datasets stored per run date (shared parts checkpointed).
+    timed("backfill_all_runs", lambda: run_backfill(
+        log, "2023-09-30", WIDE_UPPER, f"{out['bf']}/variance", f"{out['bf']}/totallot",
+        chunk_days=None))
 
     # Weekly 52-week reports over the stored backfill history (S4 -> K3).
     timed("weekly_reports", lambda: run_weekly_job(

@@ -18,6 +18,8 @@ from ..operators import archive as A
 from ..operators import lots as L
 from ..operators.scope import scope_predicate, window_predicate
 from ..params import ATTRIBUTE_COLUMNS, RunWindow, Scope
+from ..session import checkpoint_root
+from ..sinks.text import write_dated
 from .daily import WORK_COLUMNS
 
 RUN_KEY = ("run_date",)
@@ -100,3 +102,37 @@ def backfill_archive(log: DataFrame, records: DataFrame, first_run: str, last_ru
         A.archive_variance(scoped, testers, RUN_KEY, pivot=pivot),
         A.archive_totallot(scoped, testers, RUN_KEY, pivot=pivot),
     )
+
+
+def _chunks(first_run: str, last_run: str, chunk_days: int | None):
+    if not chunk_days:
+        yield first_run, last_run
+        return
+    start, end = dt.date.fromisoformat(first_run), dt.date.fromisoformat(last_run)
+    while start <= end:
+        stop = min(end, start + dt.timedelta(days=chunk_days - 1))
+        yield start.isoformat(), stop.isoformat()
+        start = stop + dt.timedelta(days=1)
+
+
+def run_backfill(log: DataFrame, first_run: str, last_run: str, variance_root: str,
+                 totallot_root: str, chunk_days: int | None = 31, scope: Scope = Scope()) -> None:
+    """Store both daily datasets for every run date in the range (K2 per run date).
+
+    The range is cut into chunks of ``chunk_days`` run dates, each one Spark job with bounded
+    shuffle size. Within a chunk, the attribute pivot and the tester-step resolution feed both
+    datasets; they are checkpointed (reliably, into the cluster's ``spark.checkpoint.dir``) so the
+    second write neither recomputes them nor depends on executors that may be gone. Stored run
+    dates are durable: a failed backfill resumes from the first missing chunk, and rerunning a
+    chunk replaces only its run dates.
+    """
+    spark = log.sparkSession
+    checkpoint_root(spark)
+    for lo, hi in _chunks(first_run, last_run, chunk_days):
+        template = RunWindow.daily(lo)
+        days = _days(log, lo, hi, template, scope)
+        scoped = fan_out(days, lo, hi, template)
+        pivot = window_pivot(days, lo, hi, template).checkpoint(eager=True)
+        steps = L.resolve_tester_step(scoped, RUN_KEY).checkpoint(eager=True)
+        write_dated(L.variance_dataset(scoped, RUN_KEY, steps=steps, pivot=pivot), variance_root)
+        write_dated(L.totallot_dataset(scoped, RUN_KEY, steps=steps, pivot=pivot), totallot_root)

@@ -1 +1,7 @@
-"""lotwise.streaming."""
+"""Streaming operators: none.
+
+The reference has no stream, watermark, window-over-time or stateful operator; late data is
+covered only by the daily job reading two partition days. Its daily schedule is a batch job per
+run date (``lotwise.plans.daily``), and its replay loop is the backfill (``lotwise.plans.backfill``),
+so nothing is built here.
+"""

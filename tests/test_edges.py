@@ -153,3 +153,22 @@ def test_backfill_equals_separate_runs(log01):
     # Adjacent runs overlap by one partition day, so a few rows repeat across run dates (M5).
     assert v.where(F.col("run_date") == "2024-02-03").count() == 100
     assert v.where(F.col("run_date") == "2024-02-04").count() == 38
+
+
+def test_chunked_backfill_store_equals_one_job(spark, log01, tmp_dir):
+    """run_backfill: chunks of run dates, checkpointed shared parts, stored per run date."""
+    import os
+
+    from lotwise.plans.backfill import backfill_daily, run_backfill
+    from lotwise.schemas import TOTALLOT, VARIANCE
+    from lotwise.sources.delimited import read_dated_store
+
+    first, last = "2024-02-01", "2024-02-07"
+    vr, tr = os.path.join(tmp_dir, "v"), os.path.join(tmp_dir, "t")
+    run_backfill(log01, first, last, vr, tr, chunk_days=3)
+    v, t = backfill_daily(log01, first, last)
+    got_v = read_dated_store(spark, vr, VARIANCE).select(*v.columns)
+    got_t = read_dated_store(spark, tr, TOTALLOT).select(*t.columns)
+    assert got_v.exceptAll(v).count() == 0 == v.exceptAll(got_v).count()
+    assert got_t.exceptAll(t).count() == 0 == t.exceptAll(got_t).count()
+    assert len(os.listdir(vr)) >= 7
