@@ -6,9 +6,9 @@ grouping and join key carries the run date and many runs execute as one job.
 
 Shape of the plans: each de-duplication and each MIN/MAX is an aggregate that Spark runs
 partially before its shuffle (map-side combine), so a lot holding a large share of the rows is
-collapsed before it is moved. Joins are on (lot, job) first; the one-row-per-lot attribute pivot
-is attached last, after which the final DISTINCT needs no further shuffle because the join's
-partitioning on the lot is a subset of its keys.
+collapsed before it is moved. Joins are on (lot, job) first; rows are made distinct on all their
+columns, and the one-row-per-lot attribute pivot is attached last with hot lots split across
+tasks (``skew.attach_per_lot``); the pivot being unique per lot keeps the result distinct.
 """
 
 from __future__ import annotations
@@ -30,6 +30,7 @@ from ..params import (
     VARIANCE_REASONS,
 )
 from ..schemas import TOTALLOT_COLUMNS, VARIANCE_COLUMNS
+from .skew import attach_per_lot, hot_lots
 
 Keys = Sequence[str]
 
@@ -168,49 +169,57 @@ def variance_attributes(pivot: DataFrame, events: DataFrame, by: Keys = ()) -> D
 # ---- C1, C2: the two daily datasets -------------------------------------------------------
 
 
+def _layout(df: DataFrame, by: Keys, columns: Sequence[str]) -> DataFrame:
+    return df.select(*_k(by), *[work_week("date_time_local").alias(c) if c == "ww" else F.col(c)
+                                for c in columns])
+
+
+def _attributes(pivot: DataFrame, by: Keys, columns: Sequence[str]) -> DataFrame:
+    return pivot.select(*_k(by), "LOT_ID", *[c for c in columns if c in ATTRIBUTE_COLUMNS])
+
+
 def variance_rows(pivot: DataFrame, events: DataFrame, steps_with_job: DataFrame,
-                  by: Keys = ()) -> DataFrame:
+                  by: Keys = (), hot: DataFrame | None = None) -> DataFrame:
     """C1 in the daily layout (18 columns, ``ww`` derived from the quantity row's time).
 
     Equivalent to the reference's (pivot x events) x (quantity x tester steps) on
-    (lot, step job), because the pivot is unique per lot; joined here as
-    (events x steps) x pivot so that the lot-only join comes last.
+    (lot, step job) followed by DISTINCT: the pivot is unique per lot, so the rows are made
+    distinct first (a shuffle on all their columns, which spreads a hot lot) and the lot's
+    attributes are attached last, which keeps them distinct.
     """
     e, st = events.alias("e"), steps_with_job.alias("st")
-    joined = e.join(st, _on(e, st, by, [("LOT_ID", "LOT_ID"), ("step_job_oid", "step_job_oid")]))
-    joined = joined.select(
+    rows = e.join(st, _on(e, st, by, [("LOT_ID", "LOT_ID"), ("step_job_oid", "step_job_oid")]))
+    rows = rows.select(
         *[F.col(f"e.{c}") for c in by], F.col("e.LOT_ID"), F.col("e.STEP_ID"),
         F.col("st.TESTER_ID"), F.col("st.LOT_QTY"), F.col("e.reason"), F.col("e.action"),
         F.col("e.quantity"), F.col("st.date_time_local"), F.col("st.partition_date"),
-    )
-    out = joined.join(pivot, [*_k(by), "LOT_ID"])
-    return out.select(
-        *_k(by), *[work_week("date_time_local").alias(c) if c == "ww" else F.col(c)
-                   for c in VARIANCE_COLUMNS]
     ).distinct()
+    out = attach_per_lot(rows, _attributes(pivot, by, VARIANCE_COLUMNS), by, hot)
+    return _layout(out, by, VARIANCE_COLUMNS)
 
 
-def totallot_rows(pivot: DataFrame, steps_no_job: DataFrame, by: Keys = ()) -> DataFrame:
-    """C2 in the daily layout (10 columns). One DISTINCT after the projection: dropping the five
-    unused attributes can merge rows, exactly as the reference's final DISTINCT does."""
-    out = steps_no_job.join(pivot, [*_k(by), "LOT_ID"])
-    return out.select(
-        *_k(by), *[work_week("date_time_local").alias(c) if c == "ww" else F.col(c)
-                   for c in TOTALLOT_COLUMNS]
-    ).distinct()
+def totallot_rows(pivot: DataFrame, steps_no_job: DataFrame, by: Keys = (),
+                  hot: DataFrame | None = None) -> DataFrame:
+    """C2 in the daily layout (10 columns). The step rows are distinct and the three attributes
+    kept are functions of the lot, so the result is distinct without another DISTINCT (dropping
+    the five unused attributes cannot merge rows)."""
+    out = attach_per_lot(steps_no_job, _attributes(pivot, by, TOTALLOT_COLUMNS), by, hot)
+    return _layout(out, by, TOTALLOT_COLUMNS)
 
 
 def variance_dataset(scoped: DataFrame, by: Keys = (), steps: DataFrame | None = None,
-                     pivot: DataFrame | None = None) -> DataFrame:
+                     pivot: DataFrame | None = None, hot: DataFrame | None = None) -> DataFrame:
     pivot = attribute_pivot(scoped, by) if pivot is None else pivot
     steps = resolve_tester_step(scoped, by) if steps is None else steps
+    hot = hot_lots(scoped, by) if hot is None else hot
     with_job = lot_step(lot_quantity(scoped, by), steps, by, keep_step_job=True)
-    return variance_rows(pivot, variance_events(scoped, by), with_job, by)
+    return variance_rows(pivot, variance_events(scoped, by), with_job, by, hot)
 
 
 def totallot_dataset(scoped: DataFrame, by: Keys = (), steps: DataFrame | None = None,
-                     pivot: DataFrame | None = None) -> DataFrame:
+                     pivot: DataFrame | None = None, hot: DataFrame | None = None) -> DataFrame:
     pivot = attribute_pivot(scoped, by) if pivot is None else pivot
     steps = resolve_tester_step(scoped, by) if steps is None else steps
+    hot = hot_lots(scoped, by) if hot is None else hot
     no_job = lot_step(lot_quantity(scoped, by), steps, by, keep_step_job=False)
-    return totallot_rows(pivot, no_job, by)
+    return totallot_rows(pivot, no_job, by, hot)

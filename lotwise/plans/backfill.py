@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..operators import archive as A
 from ..operators import lots as L
 from ..operators.scope import scope_predicate, window_predicate
+from ..operators.skew import hot_lots
 from ..params import ATTRIBUTE_COLUMNS, RunWindow, Scope
 from ..session import checkpoint_root
 from ..sinks.text import write_dated
@@ -79,9 +80,10 @@ def backfill_daily(log: DataFrame, first_run: str, last_run: str,
     scoped = fan_out(days, first_run, last_run, template)
     pivot = window_pivot(days, first_run, last_run, template)
     steps = L.resolve_tester_step(scoped, RUN_KEY)
+    hot = hot_lots(scoped, RUN_KEY)
     return (
-        L.variance_dataset(scoped, RUN_KEY, steps=steps, pivot=pivot),
-        L.totallot_dataset(scoped, RUN_KEY, steps=steps, pivot=pivot),
+        L.variance_dataset(scoped, RUN_KEY, steps=steps, pivot=pivot, hot=hot),
+        L.totallot_dataset(scoped, RUN_KEY, steps=steps, pivot=pivot, hot=hot),
     )
 
 
@@ -98,9 +100,10 @@ def backfill_archive(log: DataFrame, records: DataFrame, first_run: str, last_ru
         .withColumnRenamed("record_date", "run_date")
     testers = A.tte_testers(recs, RUN_KEY)
     pivot = window_pivot(days, first_run, last_run, template)
+    hot = hot_lots(scoped, RUN_KEY)
     return (
-        A.archive_variance(scoped, testers, RUN_KEY, pivot=pivot),
-        A.archive_totallot(scoped, testers, RUN_KEY, pivot=pivot),
+        A.archive_variance(scoped, testers, RUN_KEY, pivot=pivot, hot=hot),
+        A.archive_totallot(scoped, testers, RUN_KEY, pivot=pivot, hot=hot),
     )
 
 
@@ -134,5 +137,7 @@ def run_backfill(log: DataFrame, first_run: str, last_run: str, variance_root: s
         scoped = fan_out(days, lo, hi, template)
         pivot = window_pivot(days, lo, hi, template).checkpoint(eager=True)
         steps = L.resolve_tester_step(scoped, RUN_KEY).checkpoint(eager=True)
-        write_dated(L.variance_dataset(scoped, RUN_KEY, steps=steps, pivot=pivot), variance_root)
-        write_dated(L.totallot_dataset(scoped, RUN_KEY, steps=steps, pivot=pivot), totallot_root)
+        hot = hot_lots(scoped, RUN_KEY).checkpoint(eager=True)
+        shared = dict(steps=steps, pivot=pivot, hot=hot)
+        write_dated(L.variance_dataset(scoped, RUN_KEY, **shared), variance_root)
+        write_dated(L.totallot_dataset(scoped, RUN_KEY, **shared), totallot_root)

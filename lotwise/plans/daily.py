@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 
 from ..operators import lots as L
 from ..operators.scope import scoped_window
+from ..operators.skew import hot_lots
 from ..params import RunWindow, Scope
 from ..sinks.text import write_dated
 
@@ -45,14 +46,16 @@ def daily_datasets(log: DataFrame, window: RunWindow, scope: Scope = Scope(),
     scoped = scoped_window(log, window, scope).select(*WORK_COLUMNS)
     pivot = L.attribute_pivot(scoped)
     steps = L.resolve_tester_step(scoped)
+    hot = hot_lots(scoped)
     cached: tuple[DataFrame, ...] = ()
     if cache:
         pivot = pivot.persist(StorageLevel.MEMORY_AND_DISK)
         steps = steps.persist(StorageLevel.MEMORY_AND_DISK)
-        cached = (pivot, steps)
+        hot = hot.persist(StorageLevel.MEMORY_AND_DISK)
+        cached = (pivot, steps, hot)
     return DailyDatasets(
-        variance=L.variance_dataset(scoped, steps=steps, pivot=pivot),
-        totallot=L.totallot_dataset(scoped, steps=steps, pivot=pivot),
+        variance=L.variance_dataset(scoped, steps=steps, pivot=pivot, hot=hot),
+        totallot=L.totallot_dataset(scoped, steps=steps, pivot=pivot, hot=hot),
         cached=cached,
     )
 

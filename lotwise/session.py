@@ -16,6 +16,9 @@ JOB_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a skewed (lot, job) join partition even where that costs one more shuffle after it
+    # (several joins reuse their partitioning for the DISTINCT that follows).
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Broadcast only what AQE has measured at run time (a materialised shuffle stage below the
     # threshold); no broadcast from file-size estimates, which under-count compressed Parquet.
     "spark.sql.autoBroadcastJoinThreshold": "-1",

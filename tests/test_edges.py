@@ -172,3 +172,21 @@ def test_chunked_backfill_store_equals_one_job(spark, log01, tmp_dir):
     assert got_v.exceptAll(v).count() == 0 == v.exceptAll(got_v).count()
     assert got_t.exceptAll(t).count() == 0 == t.exceptAll(got_t).count()
     assert len(os.listdir(vr)) >= 7
+
+
+def test_hot_lot_split_gives_the_same_rows(log01):
+    """Hot lots (forced with a tiny threshold) are salted across tasks; the rows are unchanged."""
+    from lotwise.operators.scope import scoped_window
+    from lotwise.operators.skew import hot_lots
+
+    scoped = scoped_window(log01, RunWindow.span("2024-02-03", "2024-02-10"))
+    hot = hot_lots(scoped, min_rows=20)
+    assert hot.count() > 0
+    none = hot.limit(0)
+    for build in (L.variance_dataset, L.totallot_dataset):
+        salted, plain = build(scoped, hot=hot), build(scoped, hot=none)
+        assert salted.count() == plain.count() == salted.distinct().count()
+        assert salted.exceptAll(plain).count() == 0
+    testers = A.tte_testers(_records(scoped.sparkSession, [{"LOT": "L0000001", "STEP_ID": "HOT_TEST"}]))
+    assert A.archive_totallot(scoped, testers, hot=hot).count() == A.archive_totallot(
+        scoped, testers, hot=none).count()
