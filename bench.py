@@ -27,6 +27,7 @@ from lotwise.sources.fixtures import WIDE_LOWER, WIDE_UPPER, event_log, tte_reco
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
+REPEAT = int(os.environ.get("BENCH_REPEAT", "2"))
 RUN_DATE = "2024-02-03"
 AS_OF = dt.datetime(2024, 10, 15, 12, 0, 0)
 WIDE = RunWindow.span(WIDE_LOWER, WIDE_UPPER)
@@ -56,9 +57,14 @@ def main() -> None:
     timings: dict[str, float] = {}
 
     def timed(name, fn):
-        t0 = time.time()
-        fn()
-        timings[name] = round(time.time() - t0, 2)
+        # Best of REPEAT runs: the first run of a plan also pays JIT and file-listing warm-up.
+        best = None
+        for _ in range(REPEAT):
+            t0 = time.time()
+            fn()
+            took = time.time() - t0
+            best = took if best is None else min(best, took)
+        timings[name] = round(best, 2)
 
     # One daily run (2 partition days), both datasets from one cached scan, stored (K2).
     out = {k: scratch_path(spark, k) for k in ("variance", "totallot", "reports", "bf")}
@@ -102,6 +108,7 @@ def main() -> None:
         "setup": setup,
         "sf": _sf(SF_DIR),
         "cpus": CPUS,
+        "stat": f"min of {REPEAT} runs per query",
     }))
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..operators import archive as A
 from ..operators import lots as L
 from ..operators.scope import scope_predicate, window_predicate
-from ..operators.skew import hot_lots
+from ..operators.skew import HOT_LOT_ROWS
 from ..params import ATTRIBUTE_COLUMNS, RunWindow, Scope
 from ..session import checkpoint_root
 from ..sinks.text import write_dated
@@ -72,6 +72,17 @@ def window_pivot(days: DataFrame, first_run: str, last_run: str,
     )
 
 
+def window_hot_lots(days: DataFrame, first_run: str, last_run: str, template: RunWindow,
+                    min_rows: int = HOT_LOT_ROWS) -> DataFrame:
+    """Hot lots of every run, counted per (day, lot) before the fan-out and summed per run."""
+    per_day = days.groupBy("partition_date", F.col("ma_id").alias("LOT_ID")).count()
+    per_run = fan_out(per_day, first_run, last_run, template)
+    return (
+        per_run.groupBy(*RUN_KEY, "LOT_ID").agg(F.sum("count").alias("rows"))
+        .where(F.col("rows") > min_rows).select(*RUN_KEY, "LOT_ID")
+    )
+
+
 def backfill_daily(log: DataFrame, first_run: str, last_run: str,
                    scope: Scope = Scope()) -> tuple[DataFrame, DataFrame]:
     """Variance and total-lot rows of every daily run in the range, with ``run_date``."""
@@ -80,7 +91,7 @@ def backfill_daily(log: DataFrame, first_run: str, last_run: str,
     scoped = fan_out(days, first_run, last_run, template)
     pivot = window_pivot(days, first_run, last_run, template)
     steps = L.resolve_tester_step(scoped, RUN_KEY)
-    hot = hot_lots(scoped, RUN_KEY)
+    hot = window_hot_lots(days, first_run, last_run, template)
     return (
         L.variance_dataset(scoped, RUN_KEY, steps=steps, pivot=pivot, hot=hot),
         L.totallot_dataset(scoped, RUN_KEY, steps=steps, pivot=pivot, hot=hot),
@@ -100,7 +111,7 @@ def backfill_archive(log: DataFrame, records: DataFrame, first_run: str, last_ru
         .withColumnRenamed("record_date", "run_date")
     testers = A.tte_testers(recs, RUN_KEY)
     pivot = window_pivot(days, first_run, last_run, template)
-    hot = hot_lots(scoped, RUN_KEY)
+    hot = window_hot_lots(days, first_run, last_run, template)
     return (
         A.archive_variance(scoped, testers, RUN_KEY, pivot=pivot, hot=hot),
         A.archive_totallot(scoped, testers, RUN_KEY, pivot=pivot, hot=hot),
@@ -137,7 +148,7 @@ def run_backfill(log: DataFrame, first_run: str, last_run: str, variance_root: s
         scoped = fan_out(days, lo, hi, template)
         pivot = window_pivot(days, lo, hi, template).checkpoint(eager=True)
         steps = L.resolve_tester_step(scoped, RUN_KEY).checkpoint(eager=True)
-        hot = hot_lots(scoped, RUN_KEY).checkpoint(eager=True)
+        hot = window_hot_lots(days, lo, hi, template).checkpoint(eager=True)
         shared = dict(steps=steps, pivot=pivot, hot=hot)
         write_dated(L.variance_dataset(scoped, RUN_KEY, **shared), variance_root)
         write_dated(L.totallot_dataset(scoped, RUN_KEY, **shared), totallot_root)

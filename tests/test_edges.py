@@ -190,3 +190,16 @@ def test_hot_lot_split_gives_the_same_rows(log01):
     testers = A.tte_testers(_records(scoped.sparkSession, [{"LOT": "L0000001", "STEP_ID": "HOT_TEST"}]))
     assert A.archive_totallot(scoped, testers, hot=hot).count() == A.archive_totallot(
         scoped, testers, hot=none).count()
+
+
+def test_window_hot_lots_equals_direct_count(log01):
+    from lotwise.operators.skew import hot_lots
+    from lotwise.plans.backfill import _days, fan_out, window_hot_lots
+    from lotwise.params import Scope
+
+    first, last, tpl = "2024-02-03", "2024-02-09", RunWindow.daily("2024-02-03")
+    days = _days(log01, first, last, tpl, Scope())
+    direct = hot_lots(fan_out(days, first, last, tpl), ("run_date",), min_rows=12)
+    rolled = window_hot_lots(days, first, last, tpl, min_rows=12)
+    assert direct.count() > 0
+    assert direct.exceptAll(rolled).count() == 0 == rolled.exceptAll(direct).count()
