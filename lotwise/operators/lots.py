@@ -208,18 +208,22 @@ def totallot_rows(pivot: DataFrame, steps_no_job: DataFrame, by: Keys = (),
 
 
 def variance_dataset(scoped: DataFrame, by: Keys = (), steps: DataFrame | None = None,
-                     pivot: DataFrame | None = None, hot: DataFrame | None = None) -> DataFrame:
+                     pivot: DataFrame | None = None, hot: DataFrame | None = None,
+                     quantity: DataFrame | None = None) -> DataFrame:
     pivot = attribute_pivot(scoped, by) if pivot is None else pivot
     steps = resolve_tester_step(scoped, by) if steps is None else steps
     hot = hot_lots(scoped, by) if hot is None else hot
-    with_job = lot_step(lot_quantity(scoped, by), steps, by, keep_step_job=True)
+    quantity = lot_quantity(scoped, by) if quantity is None else quantity
+    with_job = lot_step(quantity, steps, by, keep_step_job=True)
     return variance_rows(pivot, variance_events(scoped, by), with_job, by, hot)
 
 
 def totallot_dataset(scoped: DataFrame, by: Keys = (), steps: DataFrame | None = None,
-                     pivot: DataFrame | None = None, hot: DataFrame | None = None) -> DataFrame:
+                     pivot: DataFrame | None = None, hot: DataFrame | None = None,
+                     quantity: DataFrame | None = None) -> DataFrame:
     pivot = attribute_pivot(scoped, by) if pivot is None else pivot
     steps = resolve_tester_step(scoped, by) if steps is None else steps
     hot = hot_lots(scoped, by) if hot is None else hot
-    no_job = lot_step(lot_quantity(scoped, by), steps, by, keep_step_job=False)
+    quantity = lot_quantity(scoped, by) if quantity is None else quantity
+    no_job = lot_step(quantity, steps, by, keep_step_job=False)
     return totallot_rows(pivot, no_job, by, hot)

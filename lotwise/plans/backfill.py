@@ -83,6 +83,14 @@ def window_hot_lots(days: DataFrame, first_run: str, last_run: str, template: Ru
     )
 
 
+def window_quantity(days: DataFrame, first_run: str, last_run: str,
+                    template: RunWindow) -> DataFrame:
+    """Distinct quantity rows of every run. Their key holds ``partition_date``, so rows made
+    distinct once per day stay distinct within each run after the fan-out: one DISTINCT over the
+    un-copied rows replaces one over twice as many."""
+    return fan_out(L.lot_quantity(days), first_run, last_run, template)
+
+
 def backfill_daily(log: DataFrame, first_run: str, last_run: str,
                    scope: Scope = Scope()) -> tuple[DataFrame, DataFrame]:
     """Variance and total-lot rows of every daily run in the range, with ``run_date``."""
@@ -92,9 +100,11 @@ def backfill_daily(log: DataFrame, first_run: str, last_run: str,
     pivot = window_pivot(days, first_run, last_run, template)
     steps = L.resolve_tester_step(scoped, RUN_KEY)
     hot = window_hot_lots(days, first_run, last_run, template)
+    qty = window_quantity(days, first_run, last_run, template)
+    shared = dict(steps=steps, pivot=pivot, hot=hot, quantity=qty)
     return (
-        L.variance_dataset(scoped, RUN_KEY, steps=steps, pivot=pivot, hot=hot),
-        L.totallot_dataset(scoped, RUN_KEY, steps=steps, pivot=pivot, hot=hot),
+        L.variance_dataset(scoped, RUN_KEY, **shared),
+        L.totallot_dataset(scoped, RUN_KEY, **shared),
     )
 
 
@@ -149,6 +159,7 @@ def run_backfill(log: DataFrame, first_run: str, last_run: str, variance_root: s
         pivot = window_pivot(days, lo, hi, template).checkpoint(eager=True)
         steps = L.resolve_tester_step(scoped, RUN_KEY).checkpoint(eager=True)
         hot = window_hot_lots(days, lo, hi, template).checkpoint(eager=True)
-        shared = dict(steps=steps, pivot=pivot, hot=hot)
+        qty = window_quantity(days, lo, hi, template)
+        shared = dict(steps=steps, pivot=pivot, hot=hot, quantity=qty)
         write_dated(L.variance_dataset(scoped, RUN_KEY, **shared), variance_root)
         write_dated(L.totallot_dataset(scoped, RUN_KEY, **shared), totallot_root)
