@@ -8,7 +8,8 @@ salt in ``[0, buckets)`` and the single per-lot row of a hot lot is repeated ``b
 a hot lot is joined by ``buckets`` tasks; every other lot keeps salt 0 and costs nothing extra.
 
 The hot list has at most ``rows / min_rows`` entries (each has more than ``min_rows`` rows), which
-is the size bound that makes broadcasting it safe.
+is the size bound that makes broadcasting it safe. Whether it is empty is checked once on the
+driver; without hot lots the plain join is planned.
 """
 
 from __future__ import annotations
@@ -41,7 +42,9 @@ def attach_per_lot(rows: DataFrame, per_lot: DataFrame, by: Sequence[str],
                    hot: DataFrame | None, buckets: int = SALT_BUCKETS) -> DataFrame:
     """Inner join of ``rows`` with ``per_lot`` (one row per (by, LOT_ID)), hot lots salted."""
     keys = [*by, "LOT_ID"]
-    if hot is None:
+    # A small job on a bounded aggregate (persisted by the plans): runs without hot lots, the
+    # usual case, get the plain sort-merge join and none of the salting work.
+    if hot is None or hot.isEmpty():
         return rows.join(per_lot, keys)
     flag = F.broadcast(hot.withColumn(_HOT, F.lit(True)))  # bounded: rows / min_rows entries
     salted = rows.join(flag, keys, "left").withColumn(

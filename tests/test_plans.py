@@ -65,5 +65,7 @@ def test_no_python_and_bounded_broadcasts(plans, name):
 
 def test_variance_shuffle_count(plans):
     physical = plans["variance"].split("\n\n")[0]
-    # 5 branch aggregates, joins on (lot, job), the distinct on all columns, the salted lot join.
-    assert physical.count("Exchange") <= 14
+    # 5 branch aggregates, 4 join re-partitions, the distinct on all columns, the lot join
+    # (no hot lot in this run, so no salting stages).
+    assert physical.count("Exchange") <= 12
+    assert "BroadcastExchange" not in physical
