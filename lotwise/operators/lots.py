@@ -30,7 +30,9 @@ from ..params import (
     VARIANCE_REASONS,
 )
 from ..schemas import TOTALLOT_COLUMNS, VARIANCE_COLUMNS
-from .skew import attach_per_lot, hot_lots
+from .skew import attach_per_lot, hot_lots, resolve_hot
+
+AUTO = "auto"  # compute the run's hot-lot list
 
 Keys = Sequence[str]
 
@@ -183,9 +185,9 @@ def variance_rows(pivot: DataFrame, events: DataFrame, steps_with_job: DataFrame
     """C1 in the daily layout (18 columns, ``ww`` derived from the quantity row's time).
 
     Equivalent to the reference's (pivot x events) x (quantity x tester steps) on
-    (lot, step job) followed by DISTINCT: the pivot is unique per lot, so the rows are made
-    distinct first (a shuffle on all their columns, which spreads a hot lot) and the lot's
-    attributes are attached last, which keeps them distinct.
+    (lot, step job) followed by DISTINCT: the pivot is unique per lot, so the lot's attributes
+    are attached last and the DISTINCT placed where ``skew.attach_per_lot`` finds it cheapest
+    and safe (after the join without hot lots, before it with them).
     """
     e, st = events.alias("e"), steps_with_job.alias("st")
     rows = e.join(st, _on(e, st, by, [("LOT_ID", "LOT_ID"), ("step_job_oid", "step_job_oid")]))
@@ -193,8 +195,8 @@ def variance_rows(pivot: DataFrame, events: DataFrame, steps_with_job: DataFrame
         *[F.col(f"e.{c}") for c in by], F.col("e.LOT_ID"), F.col("e.STEP_ID"),
         F.col("st.TESTER_ID"), F.col("st.LOT_QTY"), F.col("e.reason"), F.col("e.action"),
         F.col("e.quantity"), F.col("st.date_time_local"), F.col("st.partition_date"),
-    ).distinct()
-    out = attach_per_lot(rows, _attributes(pivot, by, VARIANCE_COLUMNS), by, hot)
+    )
+    out = attach_per_lot(rows, _attributes(pivot, by, VARIANCE_COLUMNS), by, hot, distinct=True)
     return _layout(out, by, VARIANCE_COLUMNS)
 
 
@@ -208,22 +210,22 @@ def totallot_rows(pivot: DataFrame, steps_no_job: DataFrame, by: Keys = (),
 
 
 def variance_dataset(scoped: DataFrame, by: Keys = (), steps: DataFrame | None = None,
-                     pivot: DataFrame | None = None, hot: DataFrame | None = None,
+                     pivot: DataFrame | None = None, hot: DataFrame | None | str = AUTO,
                      quantity: DataFrame | None = None) -> DataFrame:
     pivot = attribute_pivot(scoped, by) if pivot is None else pivot
     steps = resolve_tester_step(scoped, by) if steps is None else steps
-    hot = hot_lots(scoped, by) if hot is None else hot
+    hot = resolve_hot(hot_lots(scoped, by)) if hot is AUTO else hot
     quantity = lot_quantity(scoped, by) if quantity is None else quantity
     with_job = lot_step(quantity, steps, by, keep_step_job=True)
     return variance_rows(pivot, variance_events(scoped, by), with_job, by, hot)
 
 
 def totallot_dataset(scoped: DataFrame, by: Keys = (), steps: DataFrame | None = None,
-                     pivot: DataFrame | None = None, hot: DataFrame | None = None,
+                     pivot: DataFrame | None = None, hot: DataFrame | None | str = AUTO,
                      quantity: DataFrame | None = None) -> DataFrame:
     pivot = attribute_pivot(scoped, by) if pivot is None else pivot
     steps = resolve_tester_step(scoped, by) if steps is None else steps
-    hot = hot_lots(scoped, by) if hot is None else hot
+    hot = resolve_hot(hot_lots(scoped, by)) if hot is AUTO else hot
     quantity = lot_quantity(scoped, by) if quantity is None else quantity
     no_job = lot_step(quantity, steps, by, keep_step_job=False)
     return totallot_rows(pivot, no_job, by, hot)

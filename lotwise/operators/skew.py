@@ -8,8 +8,8 @@ salt in ``[0, buckets)`` and the single per-lot row of a hot lot is repeated ``b
 a hot lot is joined by ``buckets`` tasks; every other lot keeps salt 0 and costs nothing extra.
 
 The hot list has at most ``rows / min_rows`` entries (each has more than ``min_rows`` rows), which
-is the size bound that makes broadcasting it safe. Whether it is empty is checked once on the
-driver; without hot lots the plain join is planned.
+is the size bound that makes broadcasting it safe. Whether it is empty is checked once per run on
+the driver (``resolve_hot``); without hot lots the plain join is planned.
 """
 
 from __future__ import annotations
@@ -38,14 +38,30 @@ def hot_lots(scoped: DataFrame, by: Sequence[str] = (), min_rows: int = HOT_LOT_
     )
 
 
+def resolve_hot(hot: DataFrame) -> DataFrame | None:
+    """``hot`` itself, or None when the run has no hot lot (one small job on a bounded
+    aggregate; persist ``hot`` first when it is shared)."""
+    return None if hot.isEmpty() else hot
+
+
 def attach_per_lot(rows: DataFrame, per_lot: DataFrame, by: Sequence[str],
-                   hot: DataFrame | None, buckets: int = SALT_BUCKETS) -> DataFrame:
-    """Inner join of ``rows`` with ``per_lot`` (one row per (by, LOT_ID)), hot lots salted."""
+                   hot: DataFrame | None, buckets: int = SALT_BUCKETS,
+                   distinct: bool = False) -> DataFrame:
+    """Inner join of ``rows`` with ``per_lot`` (one row per (by, LOT_ID)), hot lots salted.
+
+    ``distinct`` asks for distinct result rows. Without hot lots every lot is bounded, so the
+    DISTINCT runs after the join and reuses its lot partitioning (no extra shuffle); with hot
+    lots it runs before the join, as a shuffle on all columns that spreads the hot lots. Both
+    give the same rows because ``per_lot`` is unique per key.
+    """
     keys = [*by, "LOT_ID"]
-    # A small job on a bounded aggregate (persisted by the plans): runs without hot lots, the
-    # usual case, get the plain sort-merge join and none of the salting work.
-    if hot is None or hot.isEmpty():
-        return rows.join(per_lot, keys)
+    # Runs without hot lots (``hot`` is None after ``resolve_hot``), the usual case, get the
+    # plain sort-merge join and none of the salting work.
+    if hot is None:
+        out = rows.join(per_lot, keys)
+        return out.distinct() if distinct else out
+    if distinct:
+        rows = rows.distinct()
     flag = F.broadcast(hot.withColumn(_HOT, F.lit(True)))  # bounded: rows / min_rows entries
     salted = rows.join(flag, keys, "left").withColumn(
         _SALT,

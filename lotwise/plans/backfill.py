@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..operators import archive as A
 from ..operators import lots as L
 from ..operators.scope import scope_predicate, window_predicate
-from ..operators.skew import HOT_LOT_ROWS
+from ..operators.skew import HOT_LOT_ROWS, resolve_hot
 from ..params import ATTRIBUTE_COLUMNS, RunWindow, Scope
 from ..session import checkpoint_root
 from ..sinks.text import write_dated
@@ -99,7 +99,7 @@ def backfill_daily(log: DataFrame, first_run: str, last_run: str,
     scoped = fan_out(days, first_run, last_run, template)
     pivot = window_pivot(days, first_run, last_run, template)
     steps = L.resolve_tester_step(scoped, RUN_KEY)
-    hot = window_hot_lots(days, first_run, last_run, template)
+    hot = resolve_hot(window_hot_lots(days, first_run, last_run, template))
     qty = window_quantity(days, first_run, last_run, template)
     shared = dict(steps=steps, pivot=pivot, hot=hot, quantity=qty)
     return (
@@ -121,7 +121,7 @@ def backfill_archive(log: DataFrame, records: DataFrame, first_run: str, last_ru
         .withColumnRenamed("record_date", "run_date")
     testers = A.tte_testers(recs, RUN_KEY)
     pivot = window_pivot(days, first_run, last_run, template)
-    hot = window_hot_lots(days, first_run, last_run, template)
+    hot = resolve_hot(window_hot_lots(days, first_run, last_run, template))
     return (
         A.archive_variance(scoped, testers, RUN_KEY, pivot=pivot, hot=hot),
         A.archive_totallot(scoped, testers, RUN_KEY, pivot=pivot, hot=hot),
@@ -158,7 +158,7 @@ def run_backfill(log: DataFrame, first_run: str, last_run: str, variance_root: s
         scoped = fan_out(days, lo, hi, template)
         pivot = window_pivot(days, lo, hi, template).checkpoint(eager=True)
         steps = L.resolve_tester_step(scoped, RUN_KEY).checkpoint(eager=True)
-        hot = window_hot_lots(days, lo, hi, template).checkpoint(eager=True)
+        hot = resolve_hot(window_hot_lots(days, lo, hi, template).checkpoint(eager=True))
         qty = window_quantity(days, lo, hi, template)
         shared = dict(steps=steps, pivot=pivot, hot=hot, quantity=qty)
         write_dated(L.variance_dataset(scoped, RUN_KEY, **shared), variance_root)

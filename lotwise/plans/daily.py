@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 
 from ..operators import lots as L
 from ..operators.scope import scoped_window
-from ..operators.skew import hot_lots
+from ..operators.skew import hot_lots, resolve_hot
 from ..params import RunWindow, Scope
 from ..sinks.text import write_dated
 
@@ -53,6 +53,7 @@ def daily_datasets(log: DataFrame, window: RunWindow, scope: Scope = Scope(),
         steps = steps.persist(StorageLevel.MEMORY_AND_DISK)
         hot = hot.persist(StorageLevel.MEMORY_AND_DISK)
         cached = (pivot, steps, hot)
+    hot = resolve_hot(hot)
     return DailyDatasets(
         variance=L.variance_dataset(scoped, steps=steps, pivot=pivot, hot=hot),
         totallot=L.totallot_dataset(scoped, steps=steps, pivot=pivot, hot=hot),
