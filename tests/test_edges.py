@@ -203,3 +203,23 @@ def test_window_hot_lots_equals_direct_count(log01):
     rolled = window_hot_lots(days, first, last, tpl, min_rows=12)
     assert direct.count() > 0
     assert direct.exceptAll(rolled).count() == 0 == rolled.exceptAll(direct).count()
+
+
+def test_archive_backfill_equals_separate_runs(spark, log01):
+    """C10 for the archive job: 16-day windows, test records of each run date."""
+    from conftest import SF01
+    from lotwise.plans.archive import archive_datasets
+    from lotwise.plans.backfill import backfill_archive
+    from lotwise.sources.fixtures import tte_records
+
+    records = tte_records(spark, SF01).cache()
+    first, last = "2024-02-03", "2024-02-04"
+    v, t = backfill_archive(log01, records, first, last)
+    for run in (first, last):
+        recs = records.where(F.col("record_date") == run).drop("record_date")
+        av, at = archive_datasets(log01, recs, RunWindow.archive(run))
+        one_v = v.where(F.col("run_date") == run).drop("run_date")
+        one_t = t.where(F.col("run_date") == run).drop("run_date")
+        assert av.count() > 0 and at.count() > 0
+        assert one_v.exceptAll(av).count() == 0 == av.exceptAll(one_v).count()
+        assert one_t.exceptAll(at).count() == 0 == at.exceptAll(one_t).count()
