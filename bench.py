@@ -19,7 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from lotwise.params import RunWindow  # noqa: E402
 from lotwise.plans.archive import archive_datasets  # noqa: E402
 from lotwise.plans.backfill import run_backfill  # noqa: E402
-from lotwise.plans.daily import daily_datasets, run_daily_job  # noqa: E402
+from lotwise.plans.daily import daily_datasets, run_daily_job_at  # noqa: E402
 from lotwise.plans.weekly import run_weekly_job  # noqa: E402
 from lotwise.session import local_session, scratch_path  # noqa: E402
 from lotwise.sources.eventlog import read_event_log, write_event_log  # noqa: E402
@@ -69,7 +69,8 @@ def main() -> None:
     # One daily run (2 partition days), both datasets from one cached scan, stored (K2).
     out = {k: scratch_path(spark, k) for k in ("variance", "totallot", "reports", "bf")}
     window = RunWindow.daily(RUN_DATE)
-    timed("daily_job", lambda: run_daily_job(log, window, out["variance"], out["totallot"]))
+    timed("daily_job", lambda: run_daily_job_at(
+        spark, log_path, window, out["variance"], out["totallot"]))
 
     def uncached():
         ds = daily_datasets(log, window, cache=False)

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import archive as A
@@ -21,6 +21,7 @@ from ..operators.skew import HOT_LOT_ROWS, resolve_hot
 from ..params import ATTRIBUTE_COLUMNS, RunWindow, Scope
 from ..session import checkpoint_root
 from ..sinks.text import write_dated
+from ..sources.eventlog import read_event_log
 from .daily import WORK_COLUMNS
 
 RUN_KEY = ("run_date",)
@@ -139,27 +140,43 @@ def _chunks(first_run: str, last_run: str, chunk_days: int | None):
         start = stop + dt.timedelta(days=1)
 
 
+def _store_chunk(log: DataFrame, lo: str, hi: str, variance_root: str, totallot_root: str,
+                 scope: Scope) -> None:
+    template = RunWindow.daily(lo)
+    days = _days(log, lo, hi, template, scope)
+    scoped = fan_out(days, lo, hi, template)
+    pivot = window_pivot(days, lo, hi, template).checkpoint(eager=True)
+    steps = L.resolve_tester_step(scoped, RUN_KEY).checkpoint(eager=True)
+    hot = resolve_hot(window_hot_lots(days, lo, hi, template).checkpoint(eager=True))
+    qty = window_quantity(days, lo, hi, template)
+    shared = dict(steps=steps, pivot=pivot, hot=hot, quantity=qty)
+    write_dated(L.variance_dataset(scoped, RUN_KEY, **shared), variance_root)
+    write_dated(L.totallot_dataset(scoped, RUN_KEY, **shared), totallot_root)
+
+
 def run_backfill(log: DataFrame, first_run: str, last_run: str, variance_root: str,
                  totallot_root: str, chunk_days: int | None = 31, scope: Scope = Scope()) -> None:
     """Store both daily datasets for every run date in the range (K2 per run date).
 
     The range is cut into chunks of ``chunk_days`` run dates, each one Spark job with bounded
-    shuffle size. Within a chunk, the attribute pivot and the tester-step resolution feed both
-    datasets; they are checkpointed (reliably, into the cluster's ``spark.checkpoint.dir``) so the
-    second write neither recomputes them nor depends on executors that may be gone. Stored run
-    dates are durable: a failed backfill resumes from the first missing chunk, and rerunning a
-    chunk replaces only its run dates.
+    shuffle size. Within a chunk, the attribute pivot, the tester-step resolution and the
+    hot-lot list feed both datasets; they are checkpointed (reliably, into the cluster's
+    ``spark.checkpoint.dir``) so the second write neither recomputes them nor depends on
+    executors that may be gone. Stored run dates are durable: a failed backfill resumes from the
+    first missing chunk, and rerunning a chunk replaces only its run dates.
     """
-    spark = log.sparkSession
+    checkpoint_root(log.sparkSession)
+    for lo, hi in _chunks(first_run, last_run, chunk_days):
+        _store_chunk(log, lo, hi, variance_root, totallot_root, scope)
+
+
+def run_backfill_at(spark: SparkSession, log_path: str, first_run: str, last_run: str,
+                    variance_root: str, totallot_root: str, chunk_days: int | None = 31,
+                    scope: Scope = Scope()) -> None:
+    """``run_backfill`` over a stored log; each chunk lists and reads only its own days."""
     checkpoint_root(spark)
     for lo, hi in _chunks(first_run, last_run, chunk_days):
-        template = RunWindow.daily(lo)
-        days = _days(log, lo, hi, template, scope)
-        scoped = fan_out(days, lo, hi, template)
-        pivot = window_pivot(days, lo, hi, template).checkpoint(eager=True)
-        steps = L.resolve_tester_step(scoped, RUN_KEY).checkpoint(eager=True)
-        hot = resolve_hot(window_hot_lots(days, lo, hi, template).checkpoint(eager=True))
-        qty = window_quantity(days, lo, hi, template)
-        shared = dict(steps=steps, pivot=pivot, hot=hot, quantity=qty)
-        write_dated(L.variance_dataset(scoped, RUN_KEY, **shared), variance_root)
-        write_dated(L.totallot_dataset(scoped, RUN_KEY, **shared), totallot_root)
+        tpl = RunWindow.daily(lo)
+        days = RunWindow.span(_shift(lo, tpl.lower_offset), _shift(hi, tpl.upper_offset)).days()
+        _store_chunk(read_event_log(spark, log_path, days), lo, hi, variance_root,
+                     totallot_root, scope)

@@ -21,6 +21,7 @@ from ..operators.scope import scoped_window
 from ..operators.skew import hot_lots, resolve_hot
 from ..params import RunWindow, Scope
 from ..sinks.text import write_dated
+from ..sources.eventlog import read_event_log
 
 # Columns any daily operator reads; everything else is pruned at the scan.
 WORK_COLUMNS = (
@@ -70,3 +71,10 @@ def run_daily_job(log: DataFrame, window: RunWindow, variance_root: str, totallo
         write_dated(ds.totallot, totallot_root, window.run_date)
     finally:
         ds.release()
+
+
+def run_daily_job_at(spark, log_path: str, window: RunWindow, variance_root: str,
+                     totallot_root: str, scope: Scope = Scope()) -> None:
+    """The daily job over a stored log, listing only the window's partition folders."""
+    log = read_event_log(spark, log_path, window.days())
+    run_daily_job(log, window, variance_root, totallot_root, scope)

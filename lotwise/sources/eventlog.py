@@ -11,8 +11,28 @@ from pyspark.sql import DataFrame, SparkSession
 from ..schemas import EVENT_LOG
 
 
-def read_event_log(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(EVENT_LOG).parquet(path)
+def read_event_log(spark: SparkSession, path: str, days: list[str] | None = None) -> DataFrame:
+    """The log at ``path``; with ``days``, only those partition folders are listed and read.
+
+    Path-based reads list every partition folder before pruning; for a run that needs 2 (or 16)
+    days of a multi-year log, naming the folders keeps listing proportional to the window.
+    ``basePath`` keeps ``partition_date`` as a column. Days without a folder are skipped.
+    """
+    reader = spark.read.schema(EVENT_LOG)
+    if days is None:
+        return reader.parquet(path)
+    root = path.rstrip("/")
+    folders = [f"{root}/partition_date={d}" for d in days]
+    present = [f for f in folders if _exists(spark, f)]
+    if not present:
+        return spark.createDataFrame([], EVENT_LOG)
+    return reader.option("basePath", root).parquet(*present)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
 def write_event_log(log: DataFrame, path: str, mode: str = "overwrite") -> None:

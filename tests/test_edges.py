@@ -223,3 +223,24 @@ def test_archive_backfill_equals_separate_runs(spark, log01):
         assert av.count() > 0 and at.count() > 0
         assert one_v.exceptAll(av).count() == 0 == av.exceptAll(one_v).count()
         assert one_t.exceptAll(at).count() == 0 == at.exceptAll(one_t).count()
+
+
+def test_backfill_from_stored_log_reads_only_chunk_days(spark, tmp_dir):
+    """run_backfill_at: same rows as the in-memory backfill, each chunk reading its own days."""
+    import os
+
+    from conftest import SF001
+    from lotwise.plans.backfill import backfill_daily, run_backfill_at
+    from lotwise.schemas import VARIANCE
+    from lotwise.sources.delimited import read_dated_store
+    from lotwise.sources.eventlog import write_event_log
+    from lotwise.sources.fixtures import event_log
+
+    path = os.path.join(tmp_dir, "mam_tx")
+    log = event_log(spark, SF001)
+    write_event_log(log, path)
+    vr, tr = os.path.join(tmp_dir, "v"), os.path.join(tmp_dir, "t")
+    run_backfill_at(spark, path, "2024-02-01", "2024-02-06", vr, tr, chunk_days=2)
+    v, _ = backfill_daily(log, "2024-02-01", "2024-02-06")
+    got = read_dated_store(spark, vr, VARIANCE).select(*v.columns)
+    assert got.exceptAll(v).count() == 0 == v.exceptAll(got).count()

@@ -92,3 +92,22 @@ def test_test_records_by_dated_glob(spark, tmp_dir):
     assert got.schema == TTE
     both = read_test_records(spark, os.path.join(tmp_dir, "tte"), ["2024-02-03", "2024-02-04"])
     assert both.count() == 3
+
+
+def test_event_log_day_folders(spark, tmp_dir):
+    """A day-scoped read lists only the named folders and keeps partition_date a string."""
+    from lotwise.sources.eventlog import read_event_log, write_event_log
+    from lotwise.sources.fixtures import event_log
+    from conftest import SF001
+
+    path = os.path.join(tmp_dir, "mam_tx")
+    write_event_log(event_log(spark, SF001), path)
+    full = read_event_log(spark, path)
+    days = ["2024-02-03", "2024-02-04", "1999-01-01"]  # the last has no folder
+    part = read_event_log(spark, path, days)
+    assert dict(part.dtypes)["partition_date"] == "string"
+    assert part.inputFiles() and all("2024-02-0" in f for f in part.inputFiles())
+    want = full.where(F.col("partition_date").isin(*days))
+    assert part.count() == want.count() > 0
+    assert part.exceptAll(want).count() == 0 == want.exceptAll(part).count()
+    assert read_event_log(spark, path, ["1999-01-01"]).count() == 0
