@@ -19,7 +19,7 @@ from ..operators import lots as L
 from ..operators.scope import scope_predicate, window_predicate
 from ..operators.skew import HOT_LOT_ROWS, resolve_hot
 from ..params import ATTRIBUTE_COLUMNS, RunWindow, Scope
-from ..session import checkpoint_root
+from ..session import checkpoint_root, materialize
 from ..sinks.text import write_dated
 from ..sources.eventlog import read_event_log
 from .daily import WORK_COLUMNS
@@ -145,9 +145,9 @@ def _store_chunk(log: DataFrame, lo: str, hi: str, variance_root: str, totallot_
     template = RunWindow.daily(lo)
     days = _days(log, lo, hi, template, scope)
     scoped = fan_out(days, lo, hi, template)
-    pivot = window_pivot(days, lo, hi, template).checkpoint(eager=True)
-    steps = L.resolve_tester_step(scoped, RUN_KEY).checkpoint(eager=True)
-    hot = resolve_hot(window_hot_lots(days, lo, hi, template).checkpoint(eager=True))
+    pivot = materialize(window_pivot(days, lo, hi, template), "pivot")
+    steps = materialize(L.resolve_tester_step(scoped, RUN_KEY), "steps")
+    hot = resolve_hot(materialize(window_hot_lots(days, lo, hi, template), "hot"))
     qty = window_quantity(days, lo, hi, template)
     shared = dict(steps=steps, pivot=pivot, hot=hot, quantity=qty)
     write_dated(L.variance_dataset(scoped, RUN_KEY, **shared), variance_root)
@@ -160,9 +160,9 @@ def run_backfill(log: DataFrame, first_run: str, last_run: str, variance_root: s
 
     The range is cut into chunks of ``chunk_days`` run dates, each one Spark job with bounded
     shuffle size. Within a chunk, the attribute pivot, the tester-step resolution and the
-    hot-lot list feed both datasets; they are checkpointed (reliably, into the cluster's
-    ``spark.checkpoint.dir``) so the second write neither recomputes them nor depends on
-    executors that may be gone. Stored run dates are durable: a failed backfill resumes from the
+    hot-lot list feed both datasets; they are written once as tables in the cluster's
+    ``spark.checkpoint.dir`` (``session.materialize``) so the second write neither recomputes
+    them nor depends on executors that may be gone. Stored run dates are durable: a failed backfill resumes from the
     first missing chunk, and rerunning a chunk replaces only its run dates.
     """
     checkpoint_root(log.sparkSession)

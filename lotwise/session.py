@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL options applied by every job entry point.
 JOB_CONF = {
@@ -71,3 +71,13 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the checkpoint root, e.g. for write/read round trips."""
     return f"{checkpoint_root(spark).rstrip('/')}/lotwise-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Cut lineage with a written table: ``df`` is computed once, stored as Parquet in the
+    shared checkpoint folder and read back. Unlike an eager ``checkpoint()`` of an unpersisted
+    frame (computed once to count and again to save), this runs the plan once, and the result
+    survives the loss of the executors that built it."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
