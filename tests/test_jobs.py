@@ -86,3 +86,30 @@ def test_backfill_then_weekly_reports(spark, stored):
     assert same(got_v, weekly_report(v, "variance", labels))
     assert same(got_t, weekly_report(t, "totallot", labels))
     assert os.listdir(f"{root}/reports/report_variance") == [report_name("variance", labels)]
+
+
+def test_command_line(spark, stored):
+    """The jobs as subcommands of one application (``python -m lotwise``)."""
+    from lotwise.__main__ import main
+
+    root, log, _ = stored
+    out = f"{root}/cli"
+    main(["daily", "--log", f"{root}/mam_tx", "--run-date", RUN,
+          "--variance-root", f"{out}/v", "--totallot-root", f"{out}/t"], spark)
+    main(["backfill", "--log", f"{root}/mam_tx", "--first", "2024-02-04", "--last", "2024-02-05",
+          "--variance-root", f"{out}/v", "--totallot-root", f"{out}/t"], spark)
+    main(["weekly", "--variance-root", f"{out}/v", "--totallot-root", f"{out}/t",
+          "--report-root", f"{out}/r", "--as-of", "2024-02-07T12:00:00"], spark)
+    main(["extract", "--root", f"{out}/v", "--dataset", "variance", "--run-date", RUN,
+          "--out", f"{out}/x"], spark)
+    main(["tables", "--variance-root", f"{out}/v", "--totallot-root", f"{out}/t",
+          "--report-root", f"{out}/r"], spark)
+    ds = daily_datasets(log, RunWindow.daily(RUN), cache=False)
+    assert same(spark.table("auto_variance").where(F.col("run_date") == RUN).drop("run_date"),
+                ds.variance)
+    assert spark.table("auto_totallot").select("run_date").distinct().count() == 3
+    assert spark.table("report_variance").count() > 0
+    assert same(read_delimited(spark, f"{out}/x", VARIANCE, sep=","), ds.variance)
+    main(["tables", "--variance-root", "-", "--totallot-root", "-", "--report-root", "-",
+          "--drop"], spark)
+    assert not spark.catalog.tableExists("auto_variance")
