@@ -1,5 +1,6 @@
-"""Command line: the jobs as one Spark application (``spark-submit -m lotwise`` or
-``python -m lotwise``), in place of the reference's scheduled scripts.
+"""Command line: the jobs as one Spark application (``python -m lotwise``, or
+``spark-submit --py-files lotwise.zip run_lotwise.py``), in place of the reference's scheduled
+scripts.
 
 Dates default to the reference's offsets from today; ``--run-date`` / ``--as-of`` replay any day.
 
