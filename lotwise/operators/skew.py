@@ -6,6 +6,8 @@ joined in one task. Instead the lots are counted once over the run's pruned rows
 id is read, partial aggregation first); lots above ``min_rows`` are "hot". Rows of hot lots get a
 salt in ``[0, buckets)`` and the single per-lot row of a hot lot is repeated ``buckets`` times, so
 a hot lot is joined by ``buckets`` tasks; every other lot keeps salt 0 and costs nothing extra.
+The salt is a hash of the row, not a random number, so a retried task sends every row to the
+same bucket and results stay exact when executors are lost.
 
 The hot list has at most ``rows / min_rows`` entries (each has more than ``min_rows`` rows), which
 is the size bound that makes broadcasting it safe. Whether it is empty is checked once per run on

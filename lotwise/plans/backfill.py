@@ -19,7 +19,7 @@ from ..operators import lots as L
 from ..operators.scope import scope_predicate, window_predicate
 from ..operators.skew import HOT_LOT_ROWS, resolve_hot
 from ..params import ATTRIBUTE_COLUMNS, RunWindow, Scope
-from ..session import checkpoint_root, materialize
+from ..session import checkpoint_root, materialize, remove_path, scratch_path
 from ..sinks.text import write_dated
 from ..sources.eventlog import read_event_log
 from .daily import WORK_COLUMNS
@@ -145,13 +145,16 @@ def _store_chunk(log: DataFrame, lo: str, hi: str, variance_root: str, totallot_
     template = RunWindow.daily(lo)
     days = _days(log, lo, hi, template, scope)
     scoped = fan_out(days, lo, hi, template)
-    pivot = materialize(window_pivot(days, lo, hi, template), "pivot")
-    steps = materialize(L.resolve_tester_step(scoped, RUN_KEY), "steps")
-    hot = resolve_hot(materialize(window_hot_lots(days, lo, hi, template), "hot"))
+    spark = log.sparkSession
+    tables = scratch_path(spark, f"backfill-{lo}")
+    pivot = materialize(window_pivot(days, lo, hi, template), "pivot", tables)
+    steps = materialize(L.resolve_tester_step(scoped, RUN_KEY), "steps", tables)
+    hot = resolve_hot(materialize(window_hot_lots(days, lo, hi, template), "hot", tables))
     qty = window_quantity(days, lo, hi, template)
     shared = dict(steps=steps, pivot=pivot, hot=hot, quantity=qty)
     write_dated(L.variance_dataset(scoped, RUN_KEY, **shared), variance_root)
     write_dated(L.totallot_dataset(scoped, RUN_KEY, **shared), totallot_root)
+    remove_path(spark, tables)  # the chunk's run dates are stored; its shared tables are done
 
 
 def run_backfill(log: DataFrame, first_run: str, last_run: str, variance_root: str,

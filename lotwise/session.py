@@ -73,11 +73,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/lotwise-{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, root: str | None = None) -> DataFrame:
     """Cut lineage with a written table: ``df`` is computed once, stored as Parquet in the
-    shared checkpoint folder and read back. Unlike an eager ``checkpoint()`` of an unpersisted
-    frame (computed once to count and again to save), this runs the plan once, and the result
-    survives the loss of the executors that built it."""
-    path = scratch_path(df.sparkSession, name)
+    shared checkpoint folder (or under ``root``) and read back; the result survives the loss of
+    the executors that built it."""
+    path = f"{root.rstrip('/')}/{name}" if root else scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder (driver-side file-system call)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
