@@ -174,6 +174,21 @@ def q_weekly_variance(spark, sf_dir):
     return weekly_report(q_variance_daily(spark, sf_dir), "variance", week_labels(AS_OF))
 
 
+def q_weekly_totallot_history(spark, sf_dir):
+    """C7 over the history as production stores it: the rows of every daily run (overlapping
+    windows, per-run pivots), de-duplicated across runs by the report."""
+    configure(spark)
+    history = backfill_daily(event_log(spark, sf_dir), FIRST_RUN, LAST_RUN)[1]
+    return weekly_report(history, "totallot", week_labels(AS_OF))
+
+
+def q_weekly_variance_history(spark, sf_dir):
+    """C8 over the history of every daily run."""
+    configure(spark)
+    history = backfill_daily(event_log(spark, sf_dir), FIRST_RUN, LAST_RUN)[0]
+    return weekly_report(history, "variance", week_labels(AS_OF))
+
+
 # ---- sinks and sources, as write-then-read round trips in the shared scratch folder --------
 
 
@@ -251,6 +266,8 @@ QUERIES: dict[str, Query] = {
     "archive_totallot": q_archive_totallot,
     "weekly_totallot": q_weekly_totallot,
     "weekly_variance": q_weekly_variance,
+    "weekly_totallot_history": q_weekly_totallot_history,
+    "weekly_variance_history": q_weekly_variance_history,
     "delimited_roundtrip": q_delimited_roundtrip,
     "dated_store_roundtrip": q_dated_store_roundtrip,
     "report_roundtrip": q_report_roundtrip,
@@ -302,6 +319,8 @@ FROM t, range(0, 52) r(i)"""),
     sql["dated_store_roundtrip"] = stamped
     sql["catalog_tables"] = stamped
     runs = (FIRST_RUN, LAST_RUN, RunWindow.daily(FIRST_RUN))
+    sql["weekly_totallot_history"] = O.weekly_sql(None, "totallot", AS_OF, runs=runs)
+    sql["weekly_variance_history"] = O.weekly_sql(None, "variance", AS_OF, runs=runs)
     sql["backfill_variance"] = O.variance_sql(runs=runs)
     sql["backfill_totallot"] = O.totallot_sql(runs=runs)
     return sql
