@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .decontaminate import find_contamination
 from .substring_dedup import remove_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,8 +24,17 @@ def op7_substring_dedup(spark, sf_dir):
                       F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op10_decontamination(spark, sf_dir):
+    out = find_contamination(_read(spark, sf_dir, "documents").select("doc_id", "text"),
+                             _read(spark, sf_dir, "benchmark"))
+    names = F.array_sort(F.transform("items", lambda i: i.cast("string")))
+    return out.select("row.doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+                      F.sha2(F.concat_ws(",", names), 256).alias("items_sha256"), "contaminated")
+
+
 QUERIES: dict[str, Query] = {
     "op7_substring_dedup": op7_substring_dedup,
+    "op10_decontamination": op10_decontamination,
 }
 
 ORACLES: dict[str, str] = {}
