@@ -8,22 +8,49 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import mixing
 from .decontaminate import find_contamination
 from .substring_dedup import remove_repeats
+from .token_files import read_documents, token_folder, write_token_files
+from .url_filter import filter_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+END_ID = 2  # of a document, in token files
+
+
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op5_mixing(spark, sf_dir):
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    weighed = mixing.quality_weights(docs, _read(spark, sf_dir, "labels"))
+    return mixing.mix(weighed, "mix_weight").select("doc_id", "size", "source_size", "target", "taken")
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op6_token_files(spark, sf_dir):
+    files = write_token_files(_read(spark, sf_dir, "documents"), token_folder(spark), tokenizer_path(), END_ID)
+    return read_documents(files)
+
+
 def op7_substring_dedup(spark, sf_dir):
     out = remove_repeats(_read(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed",
                       F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op9_url_filter(spark, sf_dir):
+    return filter_urls(_read(spark, sf_dir, "pages"))
+
+
 def op10_decontamination(spark, sf_dir):
     out = find_contamination(_read(spark, sf_dir, "documents").select("doc_id", "text"),
                              _read(spark, sf_dir, "benchmark"))
@@ -33,8 +60,11 @@ def op10_decontamination(spark, sf_dir):
 
 
 QUERIES: dict[str, Query] = {
+    "op5_mixing": op5_mixing,
+    "op6_token_files": op6_token_files,
     "op7_substring_dedup": op7_substring_dedup,
+    "op9_url_filter": op9_url_filter,
     "op10_decontamination": op10_decontamination,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op5_mixing": mixing.ORACLE_SQL}
