@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from . import mixing
 from .decontaminate import find_contamination
+from .quality import score_quality
 from .substring_dedup import remove_repeats
 from .token_files import read_documents, token_folder, write_token_files
+from .toxicity import score_toxicity
 from .url_filter import filter_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +26,14 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_toxicity(spark, sf_dir):
+    return score_toxicity(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
+def op2_quality(spark, sf_dir):
+    return score_quality(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def op5_mixing(spark, sf_dir):
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text", "source")
     weighed = mixing.quality_weights(docs, _read(spark, sf_dir, "labels"))
@@ -60,6 +70,8 @@ def op10_decontamination(spark, sf_dir):
 
 
 QUERIES: dict[str, Query] = {
+    "op1_toxicity": op1_toxicity,
+    "op2_quality": op2_quality,
     "op5_mixing": op5_mixing,
     "op6_token_files": op6_token_files,
     "op7_substring_dedup": op7_substring_dedup,
