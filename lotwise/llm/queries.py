@@ -12,6 +12,7 @@ from . import mixing
 from .chat_format import digest, format_turns
 from .decontaminate import find_contamination
 from .fingerprints import with_edits
+from .jaccard_join import join_similar
 from .quality import score_quality
 from .substring_dedup import remove_repeats
 from .token_files import read_documents, token_folder, write_token_files
@@ -44,6 +45,10 @@ def op3_chat_format(spark, sf_dir):
     return digest(format_turns(turns.unionByName(more)))
 
 
+def op4_jaccard_join(spark, sf_dir):
+    return join_similar(_read(spark, sf_dir, "documents"))
+
+
 def op5_mixing(spark, sf_dir):
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text", "source")
     weighed = mixing.quality_weights(docs, _read(spark, sf_dir, "labels"))
@@ -87,6 +92,7 @@ QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_quality": op2_quality,
     "op3_chat_format": op3_chat_format,
+    "op4_jaccard_join": op4_jaccard_join,
     "op5_mixing": op5_mixing,
     "op6_token_files": op6_token_files,
     "op7_substring_dedup": op7_substring_dedup,
