@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 from .components import components
+from .rows import as_rows
 from .words import GOLDEN, Slice, grams, mix64, sequence_hashes, split, text_slices
 
 SHINGLE = 3  # words
@@ -42,7 +43,9 @@ MATCHES = 4  # greatest l
 FREQUENT = 65_536  # shingles whose counts order them
 OFTEN = 3  # documents of one slice that make a shingle frequent
 
-SETS = "doc_id bigint, node bigint, n_shingles bigint, prefix array<bigint>"
+WORD = r"[^\x20\x09-\x0D]"
+
+SETS = "doc_id bigint, text_hash bigint, node bigint, n_shingles bigint, prefix array<bigint>"
 
 
 def shingle_sets(s: Slice, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -106,9 +109,9 @@ def _prefix_sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
                 keep = inside < length[rows]
                 offsets = np.concatenate(([0], np.cumsum(length))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(s.lo, s.rows), pa.array(node), pa.array(n.astype(np.int64)),
+                    [batch.column(0).slice(s.lo, s.rows), batch.column(2).slice(s.lo, s.rows), pa.array(node), pa.array(n.astype(np.int64)),
                      pa.ListArray.from_arrays(pa.array(offsets), pa.array(hashes[keep].view(np.int64)))],
-                    ["doc_id", "node", "n_shingles", "prefix"])
+                    ["doc_id", "text_hash", "node", "n_shingles", "prefix"])
 
     return docs.mapInArrow(run, SETS)
 
@@ -205,8 +208,10 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def join_similar(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE,
                  percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id, class_id (rows of equal sets) of every row."""
+    """doc_id, text_hash, n_shingles, component_id, class_id (rows of equal sets) and component (its
+    number) of every row; the last two are null for empty sets."""
     docs = df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    docs = docs.withColumn("text_hash", F.xxhash64("text"))
     sets = materialize(_prefix_sets(docs, size, percent), "jaccard-sets")
     classes = materialize(sets.where("n_shingles > 0").groupBy("node").agg(
         F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("prefix").alias("prefix")), "jaccard-classes")
@@ -217,8 +222,23 @@ def join_similar(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     roots = components(seeds.union(rest))
     named = classes.select("node", "doc_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    found = named.select("node", "root").join(least, "root").select("node", "component_id")
+    found = named.select("node", "root").join(least, "root").select("node", "root", "component_id")
     own = F.col("n_shingles") == 0
-    return sets.select("doc_id", "node", "n_shingles").join(found, "node", "left").select(
-        "doc_id", "n_shingles", F.when(own, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-        F.when(~own, F.col("node")).alias("class_id"))
+    return sets.select("doc_id", "text_hash", "node", "n_shingles").join(found, "node", "left").select(
+        "doc_id", "text_hash", "n_shingles", F.when(own, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        F.when(~own, F.col("node")).alias("class_id"), F.when(~own, F.col("root")).alias("component"))
+
+
+def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """The rows of ``df`` that stay when each component keeps one document, that of the least id
+    (ties: of the least text hash). Rows with empty sets all stay. Columns are those of ``df``."""
+    rows = as_rows(df).select("row", F.col(f"row.{id_col}").cast("bigint").alias("id"),
+                              F.xxhash64(F.col(f"row.{text_col}").cast("string")).alias("hash"),
+                              F.coalesce(F.col(f"row.{text_col}").cast("string"), F.lit("")).rlike(WORD).alias("words"))
+    found = join_similar(df, id_col, text_col, **how).where("component IS NOT NULL")
+    # A null id comes after all others.
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    stay = found.groupBy("component").agg(F.min(first).alias("stay")).select("component", "stay.doc_id", "stay.text_hash")
+    kept = rows.where("words").join(stay, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("hash") == F.col("text_hash")))
+    kept = kept.dropDuplicates(["component"])
+    return kept.select("row").union(rows.where("NOT words").select("row")).select("row.*")

@@ -148,9 +148,8 @@ def fit(sample: DataFrame) -> Attention:
     return model
 
 
-def score_quality(docs: DataFrame, labels: DataFrame, training: DataFrame | None = None) -> DataFrame:
-    """doc_id, held_out, score and predicted of every row of ``docs``; learnt from ``labels`` of
-    the documents ``training`` (``docs`` itself, if none are given)."""
-    sample = training_texts(docs if training is None else training, labels, "quality", FOLDS, HELD_OUT, SAMPLE)
+def score_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, held_out, score and predicted of every row of ``docs``; learnt from their labels."""
+    sample = training_texts(docs, labels, "quality", FOLDS, HELD_OUT, SAMPLE)
     model = docs.sparkSession.sparkContext.broadcast(fit(sample))
     return score_texts(docs, lambda s: model.value.score(s), FOLDS, HELD_OUT, lower=False)

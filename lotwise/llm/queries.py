@@ -46,7 +46,8 @@ def op3_chat_format(spark, sf_dir):
 
 
 def op4_jaccard_join(spark, sf_dir):
-    return join_similar(_read(spark, sf_dir, "documents"))
+    out = join_similar(_read(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_shingles", "component_id")
 
 
 def op5_mixing(spark, sf_dir):

@@ -21,8 +21,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .labels import Adam, label_slices, score_texts, sigmoid, training_texts
-from .words import LETTERS_DIGITS, Slice, mix64, prefix_hashes, split
+from .labels import THRESHOLD, Adam, label_slices, score_texts, sigmoid, training_texts
+from .rows import as_rows, map_rows, text_field
+from .words import LETTERS_DIGITS, Slice, mix64, prefix_hashes, split, text_slices
 
 FOLDS, HELD_OUT = 3, 1
 SAMPLE = 10_000  # labelled texts
@@ -160,9 +161,23 @@ def fit(sample: DataFrame) -> Machine:
     return Machine(terms, float(p["b"][0]), p["w"].astype(float), p["v"].astype(float))
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, training: DataFrame | None = None) -> DataFrame:
-    """doc_id, held_out, score and predicted of every row of ``docs``; learnt from ``labels`` of
-    the documents ``training`` (``docs`` itself, if none are given)."""
-    sample = training_texts(docs if training is None else training, labels, "toxic", FOLDS, HELD_OUT, SAMPLE)
-    machine = docs.sparkSession.sparkContext.broadcast(fit(sample))
+def _machine(training: DataFrame, labels: DataFrame):
+    sample = training_texts(training, labels, "toxic", FOLDS, HELD_OUT, SAMPLE)
+    return training.sparkSession.sparkContext.broadcast(fit(sample))
+
+
+def keep_clean(docs: DataFrame, labels: DataFrame, training: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that score below the threshold, with all their columns."""
+    machine = _machine(training, labels)
+
+    def work(batch: pa.RecordBatch):
+        for s in text_slices(text_field(batch, "text"), lower=True):
+            yield s.lo, s.hi, [pa.array(machine.value.score(s) >= THRESHOLD)]
+
+    return map_rows(as_rows(docs), "toxic boolean", work).where("NOT toxic").select("row.*")
+
+
+def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, held_out, score and predicted of every row of ``docs``; learnt from their labels."""
+    machine = _machine(docs, labels)
     return score_texts(docs, lambda s: machine.value.score(s), FOLDS, HELD_OUT, lower=True)
