@@ -66,7 +66,7 @@ def encode(s: Slice) -> tuple[np.ndarray, np.ndarray]:
     again = lambda group: np.bincount(passage[_seen(group, w.hash)], minlength=n) / words
     more = np.stack([np.log1p(mean), np.log1p(wide), again(passage), again(w.row), np.log1p(count),
                      np.log1p(np.repeat(w.count, bags))], 1)
-    return np.concatenate((np.sqrt(classes), np.sqrt(pairs), more), 1).astype(np.float32), first
+    return np.round(np.concatenate((np.sqrt(classes), np.sqrt(pairs), more), 1), 5).astype(np.float32), first
 
 
 def _seen(group: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -121,22 +121,21 @@ def fit(sample: DataFrame) -> Attention:
     """The model of a sample (text, label)."""
     bags, y = _bags(sample)
     random = np.random.default_rng(11)
-    p = {"V": random.normal(0, 0.1, (WIDTH, HIDDEN)).astype(np.float32),
-         "U": random.normal(0, 0.1, (WIDTH, HIDDEN)).astype(np.float32),
-         "w": random.normal(0, 0.1, HIDDEN).astype(np.float32), "c": np.zeros(WIDTH, np.float32),
-         "b": np.array([np.log((y.sum() + 1) / (len(y) - y.sum() + 1))], np.float32)}
+    p = {"V": random.normal(0, 0.1, (WIDTH, HIDDEN)),
+         "U": random.normal(0, 0.1, (WIDTH, HIDDEN)),
+         "w": random.normal(0, 0.1, HIDDEN), "c": np.zeros(WIDTH),
+         "b": np.array([np.log((y.sum() + 1) / (len(y) - y.sum() + 1))])}
     if not 0 < y.sum() < len(y):
-        return Attention(np.zeros(WIDTH, np.float32), np.ones(WIDTH, np.float32), p)
+        return Attention(np.zeros(WIDTH), np.ones(WIDTH), p)
     every = np.concatenate(bags)
-    model = Attention(every.mean(0), every.std(0) + 0.01, p)
+    model = Attention(every.mean(0, np.float64), every.std(0, np.float64) + 0.01, p)
     del every
-    bags = [(h - model.centre) / model.scale for h in bags]
     adam = Adam(p, RATE)
     for _ in range(EPOCHS):
         order = random.permutation(len(y))
         for lo in range(0, len(y), BATCH):
             part = order[lo:lo + BATCH]
-            h = np.concatenate([bags[i] for i in part])
+            h = (np.concatenate([bags[i] for i in part]) - model.centre) / model.scale
             first = np.concatenate(([0], np.cumsum([len(bags[i]) for i in part])))
             t, g, a, bag, z, out = model.forward(h, first)
             e = (out - y[part]) / len(part)

@@ -3,13 +3,13 @@
 Terms are the 64-bit hashes of a text's lower-cased words and of their first 4, 5 and 6 bytes (a
 word's stem, whatever follows it), each once per text. Spark counts them over the training sample:
 first in toxic texts, then the ``CANDIDATES`` most frequent of those in all; the ``TERMS`` that tell
-most (the log-likelihood ratio) are kept. The machine learns a weight and ``RANK`` factors for each,
+most (by the log-likelihood ratio, ``SURE`` at least) are kept. The machine learns a weight and ``RANK`` factors for each,
 so pairs of terms that are harmless apart can weigh together. It is fitted on at most ``SAMPLE``
 labelled texts outside the held-out fold, by Adam on the driver over a matrix of at most
 SAMPLE x TERMS bytes; scoring is a map over whole texts.
 
-Rows: null and empty texts score as texts of no terms; repeated rows score alike; without a toxic
-training text every score is 0; an empty table gives an empty result. Only ids and texts are read.
+Rows: null and empty texts score as texts of no terms; repeated rows score alike; without a term
+that tells toxic training texts every score is 0; an empty table gives an empty result. Only ids and texts are read.
 """
 
 from __future__ import annotations
@@ -32,6 +32,7 @@ TERMS = 2_048
 RANK = 8
 STEMS = (4, 5, 6)  # bytes
 EPOCHS, BATCH, RATE, DECAY = 30, 256, 0.02, 1e-4
+SURE = 10.83  # least log-likelihood ratio of a term: chance alone gives it once in 1,000
 LEAST = 2  # toxic training texts with a term
 
 
@@ -114,7 +115,8 @@ def _telling(sample: DataFrame, terms: np.ndarray) -> np.ndarray:
     expected = n.sum(0, keepdims=True) * n.sum(1, keepdims=True) / n.sum((0, 1), keepdims=True)
     with np.errstate(divide="ignore", invalid="ignore"):
         gain = np.nansum(np.where(n > 0, n * np.log(n / expected), 0), (0, 1))
-    return np.sort(terms[np.argsort(-gain, kind="stable")[:TERMS]])
+    best = np.argsort(-gain, kind="stable")[:TERMS]
+    return np.sort(terms[best[2 * gain[best] >= SURE]])
 
 
 def _matrix(sample: DataFrame, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -142,6 +144,8 @@ def fit(sample: DataFrame) -> Machine:
     if not len(candidates):
         return none
     terms = _telling(sample, candidates)
+    if not len(terms):
+        return none
     x, y = _matrix(sample, terms)
     random = np.random.default_rng(7)
     p = {"b": np.array([np.log((y.sum() + 1) / (len(y) - y.sum() + 1))], np.float32),
