@@ -58,7 +58,7 @@ def encode(s: Slice) -> tuple[np.ndarray, np.ndarray]:
     count = np.bincount(passage, minlength=n)
     words = np.maximum(1, count)
     classes = np.bincount(owner * CLASSES + _CLASS[data], minlength=n * CLASSES).reshape(n, CLASSES) / size
-    follows = np.flatnonzero(at[1:] == at[:-1] + 1)
+    follows = np.flatnonzero((at[1:] == at[:-1] + 1) & (owner[1:] == owner[:-1]))
     pair = (data[follows].astype(np.int64) * 31 + data[follows + 1] * 131) * 2654435761 % (1 << 32) >> 26
     pairs = np.bincount(owner[follows] * PAIRS + pair, minlength=n * PAIRS).reshape(n, PAIRS) / size
     mean = np.bincount(passage, length, n) / words
