@@ -41,6 +41,8 @@ SHINGLE = 3  # words
 PERCENT = 90  # least similarity
 MATCHES = 4  # greatest l
 FREQUENT = 65_536  # shingles whose counts order them
+SLOTS = 1 << 20  # hash slots of the rows whose texts are asked for
+NO_ID = 2 ** 63 - 1  # rows without an id come after all others
 OFTEN = 3  # documents of one slice that make a shingle frequent
 
 WORD = r"[^\x20\x09-\x0D]"
@@ -144,12 +146,19 @@ def _similar_size(a, b, percent: int):
 
 def _proposals(tokens: DataFrame, percent: int) -> DataFrame:
     """Each holder of a shingle with two centres of it."""
-    centre = F.struct("node", "n")
+    centre = F.struct("node", "n", "l")
     stars = tokens.groupBy("token").agg(F.min(centre).alias("x"), F.max_by(centre, F.struct("shared", "node")).alias("y"))
-    stars = stars.select("token", F.explode(F.array("x", "y")).alias("c"))
+    stars = stars.select("token", F.explode(F.array_distinct(F.array("x", "y"))).alias("c"))
     pairs = tokens.join(stars, "token").where((F.col("c.node") != F.col("node"))
                                               & _similar_size(F.col("n"), F.col("c.n"), percent))
-    return pairs.select(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b")).distinct()
+    return _matched(pairs, F.col("node"), F.col("c.node"), F.least("l", "c.l"))
+
+
+def _matched(pairs: DataFrame, x, y, need) -> DataFrame:
+    """The pairs that met at as many prefix shingles as they must."""
+    return (pairs.groupBy(F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
+            .agg(F.count("*").alias("matches"), F.min(need).alias("need"))
+            .where("matches >= need").select("a", "b"))
 
 
 def _remaining(tokens: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
@@ -163,28 +172,34 @@ def _remaining(tokens: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
     met = a.join(rows, "token").where(
         (F.col("a_root") != F.col("root")) & (~F.col("minor") | (F.col("a_node") < F.col("node")))
         & _similar_size(F.col("a_n"), F.col("n"), percent))
-    return (met.groupBy(F.least("a_node", "node").alias("a"), F.greatest("a_node", "node").alias("b"))
-            .agg(F.count("*").alias("matches"), F.min(F.least("a_l", "l")).alias("need"))
-            .where("matches >= need").select("a", "b"))
+    return _matched(met, F.col("a_node"), F.col("node"), F.least("a_l", "l"))
 
 
-def _whole_sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
-    """(node, hashes) of the classes that may link, from the text of one row each."""
-    wanted = classes.join(nodes, "node", "left_semi").select(F.col("doc_id").alias("wanted"), "node")
-    texts = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted"))).select("node", "text")
+def _whole_sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame, size: int) -> DataFrame:
+    """(node, hashes) of the classes in ``pairs``, from the text of one row each.
+
+    Before texts are shuffled, a broadcast of the ``SLOTS`` hash slots in use drops most rows that
+    no pair asks for; the join after it is exact."""
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    wanted = classes.join(nodes, "node", "left_semi").select(F.col("first.*"), "node")
+    slot = F.pmod(F.xxhash64("id", "text_hash"), F.lit(SLOTS))
+    slots = wanted.select(slot.alias("slot")).distinct()
+    texts = (docs.withColumn("slot", slot).join(F.broadcast(slots), "slot", "left_semi")
+             .select("id", "text_hash", "text").join(wanted.hint("merge"), ["id", "text_hash"])
+             .dropDuplicates(["id", "text_hash"]).select("node", "text"))
 
     def run(batches):
         for batch in batches:
             wanted = batch.column(0).to_numpy(zero_copy_only=False)
             for s in text_slices(batch.column(1), lower=True):
                 rows, hashes = shingle_sets(s, size)
-                same = np.flatnonzero(_identity(rows, hashes, s.rows) == wanted[s.lo:s.hi])
                 first = np.searchsorted(rows, np.arange(s.rows + 1))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(wanted[s.lo:s.hi][same]),
-                     pa.array([hashes[first[i]:first[i + 1]].tobytes() for i in same], pa.binary())], ["node", "hashes"])
+                    [pa.array(wanted[s.lo:s.hi]),
+                     pa.array([hashes[a:b].tobytes() for a, b in zip(first[:-1], first[1:])], pa.binary())],
+                    ["node", "hashes"])
 
-    return texts.mapInArrow(run, "node bigint, hashes binary").dropDuplicates(["node"])
+    return texts.mapInArrow(run, "node bigint, hashes binary")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -206,19 +221,26 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.mapInArrow(run, "a bigint, b bigint")
 
 
+def _links(docs: DataFrame, classes: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
+    whole = materialize(_whole_sets(docs, classes, pairs, size), "jaccard-whole")
+    return _verified(pairs, whole, percent)
+
+
 def join_similar(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE,
                  percent: int = PERCENT) -> DataFrame:
     """doc_id, text_hash, n_shingles, component_id, class_id (rows of equal sets) and component (its
     number) of every row; the last two are null for empty sets."""
     docs = df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    docs = docs.withColumn("text_hash", F.xxhash64("text"))
-    sets = materialize(_prefix_sets(docs, size, percent), "jaccard-sets")
+    docs = docs.withColumns({"text_hash": F.xxhash64("text"), "id": F.coalesce("doc_id", F.lit(NO_ID))})
+    sets = materialize(_prefix_sets(docs.select("doc_id", "text", "text_hash"), size, percent), "jaccard-sets")
     classes = materialize(sets.where("n_shingles > 0").groupBy("node").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("prefix").alias("prefix")), "jaccard-classes")
+        F.min("doc_id").alias("doc_id"),
+        F.min(F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), "text_hash")).alias("first"), F.first("n_shingles").alias("n"), F.first("prefix").alias("prefix")), "jaccard-classes")
     tokens = materialize(_prefix_tokens(classes, percent), "jaccard-tokens")
-    whole = materialize(_whole_sets(docs, classes, tokens.select("node").distinct(), size), "jaccard-whole")
-    seeds = materialize(_verified(_proposals(tokens, percent), whole, percent), "jaccard-links")
-    rest = _verified(_remaining(tokens, components(seeds), percent), whole, percent)
+    proposed = materialize(_proposals(tokens, percent), "jaccard-proposed")
+    seeds = materialize(_links(docs, classes, proposed, size, percent), "jaccard-links")
+    remaining = materialize(_remaining(tokens, components(seeds), percent), "jaccard-remaining")
+    rest = _links(docs, classes, remaining, size, percent)
     roots = components(seeds.union(rest))
     named = classes.select("node", "doc_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
