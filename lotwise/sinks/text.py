@@ -11,10 +11,13 @@ from pyspark.sql import functions as F
 
 from ..sources.delimited import CTRL_A, NULL_TEXT
 
+# The CSV writer trims values by default; stored text must come back unchanged.
+KEEP_BLANKS = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
 
 def write_delimited(df: DataFrame, path: str, sep: str = CTRL_A) -> None:
     """K1: replace a folder with separator-delimited text, NULL as ``\\N``."""
-    df.write.mode("overwrite").option("sep", sep).option("nullValue", NULL_TEXT).csv(path)
+    df.write.mode("overwrite").option("sep", sep).option("nullValue", NULL_TEXT).options(**KEEP_BLANKS).csv(path)
 
 
 def write_dated(df: DataFrame, root: str, run_date: str | None = None) -> None:
@@ -32,7 +35,7 @@ def write_dated(df: DataFrame, root: str, run_date: str | None = None) -> None:
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("sep", ",")
-        .option("nullValue", NULL_TEXT)
+        .option("nullValue", NULL_TEXT).options(**KEEP_BLANKS)
         .partitionBy("run_date")
         .csv(root)
     )
@@ -61,7 +64,7 @@ def write_report(df: DataFrame, root: str, name: str) -> str:
         .option("sep", ",")
         .option("lineSep", "\r\n")
         .option("escape", '"')
-        .option("nullValue", NULL_TEXT)
+        .option("nullValue", NULL_TEXT).options(**KEEP_BLANKS)
         .csv(path)
     )
     _delete_children(df.sparkSession, root, name)
@@ -76,5 +79,5 @@ def write_extract(stored: DataFrame, run_date: str, path: str) -> None:
     """
     (
         stored.where(F.col("run_date") == run_date).drop("run_date")
-        .write.mode("overwrite").option("sep", ",").option("nullValue", NULL_TEXT).csv(path)
+        .write.mode("overwrite").option("sep", ",").option("nullValue", NULL_TEXT).options(**KEEP_BLANKS).csv(path)
     )

@@ -73,7 +73,7 @@ def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.floor("l_quantity").cast("int").alias("q"),
         (k * 8 + ln).alias("job"),
         (k % DAYS).cast("int").alias("d"),
-        F.concat(F.lit("L"), F.lpad(_s(k), 7, "0")).alias("lot"),
+        F.concat(F.lit("L"), F.lpad(_s(k), F.greatest(F.lit(7), F.length(_s(k))), F.lit("0"))).alias("lot"),
         F.when(ln % 3 == 0, LOCATIONS[0]).when(ln % 3 == 1, LOCATIONS[1])
         .otherwise(LOCATIONS[2]).alias("loc"),
         F.when(k % 23 == 0, "WAFER").otherwise("LOT").alias("ma_type"),
@@ -196,7 +196,7 @@ fx_base AS (
          CAST(floor(l.l_quantity) AS INTEGER) AS q,
          l.l_orderkey * 8 + l.l_linenumber AS job,
          CAST(l.l_orderkey % 400 AS INTEGER) AS d,
-         'L' || lpad(CAST(l.l_orderkey AS VARCHAR), 7, '0') AS lot,
+         'L' || lpad(CAST(l.l_orderkey AS VARCHAR), CAST(greatest(7, length(CAST(l.l_orderkey AS VARCHAR))) AS INTEGER), '0') AS lot,
          CASE l.l_linenumber % 3 WHEN 0 THEN 'HOT TEST' WHEN 1 THEN 'COLD TEST' ELSE 'BURN IN' END AS loc,
          CASE WHEN l.l_orderkey % 23 = 0 THEN 'WAFER' ELSE 'LOT' END AS ma_type,
          CASE WHEN l.l_orderkey % 17 = 0 THEN 'OTHERSYS' ELSE 'MAMTSTSI' END AS system_name,
