@@ -29,7 +29,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -119,38 +119,50 @@ def _prefix_sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
 
 
 def _prefix_tokens(classes: DataFrame, percent: int) -> DataFrame:
-    """(token, node, n, l, shared): prefix shingles that several classes hold, up to each class's
-    own prefix, of the classes that may link with any."""
+    """(token, pos, rank, node, n, l, shared): prefix shingles that several classes hold, up to each
+    class's own prefix, of the classes that may link with any; rank counts a class's held shingles."""
     n = F.col("n")
     rows = classes.select("node", n, F.posexplode("prefix").alias("pos", "token"))
     held = rows.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
-    rows = rows.join(held, "token")
+    rank = F.row_number().over(Window.partitionBy("node").orderBy("pos"))  # a prefix at most
+    rows = rows.join(held, "token").withColumn("rank", rank)
     base = n - F.ceil(n * percent / F.lit(100))
     # Each l's shared shingles and expected candidates.
     sums = rows.groupBy("node").agg(*[x for k in range(1, MATCHES + 1) for x in (
-        F.sum((F.col("pos") < base + k).cast("int")).alias(f"shared{k}"),
-        F.sum(F.when(F.col("pos") < base + k, F.col("df") - 1).otherwise(0)).alias(f"cost{k}"))])
-    alive = [F.col(f"shared{k}") >= F.least(F.lit(k), F.col("n")) for k in range(1, MATCHES + 1)]
+        F.sum((F.col("pos") < base + F.least(F.lit(k), "rank")).cast("int")).alias(f"shared{k}"),
+        F.sum(F.when(F.col("pos") < base + F.least(F.lit(k), "rank"), F.col("df") - 1).otherwise(0)).alias(f"cost{k}"))])
+    # Similar sets share ceil(t * n) shingles, so l is no greater.
+    most = F.ceil(F.col("n") * percent / F.lit(100)).cast("int")
+    alive = [F.col(f"shared{k}") >= F.least(F.lit(k), most) for k in range(1, MATCHES + 1)]
     best = F.array_min(F.array(*[F.struct((F.col(f"cost{k}") / k).alias("cost"), F.lit(k).alias("l"))
                                  for k in range(1, MATCHES + 1)]))
     sums = sums.join(classes.select("node", "n"), "node")
-    # A set smaller than l can't share l shingles: its l is at most its size.
     chosen = (sums.where(alive[0] & alive[1] & alive[2] & alive[3])
-              .select("node", F.least(best["l"], F.col("n").cast("int")).alias("l"), F.col("shared1").alias("shared")))
-    return rows.join(chosen, "node").where(F.col("pos") < base + F.col("l")).select("token", "node", "n", "l", "shared")
+              .select("node", F.least(best["l"], most).alias("l"), F.col("shared1").alias("shared")))
+    return rows.join(chosen, "node").where(F.col("pos") < base + F.least("l", "rank")).select("token", "pos", "rank", "node", "n", "l", "shared")
 
 
-def _similar_size(a, b, percent: int):
-    return F.lit(100) * F.least(a, b) >= F.lit(percent) * F.greatest(a, b)
+def _may_match(a: str, b: str, percent: int):
+    """Whether a shingle shared by sets ``a`` and ``b`` (prefixes of column names) counts for the pair.
+
+    Similar sets share o = ceil(t * (n + n') / (1 + t)) shingles at least. Their l-th common shingle
+    has o - l common ones after it, so the first l lie before n - o + l in the one set and before
+    n' - o + l in the other. A shingle before them that no other prefix holds is not common, so the
+    r-th held one of a set is at most the r-th common one and lies before n - o + r. Only shingles
+    inside these bounds are counted."""
+    n, m = F.col(f"{a}n"), F.col(f"{b}n")
+    need = F.least(f"{a}l", f"{b}l", f"{a}rank", f"{b}rank")
+    overlap = F.ceil((n + m) * percent / F.lit(100 + percent))
+    return ((F.lit(100) * F.least(n, m) >= F.lit(percent) * F.greatest(n, m))
+            & (F.col(f"{a}pos") < n - overlap + need) & (F.col(f"{b}pos") < m - overlap + need))
 
 
 def _proposals(tokens: DataFrame, percent: int) -> DataFrame:
     """Each holder of a shingle with two centres of it."""
-    centre = F.struct("node", "n", "l")
+    centre = F.struct("node", "n", "l", "pos", "rank")
     stars = tokens.groupBy("token").agg(F.min(centre).alias("x"), F.max_by(centre, F.struct("shared", "node")).alias("y"))
     stars = stars.select("token", F.explode(F.array_distinct(F.array("x", "y"))).alias("c"))
-    pairs = tokens.join(stars, "token").where((F.col("c.node") != F.col("node"))
-                                              & _similar_size(F.col("n"), F.col("c.n"), percent))
+    pairs = tokens.join(stars, "token").where((F.col("c.node") != F.col("node")) & _may_match("", "c.", percent))
     return _matched(pairs, F.col("node"), F.col("c.node"), F.least("l", "c.l"))
 
 
@@ -168,10 +180,10 @@ def _remaining(tokens: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
     main = (parts.groupBy("token").agg(F.max_by("root", F.struct("k", "root")).alias("main"), F.count("*").alias("roots"))
             .where("roots > 1"))
     rows = rows.join(main, "token").withColumn("minor", F.col("root") != F.col("main"))
-    a = rows.where("minor").select("token", *[F.col(c).alias(f"a_{c}") for c in ("node", "n", "l", "root")])
+    a = rows.where("minor").select("token", *[F.col(c).alias(f"a_{c}") for c in ("node", "n", "l", "pos", "rank", "root")])
     met = a.join(rows, "token").where(
         (F.col("a_root") != F.col("root")) & (~F.col("minor") | (F.col("a_node") < F.col("node")))
-        & _similar_size(F.col("a_n"), F.col("n"), percent))
+        & _may_match("a_", "", percent))
     return _matched(met, F.col("a_node"), F.col("node"), F.least("a_l", "l"))
 
 
