@@ -119,13 +119,20 @@ def _prefix_sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
 
 
 def _prefix_tokens(classes: DataFrame, percent: int) -> DataFrame:
-    """(token, pos, rank, node, n, l, shared): prefix shingles that several classes hold, up to each
-    class's own prefix, of the classes that may link with any; rank counts a class's held shingles."""
+    """(token, pos, rank, node, n, l, shared): prefix shingles that classes of similar sizes hold, up to
+    each class's own prefix, of the classes that may link with any; rank counts a class's held ones."""
     n = F.col("n")
     rows = classes.select("node", n, F.posexplode("prefix").alias("pos", "token"))
-    held = rows.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
+    held = rows.groupBy("token").agg(F.count("*").alias("df"), F.min("n").alias("low"), F.max("n").alias("high"),
+                                     F.sum("n").alias("total")).where("df > 1")
+    # With two or three holders, the others' sizes are known: one of a similar size must be there.
+    middle = F.col("total") - F.col("low") - F.col("high")
+    near = lambda m: _similar_size(n, m, percent)
+    met = (F.when(F.col("df") == 2, near(F.col("total") - n))
+           .when((F.col("df") == 3) & (n != middle), near(middle))
+           .when(F.col("df") == 3, near(F.col("low")) | near(F.col("high"))).otherwise(True))
     rank = F.row_number().over(Window.partitionBy("node").orderBy("pos"))  # a prefix at most
-    rows = rows.join(held, "token").withColumn("rank", rank)
+    rows = rows.join(held, "token").where(met).select("token", "node", "n", "pos", "df").withColumn("rank", rank)
     base = n - F.ceil(n * percent / F.lit(100))
     # Each l's shared shingles and expected candidates.
     sums = rows.groupBy("node").agg(*[x for k in range(1, MATCHES + 1) for x in (
@@ -142,6 +149,10 @@ def _prefix_tokens(classes: DataFrame, percent: int) -> DataFrame:
     return rows.join(chosen, "node").where(F.col("pos") < base + F.least("l", "rank")).select("token", "pos", "rank", "node", "n", "l", "shared")
 
 
+def _similar_size(a, b, percent: int):
+    return F.lit(100) * F.least(a, b) >= F.lit(percent) * F.greatest(a, b)
+
+
 def _may_match(a: str, b: str, percent: int):
     """Whether a shingle shared by sets ``a`` and ``b`` (prefixes of column names) counts for the pair.
 
@@ -153,8 +164,7 @@ def _may_match(a: str, b: str, percent: int):
     n, m = F.col(f"{a}n"), F.col(f"{b}n")
     need = F.least(f"{a}l", f"{b}l", f"{a}rank", f"{b}rank")
     overlap = F.ceil((n + m) * percent / F.lit(100 + percent))
-    return ((F.lit(100) * F.least(n, m) >= F.lit(percent) * F.greatest(n, m))
-            & (F.col(f"{a}pos") < n - overlap + need) & (F.col(f"{b}pos") < m - overlap + need))
+    return (_similar_size(n, m, percent) & (F.col(f"{a}pos") < n - overlap + need) & (F.col(f"{b}pos") < m - overlap + need))
 
 
 def _proposals(tokens: DataFrame, percent: int) -> DataFrame:
