@@ -33,11 +33,18 @@ WORD = r"[^\x20\x09-\x0D]+"
 GOOD, UNKNOWN, BAD = 1.0, 0.75, 0.5  # quality weights of labels 1, none, 0
 
 
-def quality_weights(docs: DataFrame, labels: DataFrame, name: str = "mix_weight") -> DataFrame:
-    """``docs`` and its documents' quality weights, from the mean label of each id."""
+def label_weights(labels: DataFrame) -> DataFrame:
+    """(mix_id, mix_weight): the quality weight of each labelled id, from its mean label."""
     mean = labels.groupBy(F.col("doc_id").alias("mix_id")).agg(F.avg("quality").alias("mix_q"))
     weight = F.coalesce(F.lit(BAD) + F.lit(GOOD - BAD) * F.col("mix_q"), F.lit(UNKNOWN))
-    return docs.join(mean, docs["doc_id"] == mean["mix_id"], "left").select(*docs.columns, weight.alias(name))
+    return mean.select("mix_id", weight.alias("mix_weight"))
+
+
+def quality_weights(docs: DataFrame, labels: DataFrame, name: str = "mix_weight") -> DataFrame:
+    """``docs`` and its documents' quality weights."""
+    weights = label_weights(labels)
+    return docs.join(weights, docs["doc_id"] == weights["mix_id"], "left").select(
+        *docs.columns, F.coalesce("mix_weight", F.lit(UNKNOWN)).alias(name))
 
 
 def targets(sizes: DataFrame) -> DataFrame:
@@ -65,17 +72,22 @@ def sampling_key(doc_id, weight):
 
 
 def mix(df: DataFrame, weight_col: str | None = None, id_col: str = "doc_id", text_col: str = "text",
-        source_col: str = "source", carry: bool = False) -> DataFrame:
+        source_col: str = "source", carry: bool = False, weights: DataFrame | None = None) -> DataFrame:
     """Per document: doc_id, source, size, source_size, target, epochs (complete copies), part
-    (words of the fractional copy) and taken; with ``carry`` the input's columns as ``row``."""
+    (words of the fractional copy) and taken; with ``carry`` the input's columns as ``row``.
+    ``weights`` (mix_id, mix_weight) gives weights by id; it meets the documents without their texts
+    (unless carried)."""
     rows = as_rows(df)
     weight = F.lit(1.0) if weight_col is None else F.coalesce(F.col(f"row.{weight_col}"), F.lit(UNKNOWN))
     text = F.col(f"row.{text_col}").cast("string")
     docs = rows.select(
         F.col(f"row.{id_col}").alias("doc_id"), F.col(f"row.{source_col}").alias("source"),
         F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint").alias("size"),
-        sampling_key(F.col(f"row.{id_col}"), F.greatest(weight, F.lit(1e-6))).alias("key"),
-        F.xxhash64(text).alias("tie"), *(["row"] if carry else []))
+        weight.alias("weight"), F.xxhash64(text).alias("tie"), *(["row"] if carry else []))
+    if weights is not None:
+        docs = docs.drop("weight").join(weights, docs["doc_id"] == weights["mix_id"], "left").withColumn(
+            "weight", F.coalesce("mix_weight", F.lit(UNKNOWN))).drop("mix_id", "mix_weight")
+    docs = docs.withColumn("key", sampling_key(F.col("doc_id"), F.greatest("weight", F.lit(1e-6)))).drop("weight")
     # The key's own distribution function spreads the ranges evenly (for weight 1).
     bucket = F.least(F.floor((1 - F.exp(-F.col("key"))) * BUCKETS), F.lit(BUCKETS - 1)).cast("int")
     docs = docs.withColumn("bucket", bucket)

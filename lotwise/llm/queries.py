@@ -52,8 +52,8 @@ def op4_jaccard_join(spark, sf_dir):
 
 def op5_mixing(spark, sf_dir):
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    weighed = mixing.quality_weights(docs, _read(spark, sf_dir, "labels"))
-    return mixing.mix(weighed, "mix_weight").select("doc_id", "size", "source_size", "target", "taken")
+    weights = mixing.label_weights(_read(spark, sf_dir, "labels"))
+    return mixing.mix(docs, weights=weights).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def tokenizer_path() -> str:
