@@ -211,13 +211,14 @@ def totallot_rows(pivot: DataFrame, steps_no_job: DataFrame, by: Keys = (),
 
 def variance_dataset(scoped: DataFrame, by: Keys = (), steps: DataFrame | None = None,
                      pivot: DataFrame | None = None, hot: DataFrame | None | str = AUTO,
-                     quantity: DataFrame | None = None) -> DataFrame:
+                     quantity: DataFrame | None = None,
+                     reasons: Sequence[str] = VARIANCE_REASONS) -> DataFrame:
     pivot = attribute_pivot(scoped, by) if pivot is None else pivot
     steps = resolve_tester_step(scoped, by) if steps is None else steps
     hot = resolve_hot(hot_lots(scoped, by)) if hot is AUTO else hot
     quantity = lot_quantity(scoped, by) if quantity is None else quantity
     with_job = lot_step(quantity, steps, by, keep_step_job=True)
-    return variance_rows(pivot, variance_events(scoped, by), with_job, by, hot)
+    return variance_rows(pivot, variance_events(scoped, by, reasons), with_job, by, hot)
 
 
 def totallot_dataset(scoped: DataFrame, by: Keys = (), steps: DataFrame | None = None,

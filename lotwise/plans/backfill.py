@@ -104,7 +104,7 @@ def backfill_daily(log: DataFrame, first_run: str, last_run: str,
     qty = window_quantity(days, first_run, last_run, template)
     shared = dict(steps=steps, pivot=pivot, hot=hot, quantity=qty)
     return (
-        L.variance_dataset(scoped, RUN_KEY, **shared),
+        L.variance_dataset(scoped, RUN_KEY, **shared, reasons=scope.variance_reasons),
         L.totallot_dataset(scoped, RUN_KEY, **shared),
     )
 
@@ -124,7 +124,7 @@ def backfill_archive(log: DataFrame, records: DataFrame, first_run: str, last_ru
     pivot = window_pivot(days, first_run, last_run, template)
     hot = resolve_hot(window_hot_lots(days, first_run, last_run, template))
     return (
-        A.archive_variance(scoped, testers, RUN_KEY, pivot=pivot, hot=hot),
+        A.archive_variance(scoped, testers, RUN_KEY, pivot=pivot, hot=hot, reasons=scope.variance_reasons),
         A.archive_totallot(scoped, testers, RUN_KEY, pivot=pivot, hot=hot),
     )
 
@@ -152,8 +152,9 @@ def _store_chunk(log: DataFrame, lo: str, hi: str, variance_root: str, totallot_
     hot = resolve_hot(materialize(window_hot_lots(days, lo, hi, template), "hot", tables))
     qty = window_quantity(days, lo, hi, template)
     shared = dict(steps=steps, pivot=pivot, hot=hot, quantity=qty)
-    write_dated(L.variance_dataset(scoped, RUN_KEY, **shared), variance_root)
-    write_dated(L.totallot_dataset(scoped, RUN_KEY, **shared), totallot_root)
+    runs = RunWindow.span(lo, hi).days()
+    write_dated(L.variance_dataset(scoped, RUN_KEY, **shared, reasons=scope.variance_reasons), variance_root, run_dates=runs)
+    write_dated(L.totallot_dataset(scoped, RUN_KEY, **shared), totallot_root, run_dates=runs)
     remove_path(spark, tables)  # the chunk's run dates are stored; its shared tables are done
 
 
@@ -165,8 +166,9 @@ def run_backfill(log: DataFrame, first_run: str, last_run: str, variance_root: s
     shuffle size. Within a chunk, the attribute pivot, the tester-step resolution and the
     hot-lot list feed both datasets; they are written once as tables in the cluster's
     ``spark.checkpoint.dir`` (``session.materialize``) so the second write neither recomputes
-    them nor depends on executors that may be gone. Stored run dates are durable: a failed backfill resumes from the
-    first missing chunk, and rerunning a chunk replaces only its run dates.
+    them nor depends on executors that may be gone. Stored run dates are durable: a failed backfill
+    can be called again from its first missing run date, and rerunning a chunk replaces only its run
+    dates.
     """
     checkpoint_root(log.sparkSession)
     for lo, hi in _chunks(first_run, last_run, chunk_days):

@@ -56,7 +56,7 @@ def daily_datasets(log: DataFrame, window: RunWindow, scope: Scope = Scope(),
         cached = (pivot, steps, hot)
     hot = resolve_hot(hot)
     return DailyDatasets(
-        variance=L.variance_dataset(scoped, steps=steps, pivot=pivot, hot=hot),
+        variance=L.variance_dataset(scoped, steps=steps, pivot=pivot, hot=hot, reasons=scope.variance_reasons),
         totallot=L.totallot_dataset(scoped, steps=steps, pivot=pivot, hot=hot),
         cached=cached,
     )

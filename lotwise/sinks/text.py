@@ -6,6 +6,8 @@ inside a value cannot shift columns.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,14 +22,19 @@ def write_delimited(df: DataFrame, path: str, sep: str = CTRL_A) -> None:
     df.write.mode("overwrite").option("sep", sep).option("nullValue", NULL_TEXT).options(**KEEP_BLANKS).csv(path)
 
 
-def write_dated(df: DataFrame, root: str, run_date: str | None = None) -> None:
+def write_dated(df: DataFrame, root: str, run_date: str | None = None,
+                run_dates: Iterable[str] = ()) -> None:
     """K2: idempotent per-run-date store ``<root>/run_date=<date>/``, comma separated.
 
     With dynamic partition overwrite only the run dates present in ``df`` are replaced; other
     dates stay. Pass ``run_date`` to stamp a single run; a backfill frame brings its own column.
+    The run dates a rerun stands for (``run_date``, or those listed in ``run_dates``) are cleared
+    first, so a date that has no rows any more keeps none.
     """
     if run_date is not None:
         df = df.withColumn("run_date", F.lit(run_date))
+        run_dates = (run_date,)
+    _clear(df.sparkSession, root, run_dates)
     (
         # Cluster rows by run date so each folder gets few files; AQE splits a run date that is
         # too large for one task and merges small ones (no skewed single-task write).
@@ -41,6 +48,14 @@ def write_dated(df: DataFrame, root: str, run_date: str | None = None) -> None:
     )
 
 
+def _clear(spark: SparkSession, root: str, run_dates: Iterable[str]) -> None:
+    """Remove the folders of the given run dates (driver-side file-system metadata calls)."""
+    jvm = spark.sparkContext._jvm
+    for day in run_dates:
+        path = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/run_date={day}")
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def _delete_children(spark: SparkSession, root: str, keep: str) -> None:
     """Remove older report folders beside ``keep`` (driver-side file-system metadata calls)."""
     jvm = spark.sparkContext._jvm

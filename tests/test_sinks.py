@@ -50,6 +50,18 @@ def test_dated_store_is_idempotent_per_run_date(spark, tmp_dir):
     assert _rows(read_delimited(spark, out, S3, sep=",")) == _rows(b)
 
 
+def test_rerun_without_rows_clears_the_date(spark, tmp_dir):
+    """K2: a rerun whose result is empty leaves no rows of its dates; other dates stay."""
+    root = os.path.join(tmp_dir, "store")
+    df = spark.createDataFrame([(" 16 ", "\t t", "b")], S3)
+    for day in ("2024-02-03", "2024-02-04", "2024-02-05"):
+        write_dated(df, root, day)
+    write_dated(df.limit(0), root, "2024-02-03")
+    write_dated(df.limit(0).withColumn("run_date", F.lit("x")), root, run_dates=["2024-02-04"])
+    got = read_dated_store(spark, root, S3)
+    assert _rows(got) == [(" 16 ", "\t t", "b", "2024-02-05")]
+
+
 def test_report_header_crlf_and_cleanup(spark, tmp_dir):
     """K3: header line per file, CRLF, Excel quoting; older report folders are removed."""
     root = os.path.join(tmp_dir, "report_variance")
