@@ -1,14 +1,18 @@
 """URL filter: host rules first, then association rules that Spark's FP-growth mines.
 
-The pages a host rule judges are the labelled rows. A labelled URL is the set of its tokens (host
-labels, path words; digits read as one token) and its verdict; FP-growth finds the frequent
-combinations, and those that imply ``block`` with ``MIN_CONFIDENCE`` are kept, if no subset of the
-same combination implies it as surely. Kept rules lie in an inverted index under their rarest
-token; a URL looks its tokens up there, and a rule found fits when the URL has all its tokens.
+The pages a host rule judges are the labelled rows. A labelled URL is the set of all its tokens
+(host labels, words of path, query and fragment; digits read as one token) and its verdict;
+FP-growth finds the frequent combinations, and those that imply ``block`` with ``MIN_CONFIDENCE``
+are kept, of any length, if no subset of the same combination implies it as surely.
 
-The index is broadcast; its size has a proven bound: a training row gives at most ``ROW_TOKENS``
-tokens, so at most C(ROW_TOKENS, k) / MIN_SUPPORT sets of k tokens are frequent, k up to
-``MAX_RULE`` (about 18,000 sets of short tokens in all). Judging uses all tokens of the whole URL.
+Spark counts the tokens of all labelled rows; one below ``MIN_SUPPORT`` can be in no frequent
+combination and is left out. Tokens that occur in exactly the same labelled rows stand for one
+another in every rule, so they are mined as one item, their kind: a part that many URLs repeat is
+one item and not 2**tokens combinations. A URL has a kind when it has any of its tokens.
+
+A rule lies under its rarest kind, its anchor. Kinds are broadcast: there are at most (mean tokens
+of a labelled row) / MIN_SUPPORT frequent tokens. Rules have no such bound; up to ``BROADCAST_ITEMS``
+items in all, they are broadcast as an index; more are joined to the distinct sets of kinds by anchor.
 
 Rows: null, empty or URLs without ``://`` have an empty host and path, fit no rule and are allowed;
 repeated rows are judged alike; without labelled rows nothing is blocked by the method; an empty
@@ -17,12 +21,12 @@ table gives an empty result. Other columns are not read.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 # Host and path of each rule, and its verdict.
 HOST_RULES = (
     ("com", "/", "allow"),
@@ -33,8 +37,7 @@ HOST_RULES = (
 )
 MIN_SUPPORT = 0.01  # share of the labelled rows
 MIN_CONFIDENCE = 0.9
-MAX_RULE = 3  # tokens of a rule
-ROW_TOKENS = 10  # tokens a training row gives, the first ones in the URL
+BROADCAST_ITEMS = 500_000  # items of all rules together, broadcast as one index
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -54,58 +57,117 @@ def host_rule(host: Column, path: Column, rules=HOST_RULES) -> tuple[Column, Col
     return rule, verdict
 
 
-def tokens(host: Column, path: Column) -> Column:
-    """Distinct tokens of a URL: ``h:`` host labels, ``p:`` words of the path."""
+def query_and_fragment(url: Column) -> tuple[Column, Column]:
+    rest = F.regexp_extract(url, r"(?s)^.*?://(.*)$", 1)
+    return F.regexp_extract(rest, r"^[^?#]*\?([^#]*)", 1), F.regexp_extract(rest, r"(?s)^[^#]*#(.*)$", 1)
+
+
+def tokens(host: Column, path: Column, query: Column, fragment: Column) -> Column:
+    """Distinct tokens of a URL: ``h:`` host labels, ``p:``, ``q:`` and ``f:`` words of path, query
+    and fragment."""
+    def words(mark: str, text: Column) -> Column:
+        parts = F.split(F.regexp_replace(text, "[0-9]+", "0"), r"[^\p{L}0-]+")
+        return F.transform(F.filter(parts, lambda t: t != ""), lambda t: F.concat(F.lit(mark), t))
+
     labels = F.filter(F.split(host, r"\."), lambda t: t != "")
-    words = F.filter(F.split(F.regexp_replace(path, "[0-9]+", "0"), r"[^\p{L}0-]+"), lambda t: t != "")
     return F.array_distinct(F.concat(F.transform(labels, lambda t: F.concat(F.lit("h:"), t)),
-                                     F.transform(words, lambda t: F.concat(F.lit("p:"), t))))
+                                     words("p:", path), words("q:", query), words("f:", fragment)))
+
+
+def token_kinds(labelled: DataFrame, n: int) -> DataFrame:
+    """(token, kind) of the tokens in MIN_SUPPORT of the ``n`` labelled rows; a kind has the tokens
+    of exactly the same rows, by two 64-bit hashes of their sets, and the least one's name."""
+    sets = labelled.groupBy("tokens").agg(F.count("*").alias("rows"))
+    counts = (sets.select("rows", F.xxhash64("tokens").alias("a"), F.xxhash64(F.lit(1), "tokens").alias("b"),
+                          F.explode("tokens").alias("token"))
+              .groupBy("token").agg(F.sum("rows").alias("rows"), F.bit_xor("a").alias("a"), F.bit_xor("b").alias("b"))
+              .where(F.col("rows") >= MIN_SUPPORT * n))
+    kinds = counts.groupBy("rows", "a", "b").agg(F.collect_list("token").alias("own"))
+    return kinds.select(F.explode("own").alias("token"), F.array_min("own").alias("kind"))
+
+
+def _fitting(sets: DataFrame, rules: DataFrame) -> DataFrame:
+    """(kinds, rule) for each set of ``sets`` (distinct ``kinds``) and each rule it has all items of."""
+    held = rules.select("anchor", F.struct("confidence", "items").alias("rule"))
+    return (sets.select("kinds", F.explode("kinds").alias("anchor")).join(held, "anchor")
+            .where(F.size(F.array_except("rule.items", "kinds")) == 0).select("kinds", "rule"))
 
 
 def mine_rules(labelled: DataFrame) -> DataFrame:
-    """(anchor, items, confidence) of the rules that block, from ``tokens`` and ``verdict``."""
-    mark = F.concat(F.lit("="), F.col("verdict"))
-    items = labelled.select(F.concat(F.array(mark), F.slice("tokens", 1, ROW_TOKENS)).alias("items"))
+    """(anchor, items, confidence) of the rules that block, from ``kinds`` and ``verdict``."""
+    mark = F.when(F.col("verdict") == "block", F.array(F.lit("="))).otherwise(F.array().cast("array<string>"))
+    items = labelled.select(F.concat(mark, "kinds").alias("items"))
     model = FPGrowth(itemsCol="items", minSupport=MIN_SUPPORT, minConfidence=MIN_CONFIDENCE).fit(items)
     single = model.freqItemsets.where(F.size("items") == 1).select(F.col("items")[0].alias("item"), F.col("freq"))
-    rules = (model.associationRules.where(F.col("consequent")[0] == "=block")
-             .where((F.size("antecedent") <= MAX_RULE)
-                    & ~F.exists("antecedent", lambda t: t.startswith("=")))
+    rules = (model.associationRules.where(F.col("consequent")[0] == "=")
              .select(F.array_sort("antecedent").alias("items"), "confidence"))
-    # A rule one of whose parts blocks as surely adds nothing: look the parts up by equality.
-    parts = rules.select("items", "confidence", F.explode(reduce(F.array_union, [
+    # A rule one of whose parts blocks as surely adds nothing. Most are beaten by a part that lacks
+    # one item or has one: look those up by equality; then meet the few left by anchor.
+    parts = rules.select("items", "confidence", F.explode(F.array_union(
         F.transform("items", lambda t: F.array_except("items", F.array(t))),
-        F.transform("items", lambda t: F.array(t))])).alias("part"))
+        F.transform("items", lambda t: F.array(t)))).alias("part"))
     better = rules.select(F.col("items").alias("part"), F.col("confidence").alias("sure"))
     beaten = parts.where(F.col("part") != F.col("items")).join(better, "part").where("sure >= confidence").select("items")
-    kept = rules.join(beaten, "items", "left_anti")
-    rarest = kept.select("items", "confidence", F.explode("items").alias("item")).join(single, "item")
-    return rarest.groupBy("items", "confidence").agg(F.min_by("item", F.struct("freq", "item")).alias("anchor"))
-
-
-def filter_urls(df: DataFrame, id_col: str = "page_id", url_col: str = "url", rules=HOST_RULES) -> DataFrame:
+    left = rules.join(beaten, "items", "left_anti")
+    rarest = left.select("items", "confidence", F.explode("items").alias("item")).join(single, "item")
+    left = materialize(rarest.groupBy("items", "confidence").agg(F.min_by("item", F.struct("freq", "item")).alias("anchor")),
+                       "url-rules")
+    own = left.select(F.col("items").alias("kinds"), F.col("confidence").alias("own"))
+    beaten = (_fitting(left.select(F.col("items").alias("kinds")), left).join(own, "kinds")
+              .where((F.col("rule.items") != F.col("kinds")) & (F.col("rule.confidence") >= F.col("own")))
+              .select(F.col("kinds").alias("items")))
+    return left.join(beaten, "items", "left_anti")
+
+
+def filter_urls(df: DataFrame, id_col: str = "page_id", url_col: str = "url", rules=HOST_RULES,
+                broadcast_items: int = BROADCAST_ITEMS) -> DataFrame:
     """page_id, host, path, rule, verdict, and ``mined``: the mined rule that blocks (null: none)."""
     spark = df.sparkSession
     host, path = host_and_path(F.col("url"))
+    query, fragment = query_and_fragment(F.col("url"))
     pages = (df.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"))
-             .select("page_id", host.alias("host"), path.alias("path")))
+             .select("page_id", host.alias("host"), path.alias("path"),
+                     F.coalesce(query, F.lit("")).alias("query"), F.coalesce(fragment, F.lit("")).alias("fragment")))
     rule, verdict = host_rule(F.col("host"), F.col("path"), rules)
-    judged = pages.withColumns({"rule": rule, "verdict": verdict, "tokens": tokens(F.col("host"), F.col("path"))})
+    judged = pages.withColumns({"rule": rule, "verdict": verdict, "tokens": tokens(
+        F.col("host"), F.col("path"), F.col("query"), F.col("fragment"))}).drop("query", "fragment")
     labelled = judged.where("verdict IS NOT NULL")
-    if labelled.isEmpty():
-        index = spark.createDataFrame([], "anchor string, items array<string>, confidence double")
+    n = labelled.count()
+    if n:
+        kinds = materialize(token_kinds(labelled, n), "url-kinds")
+    else:
+        kinds = spark.createDataFrame([], "token string, kind string")
+    # One row holds the kind of each frequent token (see the bound above).
+    whole = kinds.agg(F.map_from_entries(F.collect_list(F.struct("token", "kind"))).alias("kind_of"), F.lit(1).alias("one"))
+    known = F.filter("tokens", lambda t: F.map_contains_key("kind_of", t))
+    judged = (judged.withColumn("one", F.lit(1)).join(F.broadcast(whole), "one", "left").withColumn("tokens", known)
+              .withColumn("kinds", F.array_sort(F.array_distinct(F.transform("tokens", lambda t: F.element_at("kind_of", t))))))
+    if n:
+        index = materialize(mine_rules(judged.where("verdict IS NOT NULL").select("kinds", "verdict")), "url-index")
+    else:
+        index = spark.createDataFrame([], "items array<string>, confidence double, anchor string")
+    if (index.agg(F.sum(F.size("items"))).first()[0] or 0) <= broadcast_items:
+        entries = index.groupBy("anchor").agg(F.collect_list(F.struct("confidence", "items")).alias("rules"))
+        whole = entries.agg(F.map_from_entries(F.collect_list(F.struct("anchor", "rules"))).alias("index"),
+                            F.lit(1).alias("one"))
+        found = F.flatten(F.transform(
+            F.filter("kinds", lambda k: F.map_contains_key("index", k)),
+            lambda k: F.filter(F.element_at("index", k),
+                               lambda r: F.size(F.array_except(r["items"], F.col("kinds"))) == 0)))
+        out = (judged.join(F.broadcast(whole), "one", "left")
+               .withColumn("found", F.when(F.col("verdict").isNull(), found)))
     else:
-        index = mine_rules(labelled)
-    # One row holds the whole index (see the bound above), as a map from anchor to its rules.
-    entries = index.groupBy("anchor").agg(F.collect_list(F.struct("confidence", "items")).alias("rules"))
-    whole = entries.agg(F.map_from_entries(F.collect_list(F.struct("anchor", "rules"))).alias("index"),
-                         F.lit(1).alias("one"))
-    found = F.flatten(F.transform(
-        F.filter("tokens", lambda t: F.map_contains_key(F.col("index"), t)),
-        lambda t: F.filter(F.element_at("index", t),
-                           lambda r: F.size(F.array_except(r["items"], F.col("tokens"))) == 0)))
-    best = F.array_max(F.when(F.col("verdict").isNull(), found))
-    out = judged.withColumn("one", F.lit(1)).join(F.broadcast(whole), "one", "left").withColumn("best", best)
+        # Only the surest rules of a set can be its best.
+        open_ = judged.where("verdict IS NULL").select("kinds").distinct()
+        fits = _fitting(open_, index)
+        sure = fits.groupBy("kinds").agg(F.max("rule.confidence").alias("sure"))
+        found = (fits.join(sure, "kinds").where(F.col("rule.confidence") == F.col("sure"))
+                 .groupBy("kinds").agg(F.collect_list("rule").alias("found")))
+        out = judged.join(found, "kinds", "left").withColumn("found", F.when(F.col("verdict").isNull(), F.col("found")))
+    # A rule in the URL's own tokens, the last of each kind.
+    named = F.transform("found", lambda r: F.struct(r["confidence"].alias("confidence"), F.array_sort(F.transform(
+        r["items"], lambda k: F.array_max(F.filter("tokens", lambda t: F.element_at("kind_of", t) == k)))).alias("items")))
+    out = out.withColumn("best", F.array_max(named))
     return out.select("page_id", "host", "path", "rule",
                       F.coalesce("verdict", F.when(F.col("best").isNotNull(), "block").otherwise("allow")).alias("verdict"),
                       F.array_join(F.col("best.items"), " ").alias("mined"))

@@ -353,6 +353,23 @@ def test_mined_rules(spark):
     assert len(got) == 103 and filter_urls(df.where("page_id > 100")).count() == 2
 
 
+def test_mined_rules_of_whole_urls(spark):
+    """A signal behind many tokens, one in the query, and one that only four tokens together give."""
+    far = "/".join("abcdefghijklmnopqrst")
+    rows = [f"http://s{i}.net/fr/{far}/casino" for i in range(20)] + [f"http://s{i}.com/{far}/news" for i in range(20)]
+    rows += [f"http://s{i}.net/fr/x?ad=pills" for i in range(20)] + [f"http://s{i}.com/x?ad=shoes" for i in range(20)]
+    four = ["red", "green", "blue", "black"]
+    rows += [f"http://s{i}.net/fr/{'/'.join(four)}" for i in range(20)]
+    rows += [f"http://s{i}.com/{'/'.join(four[:k] + four[k + 1:])}" for i in range(5) for k in range(4)]
+    probes = {f"http://z.org/{far}/casino": "block", f"http://z.org/{far}/other": "allow", "http://z.org/y?ad=pills": "block",
+              "http://z.org/y?ad=shoes": "allow", "http://z.org/black/blue/green/red": "block", "http://z.org/red/green/blue": "allow"}
+    df = spark.createDataFrame(list(enumerate(rows + list(probes))), "page_id bigint, url string")
+    got = filter_urls(df).collect()
+    verdicts = {r.page_id - len(rows): r.verdict for r in got if r.page_id >= len(rows)}
+    assert [verdicts[i] for i in range(len(probes))] == list(probes.values())
+    assert counted(filter_urls(df, broadcast_items=0).collect()) == counted(got)
+
+
 # ---- all together --------------------------------------------------------------------------
 
 
