@@ -1,9 +1,14 @@
-"""Which keys occur in several nodes: a packed, hash-bucketed exchange of (node, key) pairs.
+"""Which keys occur in several nodes: a packed, hash-bucketed exchange of (node, part, key) pairs.
+
+A node is a document: all rows of one id. A part is a 32-bit hash of a row's text. Nodes are what
+is compared; answers go to the node and part, so that they come back to rows of one text and not to
+all rows of the id. Parts of a node that meet in a hash only share their answers, which are the same
+for all rows of a node.
 
 A task turns a slice of documents into blocks, one row per bucket of keys, holding packed arrays
 instead of a row per pair. A slice is combined before it is sent: a key held by many nodes of one
 slice sends one pair, and the others are answered on the spot, so a key held by a third of all
-documents reaches its bucket once per slice. Buckets grow in number with
+documents reaches its bucket once per slice. Only the parts of one node each ask. Buckets grow in number with
 ``spark.sql.shuffle.partitions``; a task holds one bucket at a time.
 """
 
@@ -20,8 +25,8 @@ from .words import mix64
 SHARED = "shared"  # answers each pair whose key another node holds too
 LATER = "later"  # answers each pair whose key a smaller node holds
 
-BLOCKS = "bucket int, nodes binary, keys binary, states binary"
-ANSWERS = "node bigint, key bigint"
+BLOCKS = "bucket int, nodes binary, keys binary, states binary, parts binary"
+ANSWERS = "node bigint, part int, key bigint"
 ASK, WITNESS, ANSWERED = 0, 1, 2
 NODE_NULL = np.int64(2**63 - 1)  # documents without an id count as one, after all others
 
@@ -32,43 +37,45 @@ def bucket_bits(spark: SparkSession) -> int:
     return max(6, (4 * n - 1).bit_length())
 
 
-def _runs(keys: np.ndarray, nodes: np.ndarray):
-    """Distinct pairs by key, then node; where each key's run starts; each pair's run."""
-    order = np.lexsort((nodes, keys))
-    keys, nodes = keys[order], nodes[order]
+def _runs(keys: np.ndarray, nodes: np.ndarray, parts: np.ndarray):
+    """Pairs by key, then node, then part; where each key's run starts; each pair's run."""
+    order = np.lexsort((parts, nodes, keys))
+    keys, nodes, parts = keys[order], nodes[order], parts[order]
     head = np.ones(len(keys), bool)
     head[1:] = keys[1:] != keys[:-1]
-    return order, keys, nodes, head, np.cumsum(head) - 1
+    return order, keys, nodes, parts, head, np.cumsum(head) - 1
 
 
-def pack(nodes: np.ndarray, keys: np.ndarray, bits: int, mode: str) -> pa.RecordBatch | None:
-    """Blocks of one slice's (node, key) pairs, combined by key."""
+def pack(nodes: np.ndarray, parts: np.ndarray, keys: np.ndarray, bits: int, mode: str) -> pa.RecordBatch | None:
+    """Blocks of one slice's (node, part, key) pairs, combined by key."""
     if not len(keys):
         return None
-    _, keys, nodes, head, run = _runs(keys, nodes)
+    _, keys, nodes, parts, head, run = _runs(keys, nodes, parts)
     new = head.copy()
-    new[1:] |= nodes[1:] != nodes[:-1]
-    keys, nodes, head, run = keys[new], nodes[new], head[new], run[new]
-    held = np.bincount(run)[run]
-    state = np.where(head, ASK, ANSWERED).astype(np.uint8)
-    if mode == SHARED:  # the first of a key held twice here is answered too, and stays a witness
-        twice = head & (held > 1)
-        state[twice] = WITNESS
-        keys, nodes = np.concatenate((keys, keys[twice])), np.concatenate((nodes, nodes[twice]))
-        state = np.concatenate((state, np.full(twice.sum(), ANSWERED, np.uint8)))
-    # Answered pairs need no meeting: they are spread by node, so no hot key gathers them.
-    by = np.where(state == ANSWERED, mix64(nodes.astype(np.uint64)), keys)
+    new[1:] |= (nodes[1:] != nodes[:-1]) | (parts[1:] != parts[:-1])
+    keys, nodes, parts, head, run = keys[new], nodes[new], parts[new], head[new], run[new]
+    first = nodes == nodes[head][run]  # of the key's least node
+    state = np.where(first, ASK, ANSWERED).astype(np.uint8)
+    if mode == SHARED:  # a key of several nodes here is answered for all, and stays a witness
+        held = np.bincount(run, ~first)[run] > 0
+        state[held] = ANSWERED
+        twice = head & held
+        keys, nodes, parts = (np.concatenate((x, x[twice])) for x in (keys, nodes, parts))
+        state = np.concatenate((state, np.full(twice.sum(), WITNESS, np.uint8)))
+    # Answered pairs need no meeting: they are spread by row, so no hot key or node gathers them.
+    by = np.where(state == ANSWERED, mix64(nodes.astype(np.uint64) ^ mix64(parts.astype(np.uint64))), keys)
     bucket = (by >> np.uint64(64 - bits)).astype(np.int32)
-    order = np.lexsort((nodes, bucket))
-    bucket, keys, nodes, state = bucket[order], keys[order], nodes[order], state[order]
+    order = np.lexsort((parts, nodes, bucket))
+    bucket, keys, nodes, parts, state = bucket[order], keys[order], nodes[order], parts[order], state[order]
     cuts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
     ends = np.append(cuts[1:], len(bucket))
     return pa.RecordBatch.from_arrays(
         [pa.array(bucket[cuts]),
          pa.array([_pack_nodes(nodes[a:b]) for a, b in zip(cuts, ends)], pa.binary()),
          pa.array([keys[a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary()),
-         pa.array([state[a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary())],
-        ["bucket", "nodes", "keys", "states"])
+         pa.array([state[a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary()),
+         pa.array([parts[a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary())],
+        ["bucket", "nodes", "keys", "states", "parts"])
 
 
 def _pack_nodes(nodes: np.ndarray) -> bytes:
@@ -87,16 +94,16 @@ def _unpack_nodes(data: bytes) -> np.ndarray:
     return np.cumsum(np.concatenate((first, steps))).astype(np.int64)
 
 
-def _answers(rows: list[tuple[bytes, bytes, bytes]], mode: str) -> pa.RecordBatch | None:
-    """Answers of one bucket."""
-    nodes = np.concatenate([_unpack_nodes(n) for n, _, _ in rows])
-    keys = np.concatenate([np.frombuffer(k, np.uint64) for _, k, _ in rows])
-    state = np.concatenate([np.frombuffer(s, np.uint8) for _, _, s in rows])
+def _answers(rows: list[tuple[bytes, bytes, bytes, bytes]], mode: str) -> pa.RecordBatch | None:
+    """Answers of one bucket, each once."""
+    nodes = np.concatenate([_unpack_nodes(r[0]) for r in rows])
+    keys, state, parts = (np.concatenate([np.frombuffer(r[i], t) for r in rows])
+                          for i, t in ((1, np.uint64), (2, np.uint8), (3, np.int32)))
     done = state == ANSWERED
-    out_nodes, out_keys = [nodes[done]], [keys[done]]
-    nodes, keys, state = nodes[~done], keys[~done], state[~done]
+    out = [(nodes[done], parts[done], keys[done])]
+    nodes, parts, keys, state = nodes[~done], parts[~done], keys[~done], state[~done]
     if len(keys):
-        order, keys, nodes, head, run = _runs(keys, nodes)
+        order, keys, nodes, parts, head, run = _runs(keys, nodes, parts)
         state = state[order]
         if mode == SHARED:
             other = ~head
@@ -105,23 +112,25 @@ def _answers(rows: list[tuple[bytes, bytes, bytes]], mode: str) -> pa.RecordBatc
             hit = shared[run] & (state == ASK)
         else:
             hit = nodes > nodes[head][run]
-        out_nodes.append(nodes[hit])
-        out_keys.append(keys[hit])
-    n, k = np.concatenate(out_nodes), np.concatenate(out_keys)
+        out.append((nodes[hit], parts[hit], keys[hit]))
+    n, p, k = (np.concatenate(x) for x in zip(*out))
     if not len(n):
         return None
-    return pa.RecordBatch.from_arrays([pa.array(n), pa.array(k.view(np.int64))], ["node", "key"])
+    _, k, n, p, new, _ = _runs(k, n, p)  # copies of a row in several slices ask alike
+    new[1:] |= (n[1:] != n[:-1]) | (p[1:] != p[:-1])
+    return pa.RecordBatch.from_arrays([pa.array(n[new]), pa.array(p[new]), pa.array(k[new].view(np.int64))],
+                                      ["node", "part", "key"])
 
 
 def answer(blocks: DataFrame, mode: str) -> DataFrame:
-    """(node, key) rows of the blocks: those whose key is held as ``mode`` says. A pair may come
-    more than once."""
+    """(node, part, key) rows of the blocks: those whose key is held as ``mode`` says. A pair comes
+    twice at most: answered in a slice, and by its bucket."""
 
     def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, held = None, []
         for batch in batches:
             buckets = batch.column(0).to_pylist()
-            packed = [batch.column(i) for i in (1, 2, 3)]
+            packed = [batch.column(i) for i in (1, 2, 3, 4)]
             for i, bucket in enumerate(buckets):
                 if bucket != at and held:
                     if (out := _answers(held, mode)) is not None:

@@ -13,6 +13,9 @@ once; both steps join the same exchange.
 
 Windows are equal when their 64-bit hashes are.
 
+Answers come back by id and text hash, so a row's list holds the keys of one text, however many
+rows share an id or have none. The id alone decides which documents are compared.
+
 Rows: null text has no words; a text shorter than a window loses nothing; rows with the same id
 count as one document, whose rows are no repeats of one another; rows without an id count as one
 document after all others; an empty table gives an empty result. Only the id and text columns are
@@ -76,36 +79,40 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """``RESULT``: per row, its words, those removed, the maximal removed intervals (in words) and
     the text that stays, its words joined by one space."""
     docs = df.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(int(NODE_NULL))).alias("node"),
-                     F.col(text_col).cast("string").alias("text"))
+                     F.col(text_col).cast("string").alias("text")).withColumn("part", F.hash("text"))
     bits = bucket_bits(df.sparkSession)
 
+    def part_array(batch: pa.RecordBatch) -> np.ndarray:
+        return batch.column(2).to_numpy(zero_copy_only=False)
+
     def anchors(batch: pa.RecordBatch):
-        nodes = node_array(batch.column(0))
+        nodes, parts = node_array(batch.column(0)), part_array(batch)
         for s in text_slices(batch.column(1)):
             w = split(s)
             at, least = _window_anchors(w, window, anchor)
             row = w.row[at]
             new = np.ones(len(at), bool)
             new[1:] = (least[1:] != least[:-1]) | (row[1:] != row[:-1])
-            yield pack(nodes[s.lo:s.hi][row[new]], least[new], bits, SHARED)
+            yield pack(nodes[s.lo:s.hi][row[new]], parts[s.lo:s.hi][row[new]], least[new], bits, SHARED)
 
     def windows(batch: pa.RecordBatch):
-        nodes = node_array(batch.column(0))
+        nodes, parts = node_array(batch.column(0)), part_array(batch)
         for s in text_slices(batch.column(1)):
-            held_rows, held = flat_lists(batch.column(2), s.lo, s.hi)
+            held_rows, held = flat_lists(batch.column(3), s.lo, s.hi)
             if not len(held):
                 continue
             w = split(s)
             at, least = _window_anchors(w, window, anchor)
             hit = in_row(w.row[at], least, held_rows, held)
             _, hashes = grams(w, window)
-            yield pack(nodes[s.lo:s.hi][w.row[at[hit]]], hashes[hit], bits, LATER)
+            row = w.row[at[hit]]
+            yield pack(nodes[s.lo:s.hi][row], parts[s.lo:s.hi][row], hashes[hit], bits, LATER)
 
     def results(batch: pa.RecordBatch):
         ids = batch.column(0)
         for s in text_slices(batch.column(1)):
             w = split(s)
-            held_rows, held = flat_lists(batch.column(2), s.lo, s.hi)
+            held_rows, held = flat_lists(batch.column(3), s.lo, s.hi)
             at, hashes = grams(w, window)
             hit = at[in_row(w.row[at], hashes, held_rows, held)]
             cover = np.zeros(len(w.hash) + 1, np.int64)
@@ -122,10 +129,10 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 ["doc_id", "n_words", "n_removed", "removed", "kept_text"])
 
     def lists(answers: DataFrame) -> DataFrame:
-        return answers.groupBy("node").agg(F.collect_list("key").alias("keys"))
+        return answers.groupBy("node", "part").agg(F.collect_list("key").alias("keys"))
 
     def with_keys(answers: DataFrame) -> DataFrame:
-        return docs.join(lists(answers), "node", "left").select("node", "text", "keys")
+        return docs.join(lists(answers), ["node", "part"], "left").select("node", "text", "part", "keys")
 
     shared = answer(map_slices(docs, BLOCKS, anchors), SHARED)
     later = answer(map_slices(with_keys(shared), BLOCKS, windows), LATER)

@@ -272,6 +272,33 @@ def test_substring(docs):
     assert counted(got) == counted(want)
 
 
+def test_substring_rows_of_one_id(spark, monkeypatch):
+    """Rows that share an id, or have none, get the keys of their own text and no more."""
+    from pyspark.sql import functions as F
+
+    from lotwise.llm import substring_dedup
+
+    longest, seen = 60, []
+    held = [words(longest) for _ in range(40)]
+    rows = [(k, " ".join(w)) for k, w in enumerate(held)]
+    rows += [(None, " ".join(w[10:])) for w in held] + [(500, " ".join(w[:40])) for w in held]
+    rows += [(None, rows[50][1])] * 3 + [(500, "alone " * 5)]
+    again = words(30)  # in rows of one id only, so no repeat
+    rows += [(600, " ".join(again + words(k))) for k in range(5)]
+    map_slices = substring_dedup.map_slices
+
+    def watch(df, schema, work):
+        if "keys" in df.columns:
+            seen.append(df.agg(F.max(F.size("keys"))).first()[0])
+        return map_slices(df, schema, work)
+
+    monkeypatch.setattr(substring_dedup, "map_slices", watch)
+    got = remove_repeats(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)).collect()
+    assert len(seen) == 2 and max(seen) <= 2 * longest  # a key comes twice at most
+    assert counted((r.doc_id, r.n_words, r.n_removed) for r in got) == counted(
+        (k, len(split(t)), len(split(t)) if (k is None or k == 500) and "alone" not in t else 0) for k, t in rows)
+
+
 def test_contamination(spark, docs):
     pattern = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
     rows = CORPUS
