@@ -7,8 +7,11 @@ occurred earlier in the passage or in the text). Gated attention weighs the pass
     a = softmax(w . (tanh(V h) * sigmoid(U h))),    score = sigmoid(c . sum(a h) + b),
 
 and is learnt from the labels of whole texts, on at most ``SAMPLE`` labelled texts outside the
-held-out fold, by Adam on the driver. A sampled text longer than ``TRAIN_PASSAGES`` passages trains
-on as many spread evenly over it, which bounds the driver's matrix. Scoring uses all passages.
+held-out fold, by Adam on the driver. Training and scoring use all passages of each text. Spark
+encodes the sampled texts and stores their bags; the driver copies them to a temporary file, text by
+text, and reads back those of a step, ``CHUNK`` passages at once or one text, the gradient being a
+sum over texts. So its memory is bounded by one stored partition and the longest text, and its file
+by the sampled texts.
 
 Rows: null and empty texts are bags of one empty passage; repeated rows score alike; without
 training texts of both labels the score is the smoothed share of label 1; an empty table gives an
@@ -17,18 +20,21 @@ empty result. Only ids and texts are read.
 
 from __future__ import annotations
 
+import tempfile
 from dataclasses import dataclass
+from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from ..session import remove_path, scratch_path
 from .labels import Adam, label_slices, score_texts, sigmoid, training_texts
 from .words import NOT_SPACE, Slice, split
 
 FOLDS, HELD_OUT = 4, 2
 SAMPLE = 6_000  # labelled texts
-TRAIN_PASSAGES = 40
+CHUNK = 8_192  # passages of a training step held at once, or those of one text
 PASSAGE = 64  # words
 PAIRS = 64  # buckets of byte pairs
 HIDDEN = 16
@@ -97,29 +103,73 @@ class Attention:
         return self.forward((h - self.centre) / self.scale, first)[-1]
 
 
-def _bags(sample: DataFrame) -> tuple[list[np.ndarray], np.ndarray]:
-    """The sampled texts' passages and labels, in an order of their own."""
+def _bags(sample: DataFrame) -> DataFrame:
+    """bag (all passages of a text) and label of each sampled text."""
 
     def run(batches):
         for batch in batches:
             for s, y in label_slices(batch):
                 h, first = encode(s)
-                bags = []
-                for a, b in zip(first[:-1], first[1:]):
-                    take = np.unique(np.linspace(a, b - 1, min(b - a, TRAIN_PASSAGES)).astype(int))
-                    bags.append(h[take].tobytes())
+                bags = [h[a:b].tobytes() for a, b in zip(first[:-1], first[1:])]
                 yield pa.RecordBatch.from_arrays([pa.array(bags, pa.binary()), pa.array(y.astype(np.int32))], ["bag", "label"])
 
-    got = sample.mapInArrow(run, "bag binary, label int").toArrow()
-    bags, labels = got.column("bag").to_pylist(), got.column("label").to_pylist()
-    order = sorted(range(len(bags)), key=lambda i: (bags[i], labels[i]))
-    return ([np.frombuffer(bags[i], np.float32).reshape(-1, WIDTH) for i in order],
-            np.array([labels[i] for i in order], np.float32))
+    return sample.mapInArrow(run, "bag binary, label int")
+
+
+class BagFile:
+    """The sampled texts' passages in a temporary file of the driver; labels ``y`` and numbers of
+    passages ``n`` in an order of the texts' own."""
+
+    def __init__(self, stored: DataFrame):
+        self.file = tempfile.TemporaryFile()
+        keys, at = [], 0
+        for row in stored.toLocalIterator():
+            self.file.write(row.bag)
+            keys.append((bytes(row.bag[:WIDTH * 4]), sha256(row.bag).digest(), row.label, at, len(row.bag) // (WIDTH * 4)))
+            at += len(row.bag)
+        self.file.flush()
+        keys.sort()
+        self.y = np.array([k[2] for k in keys], np.float32)
+        self.at = [k[3] for k in keys]
+        self.n = np.array([k[4] for k in keys], np.int64)
+
+    def chunks(self, part):
+        """Texts of ``part`` in groups of ``CHUNK`` passages at most, or one text, and their passages."""
+        lo = 0
+        while lo < len(part):
+            sizes = np.cumsum(self.n[part[lo:]])
+            hi = lo + max(1, int(np.searchsorted(sizes, CHUNK, "right")))
+            yield part[lo:hi], np.concatenate([self._read(i) for i in part[lo:hi]])
+            lo = hi
+
+    def _read(self, i: int) -> np.ndarray:
+        self.file.seek(self.at[i])
+        return np.frombuffer(self.file.read(int(self.n[i]) * WIDTH * 4), np.float32).reshape(-1, WIDTH)
+
+    def spread(self) -> tuple[np.ndarray, np.ndarray]:
+        """Mean and standard deviation of each feature over all passages."""
+        every = np.arange(len(self.n))
+        mean = sum(h.sum(0, np.float64) for _, h in self.chunks(every)) / self.n.sum()
+        return mean, np.sqrt(sum(((h - mean) ** 2).sum(0) for _, h in self.chunks(every)) / self.n.sum())
+
+    def close(self) -> None:
+        self.file.close()
 
 
 def fit(sample: DataFrame) -> Attention:
     """The model of a sample (text, label)."""
-    bags, y = _bags(sample)
+    path = scratch_path(sample.sparkSession, "quality-bags")
+    _bags(sample).write.parquet(path)
+    bags = BagFile(sample.sparkSession.read.schema("bag binary, label int").parquet(path))
+    try:
+        return _learn(bags)
+    finally:
+        bags.close()
+        remove_path(sample.sparkSession, path)
+
+
+def _learn(bags: BagFile) -> Attention:
+    y = bags.y
     random = np.random.default_rng(11)
     p = {"V": random.normal(0, 0.1, (WIDTH, HIDDEN)),
          "U": random.normal(0, 0.1, (WIDTH, HIDDEN)),
@@ -127,26 +177,34 @@ def fit(sample: DataFrame) -> Attention:
          "b": np.array([np.log((y.sum() + 1) / (len(y) - y.sum() + 1))])}
     if not 0 < y.sum() < len(y):
         return Attention(np.zeros(WIDTH), np.ones(WIDTH), p)
-    every = np.concatenate(bags)
-    model = Attention(every.mean(0, np.float64), every.std(0, np.float64) + 0.01, p)
-    del every
+    centre, scale = bags.spread()
+    model = Attention(centre, scale + 0.01, p)
     adam = Adam(p, RATE)
     for _ in range(EPOCHS):
         order = random.permutation(len(y))
         for lo in range(0, len(y), BATCH):
             part = order[lo:lo + BATCH]
-            h = (np.concatenate([bags[i] for i in part]) - model.centre) / model.scale
-            first = np.concatenate(([0], np.cumsum([len(bags[i]) for i in part])))
-            t, g, a, bag, z, out = model.forward(h, first)
-            e = (out - y[part]) / len(part)
-            da = (h @ p["c"]) * e[bag]
-            de = a * (da - np.add.reduceat(a * da, first[:-1])[bag])
-            dt, dg = de[:, None] * p["w"] * g * (1 - t * t), de[:, None] * p["w"] * t * g * (1 - g)
-            adam.step({"b": e.sum(keepdims=True), "c": z.T @ e + DECAY * p["c"], "w": (t * g).T @ de,
-                       "V": h.T @ dt + DECAY * p["V"], "U": h.T @ dg + DECAY * p["U"]})
+            step = {k: DECAY * p[k] if k in "cVU" else np.zeros_like(p[k]) for k in p}
+            for texts, h in bags.chunks(part):
+                for k, g in _gradient(model, h, bags.n[texts], y[texts], len(part)).items():
+                    step[k] += g
+            adam.step(step)
     return model
 
 
+def _gradient(model: Attention, h: np.ndarray, n: np.ndarray, y: np.ndarray, total: int) -> dict[str, np.ndarray]:
+    """The part that whole texts of ``n`` passages have in a step of ``total`` texts."""
+    p = model.p
+    h = (h - model.centre) / model.scale
+    first = np.concatenate(([0], np.cumsum(n)))
+    t, g, a, bag, z, out = model.forward(h, first)
+    e = (out - y) / total
+    da = (h @ p["c"]) * e[bag]
+    de = a * (da - np.add.reduceat(a * da, first[:-1])[bag])
+    dt, dg = de[:, None] * p["w"] * g * (1 - t * t), de[:, None] * p["w"] * t * g * (1 - g)
+    return {"b": e.sum(keepdims=True), "c": z.T @ e, "w": (t * g).T @ de, "V": h.T @ dt, "U": h.T @ dg}
+
+
 def score_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score and predicted of every row of ``docs``; learnt from their labels."""
     sample = training_texts(docs, labels, "quality", FOLDS, HELD_OUT, SAMPLE)

@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from lotwise.llm import chat_format, fingerprints, mixing
@@ -20,6 +21,7 @@ from lotwise.llm.substring_dedup import remove_repeats
 from lotwise.llm.token_files import pack_ids, read_documents, token_folder, unpack_ids, write_token_files
 from lotwise.llm.toxicity import score_toxicity
 from lotwise.llm.url_filter import filter_urls
+from lotwise.llm.words import text_slices
 
 DOCS = "doc_id bigint, text string, lang string, source string, `row` int, node string, key string"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -99,6 +101,26 @@ def test_classifier_held_out(spark, score, label, folds, fold):
     assert score(docs, marks.limit(0)).count() == len(rows)
 
 
+def test_quality_trains_on_all_passages(spark):
+    """Every passage of a long sampled text is a row of the bag, and the one that decides is learnt."""
+    from lotwise.llm import quality
+
+    rows, labels = [], []
+    for i in range(240):
+        w = words(64 * 120)
+        if i % 2:  # one passage of 120, which no even spread of 40 has
+            at = 64 * (1 + 3 * (i % 5))
+            w[at:at + 64] = [x.upper() + "!!" for x in w[at:at + 64]]
+        rows.append((" ".join(w), i % 2))
+    sample = spark.createDataFrame(rows, "text string, label int").repartition(4)
+    bags = quality._bags(sample).collect()
+    assert {len(r.bag) // (4 * quality.WIDTH) for r in bags} == {120}
+    model = quality.fit(sample)
+    texts = pa.array([" ".join(w) for w in (words(64) + [x.upper() + "!!" for x in words(64)] + words(64 * 118), words(64 * 120))])
+    low, high = sorted(model.score(next(text_slices(texts))))
+    assert low < 0.3 and high > 0.7 and model.score(next(text_slices(texts)))[0] == high
+
+
 # ---- chat formatting -----------------------------------------------------------------------
 
 
