@@ -1,9 +1,9 @@
 """Toxicity: a factorization machine over hashed terms.
 
 Terms are the 64-bit hashes of a text's lower-cased words and of their first 4, 5 and 6 bytes (a
-word's stem, whatever follows it), each once per text. Spark counts them over the training sample:
-first in toxic texts, then the ``CANDIDATES`` most frequent of those in all; the ``TERMS`` that tell
-most (by the log-likelihood ratio, ``SURE`` at least) are kept. The machine learns a weight and ``RANK`` factors for each,
+word's stem, whatever follows it), each once per text. Spark counts every term's clean and toxic
+texts over the whole training sample and ranks all terms of ``LEAST`` toxic texts or more by the
+log-likelihood ratio; the ``TERMS`` that tell most (``SURE`` at least) are kept. The machine learns a weight and ``RANK`` factors for each,
 so pairs of terms that are harmless apart can weigh together. It is fitted on at most ``SAMPLE``
 labelled texts outside the held-out fold, by Adam on the driver over a matrix of at most
 SAMPLE x TERMS bytes; scoring is a map over whole texts.
@@ -27,7 +27,6 @@ from .words import LETTERS_DIGITS, Slice, mix64, prefix_hashes, split, text_slic
 
 FOLDS, HELD_OUT = 3, 1
 SAMPLE = 10_000  # labelled texts
-CANDIDATES = 20_000
 TERMS = 2_048
 RANK = 8
 STEMS = (4, 5, 6)  # bytes
@@ -79,46 +78,41 @@ class Machine:
         return sigmoid(self.bias + total)
 
 
-def _toxic_terms(sample: DataFrame) -> np.ndarray:
-    """The terms of most toxic texts, ``CANDIDATES`` at most."""
+def _term_counts(sample: DataFrame) -> DataFrame:
+    """(term, clean, toxic): in how many clean and toxic texts each term of the sample is."""
 
     def run(batches):
         for batch in batches:
             for s, y in label_slices(batch, lower=True):
                 rows, hashes = _terms(s)
-                got, n = np.unique(hashes[y[rows] == 1], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(got.view(np.int64)), pa.array(n)], ["term", "n"])
-
-    counts = sample.mapInArrow(run, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
-    got = counts.where(F.col("n") >= LEAST).orderBy(F.desc("n"), "term").limit(CANDIDATES).toArrow()
+                got, place = np.unique(hashes, return_inverse=True)
+                toxic = np.bincount(place[y[rows] == 1], minlength=len(got))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(got.view(np.int64)), pa.array(np.bincount(place, minlength=len(got)) - toxic), pa.array(toxic)],
+                    ["term", "clean", "toxic"])
+
+    return (sample.mapInArrow(run, "term bigint, clean bigint, toxic bigint").groupBy("term")
+            .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")))
+
+
+def _telling(sample: DataFrame) -> np.ndarray:
+    """The ``TERMS`` that tell toxic texts best, by the log-likelihood ratio."""
+    toxic = (F.col("label") == 1).cast("bigint")
+    n_clean, n_toxic = sample.agg(F.coalesce(F.sum(1 - toxic), F.lit(0)), F.coalesce(F.sum(toxic), F.lit(0))).first()
+    total = float(n_clean + n_toxic)
+    with_term = F.col("clean") + F.col("toxic")
+
+    def share(count, of_term, of_label):
+        return F.when(count > 0, count * F.log(count * total / (of_term * float(of_label)))).otherwise(0.0)
+
+    ratio = 2 * sum((share(F.col("clean"), with_term, n_clean), share(F.col("toxic"), with_term, n_toxic),
+                     share(n_clean - F.col("clean"), total - with_term, n_clean),
+                     share(n_toxic - F.col("toxic"), total - with_term, n_toxic)), F.lit(0.0))
+    got = (_term_counts(sample).where(F.col("toxic") >= LEAST).withColumn("ratio", F.round(ratio, 6))
+           .where(F.col("ratio") >= SURE).orderBy(F.desc("ratio"), "term").limit(TERMS).select("term").toArrow())
     return np.sort(got.column("term").to_numpy().view(np.uint64))
 
 
-def _telling(sample: DataFrame, terms: np.ndarray) -> np.ndarray:
-    """The ``TERMS`` of the candidates that tell toxic texts best, by the log-likelihood ratio."""
-
-    def run(batches):
-        seen = np.zeros((2, len(terms) + 1), np.int64)
-        for batch in batches:
-            for s, y in label_slices(batch, lower=True):
-                rows, place = _known(s, terms)
-                for label in (0, 1):
-                    seen[label, :-1] += np.bincount(place[y[rows] == label], minlength=len(terms))
-                    seen[label, -1] += (y == label).sum()
-        at = np.arange(len(terms) + 1)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(seen[0]), pa.array(seen[1])], ["at", "clean", "toxic"])
-
-    got = (sample.mapInArrow(run, "at bigint, clean bigint, toxic bigint").groupBy("at")
-           .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).orderBy("at").toArrow())
-    clean, toxic = got.column("clean").to_numpy(), got.column("toxic").to_numpy()
-    n = np.array([[clean[:-1], clean[-1] - clean[:-1]], [toxic[:-1], toxic[-1] - toxic[:-1]]], float)
-    expected = n.sum(0, keepdims=True) * n.sum(1, keepdims=True) / n.sum((0, 1), keepdims=True)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        gain = np.nansum(np.where(n > 0, n * np.log(n / expected), 0), (0, 1))
-    best = np.argsort(-gain, kind="stable")[:TERMS]
-    return np.sort(terms[best[2 * gain[best] >= SURE]])
-
-
 def _matrix(sample: DataFrame, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Which terms each sampled text has, and its label, in an order of their own."""
 
@@ -140,10 +134,7 @@ def _matrix(sample: DataFrame, terms: np.ndarray) -> tuple[np.ndarray, np.ndarra
 def fit(sample: DataFrame) -> Machine:
     """The machine of a sample (text, label)."""
     none = Machine(np.zeros(0, np.uint64), 0.0, np.zeros(0), np.zeros((0, RANK)))
-    candidates = _toxic_terms(sample)
-    if not len(candidates):
-        return none
-    terms = _telling(sample, candidates)
+    terms = _telling(sample)
     if not len(terms):
         return none
     x, y = _matrix(sample, terms)

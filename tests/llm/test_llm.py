@@ -101,6 +101,19 @@ def test_classifier_held_out(spark, score, label, folds, fold):
     assert score(docs, marks.limit(0)).count() == len(rows)
 
 
+def test_toxic_terms_all_tested(spark):
+    """A telling term is kept though more terms than any cap on candidates are in more toxic texts."""
+    from lotwise.llm import toxicity
+
+    common = " ".join(f"{k:05d}" for k in range(21_000))  # short words: no stems of their own but of 4 bytes
+    rows = [(common + (" vile" if i < 6 else ""), 1) for i in range(8)] + [(common, 0) for _ in range(8)]
+    sample = spark.createDataFrame(rows, "text string, label int").repartition(3)
+    machine = toxicity.fit(sample)
+    texts = pa.array(["vile", "00001"])
+    vile, plain = machine.score(next(text_slices(texts, lower=True)))
+    assert len(machine.terms) == 1 and vile > plain
+
+
 def test_quality_trains_on_all_passages(spark):
     """Every passage of a long sampled text is a row of the bag, and the one that decides is learnt."""
     from lotwise.llm import quality
