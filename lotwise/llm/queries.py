@@ -16,6 +16,7 @@ from .jaccard_join import join_similar
 from .quality import score_quality
 from .substring_dedup import remove_repeats
 from .token_files import read_documents, token_folder, write_token_files
+from .token_transducer import count_tokens
 from .toxicity import score_toxicity
 from .url_filter import filter_urls
 
@@ -89,6 +90,10 @@ def op10_decontamination(spark, sf_dir):
                       F.sha2(F.concat_ws(",", names), 256).alias("items_sha256"), "contaminated")
 
 
+def op11_token_counts(spark, sf_dir):
+    return count_tokens(_read(spark, sf_dir, "documents"), tokenizer_path())
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_quality": op2_quality,
@@ -100,6 +105,7 @@ QUERIES: dict[str, Query] = {
     "op8_fingerprints": op8_fingerprints,
     "op9_url_filter": op9_url_filter,
     "op10_decontamination": op10_decontamination,
+    "op11_token_counts": op11_token_counts,
 }
 
 ORACLES: dict[str, str] = {"op5_mixing": mixing.ORACLE_SQL}
