@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing
+from . import lexical_search, mixing
 from .chat_format import digest, format_turns
 from .decontaminate import find_contamination
 from .fingerprints import with_edits
@@ -94,6 +94,10 @@ def op11_token_counts(spark, sf_dir):
     return count_tokens(_read(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op12_lexical_search(spark, sf_dir):
+    return lexical_search.rank_documents(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_quality": op2_quality,
@@ -106,6 +110,7 @@ QUERIES: dict[str, Query] = {
     "op9_url_filter": op9_url_filter,
     "op10_decontamination": op10_decontamination,
     "op11_token_counts": op11_token_counts,
+    "op12_lexical_search": op12_lexical_search,
 }
 
-ORACLES: dict[str, str] = {"op5_mixing": mixing.ORACLE_SQL}
+ORACLES: dict[str, str] = {"op5_mixing": mixing.ORACLE_SQL, "op12_lexical_search": lexical_search.ORACLE_SQL}
