@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import lexical_search, mixing
+from .alignment import align_tokenizers
 from .chat_format import digest, format_turns
 from .decontaminate import find_contamination
 from .fingerprints import with_edits
@@ -57,10 +58,10 @@ def op5_mixing(spark, sf_dir):
     return mixing.mix(docs, weights=weights).select("doc_id", "size", "source_size", "target", "taken")
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def op6_token_files(spark, sf_dir):
@@ -98,6 +99,10 @@ def op12_lexical_search(spark, sf_dir):
     return lexical_search.rank_documents(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+def op13_token_alignment(spark, sf_dir):
+    return align_tokenizers(_read(spark, sf_dir, "documents"), tokenizer_path(), tokenizer_path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_quality": op2_quality,
@@ -111,6 +116,7 @@ QUERIES: dict[str, Query] = {
     "op10_decontamination": op10_decontamination,
     "op11_token_counts": op11_token_counts,
     "op12_lexical_search": op12_lexical_search,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 ORACLES: dict[str, str] = {"op5_mixing": mixing.ORACLE_SQL, "op12_lexical_search": lexical_search.ORACLE_SQL}
