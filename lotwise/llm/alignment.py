@@ -1,9 +1,10 @@
 """Alignment of two tokenizers' tokens over the same bytes, by windows between white space.
 
-Every text is encoded whole by both tokenizers. Where both have a token that ends and the next token
+Every text is encoded whole by both tokenizers; the ids of segments at whose ends neither tokenizer can
+go on are kept, so a segment met before is not encoded again. Where both have a token that ends and the next token
 of either is marked by a space, the text may be split: nothing overlaps across such an anchor. The
 pieces between anchors are windows of token ids. How a window's tokens overlap depends on its two id
-tuples alone, so a block keeps one alignment per pair of tuples, and texts become short sequences of
+tuples alone, so a worker keeps one alignment per pair of tuples, and texts become short sequences of
 window numbers.
 
 A block is a run of a task's texts of about ``BLOCK_BYTES`` (one text at least), stored as one row:
@@ -23,6 +24,7 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,14 +33,17 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 from .token_transducer import byte_alphabet
-from .words import BASE_WORD, GOLDEN, Slice, _span_hashes, mix64, text_slices
+from .words import BASE_BYTE, BASE_WORD, GOLDEN, Slice, _byte_values, _span_hashes, mix64, text_slices
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 4 << 20  # of text
+SEGMENTS = 300_000  # whose ids a worker keeps
+WINDOWS = 300_000  # alignments after which a worker begins anew with its next block
 SPACE_MARK = "▁"  # of sentencepiece
 
 STORED = ("block bigint, doc_id array<bigint>, n_a array<bigint>, n_b array<bigint>, n_groups array<bigint>, "
           "n_links array<bigint>, sha array<string>, n_windows array<int>, windows binary, first binary, links binary, "
           "pairs array<struct<pair: bigint, n: bigint>>")
+STORED_NAMES = ["block", "doc_id", "n_a", "n_b", "n_groups", "n_links", "sha", "n_windows", "windows", "first", "links", "pairs"]
 ALIGNED = ("doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint, "
            "groups_sha256 string")
 
@@ -81,7 +86,7 @@ class BytePairs:
         self.vocabulary = Vocabulary(words)
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
 
 class Pieces:
@@ -91,147 +96,195 @@ class Pieces:
         import sentencepiece
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
-        words = []
-        for i in range(self.model.get_piece_size()):
-            piece = self.model.id_to_piece(i)
+        words, names = [], [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
+        for i, piece in enumerate(names):
             words.append(bytes([int(piece[3:5], 16)]) if self.model.is_byte(i)
                          else piece.replace(SPACE_MARK, " ").encode())
+        if any(SPACE_MARK in piece.lstrip(SPACE_MARK) for piece in names):
+            raise ValueError(f"{path}: pieces that go on after a space can't be encoded by segments")
         self.vocabulary = Vocabulary(words)
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        return self.model.encode(texts, num_threads=1)
-
-
-_LOADED: dict[tuple[str, str], tuple[BytePairs, Pieces]] = {}
-
-
-def tokenizers(path_a: str, path_b: str) -> tuple[BytePairs, Pieces]:
-    """One pair per worker process."""
-    if (path_a, path_b) not in _LOADED:
-        _LOADED[path_a, path_b] = BytePairs(path_a), Pieces(path_b)
-    return _LOADED[path_a, path_b]
+        """Ids of texts that begin with the space that the model adds."""
+        return self.model.encode([t[1:] for t in texts], num_threads=1)
+
+
+class Flat:
+    """Lists of ids by number, in one growing array."""
+
+    def __init__(self):
+        self.size, self.n = np.zeros(1024, np.int64), 0
+        self.ids, self.used = np.zeros(1 << 16, np.int32), 0
+
+    def extend(self, lists: list[list[int]]) -> None:
+        size = [len(x) for x in lists]
+        total = sum(size)
+        while self.n + len(size) > len(self.size):
+            self.size = np.concatenate((self.size, np.zeros_like(self.size)))
+        while self.used + total > len(self.ids):
+            self.ids = np.concatenate((self.ids, np.zeros_like(self.ids)))
+        self.size[self.n:self.n + len(size)] = size
+        self.ids[self.used:self.used + total] = np.fromiter(chain.from_iterable(lists), np.int32, total)
+        self.n, self.used = self.n + len(size), self.used + total
+
+    def index(self) -> None:
+        self.start = np.cumsum(self.size[:self.n]) - self.size[:self.n]
+
+    def take(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The lists of these numbers joined, and the size of each."""
+        size = self.size[numbers]
+        return self.ids[spans(self.start[numbers], size)], size
+
+
+def segment_starts(data: np.ndarray, text_start: np.ndarray) -> np.ndarray:
+    """Where texts (each with a space before it) may be cut so that both tokenizers give the ids of
+    the whole text: at a text's start, and before a space after a character known to be no space
+    (ASCII above 0x20, two bytes from U+00C0, three from U+4000, four). There a piece of the split
+    pattern ends whatever follows, and no sentencepiece piece goes on."""
+    n = len(data)
+    lead2, lead3, lead4 = (data >= 0xC3) & (data <= 0xDF), (data >= 0xE4) & (data <= 0xEF), data >= 0xF0
+    solid = (data > 0x20) & (data < 0x80)  # the last byte of such a character
+    for k, lead in ((1, lead2), (2, lead3), (3, lead4)):
+        solid[k:] |= lead[:n - k]
+    cut = np.zeros(n, bool)
+    cut[1:] = solid[:-1] & (data[1:] == 0x20)
+    cut[np.append(text_start[1:], n)[:len(text_start)] - 1] = False  # a last space alone would encode to nothing
+    cut[text_start] = True
+    return np.flatnonzero(cut)
 
 
 class Tokens:
-    """Ids of several texts in a row, with the bytes they end at."""
-
-    def __init__(self, ids: list[list[int]], vocabulary: Vocabulary):
-        self.count = np.array([len(x) for x in ids], np.int64)
-        self.ids = np.fromiter((i for x in ids for i in x), np.int32, int(self.count.sum()))
-        self.vocabulary = vocabulary
-        self._place()
+    """Ids of several texts in a row, with the bytes they start and end at."""
 
-    def _place(self) -> None:
-        size = self.vocabulary.size[self.ids]
+    def __init__(self, ids: np.ndarray, count: np.ndarray, vocabulary: Vocabulary):
+        self.ids, self.count, self.vocabulary = ids, count, vocabulary
+        size = vocabulary.size[ids]
         self.end = np.cumsum(size)
         self.start = self.end - size
-        self.first = np.cumsum(self.count) - self.count
-
-    def bytes_per_text(self) -> np.ndarray:
-        total = np.concatenate(([0], self.end))
-        return total[self.first + self.count] - total[self.first]
-
-    def keep(self, texts: np.ndarray) -> None:
-        self.ids = self.ids[np.repeat(texts, self.count)]
-        self.count = self.count[texts]
-        self._place()
-
-
-def equal_texts(got: np.ndarray, want: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Which of the texts of these sizes (none empty) are the same in both buffers."""
-    return np.add.reduceat(got != want, np.cumsum(size) - size, dtype=np.int64) == 0 if len(size) else np.zeros(0, bool)
-
-
-def verified_tokens(s: Slice, a: BytePairs, b: Pieces) -> tuple[np.ndarray, Tokens, Tokens]:
-    """The texts of a slice whose tokens give back space and text, and their tokens of both kinds."""
-    raw = s.data.tobytes()
-    rows = np.flatnonzero(np.diff(s.offsets))
-    texts = [raw[x:y].decode() for x, y in zip(s.offsets[rows].tolist(), s.offsets[rows + 1].tolist())]
-    left, right = Tokens(a.encode(texts), a.vocabulary), Tokens(b.encode(texts), b.vocabulary)
-    size = np.diff(s.offsets)[rows] + 1
-    whole = len(rows)
-
-    def drop_others(good: np.ndarray) -> None:
-        nonlocal rows, size
-        if not good.all():
-            left.keep(good)
-            right.keep(good)
-            rows, size = rows[good], size[good]
-
-    drop_others((left.bytes_per_text() == size) & (right.bytes_per_text() == size))
-    data = s.data if len(rows) == whole else s.data[spans(s.offsets[rows], size - 1)]
-    want = np.insert(data, np.cumsum(size - 1) - (size - 1), np.uint8(0x20))
-    drop_others(equal_texts(left.vocabulary.joined(left.ids), want, size)
-                & equal_texts(right.vocabulary.joined(right.ids), want, size))
-    return rows, left, right
+        self.first = np.cumsum(count) - count
+
+
+class Pair:
+    """Both tokenizers, with the ids of segments of texts met before (``SEGMENTS`` at most)."""
+
+    def __init__(self, path_a: str, path_b: str):
+        self.sides = BytePairs(path_a), Pieces(path_b)
+        self.names = [str(i) for i in range(max(len(x.vocabulary.size) for x in self.sides))]
+        self.memo = Memo(self.names)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[bytes, int] = {}
+        self.good = np.zeros(0, bool)
+        self.flat = Flat(), Flat()
+
+    def _learn(self, segments: list[bytes]) -> None:
+        texts, good = [x.decode() for x in segments], np.ones(len(segments), bool)
+        want = np.frombuffer(b"".join(segments), np.uint8)
+        size = np.array([len(x) for x in segments], np.int64)
+        for side, flat in zip(self.sides, self.flat):
+            lists = side.encode(texts)
+            flat.extend(lists)
+            flat.index()
+            ids, count = flat.take(np.arange(flat.n - len(lists), flat.n))
+            good &= given_back(side.vocabulary, ids, count, want, size)
+        self.good = np.concatenate((self.good, good))
+        self.known.update(zip(segments, range(len(self.known), len(self.known) + len(segments))))
+
+    def encode(self, s: Slice) -> tuple[np.ndarray, Tokens, Tokens]:
+        """The texts of a slice whose tokens give back space and text, and their tokens."""
+        rows = np.flatnonzero(np.diff(s.offsets))
+        data = np.insert(s.data, s.offsets[rows], np.uint8(0x20))
+        text_start = s.offsets[rows] + np.arange(len(rows))
+        start = segment_starts(data, text_start)
+        end = np.append(start[1:], len(data))
+        _, at, which = np.unique(_span_hashes(_byte_values()[data], start, end, BASE_BYTE),
+                                 return_index=True, return_inverse=True)
+        raw = data.tobytes()
+        segments = [raw[x:y] for x, y in zip(start[at].tolist(), end[at].tolist())]
+        new = [x for x in segments if x not in self.known]
+        if len(self.known) + len(new) > SEGMENTS:
+            self._forget()
+            new = segments
+        if new:
+            self._learn(new)
+        number = np.fromiter(map(self.known.__getitem__, segments), np.int64, len(segments))[which]
+        first = np.searchsorted(start, text_start)
+        if len(rows):
+            good = np.logical_and.reduceat(self.good[number], first)
+            if not good.all():
+                number = number[np.repeat(good, np.diff(np.append(first, len(number))))]
+                rows, first = rows[good], np.diff(np.append(first, len(start)))[good]
+                first = np.cumsum(first) - first
+        tokens = []
+        for side, flat in zip(self.sides, self.flat):
+            ids, size = flat.take(number) if len(number) else (np.zeros(0, np.int32), np.zeros(0, np.int64))
+            count = np.add.reduceat(size, first) if len(rows) else np.zeros(0, np.int64)
+            tokens.append(Tokens(ids, count, side.vocabulary))
+        return rows, *tokens
+
+
+def given_back(vocabulary: Vocabulary, ids: np.ndarray, count: np.ndarray, want: np.ndarray,
+               size: np.ndarray) -> np.ndarray:
+    """Which texts (none empty, ``size`` bytes of ``want`` each) their ``count`` ids' bytes make."""
+    begin = np.cumsum(count) - count
+    total = np.concatenate(([0], np.cumsum(vocabulary.size[ids])))
+    good = total[begin + count] - total[begin] == size
+    ids = ids[np.repeat(good, count)]
+    have, want = vocabulary.joined(ids), want[np.repeat(good, size)]
+    part = size[good]
+    if len(part):
+        good[good] = np.add.reduceat(have != want, np.cumsum(part) - part, dtype=np.int64) == 0
+    return good
+
+
+_LOADED: dict[tuple[str, str], Pair] = {}
+
+
+def tokenizers(path_a: str, path_b: str) -> Pair:
+    """One pair per worker process."""
+    if (path_a, path_b) not in _LOADED:
+        _LOADED[path_a, path_b] = Pair(path_a, path_b)
+    return _LOADED[path_a, path_b]
 
 
-class Block:
-    """Documents as sequences of windows; each window's alignment is made once."""
+class Memo:
+    """Alignments of windows by their id tuples, numbered in the order of learning."""
 
     def __init__(self, names: list[str]):
         self.names = names  # of ids, in decimal
+        self.forget()
+
+    def forget(self) -> None:
         self.number: dict[bytes, int] = {}
         self.text: list[str] = []  # of each window's groups
-        self.groups: list[np.ndarray] = []
-        self.sizes: list[np.ndarray] = []
-        self.links: list[np.ndarray] = []
-        self.columns: dict[str, list] = {c: [] for c in ("n_a", "n_b", "n_groups", "n_links", "n_windows")}
-        self.ids: list[pa.Array] = []
-        self.sha: list[str] = []
-        self.windows: list[np.ndarray] = []
-        self.bytes = 0
         self.n_groups = self.n_links = np.zeros(0, np.int64)
+        self.links = np.zeros(0, np.int64)
 
-    def add(self, s: Slice, ids: pa.Array, rows: np.ndarray, a: Tokens, b: Tokens) -> None:
-        """The texts of a slice; ``rows`` of them have tokens."""
-        self.bytes += len(s.data)
-        self.ids.append(ids)
-        count = {c: np.zeros(s.rows, np.int64) for c in self.columns}
-        sha = [""] * s.rows
-        if len(rows):
-            count["n_a"][rows], count["n_b"][rows] = a.count, b.count
-            first, window = self._windows(a, b)
-            number = self._numbers(a, b, first, window)
-            in_text = np.searchsorted(first[0], a.first)
-            count["n_windows"][rows] = np.diff(np.append(in_text, len(number)))
-            count["n_groups"][rows] = np.add.reduceat(self.n_groups[number], in_text)
-            count["n_links"][rows] = np.add.reduceat(self.n_links[number], in_text)
-            self.windows.append(number.astype("<u4"))
-            text, cut = list(map(self.text.__getitem__, number.tolist())), [*in_text.tolist(), len(number)]
-            for row, x, y in zip(rows.tolist(), cut, cut[1:]):
-                sha[row] = hashlib.sha256(";".join(text[x:y]).encode()).hexdigest()
-        for c, x in count.items():
-            self.columns[c].append(x)
-        self.sha += sha
-
-    @staticmethod
-    def _windows(a: Tokens, b: Tokens) -> tuple[tuple[np.ndarray, np.ndarray], np.ndarray]:
-        """The first token of each window on both sides, and where both sides have a token's end."""
+    def windows(self, a: Tokens, b: Tokens) -> tuple[np.ndarray, np.ndarray]:
+        """The number of each window, and each text's first window."""
         n = int(a.end[-1])
-        begins = np.zeros(n + 1, np.uint8)  # of space-marked tokens or texts: 1 on either side
+        begins = np.zeros(n + 1, np.uint8)  # space-marked tokens or texts begin: 1 on either side
+        ends = np.zeros(n + 1, np.uint8)  # tokens end
         for side, bit in ((a, 1), (b, 2)):
             mark = side.vocabulary.marked[side.ids]
             mark[side.first] = True
             begins[side.start[mark]] |= bit
-        anchor = begins == 3
-        first = tuple(np.flatnonzero(anchor[side.start]) for side in (a, b))
-        shared = np.zeros(n + 1, bool)
-        shared[a.end] = True
-        other = np.zeros(n + 1, bool)
-        other[b.end] = True
-        return first, shared & other
-
-    def _numbers(self, a: Tokens, b: Tokens, first: tuple, shared: np.ndarray) -> np.ndarray:
-        """Each window's number in the block."""
-        ends = [np.append(f[1:], len(t.ids)) for f, t in zip(first, (a, b))]
-        hashes = [_span_hashes(mix64((t.ids.astype(np.uint64) + np.uint64(1)) * np.uint64(GOLDEN)), f, e, BASE_WORD)
-                  for t, f, e in zip((a, b), first, ends)]
+            ends[side.end] |= bit
+        first = [np.flatnonzero((begins == 3)[side.start]) for side in (a, b)]
+        return self._numbers(a, b, *first, ends == 3), np.searchsorted(first[0], a.first)
+
+    def _numbers(self, a: Tokens, b: Tokens, first_a, first_b, shared: np.ndarray) -> np.ndarray:
+        spans_, hashes = [], []
+        for side, first in ((a, first_a), (b, first_b)):
+            end = np.append(first[1:], len(side.ids))
+            spans_.append((first, end))
+            hashes.append(_span_hashes(mix64((side.ids.astype(np.uint64) + np.uint64(1)) * np.uint64(GOLDEN)),
+                                       first, end, BASE_WORD))
         _, at, which = np.unique(mix64(hashes[0] * np.uint64(GOLDEN)) ^ hashes[1], return_index=True, return_inverse=True)
-        raw = a.ids.tobytes(), b.ids.tobytes()
-        spans_ = [(4 * f[at]).tolist() + (4 * e[at]).tolist() for f, e in zip(first, ends)]
-        k = len(at)
-        keys = [raw[0][spans_[0][i]:spans_[0][k + i]] + b"|||" + raw[1][spans_[1][i]:spans_[1][k + i]] for i in range(k)]
+        raw_a, raw_b = a.ids.tobytes(), b.ids.tobytes()
+        cuts = [(4 * x[at]).tolist() for pair in spans_ for x in pair]
+        keys = [raw_a[p:q] + b"|||" + raw_b[r:t] for p, q, r, t in zip(*cuts)]
         number = np.array([self.number.get(key, -1) for key in keys], np.int64)
         new = np.flatnonzero(number < 0)
         if len(new):
@@ -239,7 +292,7 @@ class Block:
             number[new] = len(self.number) + np.arange(len(new))
             for i in new.tolist():
                 self.number[keys[i]] = len(self.number)
-            self._align(a, b, *[x[at[new]] for x in (first[0], ends[0], first[1], ends[1])], shared)
+            self._align(a, b, *[x[at[new]] for pair in spans_ for x in pair], shared)
         return number[which]
 
     def _align(self, a: Tokens, b: Tokens, a0, a1, b0, b1, shared: np.ndarray) -> None:
@@ -248,42 +301,72 @@ class Block:
         lo = np.searchsorted(b.end[tb], a.start[ta], "right")
         n = np.searchsorted(b.start[tb], a.end[ta], "left") - lo
         mate = tb[spans(lo, n)]
-        self.links.append(np.repeat(a.ids[ta].astype(np.int64), n) << 32 | b.ids[mate])
-        per_window = np.add.reduceat(n, np.cumsum(a1 - a0) - (a1 - a0))
-        self.sizes.append(per_window)
-        self.n_links = np.append(self.n_links, per_window)
+        window = np.cumsum(a1 - a0) - (a1 - a0)
+        self.links = np.concatenate((self.links, np.repeat(a.ids[ta].astype(np.int64), n) << 32 | b.ids[mate]))
+        self.n_links = np.concatenate((self.n_links, np.add.reduceat(n, window)))
         # A group ends with each shared end; every window ends with one.
-        cut_a, cut_b = (np.append(0, np.flatnonzero(shared[t.end[x]]) + 1).tolist() for t, x in ((a, ta), (b, tb)))
-        name = self.names.__getitem__
-        text_a, text_b = (list(map(name, t.ids[x].tolist())) for t, x in ((a, ta), (b, tb)))
+        in_window = np.add.reduceat(shared[a.end[ta]], window, dtype=np.int64)
+        self.n_groups = np.concatenate((self.n_groups, in_window))
+        cut_a, cut_b = ([0, *(np.flatnonzero(shared[t.end[x]]) + 1).tolist()] for t, x in ((a, ta), (b, tb)))
+        text_a, text_b = (list(map(self.names.__getitem__, t.ids[x].tolist())) for t, x in ((a, ta), (b, tb)))
         groups = [",".join(text_a[x:y]) + "|" + ",".join(text_b[u:v])
                   for x, y, u, v in zip(cut_a, cut_a[1:], cut_b, cut_b[1:])]
-        in_window = np.add.reduceat(shared[a.end[ta]].astype(np.int64), np.cumsum(a1 - a0) - (a1 - a0))
-        self.n_groups = np.append(self.n_groups, in_window)
-        cut = np.append(0, np.cumsum(in_window)).tolist()
+        cut = [0, *np.cumsum(in_window).tolist()]
         self.text += [groups[x] if y == x + 1 else ";".join(groups[x:y]) for x, y in zip(cut, cut[1:])]
 
+
+class Block:
+    """Documents as sequences of the memo's windows."""
+
+    def __init__(self, memo: Memo):
+        self.memo = memo
+        self.columns: dict[str, list] = {c: [] for c in ("n_a", "n_b", "n_groups", "n_links", "n_windows")}
+        self.ids: list[pa.Array] = []
+        self.sha: list[str] = []
+        self.windows: list[np.ndarray] = []
+        self.bytes = 0
+
+    def add(self, s: Slice, ids: pa.Array, rows: np.ndarray, a: Tokens, b: Tokens) -> None:
+        """The texts of a slice; ``rows`` of them have tokens."""
+        self.bytes += len(s.data)
+        self.ids.append(ids)
+        count = {c: np.zeros(s.rows, np.int64) for c in self.columns}
+        sha = [""] * s.rows
+        if len(rows):
+            number, first = self.memo.windows(a, b)
+            count["n_a"][rows], count["n_b"][rows] = a.count, b.count
+            count["n_windows"][rows] = np.diff(np.append(first, len(number)))
+            count["n_groups"][rows] = np.add.reduceat(self.memo.n_groups[number], first)
+            count["n_links"][rows] = np.add.reduceat(self.memo.n_links[number], first)
+            self.windows.append(number.astype(np.uint32))
+            text, cut = list(map(self.memo.text.__getitem__, number.tolist())), [*first.tolist(), len(number)]
+            for row, x, y in zip(rows.tolist(), cut, cut[1:]):
+                sha[row] = hashlib.sha256(";".join(text[x:y]).encode()).hexdigest()
+        for c, x in count.items():
+            self.columns[c].append(x)
+        self.sha += sha
+
     def row(self, block: int) -> pa.RecordBatch:
-        windows = _concat(self.windows, "<u4")
-        size, links = _concat(self.sizes, np.int64), _concat(self.links, np.int64)
-        pairs, link = np.unique(links, return_inverse=True)
-        times = np.repeat(np.bincount(windows, minlength=len(size)), size)
+        held, windows = np.unique(_concat(self.windows, np.uint32), return_inverse=True)
+        size = self.memo.n_links[held]
+        start = np.cumsum(self.memo.n_links) - self.memo.n_links
+        pairs, link = np.unique(self.memo.links[spans(start[held], size)], return_inverse=True)
+        times = np.repeat(np.bincount(windows, minlength=len(held)), size)
         n = np.bincount(link, times, len(pairs)).astype(np.int64)  # less than 2**53
-        ids = pa.concat_arrays(self.ids)
 
         def one(values) -> pa.Array:
             values = values if isinstance(values, pa.Array) else pa.array(values)
             return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
         binary = [pa.array([x.tobytes()], pa.binary()) for x in
-                  (windows, np.append(0, np.cumsum(size)).astype("<i8"), link.astype("<u4"))]
+                  (windows.astype("<u4"), np.append(0, np.cumsum(size)).astype("<i8"), link.astype("<u4"))]
         counts = {c: _concat(x, np.int64) for c, x in self.columns.items()}
         return pa.RecordBatch.from_arrays(
-            [pa.array([block]), one(ids), *(one(counts[c]) for c in ("n_a", "n_b", "n_groups", "n_links")),
+            [pa.array([block]), one(pa.concat_arrays(self.ids)),
+             *(one(counts[c]) for c in ("n_a", "n_b", "n_groups", "n_links")),
              one(pa.array(self.sha, pa.string())), one(counts["n_windows"].astype(np.int32)), *binary,
              one(pa.StructArray.from_arrays([pa.array(pairs), pa.array(n)], ["pair", "n"]))],
-            [f.split()[0] for f in ("block, doc_id, n_a, n_b, n_groups, n_links, sha, n_windows, windows, first, links, "
-                                    "pairs").split(", ")])
+            STORED_NAMES)
 
 
 def store_alignments(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
@@ -292,17 +375,20 @@ def store_alignments(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        a, b = tokenizers(path_a, path_b)
-        names = [str(i) for i in range(max(len(a.vocabulary.size), len(b.vocabulary.size)))]
-        number, block = TaskContext.get().partitionId() << 32, Block(names)
+        pair = tokenizers(path_a, path_b)
+        number, block = TaskContext.get().partitionId() << 32, Block(pair.memo)
         for batch in batches:
             for s in text_slices(batch.column(1)):
                 if block.bytes and block.bytes + len(s.data) > BLOCK_BYTES:
                     yield block.row(number)
-                    number, block = number + 1, Block(names)
-                block.add(s, batch.column(0).slice(s.lo, s.rows), *verified_tokens(s, a, b))
+                    if len(pair.memo.number) > WINDOWS:
+                        pair.memo.forget()
+                    number, block = number + 1, Block(pair.memo)
+                block.add(s, batch.column(0).slice(s.lo, s.rows), *pair.encode(s))
         if block.ids:
             yield block.row(number)
+        if len(pair.memo.number) > WINDOWS:
+            pair.memo.forget()
 
     return materialize(docs.mapInArrow(run, STORED), "alignments")
 
