@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from lotwise.llm.decontaminate import find_contamination
 from lotwise.llm.jaccard_join import one_of_each
-from lotwise.llm.mixing import mixed_documents, quality_weights
+from lotwise.llm.mixing import label_weights, mixed_documents
 from lotwise.llm.queries import END_ID, tokenizer_path
 from lotwise.llm.token_files import read_documents, token_folder, write_token_files
 from lotwise.llm.toxicity import keep_clean
@@ -38,7 +38,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them; n_chars is that of the text taken."""
-    mixed = mixed_documents(quality_weights(docs, _table(spark, sf_dir, "labels")), "mix_weight")
+    mixed = mixed_documents(docs, weights=label_weights(_table(spark, sf_dir, "labels")))
     return mixed.withColumn("n_chars", F.length("text").cast("bigint"))
 
 

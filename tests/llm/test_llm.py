@@ -15,7 +15,7 @@ from lotwise.llm.chat_format import digest, format_turns
 from lotwise.llm.decontaminate import find_contamination
 from lotwise.llm.fingerprints import Prefix, with_edits
 from lotwise.llm.jaccard_join import join_similar, one_of_each
-from lotwise.llm.mixing import mix, mixed_documents, quality_weights
+from lotwise.llm.mixing import label_weights, mix, mixed_documents
 from lotwise.llm.quality import score_quality
 from lotwise.llm.substring_dedup import remove_repeats
 from lotwise.llm.token_files import pack_ids, read_documents, token_folder, unpack_ids, write_token_files
@@ -252,12 +252,30 @@ def test_mix_oracle(spark, tmp_path):
     for name in ("documents", "labels"):
         duckdb.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM '/root/testdata/sf0.001/{name}.parquet'")
     read = lambda n: spark.read.parquet(f"/root/testdata/sf0.001/{n}.parquet")
-    got = mix(quality_weights(read("documents"), read("labels")), "mix_weight")
+    got = mix(read("documents"), weights=label_weights(read("labels")))
     names = ("doc_id", "size", "source_size", "target", "taken")
     want = duckdb.sql(mixing.ORACLE_SQL).df()[list(names)].itertuples(index=False, name=None)
     assert sorted(tuple(r) for r in got.select(*names).collect()) == sorted(want)
 
 
+def test_mix_rows_of_one_id(spark):
+    """Rows that share an id, or have none, draw each for itself; any column names may come along."""
+    rows = [(7, f"text {k % 500} a b c", "s0", k, 0.5, "x") for k in range(2000)]
+    rows += [(None, "none at all", "s0", k, 0.5, "x") for k in range(500)]
+    rows += [(k, "one two three four", "s1", k, 0.5, "x") for k in range(5000)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string, mix_id int, mix_weight double, `a.b` string")
+    labels = spark.createDataFrame([(7, 1), (3, 0)], "doc_id bigint, quality int")
+    got = mix(df, weights=label_weights(labels))
+    one = got.where("source = 's1'").first()
+    part = got.where("doc_id = 7").agg({"part": "sum"}).first()[0] / (5 * 2000)
+    assert one.epochs >= 0 and got.count() == len(rows)
+    budget = got.where("source = 's0'").selectExpr("sum(part) / sum(size)").first()[0]
+    assert budget < 0.999 and abs(part - budget) < 0.2  # neither all nor none of one id's rows
+    mixed = mixed_documents(df, weights=label_weights(labels))
+    assert mixed.columns == df.columns and mixed.count() > 0
+    assert counted(mix(df.repartition(5), weights=label_weights(labels)).collect()) == counted(got.collect())
+
+
 # ---- token files ---------------------------------------------------------------------------
 
 
