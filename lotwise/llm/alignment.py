@@ -23,8 +23,9 @@ from __future__ import annotations
 
 import hashlib
 import json
+import struct
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -36,14 +37,16 @@ from .token_transducer import byte_alphabet
 from .words import BASE_BYTE, BASE_WORD, GOLDEN, Slice, _byte_values, _span_hashes, mix64, text_slices
 
 BLOCK_BYTES = 4 << 20  # of text
-SEGMENTS = 300_000  # whose ids a worker keeps
-WINDOWS = 300_000  # alignments after which a worker begins anew with its next block
+SLICE = 1 << 20  # bytes of text handled at once
+RUN = 512  # segments encoded together
+SEGMENTS = 200_000  # whose ids a worker keeps
+WINDOWS = 200_000  # alignments after which a worker begins anew with its next block
 SPACE_MARK = "▁"  # of sentencepiece
 
 STORED = ("block bigint, doc_id array<bigint>, n_a array<bigint>, n_b array<bigint>, n_groups array<bigint>, "
-          "n_links array<bigint>, sha array<string>, n_windows array<int>, windows binary, first binary, links binary, "
+          "n_links array<bigint>, sha array<string>, n_windows array<int>, windows binary, held binary, links binary, "
           "pairs array<struct<pair: bigint, n: bigint>>")
-STORED_NAMES = ["block", "doc_id", "n_a", "n_b", "n_groups", "n_links", "sha", "n_windows", "windows", "first", "links", "pairs"]
+STORED_NAMES = ["block", "doc_id", "n_a", "n_b", "n_groups", "n_links", "sha", "n_windows", "windows", "held", "links", "pairs"]
 ALIGNED = ("doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint, "
            "groups_sha256 string")
 
@@ -58,6 +61,23 @@ def spans(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.repeat(start - (total - size), size) + np.arange(total[-1] if len(total) else 0)
 
 
+def joined(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    count = np.array([len(x) for x in lists], np.int64)
+    return np.fromiter(chain.from_iterable(lists), np.int32, int(count.sum())), count
+
+
+def packed(values: np.ndarray) -> bytes:
+    """Unsigned 32-bit integers, compressed by bytes of equal weight."""
+    return struct.pack("<q", len(values)) + pa.compress(
+        values.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), "zstd", asbytes=True)
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    n = struct.unpack_from("<q", data)[0]
+    planes = pa.decompress(data[8:], 4 * n, "zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, n).T).reshape(-1).view("<u4")
+
+
 class Vocabulary:
     """The bytes of each id, in one buffer."""
 
@@ -85,8 +105,25 @@ class BytePairs:
             words[i] = bytes(alphabet[c] for c in token)
         self.vocabulary = Vocabulary(words)
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        return joined([e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of segments, and the number of each one's. Segments that end in visible ASCII are
+        encoded many at once: each begins with a space, where the one before it ends for certain."""
+        plain = np.array(["!" <= t[-1] <= "~" for t in texts])
+        count = np.zeros(len(texts), np.int64)
+        together = list(compress(texts, plain))
+        runs = ["".join(together[k:k + RUN]) for k in range(0, len(together), RUN)]
+        ids, _ = self._ids(runs)
+        own, count[~plain] = self._ids(list(compress(texts, ~plain)))
+        ends = np.cumsum([len(t.encode()) for t in together])
+        last = np.searchsorted(np.cumsum(self.vocabulary.size[ids]), ends) + 1 if len(together) else np.zeros(0, np.int64)
+        count[plain] = np.diff(last, prepend=0)
+        out = np.zeros(len(ids) + len(own), np.int32)
+        from_runs = np.repeat(plain, count)
+        out[from_runs], out[~from_runs] = ids, own
+        return out, count
 
 
 class Pieces:
@@ -104,9 +141,9 @@ class Pieces:
             raise ValueError(f"{path}: pieces that go on after a space can't be encoded by segments")
         self.vocabulary = Vocabulary(words)
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        """Ids of texts that begin with the space that the model adds."""
-        return self.model.encode([t[1:] for t in texts], num_threads=1)
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of texts that begin with the space that the model adds, and the number of each one's."""
+        return joined(self.model.encode([t[1:] for t in texts], num_threads=1))
 
 
 class Flat:
@@ -116,18 +153,15 @@ class Flat:
         self.size, self.n = np.zeros(1024, np.int64), 0
         self.ids, self.used = np.zeros(1 << 16, np.int32), 0
 
-    def extend(self, lists: list[list[int]]) -> None:
-        size = [len(x) for x in lists]
-        total = sum(size)
+    def extend(self, ids: np.ndarray, size: np.ndarray) -> None:
+        total = len(ids)
         while self.n + len(size) > len(self.size):
             self.size = np.concatenate((self.size, np.zeros_like(self.size)))
         while self.used + total > len(self.ids):
             self.ids = np.concatenate((self.ids, np.zeros_like(self.ids)))
         self.size[self.n:self.n + len(size)] = size
-        self.ids[self.used:self.used + total] = np.fromiter(chain.from_iterable(lists), np.int32, total)
+        self.ids[self.used:self.used + total] = ids
         self.n, self.used = self.n + len(size), self.used + total
-
-    def index(self) -> None:
         self.start = np.cumsum(self.size[:self.n]) - self.size[:self.n]
 
     def take(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -183,10 +217,8 @@ class Pair:
         want = np.frombuffer(b"".join(segments), np.uint8)
         size = np.array([len(x) for x in segments], np.int64)
         for side, flat in zip(self.sides, self.flat):
-            lists = side.encode(texts)
-            flat.extend(lists)
-            flat.index()
-            ids, count = flat.take(np.arange(flat.n - len(lists), flat.n))
+            ids, count = side.encode(texts)
+            flat.extend(ids, count)
             good &= given_back(side.vocabulary, ids, count, want, size)
         self.good = np.concatenate((self.good, good))
         self.known.update(zip(segments, range(len(self.known), len(self.known) + len(segments))))
@@ -347,19 +379,20 @@ class Block:
         self.sha += sha
 
     def row(self, block: int) -> pa.RecordBatch:
-        held, windows = np.unique(_concat(self.windows, np.uint32), return_inverse=True)
+        held, windows, times = np.unique(_concat(self.windows, np.uint32), return_inverse=True, return_counts=True)
+        order = np.argsort(-times, kind="stable")  # frequent windows get small numbers
+        held, times, rank = held[order], times[order], np.empty(len(order), np.uint32)
+        rank[order] = np.arange(len(order))
         size = self.memo.n_links[held]
         start = np.cumsum(self.memo.n_links) - self.memo.n_links
         pairs, link = np.unique(self.memo.links[spans(start[held], size)], return_inverse=True)
-        times = np.repeat(np.bincount(windows, minlength=len(held)), size)
-        n = np.bincount(link, times, len(pairs)).astype(np.int64)  # less than 2**53
+        n = np.bincount(link, np.repeat(times, size), len(pairs)).astype(np.int64)  # less than 2**53
 
         def one(values) -> pa.Array:
             values = values if isinstance(values, pa.Array) else pa.array(values)
             return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
-        binary = [pa.array([x.tobytes()], pa.binary()) for x in
-                  (windows.astype("<u4"), np.append(0, np.cumsum(size)).astype("<i8"), link.astype("<u4"))]
+        binary = [pa.array([packed(x)], pa.binary()) for x in (rank[windows], size, link)]
         counts = {c: _concat(x, np.int64) for c, x in self.columns.items()}
         return pa.RecordBatch.from_arrays(
             [pa.array([block]), one(pa.concat_arrays(self.ids)),
@@ -378,7 +411,7 @@ def store_alignments(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
         pair = tokenizers(path_a, path_b)
         number, block = TaskContext.get().partitionId() << 32, Block(pair.memo)
         for batch in batches:
-            for s in text_slices(batch.column(1)):
+            for s in text_slices(batch.column(1), limit=SLICE):
                 if block.bytes and block.bytes + len(s.data) > BLOCK_BYTES:
                     yield block.row(number)
                     if len(pair.memo.number) > WINDOWS:
@@ -404,8 +437,8 @@ def _figures(left: pa.Table, right: pa.Table) -> pa.Table:
     """``ALIGNED`` of a block, from its row and the corpus-wide counts of its pairs."""
     flat = {c: left.column(c).combine_chunks().flatten() for c in
             ("doc_id", "n_a", "n_b", "n_groups", "n_links", "sha", "n_windows")}
-    windows, first, links = (np.frombuffer(left.column(c)[0].as_py(), kind)
-                             for c, kind in (("windows", "<u4"), ("first", "<i8"), ("links", "<u4")))
+    windows, held, links = (unpacked(left.column(c)[0].as_py()) for c in ("windows", "held", "links"))
+    first = np.append(0, np.cumsum(held, dtype=np.int64))
     at = right.column("pos").to_numpy()
     n, best = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
     n[at], best[at] = right.column("n").to_numpy(), right.column("best").to_numpy()
