@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import dematerialize, materialize
 
 EDGES = "a bigint, b bigint"
 
@@ -25,25 +25,22 @@ def _edges(df: DataFrame, u: str, v: str) -> DataFrame:
     return df.where(F.col(u) != F.col(v)).select(F.greatest(u, v).alias("u"), F.least(u, v).alias("v")).distinct()
 
 
-def _state(df: DataFrame):
-    return tuple(df.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % 1_000_003)).first())
-
-
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node that has an edge (a, b); the root is its component's least node."""
     now = materialize(_edges(edges, "a", "b"), "edges")
-    state = _state(now)
-    while state[0]:
+    while True:
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _star(both).where("v > u")
         mid = _edges(large, "v", "least")
         small = _star(mid)
         out = _edges(small.select(F.col("v").alias("x"), "least")
                      .union(small.select("u", "least")), "x", "least")
-        now = materialize(out, "edges")
-        new = _state(now)
-        if new == state:
+        new = materialize(out, "edges")
+        # Both tables have distinct edges: equally many and none that the other lacks.
+        same = new.count() == now.count() and new.join(now, ["u", "v"], "left_anti").isEmpty()
+        dematerialize(now)
+        now = new
+        if same:
             break
-        state = new
     roots = now.select(F.col("v").alias("node"), F.col("v").alias("root"))
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).union(roots).distinct()

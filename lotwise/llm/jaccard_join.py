@@ -8,6 +8,12 @@ its prefix's shingles over l; a pair must share min(l, l') prefix shingles befor
 the whole sets. A set whose longer prefix has fewer than l shingles that others hold links with
 nothing and leaves early.
 
+The sets that stay are put in a second order, in which shingles that only one of them holds come first. These
+are counted exactly, over the whole sets, among a share of all shingles that is twice as large as a prefix
+(``SAMPLED``: those of the least hashes, so the head of the first order). A set of which more shingles
+are its own than a prefix is long has a prefix that no other holds, and leaves without a pair: texts that
+meet by chance, more often as the table grows, do; near copies hold few shingles alone.
+
 Equal sets are one class, so copies cost no pairs. Large groups of near copies are joined through
 stars first: each prefix shingle proposes, for all its holders, the class of least number and the
 one most shared; these proposals are verified and joined into components. Then, per shingle, only
@@ -32,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import dematerialize, materialize
 from .components import components
 from .rows import as_rows
 from .words import GOLDEN, Slice, grams, mix64, sequence_hashes, split, text_slices
@@ -47,7 +53,9 @@ OFTEN = 3  # documents of one slice that make a shingle frequent
 
 WORD = r"[^\x20\x09-\x0D]"
 
-SETS = "doc_id bigint, text_hash bigint, node bigint, n_shingles bigint, prefix array<bigint>"
+SAMPLED = 2  # prefixes' lengths of shingles that are counted exactly
+
+SETS = "doc_id bigint, text_hash bigint, node bigint, n_shingles bigint, sampled int, prefix array<bigint>"
 
 
 def shingle_sets(s: Slice, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -90,8 +98,10 @@ def _frequent(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _prefix_sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """``SETS``: number, size and longest prefix of each row's set."""
+    """``SETS``: number, size and head of each row's set: its longest prefix, or its ``sampled``
+    shingles, which come first in it."""
     frequent = docs.sparkSession.sparkContext.broadcast(_frequent(docs, size))
+    low = np.uint64(min((1 << 64) - 1, (SAMPLED * (100 - percent) << 64) // 100))
 
     def run(batches):
         tokens, counts = frequent.value
@@ -107,39 +117,71 @@ def _prefix_sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
                 order = np.lexsort((hashes, count, rows))
                 rows, hashes = rows[order], hashes[order]
                 inside = np.arange(len(rows)) - (np.cumsum(n) - n)[rows]
-                length = np.minimum(n, n - -(-percent * n // 100) + MATCHES)
+                sampled = np.bincount(rows[(count[order] == 0) & (hashes < low)], minlength=s.rows)
+                length = np.minimum(n, np.maximum(n - -(-percent * n // 100) + MATCHES, sampled))
                 keep = inside < length[rows]
                 offsets = np.concatenate(([0], np.cumsum(length))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(s.lo, s.rows), batch.column(2).slice(s.lo, s.rows), pa.array(node), pa.array(n.astype(np.int64)),
+                     pa.array(sampled.astype(np.int32)),
                      pa.ListArray.from_arrays(pa.array(offsets), pa.array(hashes[keep].view(np.int64)))],
-                    ["doc_id", "text_hash", "node", "n_shingles", "prefix"])
+                    ["doc_id", "text_hash", "node", "n_shingles", "sampled", "prefix"])
 
     return docs.mapInArrow(run, SETS)
 
 
-def _prefix_tokens(classes: DataFrame, percent: int) -> DataFrame:
-    """(token, pos, rank, node, n, l, shared): prefix shingles that several classes hold, up to each
-    class's own prefix, of the classes that may link with any; rank counts a class's held shingles."""
+def _held(rows: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Of prefix shingles (node, n, pos, token, ..): those that several sets hold, with ``rank`` among a
+    set's held ones; and (node, l, shared) of the sets that may link with any."""
     n = F.col("n")
-    rows = classes.select("node", n, F.posexplode("prefix").alias("pos", "token"))
     held = rows.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
     rank = F.row_number().over(Window.partitionBy("node").orderBy("pos"))  # a prefix at most
     rows = rows.join(held, "token").withColumn("rank", rank)
     base = n - F.ceil(n * percent / F.lit(100))
     # Each l's shared shingles and expected candidates.
-    sums = rows.groupBy("node").agg(*[x for k in range(1, MATCHES + 1) for x in (
+    sums = rows.groupBy("node", "n").agg(*[x for k in range(1, MATCHES + 1) for x in (
         F.sum((F.col("pos") < base + F.least(F.lit(k), "rank")).cast("int")).alias(f"shared{k}"),
         F.sum(F.when(F.col("pos") < base + F.least(F.lit(k), "rank"), F.col("df") - 1).otherwise(0)).alias(f"cost{k}"))])
     # Similar sets share ceil(t * n) shingles, so l is no greater.
-    most = F.ceil(F.col("n") * percent / F.lit(100)).cast("int")
+    most = F.ceil(n * percent / F.lit(100)).cast("int")
     alive = [F.col(f"shared{k}") >= F.least(F.lit(k), most) for k in range(1, MATCHES + 1)]
     best = F.array_min(F.array(*[F.struct((F.col(f"cost{k}") / k).alias("cost"), F.lit(k).alias("l"))
                                  for k in range(1, MATCHES + 1)]))
-    sums = sums.join(classes.select("node", "n"), "node")
     chosen = (sums.where(alive[0] & alive[1] & alive[2] & alive[3])
               .select("node", F.least(best["l"], most).alias("l"), F.col("shared1").alias("shared")))
-    return rows.join(chosen, "node").where(F.col("pos") < base + F.least("l", "rank")).select("token", "pos", "rank", "node", "n", "l", "shared")
+    return rows, chosen
+
+
+def _own_shingles(classes: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, own): how many of the sampled shingles of each set of ``nodes`` no other of them holds."""
+    low = classes.join(nodes, "node", "left_semi").select("node", F.explode(F.slice("prefix", 1, F.col("sampled"))).alias("token"))
+    holders = low.groupBy("token").agg(F.count("*").alias("k"), F.min("node").alias("node")).where("k = 1")
+    return holders.groupBy("node").agg(F.count("*").alias("own"))
+
+
+def _prefix_tokens(classes: DataFrame, percent: int) -> DataFrame:
+    """(token, pos, rank, node, n, l, shared): prefix shingles that several classes hold, up to each
+    class's own prefix, of the classes that may link with any; rank counts a class's held shingles,
+    pos is a lower bound of the place in the second order."""
+    n = F.col("n")
+    base = n - F.ceil(n * percent / F.lit(100))
+    rows = classes.select("node", n, "sampled", F.posexplode("prefix").alias("pos", "token")).where(F.col("pos") < base + MATCHES)
+    rows, alive = _held(rows, percent)
+    first = rows = materialize(rows.join(alive.select("node"), "node", "left_semi").where(F.col("pos") < base + F.least(F.lit(MATCHES), "rank")),
+                       "jaccard-held")
+    own = _own_shingles(classes, rows.select("node").distinct())
+    # Held shingles are nobody's own. Of those before one, at most the sampled ones that are not held
+    # are the set's own; the set's other own ones move before it.
+    earlier = Window.partitionBy("node").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    sampled_held = F.coalesce(F.sum((F.col("pos") < F.col("sampled")).cast("int")).over(earlier), F.lit(0))
+    rows = rows.withColumn("passed", F.least("pos", "sampled") - sampled_held).join(own, "node", "left")
+    moved = F.col("pos") + F.greatest(F.coalesce("own", F.lit(0)) - F.col("passed"), F.lit(0))
+    rows = rows.select("node", "n", "token", moved.cast("int").alias("pos")).where(F.col("pos") < base + MATCHES)
+    rows, chosen = _held(rows, percent)
+    out = materialize(rows.join(chosen, "node").where(F.col("pos") < base + F.least("l", "rank")).select(
+        "token", "pos", "rank", "node", "n", "l", "shared"), "jaccard-tokens")
+    dematerialize(first)
+    return out
 
 
 def _may_match(a: str, b: str, percent: int):
@@ -235,7 +277,9 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _links(docs: DataFrame, classes: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
     whole = materialize(_whole_sets(docs, classes, pairs, size), "jaccard-whole")
-    return _verified(pairs, whole, percent)
+    links = materialize(_verified(pairs, whole, percent), "jaccard-links")
+    dematerialize(whole, pairs)
+    return links
 
 
 def join_similar(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE,
@@ -247,11 +291,13 @@ def join_similar(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     sets = materialize(_prefix_sets(docs.select("doc_id", "text", "text_hash"), size, percent), "jaccard-sets")
     classes = materialize(sets.where("n_shingles > 0").groupBy("node").agg(
         F.min("doc_id").alias("doc_id"),
-        F.min(F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), "text_hash")).alias("first"), F.first("n_shingles").alias("n"), F.first("prefix").alias("prefix")), "jaccard-classes")
-    tokens = materialize(_prefix_tokens(classes, percent), "jaccard-tokens")
+        F.min(F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), "text_hash")).alias("first"), F.first("n_shingles").alias("n"),
+        F.first("sampled").alias("sampled"), F.first("prefix").alias("prefix")), "jaccard-classes")
+    tokens = _prefix_tokens(classes, percent)
     proposed = materialize(_proposals(tokens, percent), "jaccard-proposed")
-    seeds = materialize(_links(docs, classes, proposed, size, percent), "jaccard-links")
+    seeds = _links(docs, classes, proposed, size, percent)
     remaining = materialize(_remaining(tokens, components(seeds), percent), "jaccard-remaining")
+    dematerialize(tokens)
     rest = _links(docs, classes, remaining, size, percent)
     roots = components(seeds.union(rest))
     named = classes.select("node", "doc_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
