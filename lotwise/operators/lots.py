@@ -6,9 +6,11 @@ grouping and join key carries the run date and many runs execute as one job.
 
 Shape of the plans: each de-duplication and each MIN/MAX is an aggregate that Spark runs
 partially before its shuffle (map-side combine), so a lot holding a large share of the rows is
-collapsed before it is moved. Joins are on (lot, job) first; rows are made distinct on all their
-columns, and the one-row-per-lot attribute pivot is attached last with hot lots split across
-tasks (``skew.attach_per_lot``); the pivot being unique per lot keeps the result distinct.
+collapsed before it is moved, and that is dealt by all its keys (``session.JOB_CONF``). So each join
+has shuffles of its own on both sides and AQE splits a hot (lot, job) or (lot, step). Joins are on
+(lot, job) first; rows are made distinct on all their columns, and the one-row-per-lot attribute
+pivot is attached last (``skew.attach_per_lot``); the pivot being unique per lot keeps the result
+distinct.
 """
 
 from __future__ import annotations
@@ -30,9 +32,7 @@ from ..params import (
     VARIANCE_REASONS,
 )
 from ..schemas import TOTALLOT_COLUMNS, VARIANCE_COLUMNS
-from .skew import attach_per_lot, hot_lots, resolve_hot
-
-AUTO = "auto"  # compute the run's hot-lot list
+from .skew import attach_per_lot
 
 Keys = Sequence[str]
 
@@ -56,11 +56,14 @@ def attribute_pivot(scoped: DataFrame, by: Keys = ()) -> DataFrame:
     """One row per lot: lexicographic MAX of each listed attribute's value (NULL if absent).
 
     Lots with none of the listed attributes in the window do not appear (they drop out of the
-    inner joins downstream, as in the reference).
+    inner joins downstream, as in the reference). MAX of text is a sort-based aggregate; copies of
+    a value are collapsed by hash first (A4), so only a lot's distinct values are sorted. The filter
+    on their number keeps Catalyst from dropping that step, which changes no MAX.
     """
     rows = scoped.where(F.col("attribute_id").isin(*ATTRIBUTE_IDS)).select(
         *_k(by), F.col("ma_id").alias("LOT_ID"), "attribute_id", "attribute_value"
     )
+    rows = rows.groupBy(*rows.columns).agg(F.count("*").alias("copies")).where("copies > 0").drop("copies")
     wide = rows.groupBy(*_k(by), "LOT_ID").pivot("attribute_id", list(ATTRIBUTE_IDS)).agg(
         F.max("attribute_value")
     )
@@ -148,8 +151,6 @@ def lot_step(quantity: DataFrame, steps: DataFrame, by: Keys = (),
              keep_step_job: bool = True) -> DataFrame:
     """Distinct (lot, step, tester, quantity, event time, partition date[, step job])."""
     q, t = quantity.alias("q"), steps.alias("t")
-    # Keys are taken from the step side: the join leaves the rows partitioned on
-    # (t.LOT_ID, t.step_job_oid), so the DISTINCT and the next join on (lot, step job) reuse it.
     cols = [*[F.col(f"t.{c}") for c in by], F.col("t.LOT_ID"), F.col("t.STEP_ID"),
             F.col("t.TESTER_ID"), F.col("q.LOT_QTY"), F.col("q.date_time_local"),
             F.col("q.partition_date")]
@@ -181,13 +182,12 @@ def _attributes(pivot: DataFrame, by: Keys, columns: Sequence[str]) -> DataFrame
 
 
 def variance_rows(pivot: DataFrame, events: DataFrame, steps_with_job: DataFrame,
-                  by: Keys = (), hot: DataFrame | None = None) -> DataFrame:
+                  by: Keys = ()) -> DataFrame:
     """C1 in the daily layout (18 columns, ``ww`` derived from the quantity row's time).
 
     Equivalent to the reference's (pivot x events) x (quantity x tester steps) on
-    (lot, step job) followed by DISTINCT: the pivot is unique per lot, so the lot's attributes
-    are attached last and the DISTINCT placed where ``skew.attach_per_lot`` finds it cheapest
-    and safe (after the join without hot lots, before it with them).
+    (lot, step job) followed by DISTINCT: the pivot is unique per lot, so the rows are made distinct
+    while they are narrow and the lot's attributes attached last.
     """
     e, st = events.alias("e"), steps_with_job.alias("st")
     rows = e.join(st, _on(e, st, by, [("LOT_ID", "LOT_ID"), ("step_job_oid", "step_job_oid")]))
@@ -196,37 +196,34 @@ def variance_rows(pivot: DataFrame, events: DataFrame, steps_with_job: DataFrame
         F.col("st.TESTER_ID"), F.col("st.LOT_QTY"), F.col("e.reason"), F.col("e.action"),
         F.col("e.quantity"), F.col("st.date_time_local"), F.col("st.partition_date"),
     )
-    out = attach_per_lot(rows, _attributes(pivot, by, VARIANCE_COLUMNS), by, hot, distinct=True)
+    out = attach_per_lot(rows.distinct(), _attributes(pivot, by, VARIANCE_COLUMNS), by)
     return _layout(out, by, VARIANCE_COLUMNS)
 
 
-def totallot_rows(pivot: DataFrame, steps_no_job: DataFrame, by: Keys = (),
-                  hot: DataFrame | None = None) -> DataFrame:
+def totallot_rows(pivot: DataFrame, steps_no_job: DataFrame, by: Keys = ()) -> DataFrame:
     """C2 in the daily layout (10 columns). The step rows are distinct and the three attributes
     kept are functions of the lot, so the result is distinct without another DISTINCT (dropping
     the five unused attributes cannot merge rows)."""
-    out = attach_per_lot(steps_no_job, _attributes(pivot, by, TOTALLOT_COLUMNS), by, hot)
+    out = attach_per_lot(steps_no_job, _attributes(pivot, by, TOTALLOT_COLUMNS), by)
     return _layout(out, by, TOTALLOT_COLUMNS)
 
 
 def variance_dataset(scoped: DataFrame, by: Keys = (), steps: DataFrame | None = None,
-                     pivot: DataFrame | None = None, hot: DataFrame | None | str = AUTO,
-                     quantity: DataFrame | None = None,
+                     pivot: DataFrame | None = None, quantity: DataFrame | None = None,
+                     events: DataFrame | None = None,
                      reasons: Sequence[str] = VARIANCE_REASONS) -> DataFrame:
+    """C1 from a run's scoped rows; parts that are given are not built again."""
     pivot = attribute_pivot(scoped, by) if pivot is None else pivot
     steps = resolve_tester_step(scoped, by) if steps is None else steps
-    hot = resolve_hot(hot_lots(scoped, by)) if hot is AUTO else hot
     quantity = lot_quantity(scoped, by) if quantity is None else quantity
-    with_job = lot_step(quantity, steps, by, keep_step_job=True)
-    return variance_rows(pivot, variance_events(scoped, by, reasons), with_job, by, hot)
+    events = variance_events(scoped, by, reasons) if events is None else events
+    return variance_rows(pivot, events, lot_step(quantity, steps, by, keep_step_job=True), by)
 
 
 def totallot_dataset(scoped: DataFrame, by: Keys = (), steps: DataFrame | None = None,
-                     pivot: DataFrame | None = None, hot: DataFrame | None | str = AUTO,
-                     quantity: DataFrame | None = None) -> DataFrame:
+                     pivot: DataFrame | None = None, quantity: DataFrame | None = None) -> DataFrame:
+    """C2 from a run's scoped rows; parts that are given are not built again."""
     pivot = attribute_pivot(scoped, by) if pivot is None else pivot
     steps = resolve_tester_step(scoped, by) if steps is None else steps
-    hot = resolve_hot(hot_lots(scoped, by)) if hot is AUTO else hot
     quantity = lot_quantity(scoped, by) if quantity is None else quantity
-    no_job = lot_step(quantity, steps, by, keep_step_job=False)
-    return totallot_rows(pivot, no_job, by, hot)
+    return totallot_rows(pivot, lot_step(quantity, steps, by, keep_step_job=False), by)

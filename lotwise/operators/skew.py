@@ -1,17 +1,11 @@
-"""Hot-lot handling for the lot-only joins (attaching one row per lot to many rows per lot).
-
-AQE splits skewed sort-merge joins only when both sides come straight from a shuffle, and the
-per-lot side here comes from an aggregate, so a lot holding a large share of the rows would be
-joined in one task. Instead the lots are counted once over the run's pruned rows (only the lot
-id is read, partial aggregation first); lots above ``min_rows`` are "hot". Rows of hot lots get a
-salt in ``[0, buckets)`` and the single per-lot row of a hot lot is repeated ``buckets`` times, so
-a hot lot is joined by ``buckets`` tasks; every other lot keeps salt 0 and costs nothing extra.
-The salt is a hash of the row, not a random number, so a retried task sends every row to the
-same bucket and results stay exact when executors are lost.
-
-The hot list has at most ``rows / min_rows`` entries (each has more than ``min_rows`` rows), which
-is the size bound that makes broadcasting it safe. Whether it is empty is checked once per run on
-the driver (``resolve_hot``); without hot lots the plain join is planned.
+"""The joins on the lot alone (attaching one row per lot to many rows per lot), safe for hot lots.
+
+AQE splits a large partition of a sort-merge join if both sides are shuffles made for that join. The
+per-lot side is an aggregate by lot, whose partitioning would serve the join as it is, so there would
+be one shuffle only and a lot with a third of all rows would be joined by one task. Here the join key
+has a second part, a hash of the lot: it changes no result (equal lots have equal hashes), but the
+aggregate's partitioning does not cover it, so each side gets a shuffle of its own and AQE splits a
+hot lot by its measured size, whatever the size of the run. The price is a shuffle of one row per lot.
 """
 
 from __future__ import annotations
@@ -21,58 +15,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# ---------------------------------------------------------------------------
-# Fixed tuning values.
-# ---------------------------------------------------------------------------
-HOT_LOT_ROWS = 2_000_000  # a lot with more rows than this in a run is split across tasks
-SALT_BUCKETS = 64  # tasks a hot lot is split into
-# ---------------------------------------------------------------------------
-
-_HOT, _SALT = "_hot_lot", "_lot_salt"
-
-
-def hot_lots(scoped: DataFrame, by: Sequence[str] = (), min_rows: int = HOT_LOT_ROWS) -> DataFrame:
-    """(by..., LOT_ID) of lots with more than ``min_rows`` scoped rows; at most rows/min_rows."""
-    return (
-        scoped.groupBy(*by, F.col("ma_id").alias("LOT_ID")).count()
-        .where(F.col("count") > min_rows)
-        .select(*by, "LOT_ID")
-    )
-
-
-def resolve_hot(hot: DataFrame) -> DataFrame | None:
-    """``hot`` itself, or None when the run has no hot lot (one small job on a bounded
-    aggregate; persist ``hot`` first when it is shared)."""
-    return None if hot.isEmpty() else hot
-
+_PART = "_lot_part"
 
-def attach_per_lot(rows: DataFrame, per_lot: DataFrame, by: Sequence[str],
-                   hot: DataFrame | None, buckets: int = SALT_BUCKETS,
-                   distinct: bool = False) -> DataFrame:
-    """Inner join of ``rows`` with ``per_lot`` (one row per (by, LOT_ID)), hot lots salted.
 
-    ``distinct`` asks for distinct result rows. Without hot lots every lot is bounded, so the
-    DISTINCT runs after the join and reuses its lot partitioning (no extra shuffle); with hot
-    lots it runs before the join, as a shuffle on all columns that spreads the hot lots. Both
-    give the same rows because ``per_lot`` is unique per key.
-    """
-    keys = [*by, "LOT_ID"]
-    # Runs without hot lots (``hot`` is None after ``resolve_hot``), the usual case, get the
-    # plain sort-merge join and none of the salting work.
-    if hot is None:
-        out = rows.join(per_lot, keys)
-        return out.distinct() if distinct else out
-    if distinct:
-        rows = rows.distinct()
-    flag = F.broadcast(hot.withColumn(_HOT, F.lit(True)))  # bounded: rows / min_rows entries
-    salted = rows.join(flag, keys, "left").withColumn(
-        _SALT,
-        F.when(F.col(_HOT), F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]), F.lit(buckets)))
-        .otherwise(F.lit(0)).cast("int"),
-    ).drop(_HOT)
-    spread = per_lot.join(flag, keys, "left").withColumn(
-        _SALT,
-        F.explode(F.when(F.col(_HOT), F.sequence(F.lit(0), F.lit(buckets - 1)))
-                  .otherwise(F.array(F.lit(0)))),
-    ).drop(_HOT)
-    return salted.join(spread, [*keys, _SALT]).drop(_SALT)
+def attach_per_lot(rows: DataFrame, per_lot: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Inner join of ``rows`` with ``per_lot`` (one row per (by, LOT_ID)). Distinct rows stay
+    distinct."""
+    part = F.xxhash64("LOT_ID")
+    return rows.withColumn(_PART, part).join(per_lot.withColumn(_PART, part), [*by, "LOT_ID", _PART]).drop(_PART)

@@ -1,30 +1,39 @@
 """Many run dates in one Spark job.
 
-Each event row belongs to every run whose window contains its partition date. A generator
-(``explode(sequence(...))``) emits one copy of the row per such run date, a bounded fan-out equal
-to the window length (2 for the daily job, 16 for the archive job), with no join and no driver
-loop. Every operator then carries ``run_date`` in its grouping and join keys, so each run
-pivots only its own window, exactly as separate daily runs would.
+Each event row belongs to every run whose window contains its partition date: 2 for the daily job, 16
+for the archive job. Every aggregate of a run is one of per-day parts (MAX of MAXes, MIN of MINs,
+DISTINCT of DISTINCTs), so the parts are built once per partition day, and only they are copied to
+their run dates by a generator (``explode(sequence(...))``, no join, no driver loop) and combined per
+run. No raw row is copied. ``run_date`` then rides in the grouping and join keys, so each run sees
+only its own window, exactly as separate runs would.
+
+The stored jobs cut the range into chunks of run dates, each with bounded shuffles, and mark every run
+date as they store it; ``resume`` leaves out the run dates that both stores have marked.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import files
 from ..operators import archive as A
 from ..operators import lots as L
 from ..operators.scope import scope_predicate, window_predicate
-from ..operators.skew import HOT_LOT_ROWS, resolve_hot
 from ..params import ATTRIBUTE_COLUMNS, RunWindow, Scope
+from ..schemas import EVENT_LOG, TTE
 from ..session import checkpoint_root, materialize, remove_path, scratch_path
-from ..sinks.text import write_dated
-from ..sources.eventlog import read_event_log
+from ..sinks.text import committed_runs, write_dated
+from ..sources.eventlog import present_days, read_event_log
+from ..sources.testrecords import day_glob, read_dated_records
 from .daily import WORK_COLUMNS
 
 RUN_KEY = ("run_date",)
+DAY_KEY = ("partition_date",)
 
 
 def _shift(day: str, days: int) -> str:
@@ -40,148 +49,200 @@ def _days(log: DataFrame, first_run: str, last_run: str, template: RunWindow,
     ).select(*WORK_COLUMNS)
 
 
-def fan_out(rows: DataFrame, first_run: str, last_run: str, template: RunWindow) -> DataFrame:
-    """One copy of each row per run date whose window contains its ``partition_date``."""
-    lo, hi = template.lower_offset, template.upper_offset
-    day = F.try_to_date("partition_date")
-    runs = F.sequence(F.date_sub(day, hi), F.date_sub(day, lo))
-    rows = rows.select("*", F.explode(runs).alias("run_day"))
-    rows = rows.withColumn("run_date", F.col("run_day").cast("string")).drop("run_day")
-    return rows.where(F.col("run_date").between(first_run, last_run))
+@dataclass(frozen=True)
+class Runs:
+    """Run dates ``first .. last`` whose windows have the shape of ``template``."""
 
+    first: str
+    last: str
+    template: RunWindow
 
-def runs_scope(log: DataFrame, first_run: str, last_run: str, template: RunWindow,
-               scope: Scope = Scope()) -> DataFrame:
-    """Scoped rows of all runs ``first_run .. last_run`` with their ``run_date`` column.
+    def copies(self, rows: DataFrame) -> DataFrame:
+        """One copy of each row per run date whose window contains its ``partition_date``."""
+        day = F.try_to_date("partition_date")
+        runs = F.sequence(F.date_sub(day, self.template.upper_offset), F.date_sub(day, self.template.lower_offset))
+        rows = rows.select("*", F.explode(runs).alias("run_day"))
+        rows = rows.withColumn("run_date", F.col("run_day").cast("string")).drop("run_day")
+        return rows.where(F.col("run_date").between(self.first, self.last))
 
-    ``template`` gives the window shape relative to its run date (e.g. ``RunWindow.daily``).
-    """
-    return fan_out(_days(log, first_run, last_run, template, scope), first_run, last_run, template)
+    def distinct(self, per_day: DataFrame) -> DataFrame:
+        """Distinct rows of days, copied to their runs and made distinct per run."""
+        return self.copies(per_day).select(*RUN_KEY, *[c for c in per_day.columns if c != "partition_date"]).distinct()
 
+    # The shared parts of the runs, from the scoped rows of all days.
 
-def window_pivot(days: DataFrame, first_run: str, last_run: str,
-                 template: RunWindow) -> DataFrame:
-    """The attribute pivot of every run, pre-aggregated per partition day before the fan-out.
+    def pivot(self, days: DataFrame) -> DataFrame:
+        """A1: a (day, lot) is pivoted once; eight attribute rows are one before they are copied."""
+        per_day = self.copies(L.attribute_pivot(days, DAY_KEY))
+        return per_day.groupBy(*RUN_KEY, "LOT_ID").agg(*[F.max(c).alias(c) for c in ATTRIBUTE_COLUMNS])
+
+    def first_start(self, days: DataFrame) -> DataFrame:
+        """A2: the least of the days' first starts."""
+        return self.copies(L.tester_first_start(days, DAY_KEY)).groupBy(*RUN_KEY, "LOT_ID", "job_oid", "TESTER_ID").agg(
+            F.min("time_machine_start").alias("time_machine_start"))
+
+    def last_change(self, days: DataFrame) -> DataFrame:
+        """A3: the greatest of the days' last changes."""
+        return self.copies(L.genealogy_last_change(days, DAY_KEY)).groupBy(*RUN_KEY, "LOT_ID", "STEP_ID", "step_job_oid").agg(
+            F.max("time_record_start").alias("time_record_start"))
+
+    def tester_step(self, days: DataFrame) -> DataFrame:
+        return L.tester_step(self.first_start(days), self.last_change(days), RUN_KEY)
+
+    def quantity(self, per_day: DataFrame) -> DataFrame:
+        """Quantity rows keep their ``partition_date``, so rows that are distinct per day are
+        distinct in each run."""
+        return self.copies(per_day)
+
+
+def _window(log: DataFrame, runs: Runs, scope: Scope) -> DataFrame:
+    """Scoped rows of every partition day that some run reads."""
+    lo, hi = runs.template.lower_offset, runs.template.upper_offset
+    return log.where(
+        scope_predicate(scope) & window_predicate(_shift(runs.first, lo), _shift(runs.last, hi))
+    ).select(*WORK_COLUMNS)
+
+
+Keep = Callable[[DataFrame, str], DataFrame]
 
-    MAX over a run's window equals the MAX of its days' MAXes, so each (day, lot) is pivoted
-    once (eight attribute rows become one) and only that row is copied to its run dates.
-    """
-    per_day = L.attribute_pivot(days, ("partition_date",))
-    per_run = fan_out(per_day, first_run, last_run, template)
-    return per_run.groupBy(*RUN_KEY, "LOT_ID").agg(
-        *[F.max(c).alias(c) for c in ATTRIBUTE_COLUMNS]
-    )
-
-
-def window_hot_lots(days: DataFrame, first_run: str, last_run: str, template: RunWindow,
-                    min_rows: int = HOT_LOT_ROWS) -> DataFrame:
-    """Hot lots of every run, counted per (day, lot) before the fan-out and summed per run."""
-    per_day = days.groupBy("partition_date", F.col("ma_id").alias("LOT_ID")).count()
-    per_run = fan_out(per_day, first_run, last_run, template)
-    return (
-        per_run.groupBy(*RUN_KEY, "LOT_ID").agg(F.sum("count").alias("rows"))
-        .where(F.col("rows") > min_rows).select(*RUN_KEY, "LOT_ID")
-    )
-
-
-def window_quantity(days: DataFrame, first_run: str, last_run: str,
-                    template: RunWindow) -> DataFrame:
-    """Distinct quantity rows of every run. Their key holds ``partition_date``, so rows made
-    distinct once per day stay distinct within each run after the fan-out: one DISTINCT over the
-    un-copied rows replaces one over twice as many."""
-    return fan_out(L.lot_quantity(days), first_run, last_run, template)
-
-
-def backfill_daily(log: DataFrame, first_run: str, last_run: str,
-                   scope: Scope = Scope()) -> tuple[DataFrame, DataFrame]:
-    """Variance and total-lot rows of every daily run in the range, with ``run_date``."""
-    template = RunWindow.daily(first_run)
-    days = _days(log, first_run, last_run, template, scope)
-    scoped = fan_out(days, first_run, last_run, template)
-    pivot = window_pivot(days, first_run, last_run, template)
-    steps = L.resolve_tester_step(scoped, RUN_KEY)
-    hot = resolve_hot(window_hot_lots(days, first_run, last_run, template))
-    qty = window_quantity(days, first_run, last_run, template)
-    shared = dict(steps=steps, pivot=pivot, hot=hot, quantity=qty)
-    return (
-        L.variance_dataset(scoped, RUN_KEY, **shared, reasons=scope.variance_reasons),
-        L.totallot_dataset(scoped, RUN_KEY, **shared),
-    )
+
+def _as_is(df: DataFrame, name: str) -> DataFrame:
+    return df
+
+
+def backfill_daily(log: DataFrame, first_run: str, last_run: str, scope: Scope = Scope(),
+                   keep: Keep = _as_is) -> tuple[DataFrame, DataFrame]:
+    """Variance and total-lot rows of every daily run in the range, with ``run_date``. ``keep`` gets
+    the parts that both datasets use and may store them."""
+    runs = Runs(first_run, last_run, RunWindow.daily(first_run))
+    days = _window(log, runs, scope)
+    shared = dict(pivot=keep(runs.pivot(days), "pivot"), steps=keep(runs.tester_step(days), "steps"),
+                  quantity=runs.quantity(L.lot_quantity(days)))
+    events = runs.distinct(L.variance_events(days, DAY_KEY, scope.variance_reasons))
+    return (L.variance_dataset(days, RUN_KEY, events=events, **shared), L.totallot_dataset(days, RUN_KEY, **shared))
 
 
 def backfill_archive(log: DataFrame, records: DataFrame, first_run: str, last_run: str,
-                     scope: Scope = Scope()) -> tuple[DataFrame, DataFrame]:
+                     scope: Scope = Scope(), keep: Keep = _as_is) -> tuple[DataFrame, DataFrame]:
     """Archive variance and total lots of every archive run in the range.
 
     ``records`` carries ``record_date``; each archive run reads the records of its run date.
     """
-    template = RunWindow.archive(first_run)
-    days = _days(log, first_run, last_run, template, scope)
-    scoped = fan_out(days, first_run, last_run, template)
-    recs = records.where(F.col("record_date").between(first_run, last_run)) \
-        .withColumnRenamed("record_date", "run_date")
-    testers = A.tte_testers(recs, RUN_KEY)
-    pivot = window_pivot(days, first_run, last_run, template)
-    hot = resolve_hot(window_hot_lots(days, first_run, last_run, template))
-    return (
-        A.archive_variance(scoped, testers, RUN_KEY, pivot=pivot, hot=hot, reasons=scope.variance_reasons),
-        A.archive_totallot(scoped, testers, RUN_KEY, pivot=pivot, hot=hot),
-    )
-
-
-def _chunks(first_run: str, last_run: str, chunk_days: int | None):
-    if not chunk_days:
-        yield first_run, last_run
-        return
-    start, end = dt.date.fromisoformat(first_run), dt.date.fromisoformat(last_run)
-    while start <= end:
-        stop = min(end, start + dt.timedelta(days=chunk_days - 1))
-        yield start.isoformat(), stop.isoformat()
-        start = stop + dt.timedelta(days=1)
-
-
-def _store_chunk(log: DataFrame, lo: str, hi: str, variance_root: str, totallot_root: str,
-                 scope: Scope) -> None:
-    template = RunWindow.daily(lo)
-    days = _days(log, lo, hi, template, scope)
-    scoped = fan_out(days, lo, hi, template)
-    spark = log.sparkSession
+    runs = Runs(first_run, last_run, RunWindow.archive(first_run))
+    days = _window(log, runs, scope)
+    testers = A.tte_testers(records.where(F.col("record_date").between(first_run, last_run))
+                            .withColumnRenamed("record_date", "run_date"), RUN_KEY)
+    pivot = keep(runs.pivot(days), "pivot")
+    genealogy = keep(runs.distinct(A.genealogy_steps(days, DAY_KEY)), "genealogy")
+    steps = {t: A.steps_of(runs.quantity(A.archive_quantity(days, with_time=t)), genealogy, RUN_KEY, t) for t in (False, True)}
+    events = runs.distinct(A.archive_variance_events(days, DAY_KEY, scope.variance_reasons))
+    return (A.archive_variance(days, testers, RUN_KEY, pivot=pivot, events=events, steps=steps[False]),
+            A.archive_totallot(days, testers, RUN_KEY, pivot=pivot, steps=steps[True]))
+
+
+# ---- stored jobs ------------------------------------------------------------------------------
+
+
+def pending_chunks(spark: SparkSession, first_run: str, last_run: str, roots: tuple[str, ...],
+                   chunk_days: int | None, resume: bool) -> Iterator[tuple[str, str]]:
+    """Ranges of consecutive run dates, ``chunk_days`` at most; with ``resume`` without those that
+    all stores hold completely."""
+    done = set.intersection(*[committed_runs(spark, r) for r in roots]) if resume else set()
+    chunk: list[str] = []
+    for day in RunWindow.span(first_run, last_run).days():
+        if day not in done:
+            chunk.append(day)
+        if chunk and (day in done or len(chunk) == chunk_days or day == last_run):
+            yield chunk[0], chunk[-1]
+            chunk = []
+
+
+def _store_chunk(spark: SparkSession, lo: str, hi: str, build, variance_root: str, totallot_root: str,
+                 variance_table: str | None, totallot_table: str | None) -> None:
+    """Both datasets of a chunk. The parts they share are written once as tables in the cluster's
+    ``spark.checkpoint.dir``, so the second write neither computes them again nor depends on executors
+    that may be gone; they are removed whatever happens."""
     tables = scratch_path(spark, f"backfill-{lo}")
-    pivot = materialize(window_pivot(days, lo, hi, template), "pivot", tables)
-    steps = materialize(L.resolve_tester_step(scoped, RUN_KEY), "steps", tables)
-    hot = resolve_hot(materialize(window_hot_lots(days, lo, hi, template), "hot", tables))
-    qty = window_quantity(days, lo, hi, template)
-    shared = dict(steps=steps, pivot=pivot, hot=hot, quantity=qty)
-    runs = RunWindow.span(lo, hi).days()
-    write_dated(L.variance_dataset(scoped, RUN_KEY, **shared, reasons=scope.variance_reasons), variance_root, run_dates=runs)
-    write_dated(L.totallot_dataset(scoped, RUN_KEY, **shared), totallot_root, run_dates=runs)
-    remove_path(spark, tables)  # the chunk's run dates are stored; its shared tables are done
+    days = RunWindow.span(lo, hi).days()
+    try:
+        variance, totallot = build(lo, hi, lambda df, name: materialize(df, name, tables))
+        write_dated(variance, variance_root, run_dates=days, table=variance_table)
+        write_dated(totallot, totallot_root, run_dates=days, table=totallot_table)
+    finally:
+        remove_path(spark, tables)
 
 
 def run_backfill(log: DataFrame, first_run: str, last_run: str, variance_root: str,
-                 totallot_root: str, chunk_days: int | None = 31, scope: Scope = Scope()) -> None:
+                 totallot_root: str, chunk_days: int | None = 31, scope: Scope = Scope(),
+                 resume: bool = False, variance_table: str | None = None, totallot_table: str | None = None) -> None:
     """Store both daily datasets for every run date in the range (K2 per run date).
 
-    The range is cut into chunks of ``chunk_days`` run dates, each one Spark job with bounded
-    shuffle size. Within a chunk, the attribute pivot, the tester-step resolution and the
-    hot-lot list feed both datasets; they are written once as tables in the cluster's
-    ``spark.checkpoint.dir`` (``session.materialize``) so the second write neither recomputes
-    them nor depends on executors that may be gone. Stored run dates are durable: a failed backfill
-    can be called again from its first missing run date, and rerunning a chunk replaces only its run
-    dates.
+    Stored run dates are durable and marked. A failed backfill is called again with ``resume``;
+    without it, every run date is computed anew, which replaces only its own rows.
     """
-    checkpoint_root(log.sparkSession)
-    for lo, hi in _chunks(first_run, last_run, chunk_days):
-        _store_chunk(log, lo, hi, variance_root, totallot_root, scope)
+    spark = log.sparkSession
+    checkpoint_root(spark)
+    for lo, hi in pending_chunks(spark, first_run, last_run, (variance_root, totallot_root), chunk_days, resume):
+        _store_chunk(spark, lo, hi, lambda a, b, keep: backfill_daily(log, a, b, scope, keep),
+                     variance_root, totallot_root, variance_table, totallot_table)
+
+
+def _window_days(template: RunWindow, lo: str, hi: str) -> list[str]:
+    return RunWindow.span(_shift(lo, template.lower_offset), _shift(hi, template.upper_offset)).days()
+
+
+def _log_of(spark: SparkSession, path: str, days: list[str]) -> DataFrame:
+    """The log's rows of a chunk's days; a chunk may have none, as long as the range has some."""
+    try:
+        return read_event_log(spark, path, days)
+    except FileNotFoundError:
+        return spark.createDataFrame([], EVENT_LOG)
+
+
+def _check_log(spark: SparkSession, path: str, days: list[str]) -> None:
+    there = set(files.names(spark, path))
+    present_days([(d, f"partition_date={d}") for d in days], there.__contains__, path)
 
 
 def run_backfill_at(spark: SparkSession, log_path: str, first_run: str, last_run: str,
                     variance_root: str, totallot_root: str, chunk_days: int | None = 31,
-                    scope: Scope = Scope()) -> None:
+                    scope: Scope = Scope(), resume: bool = False, variance_table: str | None = None,
+                    totallot_table: str | None = None) -> None:
     """``run_backfill`` over a stored log; each chunk lists and reads only its own days."""
     checkpoint_root(spark)
-    for lo, hi in _chunks(first_run, last_run, chunk_days):
-        tpl = RunWindow.daily(lo)
-        days = RunWindow.span(_shift(lo, tpl.lower_offset), _shift(hi, tpl.upper_offset)).days()
-        _store_chunk(read_event_log(spark, log_path, days), lo, hi, variance_root,
-                     totallot_root, scope)
+    template = RunWindow.daily(first_run)
+    _check_log(spark, log_path, _window_days(template, first_run, last_run))
+
+    def build(lo: str, hi: str, keep: Keep):
+        return backfill_daily(_log_of(spark, log_path, _window_days(template, lo, hi)), lo, hi, scope, keep)
+
+    for lo, hi in pending_chunks(spark, first_run, last_run, (variance_root, totallot_root), chunk_days, resume):
+        _store_chunk(spark, lo, hi, build, variance_root, totallot_root, variance_table, totallot_table)
+
+
+def run_archive_backfill(spark: SparkSession, log_path: str, tte_root: str, first_run: str, last_run: str,
+                         variance_root: str, totallot_root: str, chunk_days: int | None = 8,
+                         scope: Scope = Scope(), resume: bool = False, variance_table: str | None = None,
+                         totallot_table: str | None = None) -> None:
+    """The archive job for every run date in the range, from the stored log and test records.
+
+    A chunk reads the log days of its windows once (``chunk_days`` + 15) and the records of its own
+    run dates; a run date without records stores no rows, as its run would.
+    """
+    checkpoint_root(spark)
+    template = RunWindow.archive(first_run)
+    _check_log(spark, log_path, _window_days(template, first_run, last_run))
+    run_days = RunWindow.span(first_run, last_run).days()
+    if not any(files.any_match(spark, day_glob(tte_root, d)) for d in run_days):
+        raise FileNotFoundError(f"{tte_root}: none of the days {first_run} .. {last_run} is there")
+
+    def build(lo: str, hi: str, keep: Keep):
+        try:
+            records = read_dated_records(spark, tte_root, RunWindow.span(lo, hi).days())
+        except FileNotFoundError:
+            records = spark.createDataFrame([], TTE).withColumn("record_date", F.lit(None).cast("string"))
+        log = _log_of(spark, log_path, _window_days(template, lo, hi))
+        return backfill_archive(log, records, lo, hi, scope, keep)
+
+    for lo, hi in pending_chunks(spark, first_run, last_run, (variance_root, totallot_root), chunk_days, resume):
+        _store_chunk(spark, lo, hi, build, variance_root, totallot_root, variance_table, totallot_table)

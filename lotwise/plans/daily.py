@@ -3,10 +3,9 @@
 The reference scans the log 5 + 4 times and resolves testers twice. Here the two aggregated
 intermediates both datasets need, the attribute pivot (one row per lot) and the tester-step
 resolution (C3), are built once and persisted; every raw read stays a partition-pruned,
-column-pruned scan with pushed-down filters, so selective branches (variance events, tester
-starts) skip row groups instead of materialising the whole window. The persisted parts are
-aggregates, far smaller than the window; blocks lost with an executor are recomputed from a
-short lineage, and the written datasets are the durable results.
+column-pruned scan with pushed-down filters. The persisted parts are aggregates, far smaller than
+the window; blocks lost with an executor are recomputed from a short lineage, and the written
+datasets are the durable results.
 """
 
 from __future__ import annotations
@@ -18,7 +17,6 @@ from pyspark.sql import DataFrame
 
 from ..operators import lots as L
 from ..operators.scope import scoped_window
-from ..operators.skew import hot_lots, resolve_hot
 from ..params import RunWindow, Scope
 from ..sinks.text import write_dated
 from ..sources.eventlog import read_event_log
@@ -47,34 +45,33 @@ def daily_datasets(log: DataFrame, window: RunWindow, scope: Scope = Scope(),
     scoped = scoped_window(log, window, scope).select(*WORK_COLUMNS)
     pivot = L.attribute_pivot(scoped)
     steps = L.resolve_tester_step(scoped)
-    hot = hot_lots(scoped)
     cached: tuple[DataFrame, ...] = ()
     if cache:
         pivot = pivot.persist(StorageLevel.MEMORY_AND_DISK)
         steps = steps.persist(StorageLevel.MEMORY_AND_DISK)
-        hot = hot.persist(StorageLevel.MEMORY_AND_DISK)
-        cached = (pivot, steps, hot)
-    hot = resolve_hot(hot)
+        cached = (pivot, steps)
     return DailyDatasets(
-        variance=L.variance_dataset(scoped, steps=steps, pivot=pivot, hot=hot, reasons=scope.variance_reasons),
-        totallot=L.totallot_dataset(scoped, steps=steps, pivot=pivot, hot=hot),
+        variance=L.variance_dataset(scoped, steps=steps, pivot=pivot, reasons=scope.variance_reasons),
+        totallot=L.totallot_dataset(scoped, steps=steps, pivot=pivot),
         cached=cached,
     )
 
 
 def run_daily_job(log: DataFrame, window: RunWindow, variance_root: str, totallot_root: str,
-                  scope: Scope = Scope()) -> None:
-    """Compute both datasets and store them under ``run_date=<window.run_date>`` (K2)."""
+                  scope: Scope = Scope(), variance_table: str | None = None,
+                  totallot_table: str | None = None) -> None:
+    """Compute both datasets and store them under ``run_date=<window.run_date>`` (K2); tables that
+    are named see the run at once (K5)."""
     ds = daily_datasets(log, window, scope, cache=True)
     try:
-        write_dated(ds.variance, variance_root, window.run_date)
-        write_dated(ds.totallot, totallot_root, window.run_date)
+        write_dated(ds.variance, variance_root, window.run_date, table=variance_table)
+        write_dated(ds.totallot, totallot_root, window.run_date, table=totallot_table)
     finally:
         ds.release()
 
 
 def run_daily_job_at(spark, log_path: str, window: RunWindow, variance_root: str,
-                     totallot_root: str, scope: Scope = Scope()) -> None:
+                     totallot_root: str, scope: Scope = Scope(), **tables: str | None) -> None:
     """The daily job over a stored log, listing only the window's partition folders."""
     log = read_event_log(spark, log_path, window.days())
-    run_daily_job(log, window, variance_root, totallot_root, scope)
+    run_daily_job(log, window, variance_root, totallot_root, scope, **tables)

@@ -21,15 +21,26 @@ from .operators import archive as A
 from .operators import lots as L
 from .operators.scope import scoped_window
 from .params import RunWindow
-from .plans.backfill import backfill_daily
-from .plans.daily import daily_datasets
-from .plans.weekly import weekly_report
-from .schemas import REPORT_VARIANCE, TOTALLOT, VARIANCE
+from .plans.backfill import backfill_daily, run_archive_backfill, run_backfill
+from .plans.daily import daily_datasets, run_daily_job_at
+from .plans.weekly import extract_name, report_name, run_daily_extracts, run_weekly_job, weekly_report
+from .schemas import (
+    ARCHIVE_TOTALLOT,
+    ARCHIVE_VARIANCE,
+    REPORT_TABLE_TOTALLOT,
+    REPORT_TABLE_VARIANCE,
+    REPORT_TOTALLOT,
+    REPORT_VARIANCE,
+    TOTALLOT,
+    VARIANCE,
+)
 from .session import configure, scratch_path
-from .sinks.tables import drop_table, register_table
+from .sinks.tables import drop_table, register_report, register_store
 from .sinks.text import write_dated, write_delimited, write_extract, write_report
-from .sources.delimited import read_dated_store, read_delimited, read_report
+from .sources.delimited import read_dated_store, read_delimited, read_report, read_table
+from .sources.eventlog import write_event_log
 from .sources.fixtures import WIDE_LOWER, WIDE_UPPER, event_log, tte_records
+from .sources.testrecords import write_test_records
 
 # ---------------------------------------------------------------------------
 # Fixed parameters of the registered queries.
@@ -37,6 +48,7 @@ from .sources.fixtures import WIDE_LOWER, WIDE_UPPER, event_log, tte_records
 WIDE = RunWindow.span(WIDE_LOWER, WIDE_UPPER)  # one run over every partition date
 AS_OF = dt.datetime(2024, 10, 15, 12, 0, 0)  # weekly report date
 FIRST_RUN, LAST_RUN = "2023-09-30", WIDE_UPPER  # every daily run that sees any partition
+RERUNS = ("2024-02-03", "2024-02-04", "2024-02-05", "2024-02-06")  # of the catalog's tables
 # ---------------------------------------------------------------------------
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -228,10 +240,180 @@ def q_catalog_tables(spark, sf_dir):
     write_dated(q_totallot_daily(spark, sf_dir), root, WIDE.run_date)
     name = "lotwise_auto_totallot"
     drop_table(spark, name)
-    register_table(spark, name, TOTALLOT, root, partitioned_by="run_date")
+    register_store(spark, name, TOTALLOT, root)
     return spark.table(name)
 
 
+# ---- stored inputs, and jobs that read and store like in production -------------------------
+
+
+def _stored_log(spark: SparkSession, sf_dir: str) -> str:
+    configure(spark)
+    path = scratch_path(spark, "mam_tx")
+    write_event_log(event_log(spark, sf_dir), path)
+    return path
+
+
+def _daily_store(spark: SparkSession, sf_dir: str, dataset: str) -> DataFrame:
+    """The daily job over the stored log, one run over every partition date."""
+    log = _stored_log(spark, sf_dir)
+    roots = {d: scratch_path(spark, f"daily-{d}") for d in ("variance", "totallot")}
+    run_daily_job_at(spark, log, WIDE, roots["variance"], roots["totallot"])
+    return read_dated_store(spark, roots[dataset], {"variance": VARIANCE, "totallot": TOTALLOT}[dataset])
+
+
+def q_daily_job_variance(spark, sf_dir):
+    return _daily_store(spark, sf_dir, "variance")
+
+
+def q_daily_job_totallot(spark, sf_dir):
+    return _daily_store(spark, sf_dir, "totallot")
+
+
+def _archive_store(spark: SparkSession, sf_dir: str, dataset: str) -> DataFrame:
+    """C10 of the archive job: every run date, from the stored log (S1) and the stored test records
+    of two sources (S3), in chunks; the second call resumes and finds nothing to do."""
+    log, records = _stored_log(spark, sf_dir), scratch_path(spark, "tte")
+    rows = tte_records(spark, sf_dir)
+    for source, even in (("tester-a", 0), ("tester-b", 1)):
+        write_test_records(rows.where(F.pmod(F.xxhash64("summaryID"), F.lit(2)) == even), records, source)
+    roots = {d: scratch_path(spark, f"archive-{d}") for d in ("variance", "totallot")}
+    for resume in (False, True):
+        run_archive_backfill(spark, log, records, WIDE.lower, WIDE.upper, roots["variance"], roots["totallot"],
+                             chunk_days=150, resume=resume)
+    return read_dated_store(spark, roots[dataset], {"variance": ARCHIVE_VARIANCE, "totallot": ARCHIVE_TOTALLOT}[dataset])
+
+
+def q_backfill_archive_variance(spark, sf_dir):
+    return _archive_store(spark, sf_dir, "variance")
+
+
+def q_backfill_archive_totallot(spark, sf_dir):
+    return _archive_store(spark, sf_dir, "totallot")
+
+
+def _weekly_store(spark: SparkSession, sf_dir: str) -> str:
+    """C7, C8 as in production: the backfill's stores, pruned by work week, to the stored reports."""
+    configure(spark)
+    roots = {d: scratch_path(spark, f"history-{d}") for d in ("variance", "totallot")}
+    run_backfill(event_log(spark, sf_dir), FIRST_RUN, LAST_RUN, roots["variance"], roots["totallot"], chunk_days=None)
+    reports = scratch_path(spark, "reports")
+    run_weekly_job(spark, roots["variance"], roots["totallot"], reports, AS_OF)
+    return reports
+
+
+def q_weekly_job_variance(spark, sf_dir):
+    return read_report(spark, f"{_weekly_store(spark, sf_dir)}/report_variance", REPORT_VARIANCE)
+
+
+def q_weekly_job_totallot(spark, sf_dir):
+    return read_report(spark, f"{_weekly_store(spark, sf_dir)}/report_totallot", REPORT_TOTALLOT)
+
+
+def q_daily_extract_both(spark, sf_dir):
+    """Both datasets of a run date, each in its own folder; their rows by the columns they share."""
+    log = _daily_runs(spark, sf_dir)
+    roots = {d: scratch_path(spark, f"extract-{d}") for d in ("variance", "totallot")}
+    write_dated(log[0], roots["variance"], WIDE.run_date)
+    write_dated(log[1], roots["totallot"], WIDE.run_date)
+    out = run_daily_extracts(spark, roots["variance"], roots["totallot"], WIDE.run_date, scratch_path(spark, "extracts"))
+    both = [read_delimited(spark, out[d], schema, sep=",").select(F.lit(extract_name(d, WIDE.run_date)).alias("extract"), *TOTALLOT.fieldNames())
+            for d, schema in (("variance", VARIANCE), ("totallot", TOTALLOT))]
+    return both[0].union(both[1])
+
+
+def _daily_runs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    configure(spark)
+    ds = daily_datasets(event_log(spark, sf_dir), WIDE, cache=False)
+    return ds.variance, ds.totallot
+
+
+# ---- the catalog's tables over several runs (K5, K6) ----------------------------------------
+
+
+def _catalog_runs(spark: SparkSession, rows: DataFrame, schema, name: str) -> DataFrame:
+    """The table is registered over an empty store; three runs are stored (the log's lots in three
+    parts), the first is run again and has no rows, the second again with a part of its own. The
+    table is dropped and registered anew over the kept files, and a fourth run is stored."""
+    root = scratch_path(spark, name)
+    drop_table(spark, name)
+    register_store(spark, name, schema, root)
+    third = F.pmod(F.length("PRODUCT_FAMILY") + F.length("LOT_QTY"), F.lit(3))
+    for k in range(3):
+        write_dated(rows.where(third == k), root, RERUNS[k], table=name)
+    write_dated(rows.where(F.lit(False)), root, RERUNS[0], table=name)
+    write_dated(rows.where((third == 1) & (F.length("LOT_QTY") == 2)), root, RERUNS[1], table=name)
+    drop_table(spark, name)
+    drop_table(spark, name)  # a table that is not there
+    register_store(spark, name, schema, root)
+    write_dated(rows.where(third == 0), root, RERUNS[3], table=name)
+    return read_table(spark, name)
+
+
+def q_catalog_runs_variance(spark, sf_dir):
+    return _catalog_runs(spark, q_variance_daily(spark, sf_dir), VARIANCE, "lotwise_runs_variance")
+
+
+def q_catalog_runs_totallot(spark, sf_dir):
+    return _catalog_runs(spark, q_totallot_daily(spark, sf_dir), TOTALLOT, "lotwise_runs_totallot")
+
+
+def _catalog_report(spark: SparkSession, report: DataFrame, dataset: str, schema) -> DataFrame:
+    """The report table with its own column names, over a report that replaces an older one."""
+    root, name, labels = scratch_path(spark, "reports"), f"lotwise_report_{dataset}", week_labels(AS_OF)
+    older = week_labels(AS_OF - dt.timedelta(weeks=1))
+    write_report(report.where(F.col(f"{dataset}_ww") == labels[0]), root, report_name(dataset, older))
+    drop_table(spark, name)
+    register_report(spark, name, schema, root)
+    spark.table(name).count()  # the session has listed the older report's files
+    write_report(report, root, report_name(dataset, labels), table=name)
+    return read_table(spark, name)
+
+
+def q_catalog_report_variance(spark, sf_dir):
+    return _catalog_report(spark, q_weekly_variance(spark, sf_dir), "variance", REPORT_TABLE_VARIANCE)
+
+
+def q_catalog_report_totallot(spark, sf_dir):
+    return _catalog_report(spark, q_weekly_totallot(spark, sf_dir), "totallot", REPORT_TABLE_TOTALLOT)
+
+
+# ---- values that hold line breaks, separators, quotes and escapes ---------------------------
+
+
+def _awkward(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The variance rows with line breaks, backslashes, quotes, separators and a ``\\N`` in them."""
+    def with_text(column: str, *text: str):
+        return F.concat(F.col(column), F.lit("".join(text)), F.col(column)).alias(column)
+
+    changed = {"LOT_ID": with_text("LOT_ID", "\n"), "STEP_ID": with_text("STEP_ID", "\r\n"), "DESIGN_ID": with_text("DESIGN_ID", "\\"),
+               "PACKAGE_TYPE": with_text("PACKAGE_TYPE", "\\n\\\n"), "PRODUCT_FAMILY": with_text("PRODUCT_FAMILY", '",\x01"'),
+               "reason": F.lit("\\N").alias("reason"), "action": with_text("action", "\r"), "quantity": F.lit("").alias("quantity")}
+    return q_variance_daily(spark, sf_dir).select(*[changed.get(c, F.col(c)) for c in VARIANCE.fieldNames()])
+
+
+def q_delimited_any_text(spark, sf_dir):
+    """K1, S2."""
+    path = scratch_path(spark, "any-text")
+    write_delimited(_awkward(spark, sf_dir), path)
+    return read_delimited(spark, path, VARIANCE)
+
+
+def q_dated_store_any_text(spark, sf_dir):
+    """K2, S4 and K4."""
+    root, out = scratch_path(spark, "any-store"), scratch_path(spark, "any-extract")
+    write_dated(_awkward(spark, sf_dir), root, WIDE.run_date)
+    write_extract(read_dated_store(spark, root, VARIANCE), WIDE.run_date, out)
+    return read_delimited(spark, out, VARIANCE, sep=",")
+
+
+def q_report_any_text(spark, sf_dir):
+    """K3, S5."""
+    root = scratch_path(spark, "any-report")
+    write_report(_awkward(spark, sf_dir), root, "any")
+    return read_report(spark, root, VARIANCE)
+
+
 # ---- backfill -----------------------------------------------------------------------------
 
 
@@ -275,55 +457,62 @@ QUERIES: dict[str, Query] = {
     "catalog_tables": q_catalog_tables,
     "backfill_variance": q_backfill_variance,
     "backfill_totallot": q_backfill_totallot,
+    "daily_job_variance": q_daily_job_variance,
+    "daily_job_totallot": q_daily_job_totallot,
+    "backfill_archive_variance": q_backfill_archive_variance,
+    "backfill_archive_totallot": q_backfill_archive_totallot,
+    "weekly_job_variance": q_weekly_job_variance,
+    "weekly_job_totallot": q_weekly_job_totallot,
+    "daily_extract_both": q_daily_extract_both,
+    "catalog_runs_variance": q_catalog_runs_variance,
+    "catalog_runs_totallot": q_catalog_runs_totallot,
+    "catalog_report_variance": q_catalog_report_variance,
+    "catalog_report_totallot": q_catalog_report_totallot,
+    "delimited_any_text": q_delimited_any_text,
+    "dated_store_any_text": q_dated_store_any_text,
+    "report_any_text": q_report_any_text,
 }
 
 
 def _oracles() -> dict[str, str]:
-    w = WIDE
-    ww_label = O.ww("date_time_local")
-    noon = "CAST(epoch(CAST(partition_date || ' 12:00:00' AS TIMESTAMP)) AS BIGINT)"
-    wd_end = O.week_index(noon)
-    daily, archive = RunWindow.daily("2000-01-01"), RunWindow.archive("2000-01-01")
-    d = "CAST(run_date AS DATE)"
-    sql = {p: O.part_sql(w, p) for p in (
-        "scope_window", "attribute_pivot", "variance_events", "lot_quantity",
-        "tester_first_start", "genealogy_last_change", "tester_step", "lot_step",
-        "variance_attributes")}
-    sql.update({
-        "variance_daily": O.variance_sql(w),
-        "totallot_daily": O.totallot_sql(w),
-        "work_week_label": O.with_(
-            "t AS (SELECT DISTINCT date_time_local FROM mam_tx)",
-            select=f"SELECT date_time_local, {ww_label} AS ww, {ww_label} AS ww_sql FROM t"),
-        "work_week_range": O.with_(
-            "t AS (SELECT DISTINCT partition_date FROM mam_tx)",
-            select=f"""SELECT partition_date AS as_of_date, CAST(i AS INTEGER) AS pos,
-  {O.week_label(f'{wd_end} - {51} + i')} AS ww
-FROM t, range(0, 52) r(i)"""),
-        "run_windows": O.with_(
-            "t AS (SELECT DISTINCT partition_date AS run_date FROM mam_tx)",
-            select=f"""SELECT run_date, strftime({d}, '%Y/%m/%d') AS run_path,
-  CAST({d} + {daily.lower_offset} AS VARCHAR) AS daily_lower,
-  CAST({d} + {daily.upper_offset} AS VARCHAR) AS daily_upper,
-  CAST({d} + ({archive.lower_offset}) AS VARCHAR) AS archive_lower,
-  CAST({d} + {archive.upper_offset} AS VARCHAR) AS archive_upper FROM t"""),
-    })
-    for p in ("tte_testers", "archive_steps", "archive_variance", "archive_totallot"):
-        sql[p] = O.archive_sql(w, w.lower, w.upper, p)
-    sql["weekly_totallot"] = O.weekly_sql(w, "totallot", AS_OF)
-    sql["weekly_variance"] = O.weekly_sql(w, "variance", AS_OF)
-    sql["delimited_roundtrip"] = sql["variance_daily"]
-    sql["daily_extract"] = sql["variance_daily"]
-    sql["report_roundtrip"] = sql["weekly_variance"]
-    stamped = f"SELECT *, '{w.run_date}' AS run_date FROM ({sql['totallot_daily']}) s"
-    sql["dated_store_roundtrip"] = stamped
-    sql["catalog_tables"] = stamped
-    runs = (FIRST_RUN, LAST_RUN, RunWindow.daily(FIRST_RUN))
-    sql["weekly_totallot_history"] = O.weekly_sql(None, "totallot", AS_OF, runs=runs)
-    sql["weekly_variance_history"] = O.weekly_sql(None, "variance", AS_OF, runs=runs)
-    sql["backfill_variance"] = O.variance_sql(runs=runs)
-    sql["backfill_totallot"] = O.totallot_sql(runs=runs)
-    return sql
+    wide, every = O.Runs.one(WIDE), O.Runs.each(FIRST_RUN, LAST_RUN, RunWindow.daily(FIRST_RUN))
+    archive_runs = O.Runs.each(WIDE.lower, WIDE.upper, RunWindow.archive(WIDE.lower))
+    variance, totallot = O.variance(wide), O.totallot(wide)
+    sql = {p: O.part(p, wide) for p in (*O.PARTS, "variance_attributes")}
+    return sql | {
+        "variance_daily": variance,
+        "totallot_daily": totallot,
+        "work_week_label": O.week_labels_of_times(),
+        "work_week_range": O.week_ranges_of_days(),
+        "run_windows": O.run_windows(),
+        "archive_variance": O.archive_variance(wide),
+        "archive_totallot": O.archive_totallot(wide),
+        "weekly_totallot": O.weekly("totallot", wide, AS_OF),
+        "weekly_variance": O.weekly("variance", wide, AS_OF),
+        "weekly_totallot_history": O.weekly("totallot", every, AS_OF),
+        "weekly_variance_history": O.weekly("variance", every, AS_OF),
+        "delimited_roundtrip": variance,
+        "dated_store_roundtrip": O.stamped(totallot, WIDE.run_date),
+        "report_roundtrip": O.weekly("variance", wide, AS_OF),
+        "daily_extract": variance,
+        "catalog_tables": O.stamped(totallot, WIDE.run_date),
+        "backfill_variance": O.variance(every),
+        "backfill_totallot": O.totallot(every),
+        "daily_job_variance": O.stamped(variance, WIDE.run_date),
+        "daily_job_totallot": O.stamped(totallot, WIDE.run_date),
+        "backfill_archive_variance": O.archive_variance(archive_runs),
+        "backfill_archive_totallot": O.archive_totallot(archive_runs),
+        "weekly_job_variance": O.weekly("variance", every, AS_OF),
+        "weekly_job_totallot": O.weekly("totallot", every, AS_OF),
+        "daily_extract_both": O.both_extracts(wide, WIDE.run_date),
+        "catalog_runs_variance": O.reruns(variance, RERUNS),
+        "catalog_runs_totallot": O.reruns(totallot, RERUNS),
+        "catalog_report_variance": O.weekly("variance", wide, AS_OF, prefix=False),
+        "catalog_report_totallot": O.weekly("totallot", wide, AS_OF, prefix=False),
+        "delimited_any_text": O.awkward(variance),
+        "dated_store_any_text": O.awkward(variance),
+        "report_any_text": O.awkward(variance),
+    }
 
 
 ORACLES: dict[str, str] = _oracles()

@@ -101,6 +101,10 @@ ARCHIVE_TOTALLOT = strings(*ARCHIVE_TOTALLOT_COLUMNS)
 REPORT_VARIANCE = strings(*REPORT_VARIANCE_COLUMNS)
 REPORT_TOTALLOT = strings(*REPORT_TOTALLOT_COLUMNS)
 
+# The catalog's tables over the reports name the columns without the prefix.
+REPORT_TABLE_VARIANCE = strings(*[c for c in VARIANCE_COLUMNS if c != "STEP_TEMPERATURE"])
+REPORT_TABLE_TOTALLOT = TOTALLOT
+
 DATASETS = {
     "variance": VARIANCE,
     "totallot": TOTALLOT,

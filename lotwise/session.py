@@ -19,6 +19,10 @@ JOB_CONF = {
     # Split a skewed (lot, job) join partition even where that costs one more shuffle after it
     # (several joins reuse their partitioning for the DISTINCT that follows).
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # An aggregate or DISTINCT is dealt by all its keys even where its input is dealt by some of them
+    # already: a hot (lot, job) is spread, and both sides of the join after it are shuffles of its own,
+    # which AQE can split.
+    "spark.sql.requireAllClusterKeysForDistribution": "true",
     # Broadcast only what AQE has measured at run time (a materialised shuffle stage below the
     # threshold); no broadcast from file-size estimates, which under-count compressed Parquet.
     "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -82,6 +86,13 @@ def materialize(df: DataFrame, name: str, root: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dematerialize(*tables: DataFrame) -> None:
+    """Delete tables that ``materialize`` wrote, once nothing reads them any more."""
+    for df in tables:
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            remove_path(df.sparkSession, folder)
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a scratch folder (driver-side file-system call)."""
     jvm = spark.sparkContext._jvm

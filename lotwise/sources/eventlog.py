@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .. import files
 from ..schemas import EVENT_LOG
 
 
@@ -16,23 +17,24 @@ def read_event_log(spark: SparkSession, path: str, days: list[str] | None = None
 
     Path-based reads list every partition folder before pruning; for a run that needs 2 (or 16)
     days of a multi-year log, naming the folders keeps listing proportional to the window.
-    ``basePath`` keeps ``partition_date`` as a column. Days without a folder are skipped.
+    ``basePath`` keeps ``partition_date`` as a column. Days without a folder are skipped; a log that
+    has none of them is an error, as a run over it would store an empty result.
     """
     reader = spark.read.schema(EVENT_LOG)
     if days is None:
         return reader.parquet(path)
     root = path.rstrip("/")
-    folders = [f"{root}/partition_date={d}" for d in days]
-    present = [f for f in folders if _exists(spark, f)]
-    if not present:
-        return spark.createDataFrame([], EVENT_LOG)
-    return reader.option("basePath", root).parquet(*present)
+    folders = present_days([(d, f"{root}/partition_date={d}") for d in days],
+                           lambda f: files.exists(spark, f), root)
+    return reader.option("basePath", root).parquet(*folders)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+def present_days(folders: list[tuple[str, str]], exists, root: str) -> list[str]:
+    """The folders (or globs) of the days that are there: the rule for missing days of all inputs."""
+    present = [f for _, f in folders if exists(f)]
+    if not present:
+        raise FileNotFoundError(f"{root}: none of the days {folders[0][0]} .. {folders[-1][0]} is there")
+    return present
 
 
 def write_event_log(log: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -174,37 +174,6 @@ def test_chunked_backfill_store_equals_one_job(spark, log01, tmp_dir):
     assert len(os.listdir(vr)) >= 7
 
 
-def test_hot_lot_split_gives_the_same_rows(log01):
-    """Hot lots (forced with a tiny threshold) are salted across tasks; the rows are unchanged."""
-    from lotwise.operators.scope import scoped_window
-    from lotwise.operators.skew import hot_lots
-
-    scoped = scoped_window(log01, RunWindow.span("2024-02-03", "2024-02-10"))
-    hot = hot_lots(scoped, min_rows=20)
-    assert hot.count() > 0
-    none = None
-    for build in (L.variance_dataset, L.totallot_dataset):
-        salted, plain = build(scoped, hot=hot), build(scoped, hot=none)
-        assert salted.count() == plain.count() == salted.distinct().count()
-        assert salted.exceptAll(plain).count() == 0
-    testers = A.tte_testers(_records(scoped.sparkSession, [{"LOT": "L0000001", "STEP_ID": "HOT_TEST"}]))
-    assert A.archive_totallot(scoped, testers, hot=hot).count() == A.archive_totallot(
-        scoped, testers, hot=none).count()
-
-
-def test_window_hot_lots_equals_direct_count(log01):
-    from lotwise.operators.skew import hot_lots
-    from lotwise.plans.backfill import _days, fan_out, window_hot_lots
-    from lotwise.params import Scope
-
-    first, last, tpl = "2024-02-03", "2024-02-09", RunWindow.daily("2024-02-03")
-    days = _days(log01, first, last, tpl, Scope())
-    direct = hot_lots(fan_out(days, first, last, tpl), ("run_date",), min_rows=12)
-    rolled = window_hot_lots(days, first, last, tpl, min_rows=12)
-    assert direct.count() > 0
-    assert direct.exceptAll(rolled).count() == 0 == rolled.exceptAll(direct).count()
-
-
 def test_archive_backfill_equals_separate_runs(spark, log01):
     """C10 for the archive job: 16-day windows, test records of each run date."""
     from conftest import SF01

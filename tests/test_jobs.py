@@ -13,7 +13,8 @@ from conftest import SF001
 from lotwise.functions.workweek import week_labels
 from lotwise.params import RunWindow
 from lotwise.plans.archive import archive_datasets, run_archive_job
-from lotwise.plans.backfill import backfill_daily, run_backfill_at
+from lotwise.plans import backfill
+from lotwise.plans.backfill import backfill_archive, backfill_daily, run_archive_backfill, run_backfill_at
 from lotwise.plans.daily import daily_datasets, run_daily_job_at
 from lotwise.plans.weekly import report_name, run_daily_extract, run_weekly_job, weekly_report
 from lotwise.schemas import (
@@ -27,6 +28,7 @@ from lotwise.schemas import (
 from lotwise.sources.delimited import read_dated_store, read_delimited, read_report
 from lotwise.sources.eventlog import write_event_log
 from lotwise.sources.fixtures import event_log, tte_records
+from lotwise.sources.testrecords import write_test_records
 
 RUN = "2024-02-03"
 
@@ -88,6 +90,55 @@ def test_backfill_then_weekly_reports(spark, stored):
     assert os.listdir(f"{root}/reports/report_variance") == [report_name("variance", labels)]
 
 
+def test_backfill_resumes_where_it_was_killed(spark, stored, monkeypatch):
+    """A backfill that dies between chunks goes on with the run dates that are not marked; one
+    that dies between its two datasets does that chunk again."""
+    root, log, _ = stored
+    first, last = "2024-02-01", "2024-02-12"
+    v, t = f"{root}/res_v", f"{root}/res_t"
+    stored_chunks, real, writes = [], backfill.write_dated, []
+
+    def dies(df, where, **how):
+        writes.append(where)
+        if len(writes) == 4:  # the second chunk's second dataset
+            raise RuntimeError("killed")
+        return real(df, where, **how)
+
+    monkeypatch.setattr(backfill, "write_dated", dies)
+    with pytest.raises(RuntimeError, match="killed"):
+        run_backfill_at(spark, f"{root}/mam_tx", first, last, v, t, chunk_days=4)
+    monkeypatch.setattr(backfill, "write_dated", lambda df, where, **how: (stored_chunks.append((where, tuple(how["run_dates"]))),
+                                                                          real(df, where, **how))[1])
+    run_backfill_at(spark, f"{root}/mam_tx", first, last, v, t, chunk_days=4, resume=True)
+    assert [c[1][0] for c in stored_chunks if c[0] == v] == ["2024-02-05", "2024-02-09"]
+    want_v, want_t = backfill_daily(log, first, last)
+    assert same(read_dated_store(spark, v, VARIANCE).select(want_v.columns), want_v)
+    assert same(read_dated_store(spark, t, TOTALLOT).select(want_t.columns), want_t)
+    stored_chunks.clear()
+    run_backfill_at(spark, f"{root}/mam_tx", first, last, v, t, chunk_days=4, resume=True)
+    assert stored_chunks == []
+
+
+def test_archive_backfill_over_stored_inputs(spark, stored):
+    """Archive runs with the records of their own dates, from the dated folders; a run date
+    without records stores no rows; equal to the in-memory backfill."""
+    from lotwise.__main__ import main
+
+    root, log, _ = stored
+    first, last, hole = "2024-02-01", "2024-02-09", "2024-02-05"
+    records = tte_records(spark, SF001).where(F.col("record_date").between(first, last) & (F.col("record_date") != hole))
+    write_test_records(records, f"{root}/records", "testerA")
+    v, t = f"{root}/abf_v", f"{root}/abf_t"
+    main(["archive-backfill", "--log", f"{root}/mam_tx", "--tte-root", f"{root}/records", "--first", first, "--last", last,
+          "--variance-root", v, "--totallot-root", t, "--chunk-days", "4"], spark)
+    want_v, want_t = backfill_archive(log, records, first, last)
+    got_v, got_t = read_dated_store(spark, v, ARCHIVE_VARIANCE), read_dated_store(spark, t, ARCHIVE_TOTALLOT)
+    assert got_v.count() > 0 and same(got_v.select(want_v.columns), want_v) and same(got_t.select(want_t.columns), want_t)
+    assert got_t.where(F.col("run_date") == hole).count() == 0
+    with pytest.raises(FileNotFoundError):
+        run_archive_backfill(spark, f"{root}/mam_tx", f"{root}/records", "2024-03-01", "2024-03-02", v, t)
+
+
 def test_command_line(spark, stored):
     """The jobs as subcommands of one application (``python -m lotwise``)."""
     from lotwise.__main__ import main
@@ -105,9 +156,17 @@ def test_command_line(spark, stored):
     main(["tables", "--variance-root", f"{out}/v", "--totallot-root", f"{out}/t",
           "--report-root", f"{out}/r"], spark)
     ds = daily_datasets(log, RunWindow.daily(RUN), cache=False)
-    assert same(spark.table("auto_variance").where(F.col("run_date") == RUN).drop("run_date"),
-                ds.variance)
+    assert same(spark.table("auto_variance").where(F.col("run_date") == RUN).select(VARIANCE.fieldNames()), ds.variance)
     assert spark.table("auto_totallot").select("run_date").distinct().count() == 3
+    main(["daily", "--log", f"{root}/mam_tx", "--run-date", "2024-02-06", "--variance-root", f"{out}/v",
+          "--totallot-root", f"{out}/t", "--totallot-table", "auto_totallot"], spark)
+    assert spark.table("auto_totallot").select("run_date").distinct().count() == 4
+    main(["weekly", "--variance-root", f"{out}/v", "--totallot-root", f"{out}/t", "--report-root", f"{out}/r",
+          "--as-of", "2024-02-14T12:00:00", "--variance-table", "report_variance", "--totallot-table", "report_totallot"], spark)
+    assert spark.table("report_variance").columns == [c.removeprefix("variance_") for c in REPORT_VARIANCE.fieldNames()]
+    main(["extract-day", "--variance-root", f"{out}/v", "--totallot-root", f"{out}/t", "--run-date", RUN, "--out", f"{out}/d"], spark)
+    assert same(read_delimited(spark, f"{out}/d/totallot_{RUN}", TOTALLOT, sep=","), ds.totallot)
+    assert same(read_delimited(spark, f"{out}/d/variance_{RUN}", VARIANCE, sep=","), ds.variance)
     assert spark.table("report_variance").count() > 0
     assert same(read_delimited(spark, f"{out}/x", VARIANCE, sep=","), ds.variance)
     main(["tables", "--variance-root", "-", "--totallot-root", "-", "--report-root", "-",

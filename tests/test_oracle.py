@@ -9,6 +9,7 @@ from conftest import SF001
 from oracle_compare import compare, duck
 
 import __spark_entry__ as entry_module
+from lotwise.queries import ORACLES, QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -16,11 +17,12 @@ def con():
     return duck(SF001)
 
 
-@pytest.mark.parametrize("name", sorted(entry_module.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     res = compare(spark, name, SF001, con)
     assert res["spark_rows"] > 0
-    assert name in entry_module.oracle_sql(), "every registered query has an oracle"
+    assert name in ORACLES, "every registered query of the library's own has an oracle"
+    assert entry_module.queries()[name] is QUERIES[name] and entry_module.oracle_sql()[name] == ORACLES[name]
     assert res["columns_match"], res
     assert res["oracle_rows"] == res["spark_rows"], res
     assert res["hash_match"], res
