@@ -25,15 +25,17 @@ def held_out(doc_id, folds: int, fold: int):
 
 def training_texts(docs: DataFrame, labels: DataFrame, label: str, folds: int, fold: int, limit: int) -> DataFrame:
     """(text, label) of at most ``limit`` labelled documents outside the held-out fold, by the hash
-    of their ids, stored. An id labelled twice counts as 1 if any of its labels is; null labels
-    count as none. The list of sampled ids is broadcast; ``limit`` bounds it."""
+    of their ids, stored: one text per id, the one of the least hash. An id labelled twice counts as 1
+    if any of its labels is; null labels count as none. The list of sampled ids is broadcast; ``limit``
+    bounds it."""
     chosen = (labels.select(F.col("doc_id").alias("sampled"), quoted(label).cast("int").alias("label"))
               .where(~held_out(F.col("sampled"), folds, fold) & F.col("sampled").isNotNull() & F.col("label").isNotNull())
               .groupBy("sampled").agg(F.max("label").alias("label"))
               .orderBy(F.xxhash64("sampled"), "sampled").limit(limit))
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    return materialize(texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("sampled"))
-                       .select("text", "label"), f"labelled-{label}")
+    rows = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("sampled"))
+    one = rows.groupBy("sampled").agg(F.min_by(F.struct("text", "label"), F.xxhash64("text")).alias("row"))
+    return materialize(one.select("row.text", "row.label"), f"labelled-{label}")
 
 
 def label_slices(batch: pa.RecordBatch, **how):

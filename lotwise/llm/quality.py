@@ -6,12 +6,11 @@ occurred earlier in the passage or in the text). Gated attention weighs the pass
 
     a = softmax(w . (tanh(V h) * sigmoid(U h))),    score = sigmoid(c . sum(a h) + b),
 
-and is learnt from the labels of whole texts, on at most ``SAMPLE`` labelled texts outside the
-held-out fold, by Adam on the driver. Training and scoring use all passages of each text. Spark
-encodes the sampled texts and stores their bags; the driver copies them to a temporary file, text by
-text, and reads back those of a step, ``CHUNK`` passages at once or one text, the gradient being a
-sum over texts. So its memory is bounded by one stored partition and the longest text, and its file
-by the sampled texts.
+and is learnt from the labels of whole texts, by Adam on the driver. The sample is bounded twice: by
+``SAMPLE`` labelled texts outside the held-out fold, and by ``SAMPLE_BYTES`` of their encoded passages,
+taken in the order of their hashes (a text that alone has more is left out). Training and scoring use
+all passages of each text. Spark encodes the sampled texts and stores their bags; the driver reads
+those within the bound, and a step's gradient is a sum over texts, ``CHUNK`` passages at once or one text.
 
 Rows: null and empty texts are bags of one empty passage; repeated rows score alike; without
 training texts of both labels the score is the smoothed share of label 1; an empty table gives an
@@ -20,13 +19,13 @@ empty result. Only ids and texts are read.
 
 from __future__ import annotations
 
-import tempfile
 from dataclasses import dataclass
 from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..session import remove_path, scratch_path
 from .labels import Adam, label_slices, score_texts, sigmoid, training_texts
@@ -34,6 +33,7 @@ from .words import NOT_SPACE, Slice, split
 
 FOLDS, HELD_OUT = 4, 2
 SAMPLE = 6_000  # labelled texts
+SAMPLE_BYTES = 128 << 20  # of their passages' features: 400 bytes a passage, about 300,000 of them
 CHUNK = 8_192  # passages of a training step held at once, or those of one text
 PASSAGE = 64  # words
 PAIRS = 64  # buckets of byte pairs
@@ -47,6 +47,7 @@ _CLASS[_MARKS] = np.arange(len(_MARKS))
 _CLASS[0x30:0x3A], _CLASS[0x41:0x5B], _CLASS[0x61:0x7B] = (len(_MARKS) + i for i in range(3))
 CLASSES = len(_MARKS) + 4
 WIDTH = CLASSES + PAIRS + 6
+BAGS = "key bigint, size bigint, bag binary, label int"
 
 
 def encode(s: Slice) -> tuple[np.ndarray, np.ndarray]:
@@ -104,34 +105,41 @@ class Attention:
 
 
 def _bags(sample: DataFrame) -> DataFrame:
-    """bag (all passages of a text) and label of each sampled text."""
+    """key (a hash of the text), size in bytes, bag (all passages) and label of each sampled text."""
 
     def run(batches):
         for batch in batches:
             for s, y in label_slices(batch):
                 h, first = encode(s)
                 bags = [h[a:b].tobytes() for a, b in zip(first[:-1], first[1:])]
-                yield pa.RecordBatch.from_arrays([pa.array(bags, pa.binary()), pa.array(y.astype(np.int32))], ["bag", "label"])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(2).slice(s.lo, s.rows), pa.array([len(b) for b in bags], pa.int64()),
+                     pa.array(bags, pa.binary()), pa.array(y.astype(np.int32))], ["key", "size", "bag", "label"])
 
-    return sample.mapInArrow(run, "bag binary, label int")
+    return sample.select("text", "label", F.xxhash64("text").alias("key")).mapInArrow(run, BAGS)
 
 
-class BagFile:
-    """The sampled texts' passages in a temporary file of the driver; labels ``y`` and numbers of
-    passages ``n`` in an order of the texts' own."""
+def within(stored: DataFrame, limit: int) -> DataFrame:
+    """The bags that fit into ``limit`` bytes together, in the order of their keys."""
+    fits = stored.where(F.col("size") <= limit)
+    sizes = fits.select("key", "size").orderBy("key").toArrow()  # SAMPLE rows at most
+    key, total = sizes.column("key").to_numpy(), np.cumsum(sizes.column("size").to_numpy())
+    if not len(key) or total[-1] <= limit:
+        return fits
+    cut = int(np.searchsorted(total, limit, "right"))  # the first that doesn't fit; equal keys stay out with it
+    return fits.where(F.col("key") < int(key[cut]))
 
-    def __init__(self, stored: DataFrame):
-        self.file = tempfile.TemporaryFile()
-        keys, at = [], 0
-        for row in stored.toLocalIterator():
-            self.file.write(row.bag)
-            keys.append((bytes(row.bag[:WIDTH * 4]), sha256(row.bag).digest(), row.label, at, len(row.bag) // (WIDTH * 4)))
-            at += len(row.bag)
-        self.file.flush()
-        keys.sort()
-        self.y = np.array([k[2] for k in keys], np.float32)
-        self.at = [k[3] for k in keys]
-        self.n = np.array([k[4] for k in keys], np.int64)
+
+class Bags:
+    """The sampled texts' passages; labels ``y`` and numbers of passages ``n``, in an order of the
+    texts' own."""
+
+    def __init__(self, rows: pa.Table):
+        bags, labels = rows.column("bag").to_pylist(), rows.column("label").to_pylist()
+        order = sorted(range(len(bags)), key=lambda i: (bags[i][:WIDTH * 4], sha256(bags[i]).digest(), labels[i]))
+        self.bags = [np.frombuffer(bags[i], np.float32).reshape(-1, WIDTH) for i in order]
+        self.y = np.array([labels[i] for i in order], np.float32)
+        self.n = np.array([len(b) for b in self.bags], np.int64)
 
     def chunks(self, part):
         """Texts of ``part`` in groups of ``CHUNK`` passages at most, or one text, and their passages."""
@@ -139,36 +147,28 @@ class BagFile:
         while lo < len(part):
             sizes = np.cumsum(self.n[part[lo:]])
             hi = lo + max(1, int(np.searchsorted(sizes, CHUNK, "right")))
-            yield part[lo:hi], np.concatenate([self._read(i) for i in part[lo:hi]])
+            yield part[lo:hi], np.concatenate([self.bags[i] for i in part[lo:hi]])
             lo = hi
 
-    def _read(self, i: int) -> np.ndarray:
-        self.file.seek(self.at[i])
-        return np.frombuffer(self.file.read(int(self.n[i]) * WIDTH * 4), np.float32).reshape(-1, WIDTH)
-
     def spread(self) -> tuple[np.ndarray, np.ndarray]:
         """Mean and standard deviation of each feature over all passages."""
         every = np.arange(len(self.n))
         mean = sum(h.sum(0, np.float64) for _, h in self.chunks(every)) / self.n.sum()
         return mean, np.sqrt(sum(((h - mean) ** 2).sum(0) for _, h in self.chunks(every)) / self.n.sum())
 
-    def close(self) -> None:
-        self.file.close()
-
 
 def fit(sample: DataFrame) -> Attention:
     """The model of a sample (text, label)."""
     path = scratch_path(sample.sparkSession, "quality-bags")
     _bags(sample).write.parquet(path)
-    bags = BagFile(sample.sparkSession.read.schema("bag binary, label int").parquet(path))
+    stored = sample.sparkSession.read.schema(BAGS).parquet(path)
     try:
-        return _learn(bags)
+        return _learn(Bags(within(stored, SAMPLE_BYTES).select("bag", "label").toArrow()))
     finally:
-        bags.close()
         remove_path(sample.sparkSession, path)
 
 
-def _learn(bags: BagFile) -> Attention:
+def _learn(bags: Bags) -> Attention:
     y = bags.y
     random = np.random.default_rng(11)
     p = {"V": random.normal(0, 0.1, (WIDTH, HIDDEN)),
