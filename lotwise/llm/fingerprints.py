@@ -2,11 +2,17 @@
 
 ``Prefix`` holds a text's prefix array of the polynomial hash modulo 2**64 over scattered code-point
 values; any span's hash, and so any equality of spans, is a subtraction and a product, and the
-longest common extension of two places is a binary search. A fingerprint has the length, the hash
-of the whole text, and a sketch: the hashes of all spans of ``SPAN`` code points (the whole text, if
-shorter), read off the prefix array, fall into ``SLOTS`` ranges, and each range keeps ``SLOT_BITS`` of
-its least. Two fingerprints are as alike as the share of equal slots among those that either has
-filled; equal texts have equal fingerprints and likeness 1.
+longest common extension of two places is a binary search. A fingerprint is read off that array: the
+length, the hash of the whole text; the hashes of its beginnings and of its ends, at the multiples of a
+power of two (at most ``MARKS`` of each, ``SLOT_BITS`` bits); and a sketch: the hashes of all spans of
+``SPAN`` code points (the whole text, if shorter) fall into ``SLOTS`` ranges, and each range keeps
+``SLOT_BITS`` of its least.
+
+Two fingerprints answer what their texts' arrays would: beginnings of one length are equal or not, so
+the longest common one is found by binary search over the marks that both have, and so is the longest
+common end. The likeness is the share of the longer text that these cover; texts whose common parts lie
+at other places are as alike as the share of equal slots among those that either has filled, if that is
+more. Equal texts have equal fingerprints and likeness 1.
 
 ``with_edits`` needs each document's successor in descending order of ids, across all tasks. Ids are
 cut into blocks at percentiles (a fixed number of bounds), each block's greatest row is copied to
@@ -21,6 +27,7 @@ result. Other columns are not read.
 from __future__ import annotations
 
 import hashlib
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +39,7 @@ from .words import BASE_WORD, GOLDEN, _powers, mix64
 SPAN = 24  # code points
 SLOTS = 64
 SLOT_BITS = 32
+MARKS = 64  # beginnings, and ends, of a text
 EMPTY_SLOT = np.uint64((1 << SLOT_BITS) - 1)
 NO_ID = -(2 ** 63)
 EDIT = ("doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, "
@@ -79,28 +87,62 @@ class Prefix:
             np.minimum.at(slots, (hashes >> np.uint64(58)).astype(np.int64), values)
         return slots
 
-    def fingerprint(self) -> tuple[str, np.ndarray]:
-        slots = self.sketch()
-        whole = int(self.spans(0, self.n)[0])
-        return f"{self.n:x}:{whole:016x}:{slots.astype('>u4').tobytes().hex()}", slots
+    def marks(self) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the beginnings and of the ends whose lengths are multiples of ``grid(n)``."""
+        at = np.arange(1, self.n // grid(self.n) + 1) * grid(self.n)
+        cut = np.uint64(64 - SLOT_BITS)
+        return self.spans(np.zeros_like(at), at) >> cut, self.spans(self.n - at, np.full_like(at, self.n)) >> cut
 
+    def fingerprint(self) -> Fingerprint:
+        return Fingerprint(self.n, int(self.spans(0, self.n)[0]), self.sketch(), *self.marks())
 
-def likeness(a: tuple[str, np.ndarray], b: tuple[str, np.ndarray]) -> float:
-    if a[0] == b[0]:
-        return 1.0
-    filled = (a[1] != EMPTY_SLOT) | (b[1] != EMPTY_SLOT)
-    # Texts that differ are never wholly alike, however alike their sketches.
-    return min(float((a[1] == b[1])[filled].mean()), 1 - 1 / (2 * SLOTS)) if filled.any() else 0.0
 
+def grid(n: int) -> int:
+    """The least power of two of which ``MARKS`` steps reach over ``n`` code points."""
+    return 1 << max(0, -(-n // MARKS) - 1).bit_length()
 
-def read_slots(fingerprint: str) -> np.ndarray:
-    """The sketch of a fingerprint."""
-    return np.frombuffer(bytes.fromhex(fingerprint.rsplit(":", 1)[1]), ">u4").astype(np.uint64)
+
+@dataclass
+class Fingerprint:
+    n: int
+    whole: int
+    slots: np.ndarray
+    heads: np.ndarray
+    tails: np.ndarray
+
+    def __str__(self) -> str:
+        parts = (x.astype(">u4").tobytes().hex() for x in (self.slots, self.heads, self.tails))
+        return ":".join((f"{self.n:x}", f"{self.whole:016x}", *parts))
+
+    @classmethod
+    def read(cls, text: str) -> Fingerprint:
+        n, whole, *parts = text.split(":")
+        return cls(int(n, 16), int(whole, 16), *(np.frombuffer(bytes.fromhex(p), ">u4").astype(np.uint64) for p in parts))
+
+    def likeness(self, other: Fingerprint) -> float:
+        if (self.n, self.whole) == (other.n, other.whole):
+            return 1.0
+        step = max(grid(self.n), grid(other.n))
+        covered = sum(longest(a, step // grid(self.n), b, step // grid(other.n))
+                      for a, b in ((self.heads, other.heads), (self.tails, other.tails))) * step
+        filled = (self.slots != EMPTY_SLOT) | (other.slots != EMPTY_SLOT)
+        alike = float((self.slots == other.slots)[filled].mean()) if filled.any() else 0.0
+        # Texts that differ are never wholly alike.
+        return min(max(alike, covered / max(self.n, other.n, 1)), 1 - 1 / (2 * SLOTS))
+
+
+def longest(a: np.ndarray, every_a: int, b: np.ndarray, every_b: int) -> int:
+    """How many of the common marks are equal: those of longer beginnings differ once shorter ones do."""
+    low, high = 0, min(len(a) // every_a, len(b) // every_b)
+    while low < high:
+        middle = (low + high + 1) // 2
+        low, high = (middle, high) if a[middle * every_a - 1] == b[middle * every_b - 1] else (low, middle - 1)
+    return low
 
 
 def compare(a: str, b: str) -> float:
     """Likeness of two fingerprints, 0 to 1."""
-    return likeness((a, read_slots(a)), (b, read_slots(b)))
+    return Fingerprint.read(a).likeness(Fingerprint.read(b))
 
 
 def edited(text: str, after: str) -> str:
@@ -149,8 +191,8 @@ def with_edits(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     def row(node, text, print_, after, after_print):
         new = edited(text, after)
         new_print = Prefix(new).fingerprint()
-        return (None if node == NO_ID else node, len(text), hashlib.sha256(new.encode()).hexdigest(), print_[0],
-                new_print[0], likeness(print_, new_print), likeness(print_, after_print))
+        return (None if node == NO_ID else node, len(text), hashlib.sha256(new.encode()).hexdigest(), str(print_),
+                str(new_print), print_.likeness(new_print), print_.likeness(after_print))
 
     def run(batches):
         held = at = None  # the row before: id, text, fingerprint
