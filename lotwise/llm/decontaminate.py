@@ -6,10 +6,10 @@ its necessary prefix is one token: the rarest, by counts over all documents. A d
 that holds a window's rarest shingle is a candidate; positional and length bounds drop those where
 the window would start before or end after the document; the rest are verified word by word.
 
-The benchmark is the stated query set. Its distinct windows are handled in blocks of at most
-``BLOCK_WINDOWS``, so what is broadcast at once has a fixed bound whatever the benchmark's size;
-with several blocks the rows pass through a written table between them. Documents are never
-shuffled. Words are compared by 64-bit hashes, all words of a window each.
+The benchmark is the stated query set. Its distinct pairs of a window and an item are dealt to blocks
+of about ``BLOCK_WINDOWS`` by their hash, so what is broadcast at once has a fixed bound whatever the
+benchmark's size and however many items share a window; with several blocks the rows pass through a
+written table between them, and spans and items add up. Documents are never shuffled. Words are compared by 64-bit hashes, all words of a window each.
 
 Rows: null text has no words and is clean; null item text has no windows; hits of items without
 an id count as hit words, but name no item; repeated rows and items are judged alike; an empty
@@ -30,7 +30,7 @@ from .words import BASE_WORD, LETTERS_DIGITS, grams, mix64, split, text_slices
 
 WINDOW = 13  # words
 SHINGLE = 3  # words of a token, or 1 in windows of fewer words
-BLOCK_WINDOWS = 500_000  # distinct windows broadcast at once: 13 hashes of 8 bytes each, 52 MB
+BLOCK_WINDOWS = 500_000  # (window, item) pairs broadcast at once: 13 hashes of 8 bytes each, 52 MB
 SHARE = 20  # contaminated when SHARE * hit words >= words
 FILTER_BITS = 22
 
@@ -147,16 +147,16 @@ def find_contamination(df: DataFrame, items: DataFrame, text_col: str = "text",
     first word and end, maximal) and contaminated, for each row."""
     spark = df.sparkSession
     windows = benchmark_windows(items, item_col, item_text_col, window)
-    distinct = windows.groupBy("words").agg(F.sort_array(F.collect_set("item")).alias("items"))
+    pairs = windows.distinct()
     path = scratch_path(spark, "benchmark-windows")
-    distinct.write.parquet(path)
-    stored = spark.read.schema(distinct.schema).parquet(path)
+    pairs.write.parquet(path)
+    stored = spark.read.schema(pairs.schema).parquet(path)
     n_blocks = max(1, -(-stored.count() // block_windows))
     rows = as_rows(df)
     current = None
     for k in range(n_blocks):
-        part = stored.where(F.pmod(F.xxhash64("words"), F.lit(n_blocks)) == k)
-        block = Block(part.toArrow(), window)
+        part = stored.where(F.pmod(F.xxhash64("words", "item"), F.lit(n_blocks)) == k)
+        block = Block(part.groupBy("words").agg(F.sort_array(F.collect_set("item")).alias("items")).toArrow(), window)
         block.order(_counts(rows, text_col, block))
         if current is not None:
             current = materialize(current, f"contamination-{k}")
