@@ -3,16 +3,19 @@
 The pages a host rule judges are the labelled rows. A labelled URL is the set of all its tokens
 (host labels, words of path, query and fragment; digits read as one token) and its verdict;
 FP-growth finds the frequent combinations, and those that imply ``block`` with ``MIN_CONFIDENCE``
-are kept, of any length, if no subset of the same combination implies it as surely.
+are kept, of any length, if no subset of the same combination implies it as surely. Support is a share
+and a number of rows: a combination must be in ``MIN_SUPPORT`` of the labelled rows and in
+``MIN_ROWS`` of them, and more of its rows must be blocked than chance makes (a log-likelihood ratio of
+``SURE`` at least), so that single hosts of a small table are no rules.
 
-Spark counts the tokens of all labelled rows; one below ``MIN_SUPPORT`` can be in no frequent
+Spark counts the tokens of all labelled rows; one below the least support can be in no frequent
 combination and is left out. Tokens that occur in exactly the same labelled rows stand for one
 another in every rule, so they are mined as one item, their kind: a part that many URLs repeat is
 one item and not 2**tokens combinations. A URL has a kind when it has any of its tokens.
 
 A rule lies under its rarest kind, its anchor. Kinds are broadcast: there are at most (mean tokens
-of a labelled row) / MIN_SUPPORT frequent tokens. Rules have no such bound; up to ``BROADCAST_ITEMS``
-items in all, they are broadcast as an index; more are joined to the distinct sets of kinds by anchor.
+of a labelled row) / MIN_SUPPORT frequent tokens. Rules have no such bound; they are joined to the
+distinct sets of kinds by anchor. The pages' tokens are made once and stored.
 
 Rows: null, empty or URLs without ``://`` have an empty host and path, fit no rule and are allowed;
 repeated rows are judged alike; without labelled rows nothing is blocked by the method; an empty
@@ -37,7 +40,8 @@ HOST_RULES = (
 )
 MIN_SUPPORT = 0.01  # share of the labelled rows
 MIN_CONFIDENCE = 0.9
-BROADCAST_ITEMS = 500_000  # items of all rules together, broadcast as one index
+MIN_ROWS = 10  # labelled rows of a rule
+SURE = 10.83  # least log-likelihood ratio of a rule: chance alone gives it once in 1,000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -74,14 +78,28 @@ def tokens(host: Column, path: Column, query: Column, fragment: Column) -> Colum
                                      words("p:", path), words("q:", query), words("f:", fragment)))
 
 
+def least_rows(n: int) -> float:
+    """Rows that a frequent combination of ``n`` labelled rows has at least."""
+    return max(MIN_SUPPORT * n, MIN_ROWS)
+
+
+def likelihood_ratio(blocked: Column, rows: Column, all_blocked: int, n: int) -> Column:
+    """Of the hypothesis that a combination's rows are blocked as often as the others: twice the log of
+    how much better its own share fits the two-by-two table."""
+    table = ((blocked, rows, all_blocked), (rows - blocked, rows, n - all_blocked),
+             (all_blocked - blocked, n - rows, all_blocked), (n - all_blocked - rows + blocked, n - rows, n - all_blocked))
+    cells = [F.when(x > 0, x * F.log(x * n / (r * c))).otherwise(0.0) for x, r, c in table]
+    return 2 * (cells[0] + cells[1] + cells[2] + cells[3])
+
+
 def token_kinds(labelled: DataFrame, n: int) -> DataFrame:
-    """(token, kind) of the tokens in MIN_SUPPORT of the ``n`` labelled rows; a kind has the tokens
+    """(token, kind) of the tokens in the least support of the ``n`` labelled rows; a kind has the tokens
     of exactly the same rows, by two 64-bit hashes of their sets, and the least one's name."""
     sets = labelled.groupBy("tokens").agg(F.count("*").alias("rows"))
     counts = (sets.select("rows", F.xxhash64("tokens").alias("a"), F.xxhash64(F.lit(1), "tokens").alias("b"),
                           F.explode("tokens").alias("token"))
               .groupBy("token").agg(F.sum("rows").alias("rows"), F.bit_xor("a").alias("a"), F.bit_xor("b").alias("b"))
-              .where(F.col("rows") >= MIN_SUPPORT * n))
+              .where(F.col("rows") >= least_rows(n)))
     kinds = counts.groupBy("rows", "a", "b").agg(F.collect_list("token").alias("own"))
     return kinds.select(F.explode("own").alias("token"), F.array_min("own").alias("kind"))
 
@@ -93,13 +111,17 @@ def _fitting(sets: DataFrame, rules: DataFrame) -> DataFrame:
             .where(F.size(F.array_except("rule.items", "kinds")) == 0).select("kinds", "rule"))
 
 
-def mine_rules(labelled: DataFrame) -> DataFrame:
-    """(anchor, items, confidence) of the rules that block, from ``kinds`` and ``verdict``."""
+def mine_rules(labelled: DataFrame, n: int) -> DataFrame:
+    """(anchor, items, confidence) of the rules that block, from ``kinds`` and ``verdict`` of ``n`` rows."""
+    all_blocked = labelled.where("verdict = 'block'").count()
     mark = F.when(F.col("verdict") == "block", F.array(F.lit("="))).otherwise(F.array().cast("array<string>"))
     items = labelled.select(F.concat(mark, "kinds").alias("items"))
-    model = FPGrowth(itemsCol="items", minSupport=MIN_SUPPORT, minConfidence=MIN_CONFIDENCE).fit(items)
+    model = FPGrowth(itemsCol="items", minSupport=min(1.0, least_rows(n) / n), minConfidence=MIN_CONFIDENCE).fit(items)
     single = model.freqItemsets.where(F.size("items") == 1).select(F.col("items")[0].alias("item"), F.col("freq"))
+    blocked = F.round(F.col("support") * n).cast("double")
+    rows = F.round(F.col("support") * n / F.col("confidence")).cast("double")
     rules = (model.associationRules.where(F.col("consequent")[0] == "=")
+             .where((rows >= MIN_ROWS) & (likelihood_ratio(blocked, rows, all_blocked, n) >= SURE))
              .select(F.array_sort("antecedent").alias("items"), "confidence"))
     # A rule one of whose parts blocks as surely adds nothing. Most are beaten by a part that lacks
     # one item or has one: look those up by equality; then meet the few left by anchor.
@@ -119,8 +141,7 @@ def mine_rules(labelled: DataFrame) -> DataFrame:
     return left.join(beaten, "items", "left_anti")
 
 
-def filter_urls(df: DataFrame, id_col: str = "page_id", url_col: str = "url", rules=HOST_RULES,
-                broadcast_items: int = BROADCAST_ITEMS) -> DataFrame:
+def filter_urls(df: DataFrame, id_col: str = "page_id", url_col: str = "url", rules=HOST_RULES) -> DataFrame:
     """page_id, host, path, rule, verdict, and ``mined``: the mined rule that blocks (null: none)."""
     spark = df.sparkSession
     host, path = host_and_path(F.col("url"))
@@ -129,8 +150,8 @@ def filter_urls(df: DataFrame, id_col: str = "page_id", url_col: str = "url", ru
              .select("page_id", host.alias("host"), path.alias("path"),
                      F.coalesce(query, F.lit("")).alias("query"), F.coalesce(fragment, F.lit("")).alias("fragment")))
     rule, verdict = host_rule(F.col("host"), F.col("path"), rules)
-    judged = pages.withColumns({"rule": rule, "verdict": verdict, "tokens": tokens(
-        F.col("host"), F.col("path"), F.col("query"), F.col("fragment"))}).drop("query", "fragment")
+    judged = materialize(pages.withColumns({"rule": rule, "verdict": verdict, "tokens": tokens(
+        F.col("host"), F.col("path"), F.col("query"), F.col("fragment"))}).drop("query", "fragment"), "url-tokens")
     labelled = judged.where("verdict IS NOT NULL")
     n = labelled.count()
     if n:
@@ -143,27 +164,19 @@ def filter_urls(df: DataFrame, id_col: str = "page_id", url_col: str = "url", ru
     judged = (judged.withColumn("one", F.lit(1)).join(F.broadcast(whole), "one", "left").withColumn("tokens", known)
               .withColumn("kinds", F.array_sort(F.array_distinct(F.transform("tokens", lambda t: F.element_at("kind_of", t))))))
     if n:
-        index = materialize(mine_rules(judged.where("verdict IS NOT NULL").select("kinds", "verdict")), "url-index")
+        index = materialize(mine_rules(judged.where("verdict IS NOT NULL").select("kinds", "verdict"), n), "url-index")
     else:
         index = spark.createDataFrame([], "items array<string>, confidence double, anchor string")
-    if (index.agg(F.sum(F.size("items"))).first()[0] or 0) <= broadcast_items:
-        entries = index.groupBy("anchor").agg(F.collect_list(F.struct("confidence", "items")).alias("rules"))
-        whole = entries.agg(F.map_from_entries(F.collect_list(F.struct("anchor", "rules"))).alias("index"),
-                            F.lit(1).alias("one"))
-        found = F.flatten(F.transform(
-            F.filter("kinds", lambda k: F.map_contains_key("index", k)),
-            lambda k: F.filter(F.element_at("index", k),
-                               lambda r: F.size(F.array_except(r["items"], F.col("kinds"))) == 0)))
-        out = (judged.join(F.broadcast(whole), "one", "left")
-               .withColumn("found", F.when(F.col("verdict").isNull(), found)))
-    else:
-        # Only the surest rules of a set can be its best.
-        open_ = judged.where("verdict IS NULL").select("kinds").distinct()
-        fits = _fitting(open_, index)
-        sure = fits.groupBy("kinds").agg(F.max("rule.confidence").alias("sure"))
-        found = (fits.join(sure, "kinds").where(F.col("rule.confidence") == F.col("sure"))
-                 .groupBy("kinds").agg(F.collect_list("rule").alias("found")))
-        out = judged.join(found, "kinds", "left").withColumn("found", F.when(F.col("verdict").isNull(), F.col("found")))
+    # Only the surest rules of a set can be its best.
+    fits = _fitting(judged.where("verdict IS NULL").select("kinds").distinct(), index)
+    sure = fits.groupBy("kinds").agg(F.max("rule.confidence").alias("sure"))
+    found = (fits.join(sure, "kinds").where(F.col("rule.confidence") == F.col("sure"))
+             .groupBy("kinds").agg(F.collect_list("rule").alias("found")))
+    # The hash in the key gives both sides a shuffle of their own, so a set that very many pages have
+    # can be split.
+    same = F.xxhash64("kinds")
+    out = (judged.withColumn("same", same).join(found.withColumn("same", same), ["kinds", "same"], "left")
+           .withColumn("found", F.when(F.col("verdict").isNull(), F.col("found"))))
     # A rule in the URL's own tokens, the last of each kind.
     named = F.transform("found", lambda r: F.struct(r["confidence"].alias("confidence"), F.array_sort(F.transform(
         r["items"], lambda k: F.array_max(F.filter("tokens", lambda t: F.element_at("kind_of", t) == k)))).alias("items")))
