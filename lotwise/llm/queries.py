@@ -14,6 +14,7 @@ from .chat_format import digest, format_turns
 from .decontaminate import find_contamination
 from .fingerprints import with_edits
 from .jaccard_join import join_similar
+from .oracles import ORACLES
 from .quality import score_quality
 from .substring_dedup import remove_repeats
 from .token_files import read_documents, token_folder, write_token_files
@@ -119,4 +120,4 @@ QUERIES: dict[str, Query] = {
     "op13_token_alignment": op13_token_alignment,
 }
 
-ORACLES: dict[str, str] = {"op5_mixing": mixing.ORACLE_SQL, "op12_lexical_search": lexical_search.ORACLE_SQL}
+__all__ = ["QUERIES", "ORACLES", "END_ID", "tokenizer_path"]

@@ -13,7 +13,7 @@ import pytest
 from lotwise.llm import chat_format, fingerprints, mixing
 from lotwise.llm.chat_format import digest, format_turns
 from lotwise.llm.decontaminate import find_contamination
-from lotwise.llm.fingerprints import Prefix, with_edits
+from lotwise.llm.fingerprints import Prefix, compare, with_edits
 from lotwise.llm.jaccard_join import join_similar, one_of_each
 from lotwise.llm.mixing import label_weights, mix, mixed_documents
 from lotwise.llm.quality import score_quality
@@ -403,6 +403,12 @@ def test_edits(spark, docs):
         assert fingerprints.compare(r.fingerprint, r.edited_fingerprint) == r.near_edited
         prints.setdefault(r.doc_id, set()).add(r.fingerprint)
     assert prints[100] == prints[99] != prints[96]
+    # A tail that is replaced leaves two thirds alike; what comes before or after a text does not matter.
+    texts = ["".join(chr(97 + x) for x in random.integers(0, 26, n)) for n in (4000, 4000, 130)]
+    near = lambda x, y: compare(str(Prefix(x).fingerprint()), str(Prefix(y).fingerprint()))
+    assert 0.6 < near(texts[0], fingerprints.edited(texts[0], texts[1])) < 0.7 and near(texts[0], texts[1]) < 0.1
+    assert near(texts[0], texts[0][:2000] + "#" + texts[0][2000:]) > 0.9 and near(texts[0], "#" + texts[0]) > 0.9
+    assert near(texts[0], texts[0][:3500]) > 0.8 and near(texts[2], texts[2][:65]) >= 0.45 and near("", "") == 1 and near("", "a") == 0
     alone = with_edits(spark.createDataFrame([(1, "abcdef")], "doc_id bigint, text string")).first()
     assert alone.edited_sha256 == hashlib.sha256(b"abcdab").hexdigest() and alone.near_next == 1
 
@@ -447,7 +453,50 @@ def test_mined_rules_of_whole_urls(spark):
     got = filter_urls(df).collect()
     verdicts = {r.page_id - len(rows): r.verdict for r in got if r.page_id >= len(rows)}
     assert [verdicts[i] for i in range(len(probes))] == list(probes.values())
-    assert counted(filter_urls(df, broadcast_items=0).collect()) == counted(got)
+    assert counted(filter_urls(df.repartition(5)).collect()) == counted(got)
+
+
+def test_mined_rules_need_evidence(spark):
+    """A host of a few blocked rows is no rule, however confident; one of many is."""
+    rows = [f"http://www.rare.net/es/{'abc'[i]}" for i in range(3)] + [f"http://www.often.net/fr/{i}" for i in range(40)]
+    rows += [f"http://www.s{'abcdefgh'[i % 8]}.com/x/{i}" for i in range(80)]
+    probes = {"http://rare.org/": "allow", "http://often.org/": "block", "http://www.org/": "allow"}
+    df = spark.createDataFrame(list(enumerate(rows + list(probes))), "page_id bigint, url string")
+    got = {r.page_id - len(rows): r.verdict for r in filter_urls(df).collect()}
+    assert [got[i] for i in range(len(probes))] == list(probes.values())
+
+
+def test_mined_rules_brute_force(spark):
+    """All rules of a small table by counting every combination of the labelled rows' tokens, and the
+    verdicts that they give."""
+    from itertools import combinations
+
+    words = ["red", "green", "blue", "black", "white"]
+    pick = lambda i: [w for k, w in enumerate(words) if (i * 7 + k * k) % (k + 2) == 0]
+    rows = [f"http://{'xy'[i % 2]}{i}.{'net/fr' if len(pick(i)) > 2 or i % 11 == 0 else 'com'}/{'/'.join(pick(i))}" for i in range(90)]
+    probes = [f"http://q.org/{'/'.join(c)}" for n in range(6) for c in combinations(words, n)]
+    df = spark.createDataFrame(list(enumerate(rows + probes)), "page_id bigint, url string")
+    sets = [({"h:" + x for x in url.split("/")[2].split(".")} | {"p:" + x for x in url.split("/")[3:] if x}) for url in rows + probes]
+    blocked = [".net/fr" in url for url in rows]
+    n, all_blocked = len(rows), sum(blocked)
+    least = max(0.01 * n, 10)
+    often = sorted(t for t in set.union(*sets[:n]) if sum(t in s for s in sets[:n]) >= least)
+    rules = []
+    for size in range(1, len(often) + 1):
+        for c in combinations(often, size):
+            held = [i for i in range(n) if set(c) <= sets[i]]
+            k = sum(blocked[i] for i in held)
+            if k < least or k / len(held) < 0.9:
+                continue
+            cells = ((k, len(held), all_blocked), (len(held) - k, len(held), n - all_blocked),
+                     (all_blocked - k, n - len(held), all_blocked), (n - all_blocked - len(held) + k, n - len(held), n - all_blocked))
+            if 2 * sum(x * np.log(x * n / (r * a)) for x, r, a in cells if x) >= 10.83:
+                rules.append(set(c))
+    assert rules
+    got = {r.page_id: r for r in filter_urls(df).collect()}
+    for i, (url, s) in enumerate(zip(rows + probes, sets)):
+        if got[i]["rule"] is None:
+            assert (got[i].verdict == "block") == any(r <= s for r in rules), (url, got[i].mined)
 
 
 # ---- all together --------------------------------------------------------------------------
