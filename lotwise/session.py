@@ -77,13 +77,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/lotwise-{name}-{uuid.uuid4().hex[:12]}"
 
 
+# Shuffle files of a finished write serve nobody: the stored table is what is read from then on.
+_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialize(df: DataFrame, name: str, root: str | None = None) -> DataFrame:
     """Cut lineage with a written table: ``df`` is computed once, stored as Parquet in the
     shared checkpoint folder (or under ``root``) and read back; the result survives the loss of
-    the executors that built it."""
-    path = f"{root.rstrip('/')}/{name}" if root else scratch_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    the executors that built it. The shuffle files of the write go with its end."""
+    spark = df.sparkSession
+    path = f"{root.rstrip('/')}/{name}" if root else scratch_path(spark, name)
+    before = spark.conf.get(_CLEAN_UP, None)
+    spark.conf.set(_CLEAN_UP, "true")
+    try:
+        df.write.mode("overwrite").parquet(path)
+    finally:
+        spark.conf.set(_CLEAN_UP, before) if before is not None else spark.conf.unset(_CLEAN_UP)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def dematerialize(*tables: DataFrame) -> None:
