@@ -9,8 +9,8 @@ the whole sets. A set whose longer prefix has fewer than l shingles that others
 nothing and leaves early.
 
 The sets that stay are put in a second order, in which shingles that only one of them holds come first. These
-are counted exactly, over the whole sets, among a share of all shingles that is twice as large as a prefix
-(``SAMPLED``: those of the least hashes, so the head of the first order). A set of which more shingles
+are counted exactly, over the whole sets, among a share of all shingles that is half as large again as a
+prefix (``SAMPLED``: those of the least hashes, so the head of the first order). A set of which more shingles
 are its own than a prefix is long has a prefix that no other holds, and leaves without a pair: texts that
 meet by chance, more often as the table grows, do; near copies hold few shingles alone.
 
@@ -53,7 +53,7 @@ OFTEN = 3  # documents of one slice that make a shingle frequent
 
 WORD = r"[^\x20\x09-\x0D]"
 
-SAMPLED = 2  # prefixes' lengths of shingles that are counted exactly
+SAMPLED = 1.5  # prefixes' lengths of shingles that are counted exactly
 
 SETS = "doc_id bigint, text_hash bigint, node bigint, n_shingles bigint, sampled int, prefix array<bigint>"
 
@@ -101,7 +101,7 @@ def _prefix_sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
     """``SETS``: number, size and head of each row's set: its longest prefix, or its ``sampled``
     shingles, which come first in it."""
     frequent = docs.sparkSession.sparkContext.broadcast(_frequent(docs, size))
-    low = np.uint64(min((1 << 64) - 1, (SAMPLED * (100 - percent) << 64) // 100))
+    low = np.uint64(min((1 << 64) - 1, (int(SAMPLED * (100 - percent)) << 64) // 100))
 
     def run(batches):
         tokens, counts = frequent.value
@@ -130,13 +130,14 @@ def _prefix_sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
     return docs.mapInArrow(run, SETS)
 
 
-def _held(rows: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Of prefix shingles (node, n, pos, token, ..): those that several sets hold, with ``rank`` among a
-    set's held ones; and (node, l, shared) of the sets that may link with any."""
+def _held(rows: DataFrame, sizes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Of prefix shingles (node, pos, token): those that several sets hold, with ``rank`` among a
+    set's held ones and the set's ``n`` and ``sampled``; and (node, l, shared) of the sets that may
+    link with any."""
     n = F.col("n")
     held = rows.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
     rank = F.row_number().over(Window.partitionBy("node").orderBy("pos"))  # a prefix at most
-    rows = rows.join(held, "token").withColumn("rank", rank)
+    rows = rows.join(held, "token").withColumn("rank", rank).join(sizes, "node")
     base = n - F.ceil(n * percent / F.lit(100))
     # Each l's shared shingles and expected candidates.
     sums = rows.groupBy("node", "n").agg(*[x for k in range(1, MATCHES + 1) for x in (
@@ -165,8 +166,9 @@ def _prefix_tokens(classes: DataFrame, percent: int) -> DataFrame:
     pos is a lower bound of the place in the second order."""
     n = F.col("n")
     base = n - F.ceil(n * percent / F.lit(100))
-    rows = classes.select("node", n, "sampled", F.posexplode("prefix").alias("pos", "token")).where(F.col("pos") < base + MATCHES)
-    rows, alive = _held(rows, percent)
+    sizes = classes.select("node", "n", "sampled")
+    longest = F.slice("prefix", 1, (base + MATCHES).cast("int"))
+    rows, alive = _held(classes.select("node", F.posexplode(longest).alias("pos", "token")), sizes, percent)
     first = rows = materialize(rows.join(alive.select("node"), "node", "left_semi").where(F.col("pos") < base + F.least(F.lit(MATCHES), "rank")),
                        "jaccard-held")
     own = _own_shingles(classes, rows.select("node").distinct())
@@ -176,8 +178,8 @@ def _prefix_tokens(classes: DataFrame, percent: int) -> DataFrame:
     sampled_held = F.coalesce(F.sum((F.col("pos") < F.col("sampled")).cast("int")).over(earlier), F.lit(0))
     rows = rows.withColumn("passed", F.least("pos", "sampled") - sampled_held).join(own, "node", "left")
     moved = F.col("pos") + F.greatest(F.coalesce("own", F.lit(0)) - F.col("passed"), F.lit(0))
-    rows = rows.select("node", "n", "token", moved.cast("int").alias("pos")).where(F.col("pos") < base + MATCHES)
-    rows, chosen = _held(rows, percent)
+    rows = rows.withColumn("pos", moved.cast("int")).where(F.col("pos") < base + MATCHES)
+    rows, chosen = _held(rows.select("node", "pos", "token"), sizes, percent)
     out = materialize(rows.join(chosen, "node").where(F.col("pos") < base + F.least("l", "rank")).select(
         "token", "pos", "rank", "node", "n", "l", "shared"), "jaccard-tokens")
     dematerialize(first)
@@ -288,12 +290,16 @@ def join_similar(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     number) of every row; the last two are null for empty sets."""
     docs = df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     docs = docs.withColumns({"text_hash": F.xxhash64("text"), "id": F.coalesce("doc_id", F.lit(NO_ID))})
-    sets = materialize(_prefix_sets(docs.select("doc_id", "text", "text_hash"), size, percent), "jaccard-sets")
+    heads = sets = materialize(_prefix_sets(docs.select("doc_id", "text", "text_hash"), size, percent), "jaccard-heads")
     classes = materialize(sets.where("n_shingles > 0").groupBy("node").agg(
         F.min("doc_id").alias("doc_id"),
         F.min(F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), "text_hash")).alias("first"), F.first("n_shingles").alias("n"),
         F.first("sampled").alias("sampled"), F.first("prefix").alias("prefix")), "jaccard-classes")
+    sets = materialize(sets.select("doc_id", "text_hash", "node", "n_shingles"), "jaccard-sets")
+    dematerialize(heads)
     tokens = _prefix_tokens(classes, percent)
+    whole, classes = classes, materialize(classes.select("node", "doc_id", "first"), "jaccard-first")
+    dematerialize(whole)
     proposed = materialize(_proposals(tokens, percent), "jaccard-proposed")
     seeds = _links(docs, classes, proposed, size, percent)
     remaining = materialize(_remaining(tokens, components(seeds), percent), "jaccard-remaining")
@@ -304,7 +310,7 @@ def join_similar(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     found = named.select("node", "root").join(least, "root").select("node", "root", "component_id")
     own = F.col("n_shingles") == 0
-    return sets.select("doc_id", "text_hash", "node", "n_shingles").join(found, "node", "left").select(
+    return sets.join(found, "node", "left").select(
         "doc_id", "text_hash", "n_shingles", F.when(own, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
         F.when(~own, F.col("node")).alias("class_id"), F.when(~own, F.col("root")).alias("component"))
 
