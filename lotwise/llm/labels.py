@@ -38,6 +38,17 @@ def training_texts(docs: DataFrame, labels: DataFrame, label: str, folds: int, f
     return materialize(one.select("row.text", "row.label"), f"labelled-{label}")
 
 
+def within(stored: DataFrame, limit: int) -> DataFrame:
+    """The rows (key, size, ..) that fit into ``limit`` bytes together, in the order of their keys."""
+    fits = stored.where(F.col("size") <= limit)
+    sizes = fits.select("key", "size").orderBy("key").toArrow()  # as many rows as the sample has
+    key, total = sizes.column("key").to_numpy(), np.cumsum(sizes.column("size").to_numpy())
+    if not len(key) or total[-1] <= limit:
+        return fits
+    cut = int(np.searchsorted(total, limit, "right"))  # the first that doesn't fit; equal keys stay out with it
+    return fits.where(F.col("key") < int(key[cut]))
+
+
 def label_slices(batch: pa.RecordBatch, **how):
     """Slices of the texts (column 0) with their labels (column 1)."""
     labels = batch.column(1).to_numpy(zero_copy_only=False)

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import remove_path, scratch_path
-from .labels import Adam, label_slices, score_texts, sigmoid, training_texts
+from .labels import Adam, label_slices, score_texts, sigmoid, training_texts, within
 from .words import NOT_SPACE, Slice, split
 
 FOLDS, HELD_OUT = 4, 2
@@ -119,17 +119,6 @@ def _bags(sample: DataFrame) -> DataFrame:
     return sample.select("text", "label", F.xxhash64("text").alias("key")).mapInArrow(run, BAGS)
 
 
-def within(stored: DataFrame, limit: int) -> DataFrame:
-    """The bags that fit into ``limit`` bytes together, in the order of their keys."""
-    fits = stored.where(F.col("size") <= limit)
-    sizes = fits.select("key", "size").orderBy("key").toArrow()  # SAMPLE rows at most
-    key, total = sizes.column("key").to_numpy(), np.cumsum(sizes.column("size").to_numpy())
-    if not len(key) or total[-1] <= limit:
-        return fits
-    cut = int(np.searchsorted(total, limit, "right"))  # the first that doesn't fit; equal keys stay out with it
-    return fits.where(F.col("key") < int(key[cut]))
-
-
 class Bags:
     """The sampled texts' passages; labels ``y`` and numbers of passages ``n``, in an order of the
     texts' own."""

@@ -1,15 +1,23 @@
 """Toxicity: a factorization machine over hashed terms.
 
 Terms are the 64-bit hashes of a text's lower-cased words and of their first 4, 5 and 6 bytes (a
-word's stem, whatever follows it), each once per text. Spark counts every term's clean and toxic
-texts over the whole training sample and ranks all terms of ``LEAST`` toxic texts or more by the
-log-likelihood ratio; the ``TERMS`` that tell most (``SURE`` at least) are kept. The machine learns a weight and ``RANK`` factors for each,
-so pairs of terms that are harmless apart can weigh together. It is fitted on at most ``SAMPLE``
-labelled texts outside the held-out fold, by Adam on the driver over a matrix of at most
-SAMPLE x TERMS bytes; scoring is a map over whole texts.
+word's stem, whatever follows it), each once per text. A machine has a bias, a weight and ``RANK`` factors
+per term, so pairs of terms that are harmless apart can weigh together. It has two layers:
+
+* telling terms: Spark counts every term's clean and toxic texts over the whole training sample and
+  ranks all terms of ``LEAST`` toxic texts or more by the log-likelihood ratio; the ``TERMS`` that tell
+  most (``SURE`` at least) are kept;
+* all terms, whatever they tell alone, hashed into 2**``SLOT_BITS`` slots, learnt on what the first layer
+  leaves. This one finds pairs whose parts tell nothing. With some hundred toxic texts and some hundred
+  thousand slots it can as well learn chance, so it is first learnt on three quarters of the sample and
+  kept only if it lowers the loss of the last quarter by ``GAIN``.
+
+Both are fitted on at most ``SAMPLE`` labelled texts outside the held-out fold, those whose slots fit into
+``SAMPLE_BYTES`` in the order of their hashes, by Adam on the driver: over a matrix of SAMPLE x TERMS 32-bit
+numbers and over lists of slots. Scoring is a map over whole texts.
 
 Rows: null and empty texts score as texts of no terms; repeated rows score alike; without a term
-that tells toxic training texts every score is 0; an empty table gives an empty result. Only ids and texts are read.
+that tells toxic training texts, and without pairs that do, every score is 0; an empty table gives an empty result. Only ids and texts are read.
 """
 
 from __future__ import annotations
@@ -21,7 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .labels import THRESHOLD, Adam, label_slices, score_texts, sigmoid, training_texts
+from ..session import materialize
+from .labels import THRESHOLD, Adam, label_slices, score_texts, sigmoid, training_texts, within
 from .rows import as_rows, map_rows, text_field
 from .words import LETTERS_DIGITS, Slice, mix64, prefix_hashes, split, text_slices
 
@@ -32,7 +41,13 @@ RANK = 8
 STEMS = (4, 5, 6)  # bytes
 EPOCHS, BATCH, RATE, DECAY = 30, 256, 0.02, 1e-4
 SURE = 10.83  # least log-likelihood ratio of a term: chance alone gives it once in 1,000
-LEAST = 2  # toxic training texts with a term
+LEAST = 2  # toxic training texts with a term; sampled texts with a slot
+SLOT_BITS = 18
+SAMPLE_BYTES = 128 << 20  # of the sampled texts' slots
+STEPS = 240  # of the second layer
+GAIN = 0.1  # share of the loss that it must take off
+
+ROWS = "key bigint, size bigint, has binary, slots binary, label int"
 
 
 def _terms(s: Slice) -> tuple[np.ndarray, np.ndarray]:
@@ -58,24 +73,39 @@ def _known(s: Slice, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return rows[hit], place[hit]
 
 
+def _slots(s: Slice) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (row, slot) pairs of a slice."""
+    rows, hashes = _terms(s)
+    pairs = np.unique(rows << SLOT_BITS | (hashes >> np.uint64(64 - SLOT_BITS)).astype(np.int64))
+    return pairs >> SLOT_BITS, pairs & (1 << SLOT_BITS) - 1
+
+
+def _sums(rows: np.ndarray, at: np.ndarray, n: int, weight: np.ndarray, factors: np.ndarray) -> np.ndarray:
+    """Linear and pair terms of each row, from its (row, place) pairs."""
+    total = np.zeros(n) + np.bincount(rows, weight[at], n)
+    for f in factors.T:
+        one = np.bincount(rows, f[at], n)
+        total += (one * one - np.bincount(rows, f[at] ** 2, n)) / 2
+    return total
+
+
 @dataclass
 class Machine:
-    """terms (sorted hashes), bias, weight and factors of each."""
+    """terms (sorted hashes), bias, weight and factors of each; the same of all slots, or None."""
 
     terms: np.ndarray
     bias: float
     weight: np.ndarray
     factors: np.ndarray
+    slots: tuple[np.ndarray, np.ndarray] | None = None
 
     def score(self, s: Slice) -> np.ndarray:
-        if not len(self.terms):
+        if not len(self.terms) and self.slots is None:
             return np.zeros(s.rows)
-        rows, place = _known(s, self.terms)
-        total = np.bincount(rows, self.weight[place], s.rows)
-        for f in self.factors.T:
-            one = np.bincount(rows, f[place], s.rows)
-            total += (one * one - np.bincount(rows, f[place] ** 2, s.rows)) / 2
-        return sigmoid(self.bias + total)
+        total = self.bias + _sums(*_known(s, self.terms), s.rows, self.weight, self.factors)
+        if self.slots is not None:
+            total += _sums(*_slots(s), s.rows, *self.slots)
+        return sigmoid(total)
 
 
 def _term_counts(sample: DataFrame) -> DataFrame:
@@ -113,47 +143,127 @@ def _telling(sample: DataFrame) -> np.ndarray:
     return np.sort(got.column("term").to_numpy().view(np.uint64))
 
 
-def _matrix(sample: DataFrame, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Which terms each sampled text has, and its label, in an order of their own."""
+@dataclass
+class Sample:
+    """Texts in an order of their own: which telling terms each has, its slots and its label."""
+
+    has: np.ndarray
+    slots: list[np.ndarray]
+    y: np.ndarray
+
+    def part(self, rows: np.ndarray) -> Sample:
+        return Sample(self.has[rows], [self.slots[i] for i in rows], self.y[rows])
 
+
+def _collect(sample: DataFrame, terms: np.ndarray) -> Sample:
     def run(batches):
         for batch in batches:
             for s, y in label_slices(batch, lower=True):
                 has = np.zeros((s.rows, len(terms)), bool)
-                rows, place = _known(s, terms)
-                has[rows, place] = True
-                packed = np.packbits(has, axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in packed], pa.binary()),
-                                                  pa.array(y.astype(np.int32))], ["has", "label"])
+                has[_known(s, terms)] = True
+                rows, slots = _slots(s)
+                cut = np.searchsorted(rows, np.arange(s.rows + 1))
+                lists = [slots[a:b].astype("<u4").tobytes() for a, b in zip(cut, cut[1:])]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(2).slice(s.lo, s.rows), pa.array([len(x) for x in lists], pa.int64()),
+                     pa.array([r.tobytes() for r in np.packbits(has, axis=1)], pa.binary()), pa.array(lists, pa.binary()),
+                     pa.array(y.astype(np.int32))], ["key", "size", "has", "slots", "label"])
 
-    got = sample.mapInArrow(run, "has binary, label int").orderBy("has", "label").toArrow()
-    has = [np.unpackbits(np.frombuffer(b, np.uint8))[:len(terms)] for b in got.column("has").to_pylist()]
-    return np.array(has, np.float32).reshape(-1, len(terms)), got.column("label").to_numpy().astype(np.float32)
+    rows = sample.select("text", "label", F.xxhash64("text").alias("key")).mapInArrow(run, ROWS)
+    got = within(materialize(rows, "toxicity-rows"), SAMPLE_BYTES).select("has", "slots", "label").toArrow()
+    own = sorted(zip(*(got.column(c).to_pylist() for c in ("has", "slots", "label"))))
+    has = [np.unpackbits(np.frombuffer(h, np.uint8))[:len(terms)] for h, _, _ in own]
+    return Sample(np.array(has, np.float32).reshape(len(own), len(terms)), [np.frombuffer(x, "<u4").astype(np.int64) for _, x, _ in own],
+                  np.array([y for _, _, y in own], np.float32))
 
 
-def fit(sample: DataFrame) -> Machine:
-    """The machine of a sample (text, label)."""
-    none = Machine(np.zeros(0, np.uint64), 0.0, np.zeros(0), np.zeros((0, RANK)))
-    terms = _telling(sample)
-    if not len(terms):
-        return none
-    x, y = _matrix(sample, terms)
+def _learn_terms(x: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
+    """Bias b, weights w and factors v of the telling terms."""
     random = np.random.default_rng(7)
     p = {"b": np.array([np.log((y.sum() + 1) / (len(y) - y.sum() + 1))], np.float32),
-         "w": np.zeros(len(terms), np.float32),
-         "v": random.normal(0, 0.01, (len(terms), RANK)).astype(np.float32)}
+         "w": np.zeros(x.shape[1], np.float32),
+         "v": random.normal(0, 0.01, (x.shape[1], RANK)).astype(np.float32)}
     adam = Adam(p, RATE)
-    for _ in range(EPOCHS):
+    for _ in range(EPOCHS if x.shape[1] else 0):
         order = random.permutation(len(y))
         for lo in range(0, len(y), BATCH):
             part = order[lo:lo + BATCH]
             xb = x[part]
-            xv = xb @ p["v"]
-            out = p["b"] + xb @ p["w"] + ((xv * xv).sum(1) - (xb @ (p["v"] ** 2)).sum(1)) / 2
+            out, xv = _terms_out(p, xb)
             e = (sigmoid(out) - y[part]) / len(part)
             adam.step({"b": e.sum(keepdims=True), "w": xb.T @ e + DECAY * p["w"],
                        "v": xb.T @ (e[:, None] * xv) - (xb.T @ e)[:, None] * p["v"] + DECAY * p["v"]})
-    return Machine(terms, float(p["b"][0]), p["w"].astype(float), p["v"].astype(float))
+    return p
+
+
+def _terms_out(p: dict[str, np.ndarray], x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    xv = x @ p["v"]
+    return p["b"] + x @ p["w"] + ((xv * xv).sum(1) - (x @ (p["v"] ** 2)).sum(1)) / 2, xv
+
+
+def _learn_slots(slots: list[np.ndarray], offset: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and factors of all slots (0 for those in fewer than ``LEAST`` texts), given what the
+    other layer says of each text."""
+    size = np.array([len(x) for x in slots], np.int64)
+    flat = np.concatenate([np.zeros(0, np.int64), *slots])
+    held = np.bincount(flat, minlength=1 << SLOT_BITS) >= LEAST
+    number, m = np.cumsum(held) - 1, int(held.sum())
+    rows = np.repeat(np.arange(len(y)), size)[held[flat]]
+    flat, size = number[flat[held[flat]]], np.bincount(rows, minlength=len(y))
+    first = np.cumsum(size) - size
+    random = np.random.default_rng(13)
+    p = {"w": np.zeros(m, np.float32), "v": random.normal(0, 0.01, (m, RANK)).astype(np.float32)}
+    adam, order = Adam(p, RATE), np.zeros(0, np.int64)
+    for _ in range(STEPS if m else 0):
+        if len(order) < min(BATCH, len(y)):
+            order = random.permutation(len(y))
+        part, order = order[:BATCH], order[BATCH:]
+        n = size[part]
+        at = flat[np.repeat(first[part] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+        row, v = np.repeat(np.arange(len(part)), n), p["v"][at]
+        total = np.stack([np.bincount(row, v[:, k], len(part)) for k in range(RANK)], 1)
+        pairs = ((total * total).sum(1) - np.bincount(row, (v * v).sum(1), len(part))) / 2
+        e = (sigmoid(offset[part] + np.bincount(row, p["w"][at], len(part)) + pairs) - y[part]) / len(part)
+        pull = e[row][:, None] * (total[row] - v)
+        adam.step({"w": np.bincount(at, e[row], m) + DECAY * p["w"],
+                   "v": np.stack([np.bincount(at, pull[:, k], m) for k in range(RANK)], 1) + DECAY * p["v"]})
+    weight, factors = np.zeros(1 << SLOT_BITS, np.float32), np.zeros((1 << SLOT_BITS, RANK), np.float32)
+    weight[held], factors[held] = p["w"], p["v"]
+    return weight, factors
+
+
+def _slots_out(layer: tuple[np.ndarray, np.ndarray], slots: list[np.ndarray]) -> np.ndarray:
+    rows = np.repeat(np.arange(len(slots)), [len(x) for x in slots])
+    return _sums(rows, np.concatenate([np.zeros(0, np.int64), *slots]), len(slots), *layer)
+
+
+def _loss(out: np.ndarray, y: np.ndarray) -> float:
+    p = sigmoid(out.astype(np.float64))
+    return float(-np.mean(y * np.log(p) + (1 - y) * np.log(1 - p)))
+
+
+def _pairs_help(sample: Sample) -> bool:
+    """Whether the second layer, learnt on three quarters of the texts, lowers the loss of the others."""
+    rows = np.random.default_rng(17).permutation(len(sample.y))
+    learn, test = sample.part(rows[len(rows) // 4:]), sample.part(rows[:len(rows) // 4])
+    if not all(0 < part.y.sum() < len(part.y) for part in (learn, test)):
+        return False
+    p = _learn_terms(learn.has, learn.y)
+    layer = _learn_slots(learn.slots, _terms_out(p, learn.has)[0], learn.y)
+    out = _terms_out(p, test.has)[0]
+    return _loss(out + _slots_out(layer, test.slots), test.y) < (1 - GAIN) * _loss(out, test.y)
+
+
+def fit(sample: DataFrame) -> Machine:
+    """The machine of a sample (text, label)."""
+    terms = _telling(sample)
+    texts = _collect(sample, terms)
+    pairs = _pairs_help(texts)
+    if not len(terms) and not pairs:
+        return Machine(np.zeros(0, np.uint64), 0.0, np.zeros(0), np.zeros((0, RANK)))
+    p = _learn_terms(texts.has, texts.y)
+    layer = _learn_slots(texts.slots, _terms_out(p, texts.has)[0], texts.y) if pairs else None
+    return Machine(terms, float(p["b"][0]), p["w"].astype(float), p["v"].astype(float), layer)
 
 
 def _machine(training: DataFrame, labels: DataFrame):

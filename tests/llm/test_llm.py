@@ -114,6 +114,76 @@ def test_toxic_terms_all_tested(spark):
     assert len(machine.terms) == 1 and vile > plain
 
 
+@pytest.mark.parametrize("toxic", [lambda a, b: a == b, lambda a, b: a and b])
+def test_toxic_pairs(spark, toxic):
+    """A pair whose parts tell nothing alone (toxic with both words or with neither) is learnt, and so
+    is one whose parts tell a little; without its factors the machine guesses."""
+    from lotwise.llm import toxicity
+
+    def made(n):
+        flags = random.integers(0, 2, (n, 2)).astype(bool)
+        texts = [" ".join([*words(20), *["alpha"] * int(a), *["omega"] * int(b)]) for a, b in flags]
+        return texts, [int(toxic(a, b)) for a, b in flags]
+
+    sample = spark.createDataFrame(list(zip(*made(3000))), "text string, label int").repartition(4)
+    machine = toxicity.fit(sample)
+    texts, y = made(800)
+    s = next(text_slices(pa.array(texts), lower=True))
+    assert ((machine.score(s) >= 0.5) == np.array(y)).mean() > 0.9
+    again = toxicity.fit(sample.repartition(3))
+    assert np.allclose(again.score(s), machine.score(s))
+
+
+def test_toxicity_score_by_hand(spark):
+    """The score of a text from the fitted machine's numbers, term by term and pair by pair."""
+    from lotwise.llm import toxicity
+
+    rows = [(" ".join([*words(8), *["vile", "awful"] * (i % 2)]), i % 2) for i in range(200)]
+    machine = toxicity.fit(spark.createDataFrame(rows, "text string, label int"))
+    weight, factors = np.zeros(1 << 18), np.zeros((1 << 18, toxicity.RANK))
+    layered = toxicity.Machine(machine.terms, machine.bias, machine.weight, machine.factors, (weight, factors))
+    weight[:], factors[:] = random.normal(0, 0.1, len(weight)), random.normal(0, 0.1, factors.shape)
+    for text in ("vile awful w1", "", "w2 w3 vile", "Awful? w7"):
+        s = next(text_slices(pa.array([text]), lower=True))
+        hashes = [int(h) for h in toxicity._terms(s)[1]]
+        known = [list(machine.terms).index(h) for h in hashes if h in set(machine.terms.tolist())]
+        slots = sorted({h >> 46 for h in hashes})
+        total = machine.bias
+        for ids, w, v in ((known, machine.weight, machine.factors), (slots, weight, factors)):
+            total += sum(w[i] for i in ids) + sum(float(v[a] @ v[b]) for k, a in enumerate(ids) for b in ids[k + 1:])
+        assert layered.score(s)[0] == pytest.approx(1 / (1 + np.exp(-total)))
+
+
+def test_quality_score_by_hand(spark):
+    """Attention of the passages and the score of a text, passage by passage."""
+    from lotwise.llm import quality
+
+    rows = [(" ".join(words(200) if i % 2 else [w.upper() for w in words(200)]), i % 2) for i in range(60)]
+    model = quality.fit(spark.createDataFrame(rows, "text string, label int"))
+    for text in (rows[0][0], rows[1][0], "", "a few words only"):
+        s = next(text_slices(pa.array([text])))
+        h = (quality.encode(s)[0] - model.centre) / model.scale
+        p = model.p
+        gate = [float(p["w"] @ (np.tanh(x @ p["V"]) / (1 + np.exp(-np.clip(x @ p["U"], -30, 30))))) for x in h]
+        a = np.exp(np.array(gate) - max(gate))
+        z = (a / a.sum()) @ h
+        assert model.score(s)[0] == pytest.approx(1 / (1 + np.exp(-np.clip(z @ p["c"] + p["b"][0], -30, 30))))
+
+
+@pytest.mark.parametrize("label", ["toxic", "quality"])
+def test_training_rows_are_bounded(spark, label):
+    """The bound is on rows: an id on very many rows gives one text."""
+    from lotwise.llm.labels import training_texts, within
+
+    docs = spark.createDataFrame([(1, f"same id {k}") for k in range(5000)] + [(k, f"t{k}") for k in range(2, 100)], "doc_id bigint, text string")
+    marks = spark.createDataFrame([(k, k % 2) for k in range(1, 100)], f"doc_id bigint, {label} int")
+    got = training_texts(docs, marks, label, 3, 1, 40)
+    assert got.count() == 40 and got.distinct().count() == 40
+    assert counted(training_texts(docs.repartition(7), marks, label, 3, 1, 40).collect()) == counted(got.collect())
+    sized = spark.createDataFrame([(k, 100 if k != 3 else 10_000) for k in range(10)], "key bigint, size bigint")
+    assert sorted(r.key for r in within(sized, 450).collect()) == [0, 1, 2, 4] and within(sized, 10 ** 6).count() == 10
+
+
 def test_quality_trains_on_all_passages(spark):
     """Every passage of a long sampled text is a row of the bag, and the one that decides is learnt."""
     from lotwise.llm import quality
