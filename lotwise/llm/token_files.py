@@ -27,6 +27,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +42,7 @@ MAGIC = b"LWTOKEN1"
 BLOCK_IDS = 4096  # a multiple of 8, so a full block is whole bytes
 FOOTER = struct.Struct("<QQQQQII8s")  # ids, docs, at: block offsets, doc index, null marks; bits, block; magic
 CACHE_CUTS = 600_000
+RUN = 512  # cuts encoded together
 SLICE = 1 << 20
 READ_DOCS = 4096  # documents read back at once
 
@@ -82,6 +84,11 @@ class Encoder:
         pre = spec.get("pre_tokenizer") or {}
         self.cuts = (spec.get("normalizer") is None and pre.get("type") == "ByteLevel"
                      and pre.get("use_regex", True) and not pre.get("add_prefix_space", True))
+        # Bytes of each id: a byte-level token has a character per byte.
+        added = {t["id"]: len(t["content"].encode()) for t in spec.get("added_tokens") or []}
+        self.bytes = np.zeros(max(self.tokenizer.get_vocab_size(), 1 + max(added, default=0)), np.int64)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.bytes[i] = added.get(i, len(token))
         self._forget()
 
     def _forget(self) -> None:
@@ -91,19 +98,39 @@ class Encoder:
         self.flat = np.zeros(1 << 16, np.uint32)
         self.used = 0
 
+    def _encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of these texts, and the number of each one's."""
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        size = np.array([len(x) for x in ids], np.int64)
+        return np.fromiter(chain.from_iterable(ids), np.uint32, int(size.sum())), size
+
+    def _encode_cuts(self, cuts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The same of cuts. Those that begin with a space and end in visible ASCII are encoded many at
+        once, as a piece ends for certain between two of them."""
+        plain = np.array([c[0] == 0x20 and 0x20 < c[-1] < 0x7F for c in cuts], bool)
+        together = list(compress(cuts, plain))
+        ids, _ = self._encode_all([b"".join(together[k:k + RUN]).decode() for k in range(0, len(together), RUN)])
+        size = np.zeros(len(cuts), np.int64)
+        own, size[~plain] = self._encode_all([c.decode() for c in compress(cuts, ~plain)])
+        if together:
+            last = np.searchsorted(np.cumsum(self.bytes[ids]), np.cumsum([len(c) for c in together])) + 1
+            size[plain] = np.diff(last, prepend=0)
+        out, from_runs = np.zeros(len(ids) + len(own), np.uint32), np.repeat(plain, size)
+        out[from_runs], out[~from_runs] = ids, own
+        return out, size
+
     def _learn(self, cuts: list[bytes]) -> None:
-        encoded = self.tokenizer.encode_batch_fast([c.decode() for c in cuts], add_special_tokens=False)
-        for cut, e in zip(cuts, encoded):
-            ids, k = e.ids, len(self.known)
-            if k == len(self.sizes):
-                self.sizes = np.concatenate((self.sizes, np.zeros_like(self.sizes)))
-                self.starts = np.concatenate((self.starts, np.zeros_like(self.starts)))
-            while self.used + len(ids) > len(self.flat):
-                self.flat = np.concatenate((self.flat, np.zeros_like(self.flat)))
-            self.known[cut] = k
-            self.starts[k], self.sizes[k] = self.used, len(ids)
-            self.flat[self.used:self.used + len(ids)] = ids
-            self.used += len(ids)
+        ids, size = self._encode_cuts(cuts)
+        k, n = len(self.known), len(self.known) + len(cuts)
+        while n > len(self.sizes):
+            self.sizes = np.concatenate((self.sizes, np.zeros_like(self.sizes)))
+            self.starts = np.concatenate((self.starts, np.zeros_like(self.starts)))
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate((self.flat, np.zeros_like(self.flat)))
+        self.known.update(zip(cuts, range(k, n)))
+        self.sizes[k:n], self.starts[k:n] = size, self.used + np.cumsum(size) - size
+        self.flat[self.used:self.used + len(ids)] = ids
+        self.used += len(ids)
 
     def encode(self, s: Slice) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a slice, and each text's number of ids."""
