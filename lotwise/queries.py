@@ -20,7 +20,8 @@ from .functions.workweek import register_sql_function, week_labels, work_week, w
 from .operators import archive as A
 from .operators import lots as L
 from .operators.scope import scoped_window
-from .params import RunWindow
+from .params import RunWindow, Scope
+from .plans.archive import archive_datasets
 from .plans.backfill import backfill_daily, run_archive_backfill, run_backfill
 from .plans.daily import daily_datasets, run_daily_job_at
 from .plans.weekly import extract_name, report_name, run_daily_extracts, run_weekly_job, weekly_report
@@ -48,6 +49,7 @@ from .sources.testrecords import write_test_records
 WIDE = RunWindow.span(WIDE_LOWER, WIDE_UPPER)  # one run over every partition date
 AS_OF = dt.datetime(2024, 10, 15, 12, 0, 0)  # weekly report date
 FIRST_RUN, LAST_RUN = "2023-09-30", WIDE_UPPER  # every daily run that sees any partition
+TWO_REASONS = Scope(variance_reasons=("VARIANCE", "OTHER"))
 RERUNS = ("2024-02-03", "2024-02-04", "2024-02-05", "2024-02-06")  # of the catalog's tables
 # ---------------------------------------------------------------------------
 
@@ -114,6 +116,18 @@ def q_totallot_daily(spark, sf_dir):
     return daily_datasets(event_log(spark, sf_dir), WIDE, cache=False).totallot
 
 
+def q_variance_two_reasons(spark, sf_dir):
+    """F4 with two reasons, C1."""
+    configure(spark)
+    return daily_datasets(event_log(spark, sf_dir), WIDE, TWO_REASONS, cache=False).variance
+
+
+def q_archive_variance_two_reasons(spark, sf_dir):
+    """F4 with two reasons, C5."""
+    configure(spark)
+    return archive_datasets(event_log(spark, sf_dir), _records(spark, sf_dir), WIDE, TWO_REASONS)[0]
+
+
 # ---- work weeks and run windows -----------------------------------------------------------
 
 
@@ -457,6 +471,8 @@ QUERIES: dict[str, Query] = {
     "catalog_tables": q_catalog_tables,
     "backfill_variance": q_backfill_variance,
     "backfill_totallot": q_backfill_totallot,
+    "variance_two_reasons": q_variance_two_reasons,
+    "archive_variance_two_reasons": q_archive_variance_two_reasons,
     "daily_job_variance": q_daily_job_variance,
     "daily_job_totallot": q_daily_job_totallot,
     "backfill_archive_variance": q_backfill_archive_variance,
@@ -498,6 +514,8 @@ def _oracles() -> dict[str, str]:
         "catalog_tables": O.stamped(totallot, WIDE.run_date),
         "backfill_variance": O.variance(every),
         "backfill_totallot": O.totallot(every),
+        "variance_two_reasons": O.variance(wide, TWO_REASONS),
+        "archive_variance_two_reasons": O.archive_variance(wide, TWO_REASONS),
         "daily_job_variance": O.stamped(variance, WIDE.run_date),
         "daily_job_totallot": O.stamped(totallot, WIDE.run_date),
         "backfill_archive_variance": O.archive_variance(archive_runs),
