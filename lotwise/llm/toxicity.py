@@ -12,9 +12,9 @@ per term, so pairs of terms that are harmless apart can weigh together. It has t
   thousand slots it can as well learn chance, so it is first learnt on three quarters of the sample and
   kept only if it lowers the loss of the last quarter by ``GAIN``.
 
-Both are fitted on at most ``SAMPLE`` labelled texts outside the held-out fold, those whose slots fit into
-``SAMPLE_BYTES`` in the order of their hashes, by Adam on the driver: over a matrix of SAMPLE x TERMS 32-bit
-numbers and over lists of slots. Scoring is a map over whole texts.
+Both are fitted by Adam on the driver: the first on at most ``SAMPLE`` labelled texts outside the held-out
+fold, over a matrix of SAMPLE x TERMS 32-bit numbers; the second on those of them whose slots fit into
+``SLOT_BYTES``, in the order of their hashes. Scoring is a map over whole texts.
 
 Rows: null and empty texts score as texts of no terms; repeated rows score alike; without a term
 that tells toxic training texts, and without pairs that do, every score is 0; an empty table gives an empty result. Only ids and texts are read.
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import dematerialize, materialize
 from .labels import THRESHOLD, Adam, label_slices, score_texts, sigmoid, training_texts, within
 from .rows import as_rows, map_rows, text_field
 from .words import LETTERS_DIGITS, Slice, mix64, prefix_hashes, split, text_slices
@@ -43,7 +43,7 @@ EPOCHS, BATCH, RATE, DECAY = 30, 256, 0.02, 1e-4
 SURE = 10.83  # least log-likelihood ratio of a term: chance alone gives it once in 1,000
 LEAST = 2  # toxic training texts with a term; sampled texts with a slot
 SLOT_BITS = 18
-SAMPLE_BYTES = 128 << 20  # of the sampled texts' slots
+SLOT_BYTES = 24 << 20  # of the texts that the second layer learns from
 STEPS = 240  # of the second layer
 GAIN = 0.1  # share of the loss that it must take off
 
@@ -145,14 +145,13 @@ def _telling(sample: DataFrame) -> np.ndarray:
 
 @dataclass
 class Sample:
-    """Texts in an order of their own: which telling terms each has, its slots and its label."""
+    """Texts in an order of their own: which telling terms each has, and its label; the rows whose
+    slots are held, and these."""
 
     has: np.ndarray
-    slots: list[np.ndarray]
     y: np.ndarray
-
-    def part(self, rows: np.ndarray) -> Sample:
-        return Sample(self.has[rows], [self.slots[i] for i in rows], self.y[rows])
+    rows: np.ndarray
+    slots: list[np.ndarray]
 
 
 def _collect(sample: DataFrame, terms: np.ndarray) -> Sample:
@@ -169,12 +168,21 @@ def _collect(sample: DataFrame, terms: np.ndarray) -> Sample:
                      pa.array([r.tobytes() for r in np.packbits(has, axis=1)], pa.binary()), pa.array(lists, pa.binary()),
                      pa.array(y.astype(np.int32))], ["key", "size", "has", "slots", "label"])
 
-    rows = sample.select("text", "label", F.xxhash64("text").alias("key")).mapInArrow(run, ROWS)
-    got = within(materialize(rows, "toxicity-rows"), SAMPLE_BYTES).select("has", "slots", "label").toArrow()
-    own = sorted(zip(*(got.column(c).to_pylist() for c in ("has", "slots", "label"))))
-    has = [np.unpackbits(np.frombuffer(h, np.uint8))[:len(terms)] for h, _, _ in own]
-    return Sample(np.array(has, np.float32).reshape(len(own), len(terms)), [np.frombuffer(x, "<u4").astype(np.int64) for _, x, _ in own],
-                  np.array([y for _, _, y in own], np.float32))
+    stored = materialize(sample.select("text", "label", F.xxhash64("text").alias("key")).mapInArrow(run, ROWS), "toxicity-rows")
+    texts = stored.select("key", "has", "label").toArrow()
+    held = within(stored, SLOT_BYTES).select("key", "slots", "label").toArrow()
+    dematerialize(stored)
+    # Texts of one key are the same text: ordered by key and label, both tables have one order.
+    order = np.lexsort((texts.column("label").to_numpy(), texts.column("key").to_numpy()))
+    own = np.lexsort((held.column("label").to_numpy(), held.column("key").to_numpy()))
+    key = texts.column("key").to_numpy()[order]
+    has, slots = texts.column("has").combine_chunks(), held.column("slots").combine_chunks()
+    bits = np.zeros((len(order), len(terms)), np.float32)
+    for i, row in enumerate(order.tolist()):
+        bits[i] = np.unpackbits(np.frombuffer(has[row].as_buffer(), np.uint8))[:len(terms)]
+    return Sample(bits, texts.column("label").to_numpy()[order].astype(np.float32),
+                  np.flatnonzero(np.isin(key, held.column("key").to_numpy())),
+                  [np.frombuffer(slots[row].as_buffer(), "<u4") for row in own.tolist()])
 
 
 def _learn_terms(x: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
@@ -205,11 +213,12 @@ def _learn_slots(slots: list[np.ndarray], offset: np.ndarray, y: np.ndarray) ->
     """Weights and factors of all slots (0 for those in fewer than ``LEAST`` texts), given what the
     other layer says of each text."""
     size = np.array([len(x) for x in slots], np.int64)
-    flat = np.concatenate([np.zeros(0, np.int64), *slots])
+    flat = np.concatenate([np.zeros(0, np.uint32), *slots])
     held = np.bincount(flat, minlength=1 << SLOT_BITS) >= LEAST
-    number, m = np.cumsum(held) - 1, int(held.sum())
-    rows = np.repeat(np.arange(len(y)), size)[held[flat]]
-    flat, size = number[flat[held[flat]]], np.bincount(rows, minlength=len(y))
+    number, m = (np.cumsum(held) - 1).astype(np.int32), int(held.sum())
+    keep = held[flat]
+    flat = number[flat[keep]]
+    size = np.bincount(np.repeat(np.arange(len(y), dtype=np.int32), size)[keep], minlength=len(y))
     first = np.cumsum(size) - size
     random = np.random.default_rng(13)
     p = {"w": np.zeros(m, np.float32), "v": random.normal(0, 0.01, (m, RANK)).astype(np.float32)}
@@ -233,8 +242,7 @@ def _learn_slots(slots: list[np.ndarray], offset: np.ndarray, y: np.ndarray) ->
 
 
 def _slots_out(layer: tuple[np.ndarray, np.ndarray], slots: list[np.ndarray]) -> np.ndarray:
-    rows = np.repeat(np.arange(len(slots)), [len(x) for x in slots])
-    return _sums(rows, np.concatenate([np.zeros(0, np.int64), *slots]), len(slots), *layer)
+    return np.array([_sums(np.zeros(len(x), np.int64), x, 1, *layer)[0] for x in slots])
 
 
 def _loss(out: np.ndarray, y: np.ndarray) -> float:
@@ -244,14 +252,18 @@ def _loss(out: np.ndarray, y: np.ndarray) -> float:
 
 def _pairs_help(sample: Sample) -> bool:
     """Whether the second layer, learnt on three quarters of the texts, lowers the loss of the others."""
-    rows = np.random.default_rng(17).permutation(len(sample.y))
-    learn, test = sample.part(rows[len(rows) // 4:]), sample.part(rows[:len(rows) // 4])
-    if not all(0 < part.y.sum() < len(part.y) for part in (learn, test)):
+    order = np.random.default_rng(17).permutation(len(sample.rows))
+    test, learn = order[:len(order) // 4], order[len(order) // 4:]
+    y = sample.y[sample.rows]
+    if not all(0 < y[part].sum() < len(part) for part in (learn, test)):
         return False
-    p = _learn_terms(learn.has, learn.y)
-    layer = _learn_slots(learn.slots, _terms_out(p, learn.has)[0], learn.y)
-    out = _terms_out(p, test.has)[0]
-    return _loss(out + _slots_out(layer, test.slots), test.y) < (1 - GAIN) * _loss(out, test.y)
+    mine = np.ones(len(sample.y), bool)
+    mine[sample.rows[test]] = False
+    p = _learn_terms(sample.has[mine], sample.y[mine])
+    out = _terms_out(p, sample.has[sample.rows])[0]
+    layer = _learn_slots([sample.slots[i] for i in learn], out[learn], y[learn])
+    more = _slots_out(layer, [sample.slots[i] for i in test])
+    return _loss(out[test] + more, y[test]) < (1 - GAIN) * _loss(out[test], y[test])
 
 
 def fit(sample: DataFrame) -> Machine:
@@ -262,7 +274,7 @@ def fit(sample: DataFrame) -> Machine:
     if not len(terms) and not pairs:
         return Machine(np.zeros(0, np.uint64), 0.0, np.zeros(0), np.zeros((0, RANK)))
     p = _learn_terms(texts.has, texts.y)
-    layer = _learn_slots(texts.slots, _terms_out(p, texts.has)[0], texts.y) if pairs else None
+    layer = _learn_slots(texts.slots, _terms_out(p, texts.has[texts.rows])[0], texts.y[texts.rows]) if pairs else None
     return Machine(terms, float(p["b"][0]), p["w"].astype(float), p["v"].astype(float), layer)
 
 
