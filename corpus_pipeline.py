@@ -3,6 +3,14 @@ contaminated ones go, the sources are mixed, and the mix is written as token fil
 
 Each stage's rows are written as Parquet and read back as the next one's documents. The classifier
 learns from the labelled rows of the whole table, whatever the stage's own input holds.
+
+Rows, by stage. Toxicity: null and empty texts score as texts without terms; extra columns stay. Near
+copies: of a group, the row of the least id stays (rows without an id after all others, then the least
+text hash); texts without words all stay. Decontamination: texts without words are clean. Mixing:
+documents of a source without a name are a source of their own; texts without words stay once; a document
+cut at a budget's edge has its first words. Token files: null text yields the end id alone; rows without
+an id come last. Repeated rows are documents of their own in all but the second stage, and an empty
+table passes through all of them.
 """
 
 from __future__ import annotations

@@ -18,7 +18,9 @@ EDGES = "a bigint, b bigint"
 def _star(pairs: DataFrame) -> DataFrame:
     """(u, v, least): each u's pairs with the least of u and its v."""
     least = pairs.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("least"))
-    return pairs.join(least, "u")
+    # The hash in the key gives both sides a shuffle of their own, so a hub's pairs can be split.
+    same = F.xxhash64("u")
+    return pairs.withColumn("same", same).join(least.withColumn("same", same), ["u", "same"]).drop("same")
 
 
 def _edges(df: DataFrame, u: str, v: str) -> DataFrame:

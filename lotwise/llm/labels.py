@@ -41,8 +41,9 @@ def training_texts(docs: DataFrame, labels: DataFrame, label: str, folds: int, f
 def within(stored: DataFrame, limit: int) -> DataFrame:
     """The rows (key, size, ..) that fit into ``limit`` bytes together, in the order of their keys."""
     fits = stored.where(F.col("size") <= limit)
-    sizes = fits.select("key", "size").orderBy("key").toArrow()  # as many rows as the sample has
-    key, total = sizes.column("key").to_numpy(), np.cumsum(sizes.column("size").to_numpy())
+    sizes = fits.select("key", "size").toArrow()  # as many rows as the sample has
+    order = np.argsort(sizes.column("key").to_numpy())
+    key, total = sizes.column("key").to_numpy()[order], np.cumsum(sizes.column("size").to_numpy()[order])
     if not len(key) or total[-1] <= limit:
         return fits
     cut = int(np.searchsorted(total, limit, "right"))  # the first that doesn't fit; equal keys stay out with it

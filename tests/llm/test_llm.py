@@ -19,7 +19,8 @@ from lotwise.llm.mixing import label_weights, mix, mixed_documents
 from lotwise.llm.quality import score_quality
 from lotwise.llm.substring_dedup import remove_repeats
 from lotwise.llm.token_files import pack_ids, read_documents, token_folder, unpack_ids, write_token_files
-from lotwise.llm.toxicity import score_toxicity
+from lotwise.llm.queries import tokenizer_path
+from lotwise.llm.toxicity import keep_clean, score_toxicity
 from lotwise.llm.url_filter import filter_urls
 from lotwise.llm.words import text_slices
 
@@ -578,25 +579,76 @@ def test_empty_tables(spark, empty):
     assert filter_urls(empty, "doc_id", "text").count() == 0
     turns = spark.createDataFrame([], "conv_id bigint, turn bigint, role string, text string")
     assert digest(format_turns(turns)).count() == 0
+    items = spark.createDataFrame([(1, "a b c")], "item_id bigint, text string")
+    assert find_contamination(empty, items).count() == 0
+    files = write_token_files(empty, token_folder(spark), tokenizer_path(), 2)
+    assert read_documents(files).count() == 0
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id bigint, toxic int")
+    assert keep_clean(empty, labels, empty).count() == 0 and keep_clean(empty, labels, empty).columns == empty.columns
+
+
+def test_hot_conversation(spark):
+    """One conversation with most turns: its digest is that of its turns in order."""
+    turns = [(1, k, "user" if k % 2 else "assistant", f"text | {k} \\ <|im_end|>") for k in range(3000)] + [(2, 0, "user", "x")]
+    df = spark.createDataFrame(turns, "conv_id bigint, turn bigint, role string, text string").repartition(8)
+    got = {r.conv_id: r for r in digest(format_turns(df)).collect()}
+    whole = hashlib.sha256("".join(f"{r}\n{t}\n" for c, _, r, t in turns if c == 1).encode()).hexdigest()
+    assert got[1].n_turns == 3000 and got[1].turns_sha256 == whole and got[2].n_turns == 1
+
+
+def brute_contaminated(text, items, window=13):
+    """The contract's rule: 20 * hit words >= words, of the words in occurrences of items' windows."""
+    found = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate({c: c + 32 for c in range(65, 91)}))
+    w, wanted = found(text), {}
+    for item in items:
+        iw = found(item)
+        for i in range(max(1, len(iw) - window + 1) if iw else 0):
+            piece = tuple(iw[i:i + window])
+            wanted.setdefault(len(piece), set()).add(piece)
+    hit = {i + k for n, pieces in wanted.items() for i in range(len(w) - n + 1) if tuple(w[i:i + n]) in pieces for k in range(n)}
+    return len(hit) > 0 and 20 * len(hit) >= len(w)
 
 
 def test_pipeline(spark):
+    """Each stage on what the one before kept, by brute force."""
     import corpus_pipeline as pipeline
 
-    sf = "/root/testdata/sf0.001"
-    docs = spark.read.parquet(f"{sf}/documents.parquet")
     from lotwise.session import materialize
-    kept = docs
+
+    sf = "/root/testdata/sf0.001"
+    read = lambda t: spark.read.parquet(f"{sf}/{t}.parquet")
+    docs = kept = read("documents")
     for name, stage in pipeline.STAGES[:-1]:
         before = kept
         kept = materialize(stage(spark, kept, sf), f"test-{name}")
         assert kept.columns == docs.columns
-        if name == "jaccard_join":
-            rows = [(r.doc_id, r.text) for r in before.collect()]
+        ids = sorted(r.doc_id for r in kept.collect())
+        rows = [(r.doc_id, r.text) for r in before.collect()]
+        if name == "toxicity":
+            assert ids == sorted(r.doc_id for r in score_toxicity(docs, read("labels")).collect() if not r.predicted)
+        elif name == "jaccard_join":
             _, root = groups(rows, 5, 80)
             least = {}
             for r, g in zip(rows, root):
                 least[g] = min(least.get(g, np.inf), r[0])
-            assert sorted(r.doc_id for r in kept.collect()) == sorted(least.values())
+            assert ids == sorted(least.values())
+        elif name == "decontamination":
+            items = [r.text for r in read("benchmark").collect()]
+            assert ids == sorted(d for d, t in rows if not brute_contaminated(t, items)) and len(ids) < len(rows)
+        elif name == "mixing":
+            taken = {r.doc_id: r.taken for r in mix(before, weights=label_weights(read("labels"))).collect()}
+            words_of = {}
+            for r in kept.collect():
+                words_of[r.doc_id] = words_of.get(r.doc_id, 0) + len(split(r.text))
+                assert r.n_chars == len(r.text or "")
+            assert all(words_of.get(d, 0) == n for d, n in taken.items())
+            whole = dict(rows)
+            for r in kept.collect():  # copies are whole or the document's first words
+                assert r.text == whole[r.doc_id] or split(r.text) == split(whole[r.doc_id])[:len(split(r.text))]
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(tokenizer_path())
+    want = sorted((r.doc_id, zlib.crc32(np.array([*t.encode(r.text or "", add_special_tokens=False).ids, 2], "<u4").tobytes())) for r in kept.collect())
     out = pipeline.run(spark, sf).orderBy("start").collect()
-    assert len(out) == kept.count() and out[0].start == 0
+    assert sorted((r.doc_id, r.ids_crc32) for r in out) == want and out[0].start == 0
+    assert [r.start for r in out] == [0, *np.cumsum([r.n_tokens for r in out])[:-1].tolist()]
