@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import warnings
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -68,6 +69,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="lotwise-ckpt-")
+        if not sc.master.startswith("local"):
+            warnings.warn(f"spark.checkpoint.dir is not set; {configured} serves only a local session", stacklevel=2)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
