@@ -57,6 +57,13 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return configure(spark)
 
 
+def bound_batches(spark: SparkSession, rows: int = 2_048) -> SparkSession:
+    """Rows that a Python worker gets at once: a worker holds a batch of whole texts, so the default of
+    10,000 rows costs it tens of MB."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    return spark
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
