@@ -24,11 +24,11 @@ from lotwise.llm.mixing import label_weights, mixed_documents
 from lotwise.llm.queries import END_ID, tokenizer_path
 from lotwise.llm.token_files import read_documents, token_folder, write_token_files
 from lotwise.llm.toxicity import keep_clean
-from lotwise.session import materialize
+from lotwise.session import bound_batches, materialize
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return bound_batches(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,6 +37,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Near copies share 80% of their five-word shingles."""
+    bound_batches(spark)
     return one_of_each(docs, size=5, percent=80)
 
 
@@ -51,6 +52,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     return read_documents(write_token_files(docs, token_folder(spark), tokenizer_path(), END_ID))
 
 

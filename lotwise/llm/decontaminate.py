@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize, remove_path, scratch_path
 from .rows import as_rows, map_rows, text_field
-from .words import BASE_WORD, LETTERS_DIGITS, grams, mix64, split, text_slices
+from .words import BASE_WORD, LETTERS_DIGITS, SMALL_SLICE, grams, mix64, split, text_slices
 
 WINDOW = 13  # words
 SHINGLE = 3  # words of a token, or 1 in windows of fewer words
@@ -175,7 +175,7 @@ def _counts(rows: DataFrame, text_col: str, block: Block) -> np.ndarray:
     def run(batches):
         total = np.zeros(size, np.int64)
         for batch in batches:
-            for s in text_slices(text_field(batch, text_col), lower=True):
+            for s in text_slices(text_field(batch, text_col), lower=True, limit=SMALL_SLICE):
                 w = split(s, LETTERS_DIGITS)
                 for _, _, hashes in _shingles(w):
                     total += np.bincount(tokens.value.find(hashes)[1], minlength=size)
@@ -194,7 +194,7 @@ def _match(rows: DataFrame, text_col: str, block: Block, first: bool) -> DataFra
 
     def work(batch: pa.RecordBatch):
         b = shared.value
-        for s in text_slices(text_field(batch, text_col), lower=True):
+        for s in text_slices(text_field(batch, text_col), lower=True, limit=SMALL_SLICE):
             w = split(s, LETTERS_DIGITS)
             starts, which = [], []
             for k, at, hashes in _shingles(w):

@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from ..session import dematerialize, materialize
 from .components import components
 from .rows import as_rows
-from .words import GOLDEN, Slice, grams, mix64, sequence_hashes, split, text_slices
+from .words import GOLDEN, SMALL_SLICE, Slice, grams, mix64, sequence_hashes, split, text_slices
 
 SHINGLE = 3  # words
 PERCENT = 90  # least similarity
@@ -106,7 +106,7 @@ def _prefix_sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
     def run(batches):
         tokens, counts = frequent.value
         for batch in batches:
-            for s in text_slices(batch.column(1), lower=True):
+            for s in text_slices(batch.column(1), lower=True, limit=SMALL_SLICE):
                 rows, hashes = shingle_sets(s, size)
                 n = np.bincount(rows, minlength=s.rows)
                 node = _identity(rows, hashes, s.rows)
@@ -247,7 +247,7 @@ def _whole_sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame, size: int
     def run(batches):
         for batch in batches:
             wanted = batch.column(0).to_numpy(zero_copy_only=False)
-            for s in text_slices(batch.column(1), lower=True):
+            for s in text_slices(batch.column(1), lower=True, limit=SMALL_SLICE):
                 rows, hashes = shingle_sets(s, size)
                 first = np.searchsorted(rows, np.arange(s.rows + 1))
                 yield pa.RecordBatch.from_arrays(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 from .rows import quoted
-from .words import Slice, text_slices
+from .words import SMALL_SLICE, Slice, text_slices
 
 SCORES = "doc_id bigint, held_out boolean, score double, predicted int"
 THRESHOLD = 0.7
@@ -53,7 +53,7 @@ def within(stored: DataFrame, limit: int) -> DataFrame:
 def label_slices(batch: pa.RecordBatch, **how):
     """Slices of the texts (column 0) with their labels (column 1)."""
     labels = batch.column(1).to_numpy(zero_copy_only=False)
-    for s in text_slices(batch.column(0), **how):
+    for s in text_slices(batch.column(0), limit=SMALL_SLICE, **how):
         yield s, labels[s.lo:s.hi]
 
 
@@ -63,7 +63,7 @@ def score_texts(docs: DataFrame, score: Callable[[Slice], np.ndarray], folds: in
 
     def run(batches):
         for batch in batches:
-            for s in text_slices(batch.column(1), lower=lower):
+            for s in text_slices(batch.column(1), lower=lower, limit=SMALL_SLICE):
                 p = np.clip(np.round(score(s).astype(np.float64), 6), 0.0, 1.0)  # whatever the slice
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(s.lo, s.rows), batch.column(2).slice(s.lo, s.rows), pa.array(p),

@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import bound_batches
 from . import lexical_search, mixing
 from .alignment import align_tokenizers
 from .chat_format import digest, format_turns
@@ -29,7 +30,7 @@ END_ID = 2  # of a document, in token files
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return bound_batches(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op1_toxicity(spark, sf_dir):

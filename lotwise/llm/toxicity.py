@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from ..session import dematerialize, materialize
 from .labels import THRESHOLD, Adam, label_slices, score_texts, sigmoid, training_texts, within
 from .rows import as_rows, map_rows, text_field
-from .words import LETTERS_DIGITS, Slice, mix64, prefix_hashes, split, text_slices
+from .words import LETTERS_DIGITS, SMALL_SLICE, Slice, mix64, prefix_hashes, split, text_slices
 
 FOLDS, HELD_OUT = 3, 1
 SAMPLE = 10_000  # labelled texts
@@ -288,7 +288,7 @@ def keep_clean(docs: DataFrame, labels: DataFrame, training: DataFrame) -> DataF
     machine = _machine(training, labels)
 
     def work(batch: pa.RecordBatch):
-        for s in text_slices(text_field(batch, "text"), lower=True):
+        for s in text_slices(text_field(batch, "text"), lower=True, limit=SMALL_SLICE):
             yield s.lo, s.hi, [pa.array(machine.value.score(s) >= THRESHOLD)]
 
     return map_rows(as_rows(docs), "toxic boolean", work).where("NOT toxic").select("row.*")

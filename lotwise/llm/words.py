@@ -16,6 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE_BYTES = 2 << 20  # bytes of text handled at once
+SMALL_SLICE = 1 << 20  # where more is made of each word
 GOLDEN, MIX_A, MIX_B = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB  # splitmix64
 BASE_BYTE, BASE_WORD = 0x5851F42D4C957F2D, 0xD1342543DE82EF95  # odd, so invertible mod 2**64
 
@@ -103,7 +104,7 @@ def text_slices(column: pa.Array, lower: bool = False, limit: int = SLICE_BYTES)
     """The texts of a column (null: empty) in slices of about ``limit`` bytes."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = pc.fill_null(column, "").cast(pa.large_string())
+    column = (pc.fill_null(column, "") if column.null_count else column).cast(pa.large_string())
     n = len(column)
     if not n:
         return
