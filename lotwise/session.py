@@ -57,10 +57,11 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return configure(spark)
 
 
-def bound_batches(spark: SparkSession, rows: int = 2_048) -> SparkSession:
-    """Rows that a Python worker gets at once: a worker holds a batch of whole texts, so the default of
-    10,000 rows costs it tens of MB."""
+def bound_batches(spark: SparkSession, rows: int = 2_048, size: str = "8m") -> SparkSession:
+    """What a Python worker gets at once: it and its executor hold some batches of whole texts each, so
+    the defaults of 10,000 rows or 64 MB cost them hundreds of MB."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
     return spark
 
 
