@@ -318,13 +318,13 @@ def join_similar(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """The rows of ``df`` that stay when each component keeps one document, that of the least id
     (ties: of the least text hash). Rows with empty sets all stay. Columns are those of ``df``."""
-    rows = as_rows(df).select("row", F.col(f"row.{id_col}").cast("bigint").alias("id"),
-                              F.xxhash64(F.col(f"row.{text_col}").cast("string")).alias("hash"),
-                              F.coalesce(F.col(f"row.{text_col}").cast("string"), F.lit("")).rlike(WORD).alias("words"))
+    rows = as_rows(df).select("row", F.coalesce(F.col("row").getField(id_col).cast("bigint"), F.lit(NO_ID)).alias("id"),
+                              F.xxhash64(F.col("row").getField(text_col).cast("string")).alias("hash"),
+                              F.coalesce(F.col("row").getField(text_col).cast("string"), F.lit("")).rlike(WORD).alias("words"))
     found = join_similar(df, id_col, text_col, **how).where("component IS NOT NULL")
     # A null id comes after all others.
-    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
-    stay = found.groupBy("component").agg(F.min(first).alias("stay")).select("component", "stay.doc_id", "stay.text_hash")
-    kept = rows.where("words").join(stay, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("hash") == F.col("text_hash")))
-    kept = kept.dropDuplicates(["component"])
+    first = F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), F.col("text_hash").alias("hash"))
+    stay = found.groupBy("component").agg(F.min(first).alias("stay")).select("stay.id", "stay.hash")
+    # Rows of one id and text are in one component: one of them stays, where the join has brought them.
+    kept = rows.where("words").join(stay, ["id", "hash"]).dropDuplicates(["id", "hash"])
     return kept.select("row").union(rows.where("NOT words").select("row")).select("row.*")
