@@ -33,7 +33,7 @@ from .rows import as_rows
 
 WEIGHTS = (1, 2, 3)
 MAX_EPOCHS = 3
-RANGE_ROWS = 4096  # rows of a range of the key, about, if one source has all
+RANGE_ROWS = 1024  # rows of a range of the key, about, if one source has all
 SALTS = 8  # tasks that share the rows of one id
 WORD = r"[^\x20\x09-\x0D]+"
 GOOD, UNKNOWN, BAD = 1.0, 0.75, 0.5  # quality weights of labels 1, none, 0
