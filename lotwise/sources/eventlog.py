@@ -12,6 +12,9 @@ from .. import files
 from ..schemas import EVENT_LOG
 
 
+MANY_DAYS = 64  # from here on one listing of the log's folder costs less than a look at each day
+
+
 def read_event_log(spark: SparkSession, path: str, days: list[str] | None = None) -> DataFrame:
     """The log at ``path``; with ``days``, only those partition folders are listed and read.
 
@@ -24,8 +27,9 @@ def read_event_log(spark: SparkSession, path: str, days: list[str] | None = None
     if days is None:
         return reader.parquet(path)
     root = path.rstrip("/")
+    there = {f"{root}/{n}" for n in files.names(spark, root)} if len(days) > MANY_DAYS else None
     folders = present_days([(d, f"{root}/partition_date={d}") for d in days],
-                           lambda f: files.exists(spark, f), root)
+                           lambda f: files.exists(spark, f) if there is None else f in there, root)
     return reader.option("basePath", root).parquet(*folders)
 
 
