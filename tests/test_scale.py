@@ -35,6 +35,13 @@ def test_a_reader_of_one_event_kind_derives_that_kind_only(spark, build, lineite
     assert {c.split(":")[0] for r in read for c in r.split(",") if c.startswith("l_")} == lineitem
 
 
+def test_both_extracts_share_stored_parts(spark, monkeypatch):
+    stored, real = [], Q.materialize
+    monkeypatch.setattr(Q, "materialize", lambda df, name: stored.append(name) or real(df, name))
+    assert Q.q_daily_extract_both(spark, SF001).count() > 0
+    assert stored == ["pivot", "steps", "both-variance", "both-totallot"]
+
+
 def test_rows_are_copied_only_to_runs_of_their_lots(spark):
     runs = Runs("2024-02-01", "2024-02-20", RunWindow.archive("2024-02-01"),
                 lots=spark.createDataFrame([("2024-02-03", "A"), ("2024-02-19", "A"), ("2024-02-03", "B"), (None, "A")],
