@@ -35,6 +35,28 @@ def test_a_reader_of_one_event_kind_derives_that_kind_only(spark, build, lineite
     assert {c.split(":")[0] for r in read for c in r.split(",") if c.startswith("l_")} == lineitem
 
 
+def _counted(spark, schema, **values):
+    """12 rows of text, and an accumulator of how many were computed."""
+    n = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            n.add(len(b))
+            yield b
+
+    rows = spark.range(12).select(*[values.get(c, F.concat(F.lit(c), F.col("id").cast("string"))).cast("string").alias(c)
+                                    for c in schema.fieldNames()])
+    return rows.mapInPandas(count, rows.schema), n
+
+
+def test_stored_runs_take_their_parts_from_rows_computed_once(spark):
+    rows, n = _counted(spark, VARIANCE, LOT_QTY=F.col("id") % 12, PRODUCT_FAMILY=F.lit("abc"), ww=F.lit("202405"))
+    got = Q._catalog_runs(spark, rows, VARIANCE, "lotwise_test_runs_once")
+    # lengths 3 + 1 and 3 + 2: the runs of ten and of two rows; the rerun of the second has none of length 2
+    assert sorted((r.run_date, r["count"]) for r in got.groupBy("run_date").count().collect()) == [(Q.RERUNS[2], 2)]
+    assert n.value == 12
+
+
 def test_both_extracts_share_stored_parts(spark, monkeypatch):
     stored, real = [], Q.materialize
     monkeypatch.setattr(Q, "materialize", lambda df, name: stored.append(name) or real(df, name))
