@@ -57,6 +57,14 @@ def test_stored_runs_take_their_parts_from_rows_computed_once(spark):
     assert n.value == 12
 
 
+def test_a_report_and_the_older_one_come_from_rows_computed_once(spark):
+    labels = week_labels(Q.AS_OF)
+    rows, n = _counted(spark, REPORT_VARIANCE, variance_ww=F.when(F.col("id") < 5, labels[0]).otherwise(labels[1]))
+    got = Q._catalog_report(spark, rows, "variance", REPORT_TABLE_VARIANCE)
+    assert got.count() == 12 and n.value == 12
+    assert all(report_name("variance", labels) in f for f in got.inputFiles())
+
+
 def test_both_extracts_share_stored_parts(spark, monkeypatch):
     stored, real = [], Q.materialize
     monkeypatch.setattr(Q, "materialize", lambda df, name: stored.append(name) or real(df, name))
