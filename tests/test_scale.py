@@ -93,3 +93,12 @@ def test_archive_backfill_pivots_a_lot_for_the_runs_that_test_it(spark):
     backfill_archive(event_log(spark, SF001), records, days[0], days[-1], keep=lambda df, name: parts.setdefault(name, df))
     pivots = parts["pivot"].select("run_date", "LOT_ID")
     assert pivots.count() > 0 and pivots.exceptAll(tested).count() == 0
+
+
+def test_archive_variance_deals_the_rows_once_between_its_joins(spark):
+    """Events x steps are distinct as they are: no DISTINCT between that join and the testers'."""
+    ds = archive_datasets(event_log(spark, SF001), Q.tte_records(spark, SF001), Q.WIDE)[0]
+    physical = explain(ds).split("\n\n")[0]
+    # pivot 2, events, quantity, genealogy, steps' DISTINCT, testers' and rows' DISTINCTs, both sides of 4 joins and
+    # of the 6 derivations' joins
+    assert physical.count("Exchange") <= 28
