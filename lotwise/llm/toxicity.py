@@ -13,7 +13,7 @@ per term, so pairs of terms that are harmless apart can weigh together. It has t
   kept only if it lowers the loss of the last quarter by ``GAIN``.
 
 Both are fitted by Adam on the driver: the first on at most ``SAMPLE`` labelled texts outside the held-out
-fold, over a matrix of SAMPLE x TERMS 32-bit numbers; the second on those of them whose slots fit into
+fold, over a matrix of SAMPLE x TERMS bytes, of which a batch at a time is made numbers; the second on those of them whose slots fit into
 ``SLOT_BYTES``, in the order of their hashes. Scoring is a map over whole texts.
 
 Rows: null and empty texts score as texts of no terms; repeated rows score alike; without a term
@@ -177,7 +177,7 @@ def _collect(sample: DataFrame, terms: np.ndarray) -> Sample:
     own = np.lexsort((held.column("label").to_numpy(), held.column("key").to_numpy()))
     key = texts.column("key").to_numpy()[order]
     has, slots = texts.column("has").combine_chunks(), held.column("slots").combine_chunks()
-    bits = np.zeros((len(order), len(terms)), np.float32)
+    bits = np.zeros((len(order), len(terms)), np.uint8)
     for i, row in enumerate(order.tolist()):
         bits[i] = np.unpackbits(np.frombuffer(has[row].as_buffer(), np.uint8))[:len(terms)]
     return Sample(bits, texts.column("label").to_numpy()[order].astype(np.float32),
@@ -186,7 +186,7 @@ def _collect(sample: DataFrame, terms: np.ndarray) -> Sample:
 
 
 def _learn_terms(x: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
-    """Bias b, weights w and factors v of the telling terms."""
+    """Bias b, weights w and factors v of the telling terms (``x``: which text has which)."""
     random = np.random.default_rng(7)
     p = {"b": np.array([np.log((y.sum() + 1) / (len(y) - y.sum() + 1))], np.float32),
          "w": np.zeros(x.shape[1], np.float32),
@@ -196,7 +196,7 @@ def _learn_terms(x: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
         order = random.permutation(len(y))
         for lo in range(0, len(y), BATCH):
             part = order[lo:lo + BATCH]
-            xb = x[part]
+            xb = x[part].astype(np.float32)
             out, xv = _terms_out(p, xb)
             e = (sigmoid(out) - y[part]) / len(part)
             adam.step({"b": e.sum(keepdims=True), "w": xb.T @ e + DECAY * p["w"],
@@ -209,6 +209,13 @@ def _terms_out(p: dict[str, np.ndarray], x: np.ndarray) -> tuple[np.ndarray, np.
     return p["b"] + x @ p["w"] + ((xv * xv).sum(1) - (x @ (p["v"] ** 2)).sum(1)) / 2, xv
 
 
+def _terms_say(p: dict[str, np.ndarray], has: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """What the first layer says of the given texts, some at a time: all of them as numbers would cost the
+    driver four times the matrix."""
+    parts = [_terms_out(p, has[rows[lo:lo + BATCH]].astype(np.float32))[0] for lo in range(0, len(rows), BATCH)]
+    return np.concatenate([np.zeros(0, np.float32), *parts])
+
+
 def _learn_slots(slots: list[np.ndarray], offset: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Weights and factors of all slots (0 for those in fewer than ``LEAST`` texts), given what the
     other layer says of each text."""
@@ -260,7 +267,7 @@ def _pairs_help(sample: Sample) -> bool:
     mine = np.ones(len(sample.y), bool)
     mine[sample.rows[test]] = False
     p = _learn_terms(sample.has[mine], sample.y[mine])
-    out = _terms_out(p, sample.has[sample.rows])[0]
+    out = _terms_say(p, sample.has, sample.rows)
     layer = _learn_slots([sample.slots[i] for i in learn], out[learn], y[learn])
     more = _slots_out(layer, [sample.slots[i] for i in test])
     return _loss(out[test] + more, y[test]) < (1 - GAIN) * _loss(out[test], y[test])
@@ -274,7 +281,7 @@ def fit(sample: DataFrame) -> Machine:
     if not len(terms) and not pairs:
         return Machine(np.zeros(0, np.uint64), 0.0, np.zeros(0), np.zeros((0, RANK)))
     p = _learn_terms(texts.has, texts.y)
-    layer = _learn_slots(texts.slots, _terms_out(p, texts.has[texts.rows])[0], texts.y[texts.rows]) if pairs else None
+    layer = _learn_slots(texts.slots, _terms_say(p, texts.has, texts.rows), texts.y[texts.rows]) if pairs else None
     return Machine(terms, float(p["b"][0]), p["w"].astype(float), p["v"].astype(float), layer)
 
 

@@ -20,7 +20,7 @@ from lotwise.llm.quality import score_quality
 from lotwise.llm.substring_dedup import remove_repeats
 from lotwise.llm.token_files import pack_ids, read_documents, token_folder, unpack_ids, write_token_files
 from lotwise.llm.queries import tokenizer_path
-from lotwise.llm.toxicity import keep_clean, score_toxicity
+from lotwise.llm.toxicity import _collect, _learn_terms, _terms_out, _terms_say, keep_clean, score_toxicity
 from lotwise.llm.url_filter import filter_urls
 from lotwise.llm.words import text_slices
 
@@ -155,6 +155,20 @@ def test_toxicity_score_by_hand(spark):
         assert layered.score(s)[0] == pytest.approx(1 / (1 + np.exp(-total)))
 
 
+def test_toxicity_matrix_is_a_byte_a_term(spark):
+    """The driver holds which text has which term in bytes and makes a batch at a time numbers."""
+    sample = spark.createDataFrame([(f"word{i % 7} other{i % 5}", i % 2) for i in range(600)], "text string, label int")
+    terms = np.sort(np.array([r.h for r in sample.selectExpr("explode(array(1, 2, 3)) AS h").distinct().collect()], np.uint64))
+    has = _collect(sample, terms).has
+    assert has.dtype == np.uint8 and has.shape == (600, 3)
+    has = np.random.default_rng(3).integers(0, 2, (600, 40)).astype(np.uint8)
+    y, rows = has[:, 0].astype(np.float32), np.arange(599, -1, -1)
+    p, q = _learn_terms(has, y), _learn_terms(has.astype(np.float32), y)
+    assert all((p[k] == q[k]).all() for k in p)
+    assert np.allclose(_terms_say(p, has, rows), _terms_out(p, has[rows].astype(np.float32))[0], atol=1e-4)
+    assert len(_terms_say(p, has, rows[:0])) == 0
+
+
 def test_quality_score_by_hand(spark):
     """Attention of the passages and the score of a text, passage by passage."""
     from lotwise.llm import quality
