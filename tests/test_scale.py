@@ -14,7 +14,8 @@ from lotwise.operators import lots as L
 from lotwise.operators.scope import scoped_window
 from lotwise.params import RunWindow
 from lotwise.plans.archive import archive_datasets
-from lotwise.plans.backfill import Runs, backfill_archive
+from lotwise.plans.backfill import Runs, backfill_archive, backfill_daily
+from lotwise.plans.daily import daily_datasets
 from lotwise.plans.weekly import report_name
 from lotwise.schemas import REPORT_TABLE_VARIANCE, REPORT_VARIANCE, VARIANCE
 from lotwise.functions.workweek import week_labels
@@ -102,3 +103,19 @@ def test_archive_variance_deals_the_rows_once_between_its_joins(spark):
     # pivot 2, events, quantity, genealogy, steps' DISTINCT, testers' and rows' DISTINCTs, both sides of 4 joins and
     # of the 6 derivations' joins
     assert physical.count("Exchange") <= 28
+
+
+def test_both_datasets_come_from_lot_steps_computed_once(spark):
+    """J2 is stored once, with the step job; the total lots are made of it and have the same rows."""
+    log, parts = event_log(spark, SF001), {}
+    shared = backfill_daily(log, "2024-01-01", "2024-03-31", keep=lambda df, name: parts.setdefault(name, df))
+    assert {"LOT_QTY", "step_job_oid"} <= set(parts["steps"].columns)
+    for mine, own in zip(shared, backfill_daily(log, "2024-01-01", "2024-03-31")):
+        assert mine.count() > 0 and mine.exceptAll(own).count() == own.exceptAll(mine).count() == 0
+    ds, alone = (daily_datasets(log, Q.WIDE, cache=c) for c in (True, False))
+    try:
+        assert any("LOT_QTY" in df.columns for df in ds.cached)
+        for mine, own in ((ds.variance, alone.variance), (ds.totallot, alone.totallot)):
+            assert mine.count() > 0 and mine.exceptAll(own).count() == own.exceptAll(mine).count() == 0
+    finally:
+        ds.release()
