@@ -105,6 +105,12 @@ def test_archive_variance_deals_the_rows_once_between_its_joins(spark):
     assert physical.count("Exchange") <= 28
 
 
+def test_events_hash_the_parts(spark):
+    """Every kind of event reads the lines' join with the parts; none sorts the lines for it."""
+    physical = explain(event_log(spark, SF001)).split("\n\n")[0]
+    assert physical.count("ShuffledHashJoin") == 5 and "SortMergeJoin" not in physical
+
+
 def test_both_datasets_come_from_lot_steps_computed_once(spark):
     """J2 is stored once, with the step job; the total lots are made of it and have the same rows."""
     log, parts = event_log(spark, SF001), {}
