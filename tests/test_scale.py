@@ -17,7 +17,7 @@ from lotwise.plans.archive import archive_datasets
 from lotwise.plans.backfill import Runs, backfill_archive, backfill_daily
 from lotwise.plans.daily import daily_datasets
 from lotwise.plans.weekly import report_name
-from lotwise.schemas import REPORT_TABLE_VARIANCE, REPORT_VARIANCE, VARIANCE
+from lotwise.schemas import REPORT_TABLE_VARIANCE, REPORT_VARIANCE, TOTALLOT_COLUMNS, VARIANCE
 from lotwise.functions.workweek import week_labels
 from lotwise.sources.fixtures import event_log
 from test_plans import explain
@@ -125,3 +125,33 @@ def test_both_datasets_come_from_lot_steps_computed_once(spark):
             assert mine.count() > 0 and mine.exceptAll(own).count() == own.exceptAll(mine).count() == 0
     finally:
         ds.release()
+
+
+def test_tasks_that_explode_lines_to_attributes_are_not_merged(spark):
+    """AQE merges partitions by the size of the lines; a task's hash aggregate of the pivot holds eight rows for each."""
+    text = explain(L.attribute_pivot(event_log(spark, SF001)))
+    assert "REPARTITION_BY_NUM" in text and "REPARTITION_BY_NUM" not in explain(L.lot_quantity(event_log(spark, SF001)))
+
+
+def _pivot_log(spark):
+    rows = [("A", "DESIGN ID", "D1"), ("A", "DESIGN ID", "D2"), ("A", "LEAD COUNT", "9"), ("A", "LEAD COUNT", "16"),
+            ("B", "LEAD COUNT", "4"), ("B", "PACKAGE WIDTH", "1"), ("C", "NOT LISTED", "x"), ("D", "DESIGN ID", None),
+            (None, "PACKAGE TYPE", "P"), (None, "DESIGN ID", "D0"), ("E", None, "y")]
+    return spark.createDataFrame(rows * 2, "ma_id string, attribute_id string, attribute_value string")
+
+
+def test_pivot_of_some_columns_keeps_every_lot(spark):
+    log = _pivot_log(spark)
+    every, some = L.attribute_pivot(log), L.attribute_pivot(log, columns=TOTALLOT_COLUMNS)
+    assert {r.LOT_ID: r.LEAD_COUNT for r in every.collect()} == {"A": "9", "B": "4", "D": None, None: None}
+    assert set(some.columns) < set(every.columns) and "DESIGN_ID" in some.columns
+    assert sorted(some.collect(), key=str) == sorted(every.select(some.columns).collect(), key=str)
+
+
+def test_total_lots_pivot_their_own_columns(spark):
+    """Attributes that a dataset lacks are one row a lot and task, without a value, before the pivot's shuffle."""
+    log, records = event_log(spark, SF001), Q.tte_records(spark, SF001)
+    scoped = scoped_window(log, Q.WIDE)
+    for df in (daily_datasets(log, Q.WIDE, cache=False).totallot, A.archive_totallot(scoped, A.tte_testers(records)),
+               backfill_daily(log, "2024-01-01", "2024-01-31")[1]):
+        assert "STEP_TEMPERATURE" not in explain(df)
