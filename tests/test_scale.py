@@ -155,3 +155,59 @@ def test_total_lots_pivot_their_own_columns(spark):
     for df in (daily_datasets(log, Q.WIDE, cache=False).totallot, A.archive_totallot(scoped, A.tte_testers(records)),
                backfill_daily(log, "2024-01-01", "2024-01-31")[1]):
         assert "STEP_TEMPERATURE" not in explain(df)
+
+
+def _exchanges(df) -> int:
+    return explain(df).split("\n\n")[0].count("Exchange")
+
+
+def test_joins_of_distinct_parts_are_not_made_distinct_again(spark):
+    """What joins distinct parts and keeps their columns deals its rows for the next join only."""
+    log, records = event_log(spark, SF001), Q.tte_records(spark, SF001)
+    scoped = scoped_window(log, Q.WIDE)
+    started, changed = L.tester_first_start(scoped), L.genealogy_last_change(scoped)
+    steps = L.tester_step(started, changed)
+    assert _exchanges(steps) == _exchanges(started) + _exchanges(changed) + 2
+    testers, pivot = A.tte_testers(records), L.attribute_pivot(scoped)
+    given = A.archive_steps(scoped, with_time=True)
+    total = A.archive_totallot(scoped, testers, pivot=pivot, steps=given)
+    kept = testers.select("LOT_ID", "STEP_ID", F.upper("TESTER_ID")).distinct()
+    assert _exchanges(total) == _exchanges(given) + _exchanges(kept) + _exchanges(pivot) + 4
+    for df in (steps, total, A.archive_variance(scoped, testers.union(testers), pivot=pivot)):
+        assert df.count() == df.distinct().count() > 0
+
+
+def test_distinct_rows_from_repeated_and_null_events(spark):
+    """Copies of every event and record, and a tester, step and job that are NULL, give each row once."""
+    day, time = "2024-02-03", "2024-02-03 {}:00:00.00+0800"
+    columns = "ma_id, attribute_id, attribute_value, attribute_prior_value, reason, action, location, quantity, step_job_oid, job_oid, " \
+              "date_time_local, resource, role, event_action, event_type, partition_date".split(", ")
+    events = [dict(role="TESTER MACHINE", event_action="STARTED", resource=r, job_oid=j, date_time_local=time.format("08"))
+              for r in ("T1", "T2", None) for j in (7, None)]
+    events += [dict(event_type="GenealogyChanged", location=s, step_job_oid=j, date_time_local=time.format(h))
+               for s in ("HOT", None) for j in (7, None) for h in ("07", "09", "10")]
+    events += [dict(attribute_id="CURRENT QTY", attribute_prior_value="5", job_oid=7, date_time_local=time.format("15")),
+               dict(attribute_id="DESIGN ID", attribute_value="D", date_time_local=time.format("06")),
+               dict(reason="VARIANCE", action="HOLD", location="HOT", quantity="1", step_job_oid=7, date_time_local=time.format("14"))]
+    rows = [[{"ma_id": "A", "partition_date": day, **e}.get(c) for c in columns] for e in events * 2]
+    log = spark.createDataFrame(rows, ", ".join(f"{c} {'bigint' if c.endswith('oid') else 'string'}" for c in columns))
+    steps = L.resolve_tester_step(log).collect()
+    assert sorted(map(str, steps)) == sorted({str(r) for r in steps}) and len(steps) == 6
+    testers = spark.createDataFrame([("A", "HOT", t, "1", "2") for t in ("x", "X", None)] * 2,
+                                    "LOT_ID string, STEP_ID string, TESTER_ID string, SPEED string, TEMPERATURE string")
+    for build in (A.archive_variance, A.archive_totallot):
+        assert sorted(str(r.TESTER_ID) for r in build(log, testers).collect()) == ["None", "X"]
+
+
+def test_testers_read_the_records_once(spark):
+    """Both branches in one pass; the same bag as two passes that are put together."""
+    assert explain(A.tte_testers(Q.tte_records(spark, SF001))).split("\n\n")[0].count("Scan parquet") == 2  # lines and parts
+    maps = [{"LOT": "AU", "STEP_ID": "A_B_", "TESTER_ID": "t"}, {"LOT": "U", "STEP_ID": "_"}, {"LOT": "BUU", "SPEED": "1"}, {"LOT": "Cu", "TESTER_ID": ""},
+            {"TESTER_ID": "t", "TEMPERATURE": "2"}, {"LOT": "D"}, {"LOT": "", "TESTER_ID": "t"}, {}, None]
+    records = spark.createDataFrame([(m,) for m in maps] * 2, "attributes map<string,string>")
+    raw = A.tte_fields(records).withColumn("STEP_ID", F.regexp_replace("STEP_ID_RAW", "_", " "))
+    rest = ["STEP_ID", "TESTER_ID", "SPEED", "TEMPERATURE"]
+    two = raw.where(F.col("LOT_ID_RAW").endswith("U")).select(F.expr("left(LOT_ID_RAW, length(LOT_ID_RAW) - 1)").alias("LOT_ID"), *rest).union(
+        raw.where("TESTER_ID is not null").select(F.col("LOT_ID_RAW").alias("LOT_ID"), *rest))
+    got = A.tte_testers(records)
+    assert got.columns == two.columns and sorted(map(str, got.collect())) == sorted(map(str, two.collect())) and got.count() == 14
