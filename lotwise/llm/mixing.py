@@ -15,7 +15,7 @@ done on it. A source's prefix sums run over ranges of the key, of about ``RANGE_
 source has all: sums per range, prefix sums over the ranges, then prefix sums inside each range. No
 task gathers a source, an id or a group of equal rows: places among equal rows are counted per input
 partition, with prefix sums over the partitions, and the join with weights by id deals an id's rows to
-``SALTS`` tasks. One task sorts the list of sources (a row each). Where the input's columns are asked
+``SALTS`` tasks (the weights, which grow with the documents, are never sent to the driver). One task sorts the list of sources (a row each). Where the input's columns are asked
 for, they meet the decisions in one last join by row number.
 
 Rows: null text has no words; null quality weighs ``UNKNOWN``; repeated rows are documents of their
@@ -90,7 +90,8 @@ def _weighed(rows: DataFrame, weights: DataFrame | None) -> DataFrame:
     spread = weights.select(F.col("mix_id").alias("weight_id"), F.col("mix_weight").alias("weight"),
                             F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("weight_salt"))
     on = (F.col("doc_id") == F.col("weight_id")) & (salt == F.col("weight_salt"))
-    rows = rows.join(spread, on, "left").drop("weight_id", "weight_salt")
+    # The size of the labels' files says little of the weights' copies: a broadcast planned from it fills the driver.
+    rows = rows.join(spread.hint("merge"), on, "left").drop("weight_id", "weight_salt")
     return rows.withColumn("weight", F.coalesce("weight", F.lit(UNKNOWN)))
 
 

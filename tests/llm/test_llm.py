@@ -343,6 +343,24 @@ def test_mix_oracle(spark, tmp_path):
     assert sorted(tuple(r) for r in got.select(*names).collect()) == sorted(want)
 
 
+def test_weights_by_id_are_not_broadcast(spark, tmp_path):
+    """Copies of the labels' weights, one for each task that shares an id, grow with the documents."""
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    labels = [(1, 1), (1, 0), (1, 1), (1, 1), (2, None), (None, 1), (3, 1), (4, 0)]
+    spark.createDataFrame(labels, "doc_id bigint, quality int").write.parquet(f"{tmp_path}/labels")  # files have a size
+    weights = label_weights(spark.read.parquet(f"{tmp_path}/labels"))
+    rows = spark.createDataFrame([(0, 1), (9, 1), (2, 2), (3, None), (4, 3), (5, 4), (6, 7)], "number bigint, doc_id bigint")
+    spark.conf.set(name, "10m")
+    try:
+        got = mixing._weighed(rows, weights)
+        plan = got._jdf.queryExecution().sparkPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+        assert sorted((r.number, r.weight) for r in got.collect()) == [(0, 0.875), (2, 0.75), (3, 0.75), (4, 1), (5, 0.5), (6, 0.75), (9, 0.875)]
+    finally:
+        spark.conf.set(name, before)
+
+
 def test_mix_rows_of_one_id(spark):
     """Rows that share an id, or have none, draw each for itself; any column names may come along."""
     rows = [(7, f"text {k % 500} a b c", "s0", k, 0.5, "x") for k in range(2000)]
