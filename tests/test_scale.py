@@ -3,23 +3,30 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF001
+from lotwise import files
 from lotwise import queries as Q
 from lotwise.operators import archive as A
 from lotwise.operators import lots as L
 from lotwise.operators.scope import scoped_window
 from lotwise.params import RunWindow
+from lotwise.plans import daily
 from lotwise.plans.archive import archive_datasets
 from lotwise.plans.backfill import Runs, backfill_archive, backfill_daily
 from lotwise.plans.daily import daily_datasets
 from lotwise.plans.weekly import report_name
-from lotwise.schemas import REPORT_TABLE_VARIANCE, REPORT_VARIANCE, TOTALLOT_COLUMNS, VARIANCE
+from lotwise.schemas import EVENT_LOG, REPORT_TABLE_VARIANCE, REPORT_VARIANCE, TOTALLOT, TOTALLOT_COLUMNS, VARIANCE
 from lotwise.functions.workweek import week_labels
-from lotwise.sources.fixtures import event_log
+from lotwise.session import checkpoint_root
+from lotwise.sinks.text import write_dated, write_delimited, write_extract, write_report
+from lotwise.sources.delimited import read_dated_store
+from lotwise.sources.eventlog import read_event_log, write_event_parts
+from lotwise.sources.fixtures import event_kinds, event_log
 from test_plans import explain
 
 
@@ -211,3 +218,63 @@ def test_testers_read_the_records_once(spark):
         raw.where("TESTER_ID is not null").select(F.col("LOT_ID_RAW").alias("LOT_ID"), *rest))
     got = A.tte_testers(records)
     assert got.columns == two.columns and sorted(map(str, got.collect())) == sorted(map(str, two.collect())) and got.count() == 14
+
+
+# ---- parts that are stored one after the other ----------------------------------------------
+
+
+def _shuffle_files(spark) -> set[str]:
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+    return {n for n in (blocks.apply(i).name() for i in range(blocks.size())) if n.startswith("shuffle_")}
+
+
+def _until(check, seconds: float = 20) -> bool:
+    end = time.time() + seconds
+    while not check() and time.time() < end:
+        time.sleep(0.2)
+    return check()
+
+
+def test_shuffles_end_with_the_stores_writes(spark, tmp_path):
+    rows = spark.createDataFrame([(f"k{i % 7}", "2024-02-03", "202405") for i in range(50)], "a string, run_date string, ww string")
+    rows = rows.groupBy("a", "run_date", "ww").count().select("a", F.col("count").cast("string").alias("n"), "run_date", "ww")
+    for write in (lambda i: write_delimited(rows, f"{tmp_path}/k1-{i}"), lambda i: write_dated(rows, f"{tmp_path}/k2-{i}", run_dates=["2024-02-03"]),
+                  lambda i: write_report(rows, f"{tmp_path}/k3-{i}", "r"), lambda i: write_extract(rows, "2024-02-03", f"{tmp_path}/k4-{i}")):
+        before = _shuffle_files(spark)
+        write(0)
+        assert _until(lambda: not _shuffle_files(spark) - before)
+    assert spark.read.csv(f"{tmp_path}/k1-0", sep="\x01").count() == 7
+
+
+def test_a_log_stored_by_kinds_has_the_logs_rows(spark, tmp_path):
+    """The base rows are dealt by day, not the events made of them; a day's rows are sorted once."""
+    kinds = event_kinds(spark, SF001, by_day=True)
+    assert all(explain(k).split("\n\n")[0].count("Exchange") == 3 for k in kinds)
+    write_event_parts(kinds, f"{tmp_path}/log")
+    log, stored = event_log(spark, SF001), read_event_log(spark, f"{tmp_path}/log").select(*EVENT_LOG.fieldNames())
+    assert log.exceptAll(stored).count() == stored.exceptAll(log).count() == 0 < stored.count()
+    for day in {r.partition_date for r in stored.select("partition_date").distinct().limit(3).collect()}:
+        got = spark.read.parquet(f"{tmp_path}/log/partition_date={day}").select("date_time_local").collect()
+        assert got and all(r.date_time_local.startswith(day) for r in got)
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):  # a log is not put beside another one
+        write_event_parts(kinds, f"{tmp_path}/log")
+
+
+def test_the_daily_jobs_parts_go_with_its_end(spark, tmp_path, monkeypatch):
+    log, roots = event_log(spark, SF001), [f"{tmp_path}/v", f"{tmp_path}/t"]
+    left = lambda: [n for n in files.names(spark, checkpoint_root(spark)) if "lotwise-daily-2024-02-03" in n]
+    daily.run_daily_job(log, RunWindow.daily("2024-02-03"), *roots)
+    for root, schema, wanted in zip(roots, (VARIANCE, TOTALLOT), (lambda d: d.variance, lambda d: d.totallot)):
+        got, want = read_dated_store(spark, root, schema).drop("run_date"), wanted(daily_datasets(log, RunWindow.daily("2024-02-03"), cache=False))
+        assert got.exceptAll(want).count() == want.exceptAll(got.select(want.columns)).count() == 0
+    assert left() == []
+    seen = []
+
+    def fails(*_, **__):
+        seen.extend(left())
+        raise RuntimeError("disk")
+
+    monkeypatch.setattr(daily, "write_dated", fails)
+    with pytest.raises(RuntimeError):
+        daily.run_daily_job(log, RunWindow.daily("2024-02-03"), *roots)
+    assert seen and left() == []
