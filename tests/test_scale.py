@@ -223,6 +223,15 @@ def test_testers_read_the_records_once(spark):
 # ---- parts that are stored one after the other ----------------------------------------------
 
 
+@pytest.mark.parametrize("name", ["variance_daily", "totallot_daily", "weekly_variance", "variance_two_reasons", "archive_variance", "archive_totallot",
+                                  "archive_variance_two_reasons", "backfill_variance", "backfill_totallot", "weekly_variance_history"])
+def test_the_pivots_shuffles_end_before_the_last_joins(spark, name):
+    """What is left to run when a query is returned reads stored parts: no attribute is derived or pivoted beside its joins."""
+    text = explain(Q.QUERIES[name](spark, SF001))
+    assert "p_name" not in text and "SortAggregate" not in text
+    assert "LOT_ID" in text and "Join" in text
+
+
 def _shuffle_files(spark) -> set[str]:
     blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
     return {n for n in (blocks.apply(i).name() for i in range(blocks.size())) if n.startswith("shuffle_")}
